@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Vectors of a block; arrays; threshold share of collisions; growth of windows; share of a block that is verified.
-BLOCK, ARRAYS, SHARE, GROWTH, VERIFIED = 8192, 32, 0.55, 1.15, 0.12
+BLOCK, ARRAYS, SHARE, GROWTH, VERIFIED = 8192, 32, 0.8, 1.15, 0.3
 
 
 class Block:
