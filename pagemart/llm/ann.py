@@ -26,8 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Half the first windows' width in standard deviations of the values.
+FIRST = 0.6
 #: Vectors of a block; arrays; threshold share of collisions; growth of windows; share of a block that is verified.
-BLOCK, ARRAYS, SHARE, GROWTH, VERIFIED = 8192, 32, 0.8, 1.15, 0.3
+BLOCK, ARRAYS, SHARE, GROWTH, VERIFIED = 8192, 64, 0.8, 1.2, 0.25
 
 
 class Block:
@@ -49,7 +51,7 @@ class Block:
         enough = min(len(self.ids), k + 1 + int(VERIFIED * len(self.ids)))
         counts = np.zeros(len(self.ids), np.int16)
         low = np.array([np.searchsorted(self.sorted[:, j], centre[j]) for j in range(ARRAYS)])
-        high, half = low.copy(), 0.25
+        high, half = low.copy(), FIRST
         while True:
             for j in range(ARRAYS):
                 array, reach = self.sorted[:, j], half * self.spread[j]
