@@ -114,7 +114,8 @@ def fit(training: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
                 v = bundler().vector(text)
                 if v is not None:
                     total[lang] = total.get(lang, 0) + v / np.linalg.norm(v)
-        yield pd.DataFrame({"lang": list(total), "v": [v.astype(np.float64) for v in total.values()]})
+        if total:
+            yield pd.DataFrame({"lang": list(total), "v": [v.astype(np.float64) for v in total.values()]})
 
     rows = training.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     parts = rows.mapInPandas(sums, "lang string, v array<double>").select("lang", F.posexplode("v").alias("i", "x"))

@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Rows of a small table that may be broadcast; each is some dozens of bytes.
+SMALL = 100_000
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 
@@ -50,6 +54,8 @@ def sampled(rows: DataFrame, id_col: str, stratum: str, per_stratum: int) -> Dat
     A row stays if the hash of its id, as a fraction, is under per_stratum / size
     of its stratum; no group is gathered anywhere. For fitting models only.
     """
-    sizes = rows.groupBy(stratum).agg((F.lit(float(per_stratum)) / F.count(F.lit(1))).alias("_share"))
+    sizes = stored(rows.groupBy(stratum).agg((F.lit(float(per_stratum)) / F.count(F.lit(1))).alias("_share")), "sizes")
+    if sizes.count() <= SMALL:
+        sizes = F.broadcast(sizes)
     fraction = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     return rows.join(sizes, stratum).where(fraction < F.col("_share")).drop("_share")
