@@ -45,11 +45,12 @@ def with_quarantine(good_sink: Callable[[DataFrame, int], None], bad_sink: Calla
     return merge
 
 
-def release_waiting(events: DataFrame, dependency: str, payload: str, loaded: str, expires_ms: int = 86_400_000) -> DataFrame:
+def release_waiting(events: DataFrame, dependency: str, payload: str, loaded: str, expires_ms: int | None = None) -> DataFrame:
     """(dependency, payload, expired): rows wait until a row of their dependency with `loaded` has arrived.
 
-    Rows whose dependency is there pass at once. Rows that have waited longer
-    than expires_ms are given out as expired.
+    Rows whose dependency is there pass at once. With expires_ms, rows that have
+    waited that long are given out as expired; such a query has to run on, as it
+    never has all timeouts behind it. Without, rows wait as long as it takes.
     """
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
@@ -64,9 +65,9 @@ def release_waiting(events: DataFrame, dependency: str, payload: str, loaded: st
             waiting += batch.loc[~batch[loaded].astype(bool), payload].tolist()
         out = waiting if there else []
         state.update((there, [] if there else waiting))
-        if not there:
+        if not there and expires_ms:
             state.setTimeoutDuration(expires_ms)
         yield pd.DataFrame({dependency: [key[0]] * len(out), payload: out, "expired": [False] * len(out)})
 
     kind = events.schema[dependency].dataType.simpleString()
-    return events.select(dependency, payload, loaded).groupBy(dependency).applyInPandasWithState(step, f"{dependency} {kind}, {payload} string, expired boolean", "there boolean, waiting array<string>", "append", "ProcessingTimeTimeout")
+    return events.select(dependency, payload, loaded).groupBy(dependency).applyInPandasWithState(step, f"{dependency} {kind}, {payload} string, expired boolean", "there boolean, waiting array<string>", "append", "ProcessingTimeTimeout" if expires_ms else "NoTimeout")
