@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagemart.operators.graph import AWAITING_FETCH, CREATED
+from pagemart.operators.lineage import numbered
 from pagemart.operators.resolve import by_host
 
 DELAY_SECONDS, ATTEMPTS, RETRY_SECONDS = 2.5, 3, 0.5
@@ -35,8 +36,7 @@ def queue_created(nodes: DataFrame) -> DataFrame:
 
 def interleave(a: DataFrame, b: DataFrame, order: str = "ord") -> DataFrame:
     """(rn, source, ...): the first of a, the first of b, the second of a, and so on."""
-    w = Window.orderBy(order)
-    rows = a.withColumns({"source": F.lit(0), "rn": F.row_number().over(w)}).unionByName(b.withColumns({"source": F.lit(1), "rn": F.row_number().over(w)}))
+    rows = numbered(a, order).withColumn("source", F.lit(0)).unionByName(numbered(b, order).withColumn("source", F.lit(1)))
     return rows.orderBy("rn", "source")
 
 

@@ -7,9 +7,10 @@ counts come to the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagemart.operators.lineage import cut, numbered
 from pagemart.operators.resolve import first_of_key
 
 #: Fixed: states of a page.
@@ -46,12 +47,12 @@ def without_orphans(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 def descendants(edges: DataFrame, start: DataFrame) -> DataFrame:
     """(start, key, depth) of all that is reachable from start(key), itself at depth 0; safe on cycles."""
-    seen = start.select(F.col("key").alias("start"), "key", F.lit(0).alias("depth")).distinct().checkpoint()
+    seen = cut(start.select(F.col("key").alias("start"), "key", F.lit(0).alias("depth")).distinct())
     frontier, depth = seen, 0
     while True:
         depth += 1
         step = frontier.join(edges, F.col("key") == F.col("src_key")).select("start", F.col("dst_key").alias("key")).distinct()
-        frontier = step.join(seen.select("start", "key"), ["start", "key"], "left_anti").withColumn("depth", F.lit(depth)).checkpoint()
+        frontier = cut(step.join(seen.select("start", "key"), ["start", "key"], "left_anti").withColumn("depth", F.lit(depth)))
         if frontier.isEmpty():
             return seen
         seen = seen.unionByName(frontier)
@@ -64,11 +65,11 @@ def ancestors(edges: DataFrame, start: DataFrame) -> DataFrame:
 
 def reachable(edges: DataFrame, start: DataFrame) -> DataFrame:
     """(key) of all that is reachable from any of start, that included; one walk for all of them."""
-    seen = start.select("key").distinct().checkpoint()
+    seen = cut(start.select("key").distinct())
     frontier = seen
     while True:
         step = frontier.join(edges, F.col("key") == F.col("src_key")).select(F.col("dst_key").alias("key")).distinct()
-        frontier = step.join(seen, "key", "left_anti").checkpoint()
+        frontier = cut(step.join(seen, "key", "left_anti"))
         if frontier.isEmpty():
             return seen
         seen = seen.unionByName(frontier)
@@ -126,11 +127,11 @@ def stage_of(state: Column) -> Column:
 
 def tree_paths(children: DataFrame) -> DataFrame:
     """(key, path): positions from the root down, of children(key, parent_key, pos); a root has no parent."""
-    level = children.where(F.col("parent_key").isNull()).select("key", F.array("pos").alias("path")).checkpoint()
+    level = cut(children.where(F.col("parent_key").isNull()).select("key", F.array("pos").alias("path")))
     found = level
     below = children.where(F.col("parent_key").isNotNull())
     while True:
-        level = below.join(level.select(F.col("key").alias("parent_key"), "path"), "parent_key").select("key", F.array_append("path", F.col("pos")).alias("path")).checkpoint()
+        level = cut(below.join(level.select(F.col("key").alias("parent_key"), "path"), "parent_key").select("key", F.array_append("path", F.col("pos")).alias("path")))
         if level.isEmpty():
             return found
         found = found.unionByName(level)
@@ -138,7 +139,7 @@ def tree_paths(children: DataFrame) -> DataFrame:
 
 def preorder(paths: DataFrame) -> DataFrame:
     """With nth: node first, then its children left to right."""
-    return paths.withColumn("nth", F.row_number().over(Window.orderBy("path")))
+    return numbered(paths, "path", out="nth")
 
 
 def resume_order(paths: DataFrame, states: DataFrame) -> DataFrame:
@@ -150,11 +151,11 @@ def resume_order(paths: DataFrame, states: DataFrame) -> DataFrame:
 
 def removable(children: DataFrame, gone: DataFrame) -> DataFrame:
     """(key) of gone, and of parents left without children by it, upwards."""
-    found = gone.select("key").distinct().checkpoint()
+    found = cut(gone.select("key").distinct())
     while True:
         left = children.where(F.col("parent_key").isNotNull()).join(found, "key", "left_anti").select("parent_key")
         parents = children.join(found, "key", "left_semi").where(F.col("parent_key").isNotNull()).select(F.col("parent_key")).distinct()
-        new = parents.join(left, "parent_key", "left_anti").withColumnRenamed("parent_key", "key").join(found, "key", "left_anti").checkpoint()
+        new = cut(parents.join(left, "parent_key", "left_anti").withColumnRenamed("parent_key", "key").join(found, "key", "left_anti"))
         if new.isEmpty():
             return found
         found = found.unionByName(new)
