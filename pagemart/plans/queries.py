@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 
 from pagemart.functions import text, urls
 from pagemart.operators import documents, frontier, graph, html, merge, resolve, template, validate
+from pagemart.streaming import pages as stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -561,3 +564,93 @@ def role_runs(spark, sf_dir):
     w = Window.partitionBy("conv_id").orderBy("turn")
     runs = table(spark, sf_dir, "conversations").withColumn("new", F.when(F.col("role").eqNullSafe(F.lag("role").over(w)), 0).otherwise(1))
     return runs.groupBy("conv_id").agg(F.sum("new").alias("runs"))
+
+
+# More joins and tables around them.
+
+
+@query("SELECT o_orderkey, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_acctbal > 0")
+def must_exist(spark, sf_dir):
+    rich = table(spark, sf_dir, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
+    return resolve.must_exist(table(spark, sf_dir, "orders"), rich, "o_custkey", "c_mktsegment")[0].select("o_orderkey", "c_mktsegment")
+
+
+@query("SELECT p_partkey, coalesce(m.q, p_size) AS p_size FROM part LEFT JOIN (SELECT l_partkey, CAST(max(l_quantity) AS INTEGER) AS q FROM lineitem GROUP BY l_partkey) m ON l_partkey = p_partkey")
+def update_from(spark, sf_dir):
+    new = table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.max("l_quantity").cast("int").alias("p_size"))
+    return resolve.update_from(table(spark, sf_dir, "part").select("p_partkey", "p_size"), new, "p_partkey", "p_size")
+
+
+@query("SELECT p_partkey FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 40)")
+def not_in_array(spark, sf_dir):
+    arrays = table(spark, sf_dir, "lineitem").where("l_quantity > 40").groupBy("l_suppkey").agg(F.collect_set("l_partkey").alias("parts"))
+    return resolve.not_in_array(table(spark, sf_dir, "part").select("p_partkey"), "p_partkey", arrays, "parts")
+
+
+@query(f"""WITH {_LINKS}, t AS (SELECT page_id, CASE WHEN starts_with(href, '/') THEN {_SITE} || href WHEN regexp_matches(href, '^[A-Za-z]+:') THEN href ELSE {_SITE} || '/' || href END AS target FROM r)
+SELECT target AS key, min(page_id) AS ord FROM t WHERE target NOT IN (SELECT url FROM pages) GROUP BY target""")
+def new_links(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    found = html.resolved_links(pages).withColumn("ord", F.col("page_id")).withColumnRenamed("url", "src_key")
+    fresh, _ = graph.new_links(found, pages.select(urls.url_key(F.col("url")).alias("key")))
+    return fresh
+
+
+@query("""SELECT source || '/HB/HB' || doc_id || '/HB' || doc_id || '_' || lang || '_0.pdf' AS path FROM documents WHERE lang IS NOT NULL AND source IS NOT NULL AND NOT n_chars < 1000""")
+def not_stored(spark, sf_dir):
+    rows = manifest(spark, sf_dir)
+    small = table(spark, sf_dir, "documents").where("n_chars < 1000").select(F.concat(F.lit("HB"), "doc_id").alias("bill_no"))
+    return documents.not_stored(rows, rows.join(small, "bill_no", "left_semi")).select("path")
+
+
+@query("""WITH v AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS start, max(o_orderkey) AS k FROM orders WHERE o_orderstatus = 'O' GROUP BY ALL)
+SELECT o_custkey, max(start) AS start, max_by(k, start) AS k FROM v GROUP BY o_custkey""")
+def latest_open(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_custkey", F.to_date("o_orderdate").alias("start"), F.when(F.col("o_orderstatus") != "O", F.to_date("o_orderdate")).alias("end"), "o_orderkey")
+    return resolve.latest_open(o.groupBy("o_custkey", "start", "end").agg(F.max("o_orderkey").alias("k")), ["o_custkey"], "start", "end").select("o_custkey", "start", "k")
+
+
+@query(f"""WITH RECURSIVE {_TREE}, w AS (SELECT key, ARRAY[ord] AS path FROM n WHERE parent_key IS NULL UNION ALL SELECT n.key, list_append(w.path, n.ord) FROM w JOIN n ON n.parent_key = w.key)
+SELECT w.key, CASE n.ord % 10 - 1 WHEN 1 THEN 0 WHEN 0 THEN 1 WHEN 2 THEN 2 WHEN 3 THEN 3 ELSE 4 END AS state_rank FROM w JOIN n ON n.key = w.key WHERE n.ord % 10 - 1 BETWEEN 0 AND 4""")
+def resume_order(spark, sf_dir):
+    nodes, _ = _tree(spark, sf_dir)
+    states = nodes.select("key", (F.col("ord") % 10 - 1).cast("int").alias("state"))
+    return graph.resume_order(graph.tree_paths(nodes.withColumnRenamed("ord", "pos")), states).select("key", "state_rank")
+
+
+# Streams: the stored files as arrivals, processed batch by batch until none is left.
+
+
+def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    stored = table(spark, sf_dir, name)
+    one_file = stored.inputFiles()[0].endswith(f"/{name}.parquet")
+    return stream.page_stream(spark, sf_dir if one_file else f"{sf_dir}/{name}.parquet", stored.schema, f"{name}.parquet" if one_file else "*.parquet")
+
+
+def _shared(spark: SparkSession) -> str:
+    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="pagemart-")
+    return f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+@query("SELECT regexp_extract(url, '^[A-Za-z]+://([^/?#]*)', 1) AS host, count(DISTINCT url) AS pages FROM pages GROUP BY 1")
+def stream_dedup(spark, sf_dir):
+    folder = _shared(spark)
+
+    def append(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/out/batch={number}")  # run again, it replaces itself
+
+    stream.run(stream.first_of_url(_stream(spark, sf_dir, "pages")), append, f"{folder}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{folder}/out").groupBy(urls.host(F.col("url")).alias("host")).agg(F.count(F.lit(1)).alias("pages"))
+
+
+@query("SELECT user_id, count(*) FILTER (value >= 5) AS kept, count(*) FILTER (NOT value >= 5) AS aside FROM events GROUP BY user_id")
+def stream_quarantine(spark, sf_dir):
+    folder = _shared(spark)
+
+    def sink(kind: str) -> Callable[[DataFrame, int], None]:
+        return lambda batch, number: batch.select("user_id", F.lit(kind).alias("kind")).write.mode("overwrite").parquet(f"{folder}/out/{kind}-{number}")
+
+    checked = validate.with_errors(_stream(spark, sf_dir, "events"), {"value": F.col("value") >= 5})
+    stream.run(checked, stream.with_quarantine(sink("kept"), sink("aside")), f"{folder}/checkpoint").awaitTermination()
+    rows = spark.read.option("recursiveFileLookup", "true").parquet(f"{folder}/out")
+    return rows.groupBy("user_id").agg(F.count_if(F.col("kind") == "kept").alias("kept"), F.count_if(F.col("kind") == "aside").alias("aside"))
