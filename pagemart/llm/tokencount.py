@@ -158,7 +158,7 @@ class Transducer:
         return state, count
 
     def trim(self) -> None:
-        """Call between texts only: states in use are dropped too."""
+        """Call between texts or chunks only: states in use are dropped too."""
         if len(self.states) > MAX_STATES:
             for state in self.states.values():
                 state.clear()
@@ -220,7 +220,10 @@ class Transducer:
         """The count of prepared text."""
         if len(text) <= CHUNK:
             return self.short(text)
-        maps = [self.chunk_map(text[i : i + CHUNK]) for i in range(0, len(text), CHUNK)]
+        maps = []
+        for i in range(0, len(text), CHUNK):
+            self.trim()
+            maps.append(self.chunk_map(text[i : i + CHUNK]))
         while len(maps) > 1:
             maps = [self.compose(*maps[i : i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
         return self.total(maps[0])

@@ -39,7 +39,8 @@ def test_chunk_maps_compose(text, size):
 def test_without_memory(monkeypatch):
     machine = tokencount.transducer(PATH)
     monkeypatch.setattr(tokencount, "MAX_STATES", 10)
-    for text in ["hello there world", "x" * 500, "the end"]:
+    monkeypatch.setattr(tokencount, "CHUNK", 50)
+    for text in ["hello there world", "x" * 500, "the end", "many words in several chunks " * 20]:
         machine.trim()
         assert machine.count(tokencount.prepared(text)) == len(LIBRARY.encode(text))
 
