@@ -25,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagemart.llm.shared import stored
+
 BUDGET, HISTORY, HISTORY_TOKENS, CHARS_PER_TOKEN = 2048, 2, 256, 4
 START, END = "<|im_start|>", "<|im_end|>\n"
 #: Turn numbers of a block of the prefix sum.
@@ -49,19 +51,29 @@ def _role_in(role: Column) -> Column:
     return F.array_join(F.transform(parts, lambda p: F.replace(p, F.lit("\\n"), F.lit("\n"))), "\\")
 
 
-def numbered(turns: DataFrame) -> DataFrame:
-    """Adds idx (from 0) and before (tokens of the turns before) per conversation."""
-    block = F.coalesce(F.floor(F.col("turn") / BLOCK), F.lit(-(2**62)))
-    turns = turns.withColumn("block", block)
-    order = [F.col("turn").asc_nulls_first(), F.col("role"), F.col("text")]
-    inner = Window.partitionBy("conv_id", "block").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    within = turns.withColumns({"idx": F.count(F.lit(1)).over(inner), "before": F.coalesce(F.sum("tokens").over(inner), F.lit(0))})
-    blocks = turns.groupBy("conv_id", "block").agg(F.count(F.lit(1)).alias("n"), F.sum("tokens").alias("t"), F.max("tokens").alias("longest"))
-    ahead = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    every = Window.partitionBy("conv_id")
-    blocks = blocks.select(F.col("conv_id").alias("_conv"), F.col("block").alias("_block"), F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("_n"), F.coalesce(F.sum("t").over(ahead), F.lit(0)).alias("_t"), F.max("longest").over(every).alias("longest"))
-    joined = within.join(blocks, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("block") == F.col("_block")))
-    return joined.select("conv_id", "role", "text", "tokens", "longest", (F.col("idx") + F.col("_n")).alias("idx"), (F.col("before") + F.col("_t")).alias("before"))
+def placed(conversations: DataFrame, budget: int, history_tokens: int, chars_per_token: int) -> DataFrame:
+    """Each turn with cid (the conversation, never null), idx, before (tokens before it), window, and
+    whether its conversation has more than one window. Written once, as several steps read it.
+
+    Texts move once, to number the turns of each block; all else about blocks and
+    conversations is narrow.
+    """
+    role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
+    out = F.concat(F.lit(START), _role_out(role), F.lit("\n"), escaped(text), F.lit(END))
+    cid = F.when(F.col("conv_id").isNull(), "none").otherwise(F.concat(F.lit("id "), F.col("conv_id").cast("string")))
+    turn = F.col("turn").cast("long")
+    turns = conversations.select("conv_id", cid.alias("cid"), F.coalesce(F.floor(turn / BLOCK), F.lit(-(2**62))).alias("block"), turn.alias("turn"), role.alias("role"), text.alias("text"), F.ceil(F.length(out) / chars_per_token).alias("tokens"))
+    earlier = Window.partitionBy("cid", "block").orderBy(F.col("turn").asc_nulls_first(), "role", "text").rowsBetween(Window.unboundedPreceding, -1)
+    turns = turns.withColumns({"n": F.count(F.lit(1)).over(earlier), "t": F.coalesce(F.sum("tokens").over(earlier), F.lit(0))})
+    blocks = turns.groupBy("cid", "block").agg(F.count(F.lit(1)).alias("n"), F.sum("tokens").alias("t"), F.max("tokens").alias("longest"), F.max(F.when((F.col("n") == 0) & (F.col("role") == "system"), F.col("tokens"))).alias("system"))
+    every = Window.partitionBy("cid")
+    ahead = every.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    whole = every.orderBy("block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    blocks = blocks.select("cid", "block", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("n0"), F.coalesce(F.sum("t").over(ahead), F.lit(0)).alias("t0"), F.max("longest").over(every).alias("longest"), F.sum("t").over(every).alias("total"), F.first("system").over(whole).alias("system"))
+    room = F.greatest(F.lit(1), F.lit(budget - history_tokens) - F.coalesce("system", F.lit(0)) - F.col("longest"))
+    before = F.col("t") + F.col("t0")
+    joined = turns.join(blocks, ["cid", "block"])
+    return stored(joined.select("conv_id", "cid", (F.col("n") + F.col("n0")).alias("idx"), before.alias("before"), "role", "text", "tokens", "system", F.floor(before / room).alias("window"), (F.col("total") > room).alias("several")), "turns")
 
 
 def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY, history_tokens: int = HISTORY_TOKENS, chars_per_token: int = CHARS_PER_TOKEN) -> DataFrame:
@@ -72,25 +84,20 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
     are learned here. A turn's tokens are its formatted length over
     chars_per_token, rounded up.
     """
-    role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
-    out = F.concat(F.lit(START), _role_out(role), F.lit("\n"), escaped(text), F.lit(END))
-    turns = conversations.select("conv_id", F.col("turn").cast("long").alias("turn"), role.alias("role"), text.alias("text"))
-    turns = turns.withColumn("tokens", F.ceil(F.length(out) / chars_per_token))
-    turns = numbered(turns)
-    system = turns.where((F.col("idx") == 0) & (F.col("role") == "system")).select(F.col("conv_id").alias("_conv"), F.struct("role", "text", "tokens").alias("system"))
-    turns = turns.join(system, F.col("conv_id").eqNullSafe(F.col("_conv")), "left").drop("_conv")
-    room = F.greatest(F.lit(1), F.lit(budget - history_tokens) - F.coalesce("system.tokens", F.lit(0)) - F.col("longest"))
-    turns = turns.withColumn("window", F.floor(F.col("before") / room))
-    own = turns.select("conv_id", "window", "idx", F.lit(False).alias("repeated"), "role", "text", "tokens")
-    first = turns.groupBy("conv_id", "window").agg(F.min_by(F.struct("idx", "before", "system"), "idx").alias("f")).where("f.idx > 0")
-    heads = first.where("f.system IS NOT NULL").select("conv_id", "window", F.lit(-1).cast("long").alias("idx"), F.lit(True).alias("repeated"), "f.system.role", "f.system.text", "f.system.tokens")
-    oldest = F.greatest(F.when(F.col("f.system").isNotNull(), 1).otherwise(0).cast("long"), F.col("f.idx") - history)
-    asked = first.select(F.col("conv_id").alias("_conv"), F.col("window").alias("_window"), F.col("f.before").alias("_before"), F.explode(F.when(oldest < F.col("f.idx"), F.sequence(oldest, F.col("f.idx") - 1))).alias("_idx"))
-    past = turns.join(asked, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("idx") == F.col("_idx"))).where(F.col("_before") - F.col("before") <= history_tokens)
-    past = past.select("conv_id", F.col("_window").alias("window"), "idx", F.lit(True).alias("repeated"), "role", "text", "tokens")
+    turns = placed(conversations, budget, history_tokens, chars_per_token)
+    columns = ["conv_id", "cid", "window", "idx", "repeated", "role", "text", "tokens"]
+    own = turns.withColumn("repeated", F.lit(False)).select(*columns)
+    long = turns.where("several")
+    first = long.groupBy("cid", "window").agg(F.min("idx").alias("idx"), F.min("before").alias("before"), F.max("system").alias("system")).where("idx > 0")
+    head = long.where((F.col("idx") == 0) & F.col("system").isNotNull()).select("conv_id", "cid", F.lit(-1).cast("long").alias("idx"), F.lit(True).alias("repeated"), "role", "text", "tokens")
+    heads = head.join(first.select("cid", "window"), "cid").select(*columns)
+    oldest = F.greatest(F.when(F.col("system").isNotNull(), 1).otherwise(0).cast("long"), F.col("idx") - history)
+    asked = first.select("cid", F.col("window").alias("_window"), F.col("before").alias("_before"), F.explode(F.when(oldest < F.col("idx"), F.sequence(oldest, F.col("idx") - 1))).alias("idx"))
+    past = long.join(asked, ["cid", "idx"]).where(F.col("_before") - F.col("before") <= history_tokens)
+    past = past.withColumn("window", F.col("_window")).withColumn("repeated", F.lit(True)).select(*columns)
     rows = own.unionByName(heads).unionByName(past)
     # A window's turns are bounded by the budget.
-    grouped = rows.groupBy("conv_id", "window").agg(F.array_sort(F.collect_list(F.struct("idx", "repeated", "role", "text", "tokens"))).alias("turns"))
+    grouped = rows.groupBy("cid", "conv_id", "window").agg(F.array_sort(F.collect_list(F.struct("idx", "repeated", "role", "text", "tokens"))).alias("turns"))
     parts = F.transform("turns", lambda t: F.struct(F.concat(F.lit(START), _role_out(t.role), F.lit("\n")).alias("head"), escaped(t.text).alias("body"), ((t.role == "assistant") & ~t.repeated).alias("learned")))
     grouped = grouped.withColumn("parts", parts)
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<first:int,length:int>>").alias("spans"))
