@@ -32,9 +32,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: States are dropped, and compiled again as needed, when there are this many.
-MAX_STATES, MAX_PAIRS = 60_000, 200_000
+MAX_STATES, MAX_PAIRS = 200_000, 200_000
 #: Stretches between two cuts whose counts are remembered, of at most so many characters.
-MAX_STRETCHES, STRETCH = 150_000, 48
+MAX_STRETCHES, STRETCH = 300_000, 48
 #: Characters of a chunk.
 CHUNK = 65_536
 #: The token before a cut.
