@@ -208,6 +208,8 @@ def _labelled(prints: DataFrame, most: int) -> DataFrame:
     names = linked.groupBy("root").agg(F.min("first_id").alias("name"))
     linked = linked.select("fingerprint", "root").join(names, "root")
     named = classes.join(linked, "fingerprint", "left").select("fingerprint", F.coalesce("root", "fingerprint").alias("root"), F.coalesce("name", "first_id").alias("component_id"))
+    # Written first, so that the join below is a plain one whose hot fingerprints Spark can split.
+    named = stored(named, "classes")
     return prints.join(named, "fingerprint").select("id", "fingerprint", "root", "component_id")
 
 
