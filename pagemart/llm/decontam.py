@@ -15,8 +15,9 @@ Words are runs of letters and digits, lower-cased. An item of fewer words than a
 shingle is one shingle of its own width.
 
 Cases: items without words are never found; null texts are texts without words;
-rows with a null id are found under that id; repeated documents and items are
-reported once per id; texts are searched whole.
+rows with a null id are found under that id; each text of a repeated or null item
+id is an item of its own, and a document is reported once per item id, with the
+figures of the text it contains most of; texts are searched whole.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from pagemart.llm.shared import stored
 
 WORDS, THRESHOLD = 5, 0.8
-#: Signature rows that are broadcast at most (16 bytes each); beyond, the join is shuffled.
+#: Signature rows that are broadcast at most (some 50 bytes each); beyond, the join is shuffled.
 BROADCAST_ROWS = 1_000_000
 
 
@@ -49,22 +50,24 @@ def _shingle_hashes(of_hashes: str, width: int) -> Column:
 
 
 def item_shingles(items: DataFrame, item_col: str, text_col: str, width: int) -> DataFrame:
-    """(item_id, width, shingle, hash, n): the distinct shingles of each item."""
+    """(item_id, digest, width, shingle, hash, n): the distinct shingles of each item, told apart by id and text."""
     of = items.select(F.col(item_col).alias("item_id"), words(F.col(text_col)).alias("w")).where(F.size("w") > 0).withColumn("width", F.least(F.size("w"), F.lit(width)))
+    of = of.withColumn("digest", F.unhex(F.md5(F.array_join("w", " ").cast("binary"))))
     shingle = F.transform(F.sequence(F.lit(1), F.size("w") - F.col("width") + 1), lambda i: F.slice("w", i, F.col("width")))
-    rows = of.select("item_id", "width", F.explode(shingle).alias("s")).select("item_id", "width", F.array_join("s", " ").alias("shingle"), "s")
+    rows = of.select("item_id", "digest", "width", F.explode(shingle).alias("s")).select("item_id", "digest", "width", F.array_join("s", " ").alias("shingle"), "s")
     # The hash as _shingle_hashes makes it: of the words' hashes in order.
     hashed = F.coalesce(*[F.when(F.col("width") == k, F.xxhash64(*[F.xxhash64(F.element_at("s", j)) for j in range(1, k + 1)])) for k in range(1, width + 1)])
     rows = rows.withColumn("hash", hashed).drop("s").distinct()
-    sizes = rows.groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
-    return rows.join(sizes.withColumnRenamed("item_id", "sized"), F.col("item_id").eqNullSafe(F.col("sized"))).drop("sized")
+    # The same text has the same shingles under any id.
+    sizes = rows.groupBy("digest").agg(F.count_distinct("shingle").alias("n"))
+    return rows.join(sizes, "digest")
 
 
 def signatures(shingles: DataFrame, threshold: float) -> DataFrame:
-    """(item_id, width, n, hash): each item's smallest hashes, in the number its size asks for."""
+    """(item_id, digest, width, n, hash): each item's smallest hashes, in the number its size asks for."""
     smallest = F.array_sort(F.collect_set("hash"))  # an item's shingles are few: items are short
-    grouped = shingles.groupBy("item_id", "width", "n").agg(smallest.alias("h"))
-    return grouped.select("item_id", "width", "n", F.explode(F.expr(f"slice(h, 1, CAST(least(size(h), n - ceil(n * {threshold!r}D - 1e-9D) + 1) AS int))")).alias("hash"))
+    grouped = shingles.groupBy("item_id", "digest", "width", "n").agg(smallest.alias("h"))
+    return grouped.select("item_id", "digest", "width", "n", F.explode(F.expr(f"slice(h, 1, CAST(least(size(h), n - ceil(n * {threshold!r}D - 1e-9D) + 1) AS int))")).alias("hash"))
 
 
 def contaminated(documents: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = WORDS, threshold: float = THRESHOLD) -> DataFrame:
@@ -81,12 +84,12 @@ def contaminated(documents: DataFrame, items: DataFrame, id_col: str = "doc_id",
     found = None
     for k in widths:
         probes = hashed.select("id", "key", F.size("w").alias("n_words"), F.explode(_shingle_hashes("w", k)).alias("hash"))
-        wanted = hint(signed.where(F.col("width") == k).select("item_id", "n", "hash"))
+        wanted = hint(signed.where(F.col("width") == k).select("item_id", "digest", "n", "hash"))
         # A text of a words has at most a - k + 1 shingles.
-        hits = probes.join(wanted, "hash").where(F.col("n_words") - (k - 1) >= F.ceil(F.col("n") * F.lit(threshold) - F.lit(1e-9))).select("id", "key", "item_id")
+        hits = probes.join(wanted, "hash").where(F.col("n_words") - (k - 1) >= F.ceil(F.col("n") * F.lit(threshold) - F.lit(1e-9))).select("id", "key", "item_id", "digest")
         found = hits if found is None else found.unionByName(hits)
     if found is None:
-        found = docs.select("id", F.lit("").alias("key")).crossJoin(items.select(F.col(item_col).alias("item_id")).limit(0)).limit(0)
+        found = docs.select("id", F.lit("").alias("key")).crossJoin(items.select(F.col(item_col).alias("item_id"), F.lit(b"").alias("digest")).limit(0)).limit(0)
     candidates = stored(found.distinct(), "candidates")
     return stored(_verified(docs, candidates, shingles, widths, threshold), "contained").withColumnRenamed("id", id_col)
 
@@ -97,17 +100,19 @@ def _verified(docs: DataFrame, candidates: DataFrame, shingles: DataFrame, width
     n = keys.count()
     texts = docs.select("text", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("key"))
     texts = texts.join(F.broadcast(keys) if n <= BROADCAST_ROWS else keys, "key", "left_semi").dropDuplicates(["key"]).select("key", words(F.col("text")).alias("w"))
-    pairs = candidates.select("key", "item_id").distinct()
+    # Items are verified by their text, so ids play no part here.
+    pairs = candidates.select("key", "digest").distinct()
     counted = None
     for k in widths or [1]:
-        own = shingles.where(F.col("width") == k).select("item_id", "n", "shingle")
-        wanted = pairs.join(own.withColumnRenamed("item_id", "item"), F.col("item_id").eqNullSafe(F.col("item"))).drop("item")
+        own = shingles.where(F.col("width") == k).select("digest", "n", "shingle").distinct()
+        wanted = pairs.join(own, "digest")
         there = texts.select("key", F.explode(F.array_distinct(_shingles("w", k))).alias("shingle"))
-        part = wanted.join(there, ["key", "shingle"]).groupBy("key", "item_id", "n").agg(F.count(F.lit(1)).alias("n_shared"))
+        part = wanted.join(there, ["key", "shingle"]).groupBy("key", "digest", "n").agg(F.count(F.lit(1)).alias("n_shared"))
         counted = part if counted is None else counted.unionByName(part)
-    kept = counted.where(F.col("n_shared") >= F.col("n") * F.lit(threshold) - F.lit(1e-9)).withColumnRenamed("item_id", "item").withColumnRenamed("key", "text_key")
-    rows = candidates.join(kept, (F.col("key") == F.col("text_key")) & F.col("item_id").eqNullSafe(F.col("item")))
-    return rows.select("id", "item_id", F.col("n").alias("n_shingles"), "n_shared", (F.col("n_shared") / F.col("n")).alias("containment")).groupBy("id", "item_id").agg(F.max_by("n_shingles", "n_shared").alias("n_shingles"), F.max("n_shared").alias("n_shared"), F.max("containment").alias("containment"))
+    kept = counted.where(F.col("n_shared") >= F.col("n") * F.lit(threshold) - F.lit(1e-9))
+    best = F.max(F.struct((F.col("n_shared") / F.col("n")).alias("containment"), "n_shared", "n"))
+    rows = candidates.join(kept, ["key", "digest"]).groupBy("id", "item_id").agg(best.alias("b"))
+    return rows.select("id", "item_id", F.col("b.n").alias("n_shingles"), "b.n_shared", "b.containment")
 
 
 def clean(documents: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:

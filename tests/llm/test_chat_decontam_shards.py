@@ -67,6 +67,17 @@ def test_found_items(spark):
     assert decontam.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), empty).count() == 0
 
 
+@pytest.mark.parametrize("item_id", [None, 7])
+def test_items_of_one_id_are_apart(spark, item_id):
+    passages = [" ".join(f"{c}{i}" for i in range(40)) for c in "ab"]
+    items = [(item_id, t) for t in (*passages, passages[0].upper(), "few words", passages[1] + " and more")]
+    docs = [(1, f"x {passages[0]} y"), (2, f"x {passages[1]} y"), (3, "just a few words here"), (4, "w " * 50), (5, f"{passages[1]} {passages[0]}"), (5, passages[0])]
+    docs, items = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = sorted((r.doc_id, r.item_id, r.n_shingles, r.n_shared, r.containment) for r in decontam.contaminated(docs, items).collect())
+    assert found == [(1, item_id, 36, 36, 1.0), (2, item_id, 36, 36, 1.0), (3, item_id, 1, 1, 1.0), (5, item_id, 36, 36, 1.0)]
+    assert [r.doc_id for r in decontam.clean(docs, items).collect()] == [4]
+
+
 def test_shuffled_join_finds_the_same(spark, monkeypatch):
     docs, items = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
     first = sorted(map(tuple, decontam.contaminated(docs, items).collect()))
