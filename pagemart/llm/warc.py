@@ -110,9 +110,12 @@ def _inflates(data: bytes, at: int) -> bool:
 
 def parse(data: bytes) -> Iterator[tuple[int, int, str, dict, bytes]]:
     """(offset, length, reason, header, payload) of records; reason is "" for valid ones, else a gap."""
-    at, gap, why = 0, None, ""
+    at, gap, why, stop = 0, None, "", data.find(BREAK.encode())
     while at < len(data):
-        reason, end, header, body = check(data, at)
+        # One search serves all places before its finding, so damage costs no second one.
+        if 0 <= stop < at:
+            stop = data.find(BREAK.encode(), at)
+        reason, end, header, body = check(data, at, stop)
         if not reason:
             if gap is not None:
                 yield gap, at - gap, why, {}, b""
@@ -128,19 +131,26 @@ def parse(data: bytes) -> Iterator[tuple[int, int, str, dict, bytes]]:
         yield gap, len(data) - gap, why, {}, b""
 
 
-def check(data: bytes, at: int) -> tuple[str, int, dict, bytes]:
-    """(reason, end, header, payload) of a record that should begin at `at`."""
+def check(data: bytes, at: int, stop: int) -> tuple[str, int, dict, bytes]:
+    """(reason, end, header, payload) of a record that should begin at `at`; stop is where the next empty line begins, or -1.
+
+    A header may have any length, but a line without a colon, such as a version line, or a field named twice is none of its own.
+    """
     if not re.compile(rb"WARC/1\.[01]\r\n").match(data, at):
         return "no version line", at, {}, b""
-    stop = data.find(b"\r\n\r\n", at, at + 65536)
     if stop < 0:
         return "header without end", at, {}, b""
-    header = {}
-    for line in data[at:stop].split(b"\r\n")[1:]:
-        name, colon, value = line.partition(b":")
+    header, end = {}, data.find(b"\r\n", at)
+    while end < stop:
+        begin = end + 2
+        end = data.find(b"\r\n", begin)
+        name, colon, value = data[begin:end].partition(b":")
         if not colon:
             return "header line without colon", at, {}, b""
-        header[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
+        field = name.strip().lower().decode("latin-1")
+        if field in header and field != "warc-concurrent-to":
+            return "header runs into another", at, {}, b""
+        header[field] = value.strip().decode("utf-8", "replace")
     length = header.get("content-length", "")
     if not length.isascii() or not length.isdigit():
         return "no content length", at, {}, b""

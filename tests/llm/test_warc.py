@@ -33,6 +33,23 @@ def test_round_trip(spark, tmp_path, compression):
     assert warc.records(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("compression", ["gzip", "none"])
+def test_long_urls(spark, tmp_path, compression):
+    rows = [(1, "http://a/?" + "q" * 100_000, LONG), (2, "data:" + "%" * 40_000, LONG), (3, "http://a/WARC/1.1", "short")]
+    warc.write(spark.createDataFrame(rows, "page_id long, url string, html string"), str(tmp_path / "w"), compression=compression)
+    back = warc.read(spark, str(tmp_path / "w")).collect()
+    assert sorted((r.kind, r.page_id, r.url, r.record_type) for r in back) == [("record", i, url, kind) for (i, url, _), kind in zip(rows, ("response", "revisit", "response"), strict=True)]
+
+
+def test_headers_without_end():
+    parts = [record(i, b"body %d" % i * 30) for i in range(4)]
+    cut = parts[1][:100]  # ends inside the header
+    assert ids(parts[0] + cut + parts[2] + parts[3]) == ([0, 2, 3], [(len(parts[0]), 100, "header runs into another")])
+    lines = parts[1][: parts[1].index(b"Content-Length")]  # ends with a line
+    assert ids(parts[0] + lines + parts[2]) == ([0, 2], [(len(parts[0]), len(lines), "header line without colon")])
+    assert ids(parts[0] + cut) == ([0], [(len(parts[0]), 100, "header without end")])
+
+
 def record(n, body):
     head = f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{n}>\r\nWARC-Payload-Digest: sha256:{hashlib.sha256(body).hexdigest()}\r\nContent-Length: {len(body)}\r\n\r\n"
     return head.encode() + body + b"\r\n\r\n"
