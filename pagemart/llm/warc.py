@@ -2,9 +2,12 @@
 
 Writing: one record per row, payload the html in UTF-8. Of records with equal
 payloads of at least `least` bytes the one with the smallest page_id is a
-response, the others are revisit records without payload that name it. A record
-ends in two empty lines, so Spark's text writer, with that as its line
-separator, writes valid archives anywhere Spark can write.
+response, the others are revisit records without payload that name it. In a gzip
+archive each record is a member of its own, so damage costs the records that it
+touches and no later ones. Spark's text writer writes the members, as it writes
+any bytes of a string, anywhere Spark can write and with its commits; its line
+separator is then an empty member. Without compression, records end in two empty
+lines, which is the separator.
 
 Reading: a record is accepted if its version line, its header, its length, the
 separator behind it and its digest are right. After a failed check the reader
@@ -20,6 +23,7 @@ responses; no rows give an archive without records.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import re
 import zlib
@@ -30,6 +34,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 VERSION, BREAK = "WARC/1.1", "\r\n\r\n"
+#: A gzip member of no content.
+EMPTY = gzip.compress(b"", mtime=0)
 LEAST = 100
 #: Rows of an archive file at most; a file is read as one piece.
 FILE_RECORDS = 4000
@@ -67,7 +73,19 @@ def records(pages: DataFrame, least: int = LEAST) -> DataFrame:
 
 def write(pages: DataFrame, path: str, least: int = LEAST, compression: str = "gzip") -> None:
     """Writes archives of pages (page_id, url, html) into path, each a file of bounded size."""
-    records(pages, least).write.option("lineSep", BREAK).option("compression", compression).option("maxRecordsPerFile", FILE_RECORDS).text(path)
+    rows, separator, encoding = records(pages, least), BREAK, "UTF-8"
+    if compression == "gzip":
+        rows = rows.select(F.col("value").cast("binary").alias("value")).mapInArrow(_members, "value binary").select(F.col("value").cast("string").alias("value"))
+        separator, encoding, compression = EMPTY.decode("latin-1"), "ISO-8859-1", "none"
+    rows.write.option("lineSep", separator).option("encoding", encoding).option("compression", compression).option("maxRecordsPerFile", FILE_RECORDS).text(path)
+
+
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each record, with the empty lines that end it, as a gzip member."""
+    for batch in batches:
+        for at in range(0, len(batch), 500):
+            made = [gzip.compress(v.as_py() + BREAK.encode(), 6, mtime=0) for v in batch.column(0).slice(at, 500)]
+            yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], names=["value"])
 
 
 def inflated(data: bytes) -> Iterator[tuple[int, int, bytes | None]]:
@@ -86,20 +104,34 @@ def inflated(data: bytes) -> Iterator[tuple[int, int, bytes | None]]:
             whole = member.eof
         except zlib.error:
             whole = False
+            out.append(_rest(data, at, fed))
         if whole:
             end = fed - len(member.unused_data)
             yield at, end - at, b"".join(out)
             at = end
             continue
         content = b"".join(out)
-        following = next((m.start() for m in re.finditer(rb"\x1f\x8b\x08", data[at + 1 :]) if _inflates(data, at + 1 + m.start())), None)
-        end = len(data) if following is None else at + 1 + following
+        following = next((m.start() for m in re.compile(rb"\x1f\x8b\x08").finditer(data, at + 1) if _inflates(data, m.start())), None)
+        end = len(data) if following is None else following
         if content:
             yield at, 0, content
         yield at, end - at, None
         at = end
 
 
+def _rest(data: bytes, at: int, fed: int) -> bytes:
+    """What the member at `at` gives between `fed`, up to where it inflates in large pieces, and its first error."""
+    member, out = zlib.decompressobj(31), []
+    for i in range(at, fed, 65536):
+        member.decompress(data[i : min(i + 65536, fed)])
+    try:
+        for i in range(fed, len(data)):
+            out.append(member.decompress(data[i : i + 1]))
+    except zlib.error:
+        pass
+    return b"".join(out)
+
+
 def _inflates(data: bytes, at: int) -> bool:
     """Whether a member that starts here inflates to something that starts like a record."""
     try:
@@ -169,7 +201,12 @@ def _number(value: str | None) -> int | None:
 
 
 def rows_of(file: str, data: bytes) -> Iterator[tuple]:
-    """Rows of FIELDS from one archive. Offsets of compressed archives are those of the inflated content of a member."""
+    """Rows of FIELDS from one archive.
+
+    Offsets in compressed archives count the inflated content before, which is that
+    of the whole file if nothing is broken; those of broken members are places in the file.
+    """
+    before = 0
     members = inflated(data) if data[:2] == b"\x1f\x8b" or file.endswith(".gz") else [(0, len(data), data)]
     for start, size, content in members:
         if content is None:
@@ -177,13 +214,14 @@ def rows_of(file: str, data: bytes) -> Iterator[tuple]:
             continue
         for offset, length, reason, header, body in parse(content):
             if reason:
-                yield file, offset, length, "gap", reason, None, None, None, None, None, None, None
+                yield file, before + offset, length, "gap", reason, None, None, None, None, None, None, None
                 continue
             url = header.get("warc-target-uri")
             if url is not None:
                 url = url.replace("%00", "\x00").replace("%0A", "\n").replace("%0D", "\r").replace("%25", "%")
             size_of = header.get("x-payload-length", "")
-            yield file, offset, length, "record", None, _number(header.get("warc-record-id")), url, header.get("warc-type"), int(size_of) if size_of.isdigit() else len(body), header.get("warc-payload-digest", "").removeprefix("sha256:") or None, _number(header.get("warc-refers-to")), body
+            yield file, before + offset, length, "record", None, _number(header.get("warc-record-id")), url, header.get("warc-type"), int(size_of) if size_of.isdigit() else len(body), header.get("warc-payload-digest", "").removeprefix("sha256:") or None, _number(header.get("warc-refers-to")), body
+        before += len(content)
 
 
 def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:

@@ -50,6 +50,38 @@ def test_headers_without_end():
     assert ids(parts[0] + cut) == ([0], [(len(parts[0]), 100, "header without end")])
 
 
+@pytest.mark.parametrize("damage", ["zeroed", "deleted", "flipped"])
+@pytest.mark.parametrize("share", [0.1, 0.5, 0.9])
+def test_salvage_of_written_archives(archive, damage, share):
+    data, n = archive
+    assert ids(data, "x.gz") == (list(range(n)), []) and gzip.decompress(data).count(b"WARC/1.1\r\n") == n
+    at = int(len(data) * share)
+    middle = {"zeroed": bytes(100), "deleted": b"", "flipped": bytes([data[at] ^ 4]) + data[at + 1 : at + 100]}[damage]
+    found, gaps = ids(data[:at] + middle + data[at + 100 :], "x.gz")
+    assert len(found) >= n - 3 and found == sorted(set(found)) and {0, n - 1} <= set(found)
+    assert gaps or len(found) == n
+
+
+@pytest.fixture(scope="module")
+def archive(spark, tmp_path_factory):
+    path = tmp_path_factory.mktemp("archive") / "w"
+    html = F.concat(F.lit("<html>é"), *[F.sha2(F.concat("id", F.lit(f" {k}")), 256) for k in range(10)])
+    warc.write(spark.range(300).select(F.col("id").alias("page_id"), F.concat(F.lit("http://a/"), "id").alias("url"), html.alias("html")).coalesce(1).sortWithinPartitions("page_id"), str(path))
+    rows = sorted((r.offset, r.length) for r in warc.read(spark, str(path)).collect())
+    parts = sorted(path.glob("part-*"))
+    data = b"".join(p.read_bytes() for p in parts)
+    if len(parts) == 1:
+        assert [o for o, _ in rows] == [sum(n for _, n in rows[:i]) for i in range(len(rows))]
+    members = {ids(bytes(m), "x.gz")[0][0]: m for m in (data[a : a + n] for a, n, c in warc.inflated(data) if c)}
+    return b"".join(members[i] + warc.EMPTY for i in sorted(members)), 300
+
+
+def test_what_inflated_before_an_error_stays():
+    data = bytearray(gzip.compress(b"".join(record(i, hashlib.sha256(b"%d" % i).hexdigest().encode() * 4) for i in range(150))))
+    data[len(data) // 2 : len(data) // 2 + 100] = bytes(100)  # one member of less than a piece
+    assert len(data) < 65536 and set(range(60)) <= set(ids(bytes(data), "x.gz")[0])
+
+
 def record(n, body):
     head = f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{n}>\r\nWARC-Payload-Digest: sha256:{hashlib.sha256(body).hexdigest()}\r\nContent-Length: {len(body)}\r\n\r\n"
     return head.encode() + body + b"\r\n\r\n"
