@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from pagemart.functions.urls import normalize_url
 
+#: Characters of the pieces by which containing texts are looked up.
+GRAM = 12
+
 
 def first_match(nodes: DataFrame, condition: Column, order: str = "ord") -> DataFrame:
     """The first node in insertion order that a condition holds for."""
@@ -57,15 +60,49 @@ def resolve_strict(records: DataFrame, loaded: DataFrame, key: str, urls: str, u
     return complete, records.join(complete, key, "left_anti")
 
 
-def first_containing(requests: DataFrame, nodes: DataFrame, request_id: str, wanted: str, url: str, order: str, group: str) -> DataFrame:
+def _pieces(chars: str, size: int, piece) -> Column:
+    """An array column of piece(list of characters) for each run of so many characters of an array column."""
+    n = F.size(chars) - size + 1
+    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: piece([F.get(F.col(chars), i + k) for k in range(size)])))
+
+
+def first_containing(requests: DataFrame, nodes: DataFrame, request_id: str, wanted: str, url: str, order: str, group: str | None = None) -> DataFrame:
     """For each request the first node, in order, whose path and query contain the wanted ones.
 
-    Requests and nodes carry a group (the host), so only a host's own pages are
-    compared, not all with all.
+    All nodes are searched, whatever their host, and a wanted url may be relative;
+    with a group (a column of both) only the nodes of the request's own group.
+    Requests without a match are left out. Null and empty wanted urls are
+    contained in every node.
+
+    An equal node comes second to an earlier one that contains more, so equality
+    is no case of its own. Wanted texts of at most GRAM characters are looked up
+    among the nodes' pieces of that length; longer ones by their rarest piece of
+    GRAM characters, and what is found so is compared.
     """
-    a = requests.select(request_id, F.col(group).alias("_group"), normalize_url(F.col(wanted)).alias("_wanted"))
-    b = nodes.select(F.col(group).alias("_g2"), normalize_url(F.col(url)).alias("_have"), F.col(url).alias("found"), F.col(order).alias("_ord"))
-    return a.join(b, (F.col("_group") == F.col("_g2")) & F.contains("_have", "_wanted")).groupBy(request_id).agg(F.min_by("found", "_ord").alias("found"), F.min("_ord").alias("found_ord"))
+    of = F.lit("") if group is None else F.col(group)
+    a = requests.select(request_id, of.alias("_group"), normalize_url(F.col(wanted)).alias("_wanted")).where(F.col("_group").isNotNull())
+    b = nodes.select(of.alias("_g2"), normalize_url(F.col(url)).alias("_have"), F.struct(F.col(order).alias("_ord"), F.col(url).alias("found")).alias("_node")).where(F.col("_g2").isNotNull())
+    # Equal texts are searched once.
+    asked = a.select("_group", "_wanted").distinct()
+    b = b.groupBy("_g2", "_have").agg(F.min_by("_node", "_node._ord").alias("_node")).withColumn("_c", F.split("_have", ""))
+    b = b.withColumn("_c", F.when(F.col("_have") == "", F.array().cast("array<string>")).otherwise(F.col("_c")))
+
+    def hashes(chars: str, of_group: str) -> Column:
+        return F.explode(F.array_distinct(_pieces(chars, GRAM, lambda c: F.xxhash64(of_group, *c)))).alias("_gram")
+
+    posted = b.select("_g2", "_have", "_node", hashes("_c", "_g2"))
+    common = posted.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
+    grams = asked.where(F.length("_wanted") > GRAM).withColumn("_w", F.split("_wanted", "")).select("_group", "_wanted", hashes("_w", "_group"))
+    rarest = grams.join(common, "_gram").groupBy("_group", "_wanted").agg(F.min_by("_gram", "_n").alias("_gram"))
+    found = rarest.join(posted, "_gram").where((F.col("_group") == F.col("_g2")) & F.contains("_have", "_wanted")).select("_group", "_wanted", "_node")
+
+    lengths = asked.select(F.length("_wanted").alias("m")).where(F.col("m") <= GRAM).distinct().collect()  # GRAM + 1 rows at most
+    for m in sorted(r["m"] for r in lengths):
+        pieces = _pieces("_c", m, lambda c: F.concat(*c)) if m else F.array(F.lit(""))
+        short = b.select("_g2", "_node", F.explode(F.array_distinct(pieces)).alias("_piece")).groupBy("_g2", "_piece").agg(F.min_by("_node", "_node._ord").alias("_node"))
+        found = found.unionByName(asked.join(short, (F.col("_group") == F.col("_g2")) & (F.col("_wanted") == F.col("_piece"))).select("_group", "_wanted", "_node"))
+    first = found.groupBy("_group", "_wanted").agg(F.min_by("_node", "_node._ord").alias("_node"))
+    return a.join(first, ["_group", "_wanted"]).groupBy(request_id).agg(F.min_by("_node.found", "_node._ord").alias("found"), F.min("_node._ord").alias("found_ord"))
 
 
 def parent_value(children: DataFrame, edges: DataFrame, loaded: DataFrame, value: str) -> DataFrame:

@@ -172,3 +172,18 @@ def test_redline(spark):
     marked = documents.marked_chars(chars, rects)
     assert [r.mark for r in marked.orderBy("ord").collect()] == ["underline", "underline", None, "strike", "strike"]
     assert rows(documents.marked_lines(marked), "text") == [("_ab_ ~cd~",)]
+
+
+def test_first_containing_over_all_hosts(spark):
+    have = ["https://a.org/Bills/Detail?id=HB1001&s=2021R", "https://b.org/x/Bills/Detail?id=HB1001&s=2021R&p=2", "https://b.org/Bills/Detail?id=HB1001&s=2021R", "https://c.org/", "https://c.org/é/Bills/Detail?id=😀", None, "https://a.org/Bills/Detail?id=HB1001&s=2021R"]
+    nodes = [(n, u, (u or "//").split("/")[2] or None) for n, u in zip((5, 2, 1, 4, 3, 6, 7), have, strict=True)]
+    asked = ["/Bills/Detail?id=HB1001&s=2021R", "https://a.org/Bills/Detail?id=HB1001", "/x/Bills/Detail?id=HB1001&s=2021R&p=2", "/é/Bills/Detail?id=%F0%9F%98%80", "/Bills/Detail?id=none", "/", "/e?", None, "", "/Bills/Detail"]
+    requests = spark.createDataFrame(list(enumerate(asked)), "n long, wanted string").withColumn("host", F.lit("b.org"))
+    nodes = spark.createDataFrame(nodes, "ord long, url string, host string")
+    got = {r.n: (r.found_ord, r.found) for r in resolve.first_containing(requests, nodes, "n", "wanted", "url", "ord").collect()}
+    key = lambda df, c: [r[0] for r in df.select(resolve.normalize_url(F.col(c))).collect()]
+    rows = sorted((r.ord, r.url, k) for r, k in zip(nodes.collect(), key(nodes, "url"), strict=True))
+    brute = {n: next((o, u) for o, u, k in rows if w in k) for n, w in enumerate(key(requests, "wanted")) if any(w in k for _, _, k in rows)}
+    assert got == brute and got[0][0] == 1 and got[2][0] == 2 and got[3][0] == 3 and 4 not in got and got[7][0] == 1
+    own = {r.n: r.found_ord for r in resolve.first_containing(requests.where("n in (0, 2, 3)"), nodes, "n", "wanted", "url", "ord", "host").collect()}
+    assert own == {0: 1, 2: 2}
