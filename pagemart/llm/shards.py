@@ -128,8 +128,13 @@ class ShardedTable:
                 tiers.setdefault(t, []).append(shard)
         return [run for _, run in sorted(tiers.items()) if len(run) >= self.few or len(run) > 1 and sum(s.bytes for s in run) >= self.target]
 
-    def compact(self) -> int:
-        """Merges until no tier is due; returns the last version."""
+    def compact(self, keep: int | None = 1) -> int:
+        """Merges until no tier is due; returns the last version.
+
+        After a merge only the newest `keep` versions can be read, all of them if it is
+        None. By default that is the last one: earlier ones, and lazy reads that began on
+        them, lose their shards.
+        """
         while True:
             version, there, schema = self.manifest()
             runs = self.due(there)
@@ -142,7 +147,8 @@ class ShardedTable:
                 if not gone <= {s.path for s in there}:
                     break  # another compaction merged some of them; ours is dropped
             else:
-                self.expire()
+                if keep is not None:
+                    self.expire(keep)
 
     def _merge(self, run: list[Shard], schema: StructType) -> list[Shard]:
         n = max(1, round(sum(s.bytes for s in run) / self.target))

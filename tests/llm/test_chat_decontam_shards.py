@@ -105,6 +105,19 @@ def test_tiers_and_versions(spark):
     assert table.versions() == [last] and kept
 
 
+@pytest.mark.parametrize("keep", [None, 2])
+def test_versions_outlive_a_compaction(spark, keep):
+    table = shards.ShardedTable(spark, fresh_path(spark, "t"), target=60_000, few=3)
+    for i in range(4):
+        table.append(spark.range(i * 10, i * 10 + 10).coalesce(1))
+    lazy = table.read(4)
+    last = table.compact(keep)
+    assert last > 4 and sorted(table.versions()) == list(range(1 if keep is None else last - 1, last + 1))
+    for version in table.versions():
+        assert table.read(version).count() == min(version, 4) * 10
+    assert last > 5 or sorted(r.id for r in lazy.collect()) == list(range(40))
+
+
 def test_commits_do_not_overwrite(spark):
     table = shards.ShardedTable(spark, fresh_path(spark, "t"))
     table.append(spark.range(3).toDF("a"))
