@@ -10,19 +10,28 @@ a byte is rewritten about once per tier.
 
 A commit writes the manifest under a temporary name and renames it to its
 version's name without overwriting; who comes second fails, reads the new
-version and tries again. What a failed job has written is in no manifest. Merges
-read whole shards without a shuffle. Nothing but file names and sizes is on the
-driver.
-
-Cases: no rows make no shards; null values, repeated rows and any columns are
-kept; a version has the columns of all its arrivals, and shards are read with
-nulls for those they lack; a column that comes back with another type is refused.
+version and tries again. A version's name is never free again: an expired
+version's manifest is overwritten by a tombstone, so a writer that read it long
+ago cannot commit behind the versions that came since. (The store has to rename
+without overwriting as one step, as HDFS does; where it does not, a commit that
+finds a later version after its rename takes itself back.) What a failed job has
+written is in no manifest until sweep() removes it. Merges read whole shards
+without a shuffle. Nothing but file names and sizes is on the driver.
+
+Versions stay readable, by lazy reads too, until expire() is called, which says
+how many are kept and for how long a version stays after it was superseded.
+
+Cases: no rows make no shards; null values, empty and very long texts, repeated
+rows and any columns are kept; a version has the columns of all its arrivals, and
+shards are read with nulls for those they lack; a column that comes back with
+another type, or with another spelling of upper and lower case, is refused.
 """
 
 from __future__ import annotations
 
 import json
 import math
+import time
 import uuid
 from dataclasses import asdict, dataclass
 
@@ -53,8 +62,16 @@ class ShardedTable:
         files, at = self._hadoop(path)
         return sorted((s.getPath().getName(), s.getLen()) for s in files.listStatus(at)) if files.exists(at) else []
 
+    def _names(self) -> dict[int, tuple[int, int]]:
+        """Every version that was ever committed -> (bytes, time of writing in ms); expired ones have a tombstone of no bytes."""
+        files, at = self._hadoop(f"{self.path}/manifests")
+        found = files.listStatus(at) if files.exists(at) else []
+        found = [(s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in found]
+        return {int(name[1:-5]): (size, when) for name, size, when in found if name.startswith("v") and name.endswith(".json")}
+
     def versions(self) -> list[int]:
-        return [int(name[1:-5]) for name, _ in self._list(f"{self.path}/manifests") if name.startswith("v") and name.endswith(".json")]
+        """The versions that can be read."""
+        return sorted(v for v, (size, _) in self._names().items() if size)
 
     def shards(self, version: int | None = None) -> tuple[int, list[Shard]]:
         """(version, its shards); the newest version if none is given, 0 if there is none."""
@@ -62,37 +79,60 @@ class ShardedTable:
 
     def manifest(self, version: int | None = None) -> tuple[int, list[Shard], StructType]:
         """(version, its shards, its columns)."""
-        version = max(self.versions(), default=0) if version is None else version
-        if not version:
-            return 0, [], StructType()
-        files, at = self._hadoop(self._manifest(version))
+        while True:
+            wanted = max(self.versions(), default=0) if version is None else version
+            if not wanted:
+                return 0, [], StructType()
+            text = self._text(self._manifest(wanted))
+            if text:
+                found = json.loads(text)
+                return wanted, [Shard(**s) for s in found["shards"]], StructType.fromJson(found["schema"])
+            if version is not None:
+                raise LookupError(f"version {version} of {self.path} has expired")
+            # The newest version was superseded and expired since it was listed: list again.
+
+    def _text(self, path: str) -> str:
+        files, at = self._hadoop(path)
         stream = files.open(at)
         try:
-            text = self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
-        found = json.loads(text)
-        return version, [Shard(**s) for s in found["shards"]], StructType.fromJson(found["schema"])
 
     def _manifest(self, version: int) -> str:
         return f"{self.path}/manifests/v{version:012d}.json"
 
-    def commit(self, based_on: int, shards: list[Shard], schema: StructType) -> bool:
-        """Makes shards the version after based_on; False if another writer was first."""
-        waiting = f"{self.path}/manifests/.{uuid.uuid4().hex}"
-        files, at = self._hadoop(waiting)
+    def _put(self, path: str, text: str, overwrite: bool) -> None:
+        """Writes a file under another name and renames it; without overwrite, an existing one is an error."""
+        files, at = self._hadoop(f"{self.path}/manifests/.{uuid.uuid4().hex}")
         stream = files.create(at, False)
-        stream.write(json.dumps({"version": based_on + 1, "shards": [asdict(s) for s in shards], "schema": schema.jsonValue()}).encode())
+        stream.write(text.encode())
         stream.close()
         context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(at.toUri(), self._conf)
-        no_overwrite = self.spark.sparkContext._gateway.new_array(self._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        rename = self._jvm.org.apache.hadoop.fs.Options.Rename
+        how = self.spark.sparkContext._gateway.new_array(rename, 1 if overwrite else 0)
+        if overwrite:
+            how[0] = rename.OVERWRITE
         try:
-            context.rename(context.makeQualified(at), context.makeQualified(self._jvm.org.apache.hadoop.fs.Path(self._manifest(based_on + 1))), no_overwrite)
+            context.rename(context.makeQualified(at), context.makeQualified(self._jvm.org.apache.hadoop.fs.Path(path)), how)
         except Exception:
             files.delete(at, False)
-            if based_on + 1 in self.versions():
+            raise
+
+    def commit(self, based_on: int, shards: list[Shard], schema: StructType) -> bool:
+        """Makes shards the version after based_on; False if another writer was first."""
+        mine, name = based_on + 1, self._manifest(based_on + 1)
+        if max(self._names(), default=0) >= mine:
+            return False
+        try:
+            self._put(name, json.dumps({"version": mine, "shards": [asdict(s) for s in shards], "schema": schema.jsonValue()}), False)
+        except Exception:
+            if mine in self._names():
                 return False
             raise
+        if max(self._names()) > mine:
+            self._put(name, "", True)
+            return False
         return True
 
     def _write(self, df: DataFrame) -> list[Shard]:
@@ -103,17 +143,29 @@ class ShardedTable:
 
     def append(self, df: DataFrame) -> int:
         """Adds an arrival; returns the version that has it."""
+        self._columns(self.manifest()[2], df.schema)  # before anything is written
         new = self._write(df)
         while True:
             version, there, schema = self.manifest()
-            known = {f.name: f for f in schema}
-            for field in df.schema:
-                if field.name in known and field.dataType != known[field.name].dataType:
-                    raise ValueError(f"{field.name} is {known[field.name].dataType.simpleString()} here, not {field.dataType.simpleString()}")
-            both = StructType([*schema, *(f for f in df.schema if f.name not in known)])
-            if self.commit(version, there + new, both):
+            if self.commit(version, there + new, self._columns(schema, df.schema)):
                 return version + 1
 
+    @staticmethod
+    def _columns(schema: StructType, arriving: StructType) -> StructType:
+        """The columns of both; a ValueError if they do not go together."""
+        known = {f.name.lower(): f for f in schema}
+        fresh = []
+        for field in arriving:
+            same = known.get(field.name.lower())
+            if same is None:
+                known[field.name.lower()] = field
+                fresh.append(field)
+            elif field.name != same.name or field in fresh:
+                raise ValueError(f"{field.name} is written {same.name} here")
+            elif field.dataType != same.dataType:
+                raise ValueError(f"{field.name} is {same.dataType.simpleString()} here, not {field.dataType.simpleString()}")
+        return StructType([*schema, *fresh])
+
     def tier(self, shard: Shard) -> int:
         """0 for a size of about the target, one more for each growth-th part of it."""
         if 2 * shard.bytes > self.target:
@@ -128,13 +180,8 @@ class ShardedTable:
                 tiers.setdefault(t, []).append(shard)
         return [run for _, run in sorted(tiers.items()) if len(run) >= self.few or len(run) > 1 and sum(s.bytes for s in run) >= self.target]
 
-    def compact(self, keep: int | None = 1) -> int:
-        """Merges until no tier is due; returns the last version.
-
-        After a merge only the newest `keep` versions can be read, all of them if it is
-        None. By default that is the last one: earlier ones, and lazy reads that began on
-        them, lose their shards.
-        """
+    def compact(self) -> int:
+        """Merges until no tier is due; returns the last version. Earlier versions stay until expire()."""
         while True:
             version, there, schema = self.manifest()
             runs = self.due(there)
@@ -146,9 +193,6 @@ class ShardedTable:
                 version, there, schema = self.manifest()
                 if not gone <= {s.path for s in there}:
                     break  # another compaction merged some of them; ours is dropped
-            else:
-                if keep is not None:
-                    self.expire(keep)
 
     def _merge(self, run: list[Shard], schema: StructType) -> list[Shard]:
         n = max(1, round(sum(s.bytes for s in run) / self.target))
@@ -162,15 +206,42 @@ class ShardedTable:
         _, there, schema = self.manifest(version)
         return self._read(there, schema) if there else None
 
-    def expire(self, keep: int = 1) -> None:
-        """Removes manifests but the newest `keep`, and shards that only those listed."""
-        versions = sorted(self.versions())
-        old, kept = versions[:-keep], versions[-keep:]
-        needed = {s.path for v in kept for s in self.shards(v)[1]}
+    def expire(self, keep: int = 1, min_age: float = 3600.0) -> list[int]:
+        """Gives up versions but the newest `keep` and those superseded less than min_age seconds ago; returns them.
+
+        Their manifests become tombstones first, then the shards that only they
+        list are removed. min_age is the time that a reader may take that began
+        on a version when it was the newest.
+        """
+        names = self._names()
+        versions = sorted(v for v, (size, _) in names.items() if size)
+        follows = dict(zip(sorted(names), sorted(names)[1:], strict=False))
+        now = time.time() * 1000
+        old = [v for v in versions[: -max(keep, 1)] if now - names[follows[v]][1] >= min_age * 1000]
+        needed = {s.path for v in versions if v not in old for s in self.shards(v)[1]}
         listed = {s.path for v in old for s in self.shards(v)[1]}
-        for path in [f"{self.path}/{p}" for p in listed - needed] + [self._manifest(v) for v in old]:
-            files, at = self._hadoop(path)
+        for v in old:
+            self._put(self._manifest(v), "", True)
+        for path in listed - needed:
+            files, at = self._hadoop(f"{self.path}/{path}")
             files.delete(at, False)
+        return old
+
+    def sweep(self, min_age: float = 86400.0) -> int:
+        """Removes what no readable version lists and is older than min_age seconds: left by failed
+        jobs and dropped compactions. Returns the number of files. min_age is the time that a writer
+        may take from its first file to its commit.
+        """
+        before = time.time() * 1000 - min_age * 1000
+        needed = {s.path for v in self.versions() for s in self.shards(v)[1]}
+        files, at = self._hadoop(f"{self.path}/data")
+        removed = 0
+        for folder in files.listStatus(at) if files.exists(at) else []:
+            for file in files.listStatus(folder.getPath()):
+                name = f"data/{folder.getPath().getName()}/{file.getPath().getName()}"
+                if file.getPath().getName().startswith("part-") and name not in needed and file.getModificationTime() <= before:
+                    removed += bool(files.delete(file.getPath(), False))
+        return removed
 
 
 def arrivals(spark: SparkSession, path: str, most: int = 8) -> list[DataFrame]:

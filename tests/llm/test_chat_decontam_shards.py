@@ -101,21 +101,65 @@ def test_tiers_and_versions(spark):
     assert len(after) < 8 and last > 8 and not table.due(after)
     assert any(2 * s.bytes > table.target for s in after)
     assert sorted(r.id for r in table.read().collect()) == list(range(4000))
-    kept = {s.path.split("/")[-1] for s in after}
-    assert table.versions() == [last] and kept
+    assert table.versions() == list(range(1, last + 1))
+    assert table.expire(keep=1, min_age=3600) == [] and table.expire(keep=1, min_age=0) == list(range(1, last))
+    assert table.versions() == [last] and sorted(r.id for r in table.read().collect()) == list(range(4000))
+    with pytest.raises(LookupError):
+        table.read(last - 1)
 
 
-@pytest.mark.parametrize("keep", [None, 2])
-def test_versions_outlive_a_compaction(spark, keep):
+def test_versions_outlive_a_compaction(spark):
     table = shards.ShardedTable(spark, fresh_path(spark, "t"), target=60_000, few=3)
     for i in range(4):
         table.append(spark.range(i * 10, i * 10 + 10).coalesce(1))
     lazy = table.read(4)
-    last = table.compact(keep)
-    assert last > 4 and sorted(table.versions()) == list(range(1 if keep is None else last - 1, last + 1))
+    last = table.compact()
+    assert last > 4 and table.versions() == list(range(1, last + 1))
     for version in table.versions():
         assert table.read(version).count() == min(version, 4) * 10
-    assert last > 5 or sorted(r.id for r in lazy.collect()) == list(range(40))
+    assert sorted(r.id for r in lazy.collect()) == list(range(40))
+    assert table.expire(keep=2, min_age=0) == list(range(1, last - 1)) and table.versions() == [last - 1, last]
+
+
+def test_stale_writer_is_refused(spark):
+    path = fresh_path(spark, "t")
+    a, b = (shards.ShardedTable(spark, path, target=60_000, few=3) for _ in range(2))
+    for i in range(4):
+        a.append(spark.range(i * 10, i * 10 + 10).coalesce(1))
+    version, there, schema = a.manifest()
+    new = a._write(spark.range(100, 110).coalesce(1))
+    b.append(spark.range(40, 50).coalesce(1))
+    last = b.compact()
+    b.expire(keep=1, min_age=0)
+    assert last > version + 1 and b.versions() == [last]
+    # The name that A wants is taken by a tombstone, and so are all older ones.
+    assert not a.commit(version, there + new, schema) and not any(a.commit(v, [], schema) for v in range(last))
+    # A store that let A rename all the same: A finds the later version and takes itself back.
+    files, at = a._hadoop(a._manifest(version + 1))
+    files.delete(at, False)
+    listed, calls = a._names, []
+    a._names = lambda: listed() if calls.append(1) or len(calls) > 1 else {version: (1, 0)}
+    assert not a.commit(version, there + new, schema)
+    assert b.versions() == [last] and sorted(r.id for r in b.read().collect()) == list(range(50))
+    del a._names
+    # append() tries again on what is there now.
+    seen = a.manifest
+    stale = [(version, there, schema)]
+    a.manifest = lambda v=None: stale.pop() if stale and len(calls) else seen(v)
+    stale.append((version, there, schema))
+    assert a.append(spark.range(100, 110).coalesce(1)) == last + 1
+    assert sorted(r.id for r in b.read().collect()) == [*range(50), *range(100, 110)]
+    assert b.sweep(min_age=3600) == 0 and b.sweep(min_age=0) == 1  # what A wrote by hand
+    assert b.read().count() == 60
+
+
+def test_arrivals_that_do_not_go_together(spark):
+    table = shards.ShardedTable(spark, fresh_path(spark, "t"))
+    table.append(spark.range(3).toDF("a"))
+    for schema in ("A long", "a string"):
+        with pytest.raises(ValueError):
+            table.append(spark.createDataFrame([], schema))
+    assert table.versions() == [1] and table.read().count() == 3
 
 
 def test_commits_do_not_overwrite(spark):
