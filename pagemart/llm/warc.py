@@ -7,18 +7,22 @@ archive each record is a member of its own, so damage costs the records that it
 touches and no later ones. Spark's text writer writes the members, as it writes
 any bytes of a string, anywhere Spark can write and with its commits; its line
 separator is then an empty member. Without compression, records end in two empty
-lines, which is the separator.
+lines, which is the separator. Rows are written by classes of size, each with as
+many records to a file as keep it within FILE_BYTES.
 
 Reading: a record is accepted if its version line, its header, its length, the
-separator behind it and its digest are right. After a failed check the reader
-looks for the next version line (in a compressed archive, first for the next
-member that inflates), goes on there, and logs the bytes between as a quarantined
-gap, so later records survive damage to earlier ones.
+separator behind it, the length of its payload and its digest are right. A
+record whose header and length hold but whose payload does not is skipped whole,
+so that nothing inside a damaged payload is taken for a record. After any other
+failed check the reader looks for the next version line (in a compressed archive,
+first for the next member that inflates), goes on there, and logs the bytes
+between as a quarantined gap, so later records survive damage to earlier ones.
 
 Cases: null html is an empty payload; null urls and ids are left out of the header
-and read back as null; control characters and % in urls are percent-encoded and
-decoded again; rows that repeat the smallest page_id of equal payloads are all
-responses; no rows give an archive without records.
+and read back as null, as are ids that are no 64-bit numbers; control characters
+and % in urls are percent-encoded and decoded again; rows that repeat the smallest
+page_id of equal payloads are all responses; further columns of the input, whatever
+their names, are not written; no rows give an archive without records.
 """
 
 from __future__ import annotations
@@ -33,13 +37,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagemart.llm.shared import SMALL, join_hot, stored
+
 VERSION, BREAK = "WARC/1.1", "\r\n\r\n"
 #: A gzip member of no content.
 EMPTY = gzip.compress(b"", mtime=0)
 LEAST = 100
-#: Rows of an archive file at most; a file is read as one piece.
-FILE_RECORDS = 4000
-FIELDS = "file string, offset long, length long, kind string, reason string, page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary"
+#: Bytes of payload of an archive file at most (a larger record has a file of its own); a file is read as one piece.
+FILE_BYTES = 256 << 20
+#: Largest payload of each class of sizes but the last, which has no bound.
+CLASSES = (1 << 16, 1 << 20, 1 << 24)
+FIELDS = "file string, offset long, length long, inner_offset long, kind string, reason string, page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary"
 
 
 def _line(name: str, value: Column) -> Column:
@@ -48,12 +56,24 @@ def _line(name: str, value: Column) -> Column:
 
 
 def records(pages: DataFrame, least: int = LEAST) -> DataFrame:
-    """(value) the records as text, from (page_id, url, html)."""
+    """(value, size) the records as text, from (page_id, url, html), and the bytes of the whole payload.
+
+    Pages are hashed once for groups of equal payloads. Groups of more than one
+    are joined back: broadcast if they are few, otherwise by a shuffle from which
+    pages too short for a group, and groups of a large share of all pages, are kept out.
+    """
     html = F.coalesce("html", F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", html.alias("html"), F.octet_length(html).cast("long").alias("size"), F.sha2(html, 256).alias("digest"))
+    long = rows.where(F.col("size") >= least)
     # Partly aggregated before the shuffle, so an often repeated payload is a row for each task.
-    alike = rows.where(F.col("size") >= least).groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    rows = rows.join(alike, "digest", "left")
+    alike = stored(long.groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n")).where("n > 1"), "alike")
+    groups, members = alike.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    if groups <= SMALL:
+        rows = rows.join(F.broadcast(alike.select("digest", "first_id")), "digest", "left")
+    else:
+        single = F.lit(None).cast("long")
+        unlike = rows.where(F.col("size") < least).withColumn("first_id", single).unionByName(long.join(alike.select("digest"), "digest", "left_anti").withColumn("first_id", single))
+        rows = unlike.unionByName(join_hot(long, alike, "digest", "n", members).drop("n"))
     revisit = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     body = F.when(revisit, "").otherwise(F.col("html"))
     encoded = F.replace(F.replace(F.replace(F.replace("url", F.lit("%"), F.lit("%25")), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A")), F.lit("\x00"), F.lit("%00"))
@@ -68,16 +88,27 @@ def records(pages: DataFrame, least: int = LEAST) -> DataFrame:
         _line("Content-Length", F.octet_length(body)),
         F.lit(BREAK),
     )
-    return rows.select(F.concat(head, body).alias("value"))
+    return rows.select(F.concat(head, body).alias("value"), "size")
 
 
 def write(pages: DataFrame, path: str, least: int = LEAST, compression: str = "gzip") -> None:
-    """Writes archives of pages (page_id, url, html) into path, each a file of bounded size."""
-    rows, separator, encoding = records(pages, least), BREAK, "UTF-8"
-    if compression == "gzip":
-        rows = rows.select(F.col("value").cast("binary").alias("value")).mapInArrow(_members, "value binary").select(F.col("value").cast("string").alias("value"))
-        separator, encoding, compression = EMPTY.decode("latin-1"), "ISO-8859-1", "none"
-    rows.write.option("lineSep", separator).option("encoding", encoding).option("compression", compression).option("maxRecordsPerFile", FILE_RECORDS).text(path)
+    """Writes archives of pages (page_id, url, html) into folders under path, one for each class of sizes there is."""
+    found = records(pages, least)
+    # From the pages themselves, as that reads no more than lengths.
+    size = F.coalesce(F.octet_length("html").cast("long"), F.lit(0))
+    number = sum((F.when(size > bound, 1).otherwise(0) for bound in CLASSES), F.lit(0))
+    classes = {r["c"]: r["most"] for r in pages.groupBy(number.alias("c")).agg(F.max(size).alias("most")).collect()} or {0: 0}
+    for c, most in sorted(classes.items()):
+        rows, separator, encoding, how = found, BREAK, "UTF-8", compression
+        if len(classes) > 1:
+            lower, upper = (CLASSES[c - 1] if c else -1), (CLASSES[c] if c < len(CLASSES) else None)
+            rows = rows.where(F.col("size") > lower) if upper is None else rows.where((F.col("size") > lower) & (F.col("size") <= upper))
+        rows = rows.select("value")
+        if compression == "gzip":
+            rows = rows.select(F.col("value").cast("binary").alias("value")).mapInArrow(_members, "value binary").select(F.col("value").cast("string").alias("value"))
+            separator, encoding, how = EMPTY.decode("latin-1"), "ISO-8859-1", "none"
+        per_file = max(1, FILE_BYTES // max(most, CLASSES[0]))
+        rows.write.option("lineSep", separator).option("encoding", encoding).option("compression", how).option("maxRecordsPerFile", per_file).text(f"{path}/size-{c}")
 
 
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,6 +188,9 @@ def parse(data: bytes) -> Iterator[tuple[int, int, str, dict, bytes]]:
             continue
         if gap is None:
             gap, why = at, reason
+        if end > at:  # its own length is right: what is inside is no record
+            at = end
+            continue
         following = data.find(b"WARC/", at + 1)
         at = len(data) if following < 0 else following
     if gap is not None:
@@ -167,6 +201,7 @@ def check(data: bytes, at: int, stop: int) -> tuple[str, int, dict, bytes]:
     """(reason, end, header, payload) of a record that should begin at `at`; stop is where the next empty line begins, or -1.
 
     A header may have any length, but a line without a colon, such as a version line, or a field named twice is none of its own.
+    With a reason, an end behind `at` is that of a record that is whole but for its payload.
     """
     if not re.compile(rb"WARC/1\.[01]\r\n").match(data, at):
         return "no version line", at, {}, b""
@@ -183,51 +218,66 @@ def check(data: bytes, at: int, stop: int) -> tuple[str, int, dict, bytes]:
         if field in header and field != "warc-concurrent-to":
             return "header runs into another", at, {}, b""
         header[field] = value.strip().decode("utf-8", "replace")
-    length = header.get("content-length", "")
-    if not length.isascii() or not length.isdigit():
+    length = _whole(header.get("content-length"))
+    if length is None:
         return "no content length", at, {}, b""
-    first, last = stop + 4, stop + 4 + int(length)
+    first, last = stop + 4, stop + 4 + length
     if data[last : last + 4] != b"\r\n\r\n":
         return "wrong content length", at, {}, b""
     body, digest = data[first:last], header.get("warc-payload-digest", "")
-    if header.get("warc-type") != "revisit" and digest.startswith("sha256:") and hashlib.sha256(body).hexdigest() != digest[7:]:
-        return "wrong digest", at, {}, b""
+    if header.get("warc-type") != "revisit":
+        if "x-payload-length" in header and _whole(header["x-payload-length"]) != length:
+            return "wrong payload length", at, {}, b""
+        if digest.startswith("sha256:") and hashlib.sha256(body).hexdigest() != digest[7:]:
+            return "wrong digest", last + 4, {}, b""
     return "", last + 4, header, body
 
 
+def _whole(value: str | None) -> int | None:
+    """A number of at most 18 ASCII digits."""
+    return int(value) if re.fullmatch("[0-9]{1,18}", value or "") else None
+
+
 def _number(value: str | None) -> int | None:
-    found = re.fullmatch(r"<urn:page:(-?\d+)>", value or "")
-    return int(found[1]) if found else None
+    found = re.fullmatch(r"<urn:page:(-?[0-9]{1,19})>", value or "")
+    number = int(found[1]) if found else None
+    return number if number is not None and -(1 << 63) <= number < 1 << 63 else None
 
 
 def rows_of(file: str, data: bytes) -> Iterator[tuple]:
     """Rows of FIELDS from one archive.
 
-    Offsets in compressed archives count the inflated content before, which is that
-    of the whole file if nothing is broken; those of broken members are places in the file.
+    offset and length are places in the file: in a compressed archive those of the
+    member, and inner_offset is the place in what it inflates to.
     """
-    before = 0
-    members = inflated(data) if data[:2] == b"\x1f\x8b" or file.endswith(".gz") else [(0, len(data), data)]
-    for start, size, content in members:
+    packed = data[:2] == b"\x1f\x8b" or file.endswith(".gz")
+    for start, size, content in inflated(data) if packed else [(0, len(data), data)]:
         if content is None:
-            yield file, start, size, "gap", "broken member", None, None, None, None, None, None, None
+            yield file, start, size, None, "gap", "broken member", None, None, None, None, None, None, None
             continue
-        for offset, length, reason, header, body in parse(content):
+        found = parse(content)
+        if packed and not size:
+            # Its checksum is not right, which covers headers too. Where members hold a record each, that is this one.
+            found = list(found)
+            if len(found) == 1:
+                continue
+        for offset, length, reason, header, body in found:
+            place = (start, size, offset) if packed else (offset, length, None)
             if reason:
-                yield file, before + offset, length, "gap", reason, None, None, None, None, None, None, None
+                yield file, *place, "gap", reason, None, None, None, None, None, None, None
                 continue
             url = header.get("warc-target-uri")
             if url is not None:
                 url = url.replace("%00", "\x00").replace("%0A", "\n").replace("%0D", "\r").replace("%25", "%")
-            size_of = header.get("x-payload-length", "")
-            yield file, before + offset, length, "record", None, _number(header.get("warc-record-id")), url, header.get("warc-type"), int(size_of) if size_of.isdigit() else len(body), header.get("warc-payload-digest", "").removeprefix("sha256:") or None, _number(header.get("warc-refers-to")), body
-        before += len(content)
+            kind = header.get("warc-type")
+            payload_bytes = _whole(header.get("x-payload-length")) if kind == "revisit" else len(body)
+            yield file, *place, "record", None, _number(header.get("warc-record-id")), url, kind, payload_bytes, header.get("warc-payload-digest", "").removeprefix("sha256:") or None, _number(header.get("warc-refers-to")), body
 
 
 def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
-    """FIELDS of all records (kind record) and quarantined gaps (kind gap) of the archives in path."""
+    """FIELDS of all records (kind record) and quarantined gaps (kind gap) of the archives in path and below it."""
     names = [f.split()[0] for f in FIELDS.split(", ")]
-    kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
+    kinds = [{"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}[f.split()[1]] for f in FIELDS.split(", ")]
 
     def salvage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(rows: list) -> pa.RecordBatch:
@@ -244,5 +294,5 @@ def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
                 if rows:
                     yield out(rows)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(path).select("path", "content")
     return files.mapInArrow(salvage, FIELDS)
