@@ -33,8 +33,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language."""
     prototypes = langid.train(table(spark, sf_dir, "documents"))
-    found = langid.predicted(F.col("text"), prototypes)
-    return docs.withColumn("_p", found).where((F.col("_p.lang_pred") != langid.UNKNOWN) & (F.col("_p.score") >= LEAST_COSINE)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return langid.keep_known(docs, prototypes, least=LEAST_COSINE)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

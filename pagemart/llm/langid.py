@@ -1,15 +1,19 @@
 """Language identification by hyperdimensional profiles.
 
-Each letter has a random vector of +1 and -1, derived from its code point. An
-n-gram's vector binds its letters' vectors by multiplication, each permuted
-(rotated) by its place from the end. A text's vector bundles (sums) those of all
-its n-grams, runs of anything but letters counting as one gap; a language's
-prototype bundles those of its training texts. A text gets the language whose
-prototype has the largest cosine with its vector.
+Each letter has a random vector of +1 and -1, drawn by a generator seeded with its
+code point (in lower case), so no two letters share one. An n-gram's vector binds
+its letters' vectors by multiplication, each permuted (rotated) by its place from
+the end. A text's vector bundles (sums) those of all its n-grams, runs of anything
+but letters counting as one gap; a language's prototype bundles those of its
+training texts. A text gets the language whose prototype has the largest cosine
+with its vector.
 
 Cases: null text and text without letters are "und" with score 0; no training
 rows make everything "und"; ties go to the language first in order; a null id is
-never held out and never learned from.
+never held out and never learned from; very long texts are read whole, their
+n-grams counted once; repeated rows are predicted each, and each is learned from;
+an input column named lang_pred or score is replaced, all others are kept,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -22,31 +26,30 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagemart.llm.shared import crc_mod, sampled
+from pagemart.llm.shared import crc_mod, free_name, quoted, sampled
 
-#: Length of the vectors, letters of an n-gram, training texts of a language.
-SIZE, N, TRAIN_TEXTS = 1024, 3, 2000
+#: Length of the vectors, letters of an n-gram, training texts of a language, seed of the letters.
+SIZE, N, TRAIN_TEXTS, SEED = 1024, 3, 2000, 20240229
 UNKNOWN = "und"
-#: Letters are told apart up to here and share vectors beyond.
-ALPHABET = 1 << 13
+#: Bits of a code point; three letters fit into a long.
+BITS = 21
 
 
 @lru_cache(maxsize=1)
 def _codes() -> np.ndarray:
-    """Code point -> 0 for what is no letter, else the letter's number in lower case."""
+    """Code point -> 0 for what is no letter, else the code point of its lower case."""
     table = np.zeros(0x110000, np.int32)
     for code in range(0x110000):
         char = chr(code)
         if char.isalpha():
-            low = char.lower()
-            table[code] = 1 + ord(low[0]) % (ALPHABET - 1)
+            table[code] = ord(char.lower()[0])
     return table
 
 
-@lru_cache(maxsize=1)
-def _letters() -> np.ndarray:
-    """The letters' vectors; the gap has one too."""
-    return np.random.default_rng(20240229).integers(0, 2, (ALPHABET, SIZE), np.int8) * np.int8(2) - np.int8(1)
+@lru_cache(maxsize=16_384)
+def letter(code: int) -> np.ndarray:
+    """The vector of a code point; 0 is the gap's."""
+    return np.random.default_rng((SEED, code)).integers(0, 2, SIZE, np.int8) * np.int8(2) - np.int8(1)
 
 
 def grams(text: str) -> tuple[np.ndarray, np.ndarray] | None:
@@ -60,7 +63,7 @@ def grams(text: str) -> tuple[np.ndarray, np.ndarray] | None:
         codes = np.concatenate([codes, np.zeros(N - len(codes), np.int64)])
     number = np.zeros(len(codes) - N + 1, np.int64)
     for i in range(N):
-        number = number * ALPHABET + codes[i : len(number) + i]
+        number = number << BITS | codes[i : len(number) + i]
     return np.unique(number, return_counts=True)
 
 
@@ -68,7 +71,8 @@ def bound(numbers: np.ndarray) -> np.ndarray:
     """The n-grams' vectors, a row each."""
     out = np.ones((len(numbers), SIZE), np.int8)
     for place in range(N):
-        out *= np.roll(_letters()[numbers // ALPHABET**place % ALPHABET], place, axis=1)
+        codes, at = np.unique(numbers >> BITS * place & (1 << BITS) - 1, return_inverse=True)
+        out *= np.roll(np.stack([letter(c) for c in codes.tolist()]), place, axis=1)[at]
     return out
 
 
@@ -160,4 +164,12 @@ def train(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def with_language(df: DataFrame, prototypes: dict[str, np.ndarray], text_col: str = "text") -> DataFrame:
     """df with lang_pred and score."""
-    return df.withColumn("_p", predicted(F.col(text_col), prototypes)).withColumns({"lang_pred": F.col("_p.lang_pred"), "score": F.col("_p.score")}).drop("_p")
+    found = free_name(df.columns, "found")
+    return df.withColumn(found, predicted(F.col(text_col), prototypes)).withColumns({"lang_pred": F.col(f"{found}.lang_pred"), "score": F.col(f"{found}.score")}).drop(found)
+
+
+def keep_known(df: DataFrame, prototypes: dict[str, np.ndarray], text_col: str = "text", least: float = 0.0) -> DataFrame:
+    """df's rows in a language that was learned, with a score of at least `least`; its columns only."""
+    found = free_name(df.columns, "found")
+    rows = df.withColumn(found, predicted(F.col(text_col), prototypes)).where((F.col(f"{found}.lang_pred") != UNKNOWN) & (F.col(f"{found}.score") >= least))
+    return rows.select(*[quoted(c) for c in df.columns])

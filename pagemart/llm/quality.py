@@ -6,10 +6,15 @@ response in a chunk is kept. A document has, for each filter, the largest and
 the mean of its chunks' values; a linear layer and a logistic function make one
 probability of them.
 
+Learning brings at most TRAIN_CHUNKS chunks of each of a bounded number of labelled
+texts to the driver, taken at even distances over the whole of longer texts.
+
 Cases: null and empty texts are one chunk of padding and get the score of that;
 texts of any length are scored whole; a null id is never held out and never
-learned from; without labelled rows of both kinds all scores are the share of
-label 1 (0.5 without any).
+learned from; an id with labels of both kinds counts as label 1; each row of a
+repeated id is learned from; without labelled rows of both kinds all scores are
+the share of label 1 (0.5 without any); an input column named score or predicted
+is replaced, all others are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,12 +27,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagemart.llm.shared import crc_mod, sampled
+from pagemart.llm.shared import crc_mod, sampled, stored
 
 #: Bytes of a chunk, of its overlap with the next, of a filter; numbers of a byte's embedding; filters.
 CHUNK, OVERLAP, WIDTH, EMBED, FILTERS = 512, 64, 8, 6, 24
 #: At most about this many rows of each label are learned from, in so many passes of so many rows a step.
 TRAIN_ROWS, PASSES, STEP_ROWS, RATE = 1200, 8, 16, 0.01
+#: Chunks of a text that are learned from at most.
+TRAIN_CHUNKS = 128
 #: Padding; UTF-8 never has this byte.
 PAD = 255
 
@@ -94,40 +101,52 @@ class Network:
         return [self.embed, self.filters, self.bias, self.out]
 
 
-def learn(texts: list[bytes], labels: np.ndarray, passes: int = PASSES) -> Network:
-    """Logistic loss by Adam. Gradients flow only through each filter's best place in a chunk."""
+def spread_chunks(data: bytes, most: int = TRAIN_CHUNKS) -> np.ndarray:
+    """The chunks of a text, or so many at even distances, the first and the last among them."""
+    chunks = chunks_of(data)
+    return np.ascontiguousarray(chunks if len(chunks) <= most else chunks[np.linspace(0, len(chunks) - 1, most).round().astype(int)])
+
+
+def gradients(net: Network, chunks: np.ndarray, sizes: np.ndarray, labels: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """The logistic loss's gradients for a step's texts (their chunks in a row, and how many each has), without
+    the linear layer's decay, and the texts' probabilities. They flow only through each filter's best place in a chunk.
+    """
+    starts = np.r_[0, np.cumsum(sizes)[:-1]]
+    pooled, places = net.pooled(chunks, True)
+    features = net.features(pooled, starts)
+    p = 1 / (1 + np.exp(-np.clip(features @ net.out + net.out_bias, -30, 30)))
+    error = ((p - labels) / len(sizes)).astype(np.float32)
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    top = (pooled == features[of][:, :FILTERS]).astype(np.float32)
+    top /= np.add.reduceat(top, starts)[of]  # equal chunks share
+    wanted = error[of][:, None] * (net.out[:FILTERS] * top + net.out[FILTERS:] / sizes[of][:, None])
+    wanted *= pooled > 0
+    c, f = np.nonzero(wanted)
+    g = wanted[c, f].astype(np.float32)
+    read = chunks[c[:, None], places[c, f][:, None] + np.arange(WIDTH)]
+    patch = net.embed[read].reshape(len(c), WIDTH * EMBED)
+    d_filters = np.zeros_like(net.filters.T)
+    np.add.at(d_filters, f, g[:, None] * patch)
+    d_embed = np.zeros_like(net.embed)
+    np.add.at(d_embed, read.ravel(), (g[:, None] * net.filters.T[f]).reshape(-1, EMBED))
+    d_embed[PAD] = 0
+    return [d_embed, d_filters.T, wanted.sum(axis=0), features.T @ error, np.array([error.sum()])], p
+
+
+def learn(texts: list[np.ndarray], labels: np.ndarray, passes: int = PASSES) -> Network:
+    """A network from texts' chunks and labels: logistic loss by Adam."""
     share = float(np.clip(labels.mean(), 0.001, 0.999)) if len(labels) else 0.5
     net = Network.fresh(share)
     if len(set(labels.tolist())) < 2:
         return net
     order, r, t = np.arange(len(texts)), np.random.default_rng(11), 0
     moments = [[np.zeros_like(p) for p in net.parameters()] + [np.zeros(1)] for _ in range(2)]
-    all_chunks = [chunks_of(x) for x in texts]
     for done in range(passes):
         r.shuffle(order)
         for i in range(0, len(order), STEP_ROWS):
             rows = order[i : i + STEP_ROWS]
-            chunks = np.concatenate([all_chunks[k] for k in rows])
-            sizes = np.array([len(all_chunks[k]) for k in rows])
-            starts = np.r_[0, np.cumsum(sizes)[:-1]]
-            pooled, places = net.pooled(chunks, True)
-            features = net.features(pooled, starts)
-            p = 1 / (1 + np.exp(-np.clip(features @ net.out + net.out_bias, -30, 30)))
-            error = ((p - labels[rows]) / len(rows)).astype(np.float32)
-            of = np.repeat(np.arange(len(rows)), sizes)
-            top = pooled == features[of][:, :FILTERS]
-            wanted = error[of][:, None] * (net.out[:FILTERS] * top + net.out[FILTERS:] / sizes[of][:, None])
-            wanted *= pooled > 0
-            c, f = np.nonzero(wanted)
-            g = wanted[c, f].astype(np.float32)
-            read = chunks[c[:, None], places[c, f][:, None] + np.arange(WIDTH)]
-            patch = net.embed[read].reshape(len(c), WIDTH * EMBED)
-            d_filters = np.zeros_like(net.filters.T)
-            np.add.at(d_filters, f, g[:, None] * patch)
-            d_embed = np.zeros_like(net.embed)
-            np.add.at(d_embed, read.ravel(), (g[:, None] * net.filters.T[f]).reshape(-1, EMBED))
-            d_embed[PAD] = 0
-            steps = [d_embed, d_filters.T, wanted.sum(axis=0), features.T @ error + 1e-4 * net.out, np.array([error.sum()])]
+            steps, _ = gradients(net, np.concatenate([texts[k] for k in rows]), np.array([len(texts[k]) for k in rows]), labels[rows])
+            steps[3] = steps[3] + 1e-4 * net.out
             t += 1
             rate = RATE * (1 - done / passes)
             for k, d in enumerate(steps):
@@ -147,14 +166,20 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     Rare labels then weigh too much, so the output is shifted back to the share
     that the labels have in all rows.
     """
-    known = labels.where(F.col(label_col).isin(0, 1) & (crc_mod(id_col, folds) != held_out)).groupBy(id_col).agg(F.max(label_col).alias("_label"))
-    counts = {r["_label"]: r["n"] for r in known.groupBy("_label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    few = sampled(known, id_col, "_label", rows)
-    # About 2 * rows ids: a bound that is known, so they can be broadcast.
-    found = documents.select(F.col(id_col), F.col(text_col).alias("_text")).join(F.broadcast(few), id_col).select("_text", "_label").collect()
-    found = sorted((r["_text"] or "", int(r["_label"])) for r in found)
+    known = labels.where(F.col(label_col).isin(0, 1) & (crc_mod(id_col, folds) != held_out)).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("label"))
+    counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    few = stored(sampled(known, "id", "label", rows), "learned")
+    small = few.count() <= 8 * rows + 100  # about 2 * rows ids; never broadcast without that count
+
+    def taken(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"chunks": [spread_chunks((t or "").encode()).tobytes() for t in batch["text"]], "label": batch["label"]})
+
+    texts = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(few) if small else few, "id")
+    found = texts.select("text", "label").mapInPandas(taken, "chunks binary, label int").collect()
+    found = sorted((bytes(r["chunks"]), int(r["label"])) for r in found)
     y = np.array([label for _, label in found], np.float32)
-    net = learn([text.encode() for text, _ in found], y)
+    net = learn([np.frombuffer(chunks, np.uint8).reshape(-1, CHUNK) for chunks, _ in found], y)
     if len(counts) == 2 and 0 < y.mean() < 1:
         net.out_bias += float(np.log(counts[1] / counts[0]) - np.log(y.mean() / (1 - y.mean())))
     return net

@@ -103,8 +103,9 @@ def sampled(rows: DataFrame, id_col: str, stratum: str, per_stratum: int) -> Dat
     A row stays if the hash of its id, as a fraction, is under per_stratum / size
     of its stratum; no group is gathered anywhere. For fitting models only.
     """
-    sizes = stored(rows.groupBy(stratum).agg((F.lit(float(per_stratum)) / F.count(F.lit(1))).alias("_share")), "sizes")
+    share = free_name(rows.columns, "share")
+    sizes = stored(rows.groupBy(stratum).agg((F.lit(float(per_stratum)) / F.count(F.lit(1))).alias(share)), "sizes")
     if sizes.count() <= SMALL:
         sizes = F.broadcast(sizes)
     fraction = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return rows.join(sizes, stratum).where(fraction < F.col("_share")).drop("_share")
+    return rows.join(sizes, stratum).where(fraction < F.col(share)).drop(share)
