@@ -72,6 +72,40 @@ def test_components_of_dense_values(spark, monkeypatch, long):
     assert got == dict(enumerate(brute_components(values)))
 
 
+def test_every_near_pair_is_in_a_list_and_its_tally_is_right():
+    masks = simhash._masks(3)
+    assert len(masks) == 14 and all(m.bit_count() == 32 for m in masks) and len(set(simhash._narrowed(masks))) == 56
+    r = random.Random(1)
+    pairs = []
+    for _ in range(400):
+        a = b = r.getrandbits(64)
+        for _ in range(r.randint(0, 12)):
+            b ^= 1 << r.randrange(64)
+        pairs.append((a, b))
+    found = simhash.tally(*(np.array(x, np.uint64) for x in zip(*pairs, strict=True)))
+    for (a, b), n in zip(pairs, found.tolist(), strict=True):
+        assert n == sum(a >> 8 * i & 255 == b >> 8 * i & 255 for i in range(8))
+        together = any(a & m == b & m for m in masks)
+        assert together or n < 5
+        assert ((a ^ b).bit_count() > 3) or n >= 5
+        assert any(a & m == b & m for m in simhash._narrowed(masks)) == (n >= 5)
+
+
+@pytest.mark.parametrize("huge", [3, 40])
+def test_huge_lists_are_split(spark, monkeypatch, huge):
+    monkeypatch.setattr(simhash, "HUGE", huge)
+    values = spread_values(300, 2, 5, 7)
+    df = spark.createDataFrame([(i, int(np.uint64(v).view(np.int64))) for i, v in enumerate(values)], "id long, fingerprint long")
+    assert {r.id: r.component_id for r in simhash._labelled(df, 3).collect()} == dict(enumerate(brute_components(values)))
+
+
+def test_hot_fingerprints(spark, monkeypatch):
+    monkeypatch.setattr("pagemart.llm.shared.HOT", 4)
+    values = [0] * 50 + [1] * 30 + [2**40 - 1] * 20 + list(range(2**50, 2**50 + 20 * 2**5, 2**5))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id long, fingerprint long")
+    assert {r.id: r.component_id for r in simhash._labelled(df, 3).collect()} == dict(enumerate(brute_components(values)))
+
+
 def test_long_lists_by_flips():
     r = random.Random(9)
     low = sorted({r.getrandbits(12) for _ in range(1500)})
@@ -98,10 +132,13 @@ def test_long_lists_by_flips():
 def test_one_of_each(spark):
     text = "one two three four five six seven"
     rows = [(3, text), (1, text), (1, text), (2, "entirely different words stand here today"), (2, "and more different words than before now"), (None, "alone in the dark of night"), (None, None), (9, "")]
-    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("fingerprint", F.lit("clashes")).withColumn("root", F.lit(1))
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({name: F.lit("clashes") for name in ("fingerprint", "root", "id", "gone", "kept_id", "Kept_Root", "own_print", "component_id", "a.b", "_id", "_root")})
     kept = simhash.one_of_each(df)
     assert kept.columns == df.columns
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted([(1, text), rows[3], rows[4], rows[5], (9, "")], key=repr)
     plain = spark.createDataFrame([(3, text), (1, text), (2, rows[3][1])], "doc_id long, text string")
-    assert sorted(r.doc_id for r in simhash.one_of_each(plain).collect()) == [1, 2]
+    plain = plain.withColumns({name: F.lit("clashes") for name in ("fingerprint", "root", "id", "gone", "component_id", "a.b")})
+    assert sorted(r.doc_id for r in simhash.one_of_each(plain).collect()) == [1, 2] and simhash.one_of_each(plain).columns == plain.columns
+    one_null = spark.createDataFrame([(None, text), (1, text), (2, rows[3][1])], "doc_id long, text string")
+    assert sorted(r.doc_id for r in simhash.one_of_each(one_null).collect()) == [1, 2]
     assert simhash.one_of_each(plain.limit(0)).count() == 0
