@@ -107,12 +107,12 @@ FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest AND p.payload_bytes >=
 _WORDS = "list_filter(string_split(trim(regexp_replace(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+', ' ', 'g')), ' '), lambda w: w <> '')"
 _CUT = "unnest(list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(list_slice(w, i, i + 4), ' '))))"
 OP9 = f"""
-WITH b AS (SELECT item_id, {_CUT} AS s FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
-n AS (SELECT item_id, count(*) AS n_shingles FROM b GROUP BY item_id),
+WITH b AS (SELECT item_id, digest, {_CUT} AS s FROM (SELECT DISTINCT item_id, array_to_string(w, ' ') AS digest, w FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0)),
+n AS (SELECT item_id, digest, count(*) AS n_shingles FROM b GROUP BY item_id, digest),
 d AS (SELECT doc_id, {_CUT} AS s FROM (SELECT doc_id, {_WORDS} AS w FROM documents) WHERE len(w) > 4),
-m AS (SELECT doc_id, item_id, count(*) AS n_shared FROM d JOIN b USING (s) GROUP BY doc_id, item_id)
-SELECT doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles AS containment
-FROM m JOIN n USING (item_id) WHERE n_shared >= n_shingles * 0.8 - 1e-9
+m AS (SELECT doc_id, item_id, digest, count(*) AS n_shared FROM d JOIN b USING (s) GROUP BY doc_id, item_id, digest),
+k AS (SELECT doc_id, item_id, max({{'c': n_shared / n_shingles, 's': n_shared, 'n': n_shingles}}) AS x FROM m JOIN n USING (item_id, digest) WHERE n_shared >= n_shingles * 0.8 - 1e-9 GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, x.n AS n_shingles, x.s AS n_shared, x.c AS containment FROM k
 """
 
 OP10 = """

@@ -75,7 +75,23 @@ def test_items_of_one_id_are_apart(spark, item_id):
     docs, items = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     found = sorted((r.doc_id, r.item_id, r.n_shingles, r.n_shared, r.containment) for r in decontam.contaminated(docs, items).collect())
     assert found == [(1, item_id, 36, 36, 1.0), (2, item_id, 36, 36, 1.0), (3, item_id, 1, 1, 1.0), (5, item_id, 36, 36, 1.0)]
-    assert [r.doc_id for r in decontam.clean(docs, items).collect()] == [4]
+    clashing = docs.withColumns({name: F.lit("x") for name in ("gone", "Found", "id", "key", "item_id", "digest", "a.b", "_found")})
+    left = decontam.clean(clashing, items)
+    assert [r.doc_id for r in left.collect()] == [4] and left.columns == clashing.columns
+    assert decontam.clean(docs.limit(0), items).count() == 0
+
+
+def test_signatures_by_partition(spark):
+    """Any choice of enough shingles holds one of the signature, at every size."""
+    sizes = [*range(1, 60), 99, 100, 101, 1000]
+    shingles = spark.createDataFrame([(n, b"", 5, i, n) for n in sizes for i in range(n)], "item_id long, digest binary, width int, hash long, n long")
+    found = {}
+    for r in decontam.signatures(shingles, 0.8).collect():
+        found.setdefault(r.item_id, []).append(r.hash)
+    assert sorted(found) == sizes
+    for n, hashes in found.items():
+        assert sorted(hashes) == list(range(len(hashes))) and len(hashes) > n - -(-n * 4 // 5)
+        assert len(hashes) <= n // 4 + 2
 
 
 def test_shuffled_join_finds_the_same(spark, monkeypatch):
