@@ -4,8 +4,14 @@ Each of several random projections gives a sorted array of the vectors' values.
 A query's window in each array is centred on its own value; a vector collides
 with the query where it lies in the window. Windows grow by virtual rehashing
 (each round multiplies their width) and vectors that collide in at least a
-threshold share of the arrays are verified by their exact distance, until enough
-vectors are verified or the windows hold everything.
+threshold share of the arrays are verified by their exact distance.
+
+A search stops by a distance bound. The difference of two vectors at distance d
+has a projection of about d / sqrt(dimensions) times a standard normal number, so
+once windows are as wide as REACH of that for the k-th best distance found so
+far, a vector nearer than that has very probably reached the threshold, and been
+verified. Close neighbours end a search soon; where all are about equally far, as
+for random vectors of many dimensions, many are verified. With exact=True, all are.
 
 Vectors are dealt into blocks of bounded size by a hash of their id; each block
 has its own arrays and answers every query, so a task holds one block and a batch
@@ -14,12 +20,14 @@ of queries, and only each block's best are merged. Every vector is indexed.
 Cases: vectors that are null, empty, zero or hold null or non-finite components
 take no part, nor do null ids; vectors of other lengths than the query's are no
 candidates; equal distances go to the smaller id; a repeated id is one query (its
-smallest vector) and as many candidates; fewer candidates than k give fewer rows.
+smallest vector) and as many candidates; very long vectors are read whole; no
+vectors or no queries give no rows; fewer candidates than k give fewer rows;
+further columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +35,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Half the first windows' width in standard deviations of the values.
-FIRST = 0.6
-#: Vectors of a block; arrays; threshold share of collisions; growth of windows; share of a block that is verified.
-BLOCK, ARRAYS, SHARE, GROWTH, VERIFIED = 8192, 64, 0.8, 1.2, 0.25
+FIRST = 0.5
+#: Vectors of a block; arrays; threshold share of collisions; growth of windows.
+BLOCK, ARRAYS, SHARE, GROWTH = 24_576, 24, 0.75, 1.3
+#: Numbers of a block's vectors at most, so that longer vectors have smaller blocks.
+NUMBERS = 1 << 23
+#: Half the windows' width at which a search stops, in standard deviations of the k-th best vector's projections.
+REACH = 1.4
 
 
 class Block:
@@ -40,35 +52,51 @@ class Block:
         dims = vectors.shape[1]
         directions = np.random.default_rng(seed).normal(size=(dims, ARRAYS))
         self.directions = directions / np.linalg.norm(directions, axis=0)
-        values = vectors @ self.directions
-        self.order = np.argsort(values, axis=0, kind="stable")
-        self.sorted = np.take_along_axis(values, self.order, axis=0)
-        self.spread = values.std(axis=0) + 1e-12
-
-    def nearest(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        values = np.ascontiguousarray((vectors @ self.directions).T)
+        self.order = np.argsort(values, axis=1, kind="stable")
+        self.sorted = np.take_along_axis(values, self.order, axis=1)
+        self.spread = values.std(axis=1) + 1e-12
+        self.unit = dims**-0.5
+        self.squares = (vectors * vectors).sum(axis=1)
+
+    def nearest(self, query_id: int, query: np.ndarray, k: int, exact: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """(ids, distances) of the k nearest that were verified."""
-        centre = query @ self.directions
-        enough = min(len(self.ids), k + 1 + int(VERIFIED * len(self.ids)))
-        counts = np.zeros(len(self.ids), np.int16)
-        low = np.array([np.searchsorted(self.sorted[:, j], centre[j]) for j in range(ARRAYS)])
-        high, half = low.copy(), FIRST
+        found, at = np.empty(0), np.empty(0, np.int64)
+        for new in [np.arange(len(self.ids))] if exact else self.collisions(query, lambda: found[k - 1] if len(found) >= k else None):
+            new = new[self.ids[new] != query_id]
+            squares = self.squares[new] + query @ query - 2 * (self.vectors[new] @ query)
+            # Products round; what they leave in doubt is measured exactly.
+            if len(new) > k:
+                doubt = 1e-9 * (self.squares[new].max() + query @ query)
+                new = new[squares <= np.partition(squares, k - 1)[k - 1] + doubt]
+            gaps = self.vectors[new] - query
+            found, at = np.concatenate([found, np.sqrt((gaps * gaps).sum(axis=1))]), np.concatenate([at, new])
+            best = np.lexsort((self.ids[at], found))[:k]
+            found, at = found[best], at[best]
+        return self.ids[at], found
+
+    def collisions(self, query: np.ndarray, bound: Callable[[], float | None]) -> Iterator[np.ndarray]:
+        """The vectors that reach the threshold in each round; bound() is the k-th best distance, or None."""
+        centre, n = query @ self.directions, len(self.ids)
+        counts, verified = np.zeros(n, np.int64), np.zeros(n, bool)
+        low = np.array([np.searchsorted(array, c) for array, c in zip(self.sorted, centre, strict=True)])
+        high, half = low.copy(), FIRST * self.spread
         while True:
-            for j in range(ARRAYS):
-                array, reach = self.sorted[:, j], half * self.spread[j]
-                a = np.searchsorted(array, centre[j] - reach)
-                b = np.searchsorted(array, centre[j] + reach, "right")
-                counts[self.order[a : low[j], j]] += 1
-                counts[self.order[high[j] : b, j]] += 1
+            entered = []
+            for j, (array, order) in enumerate(zip(self.sorted, self.order, strict=True)):
+                a, b = np.searchsorted(array, (centre[j] - half[j], centre[j] + half[j] + 1e-12))
+                entered += [order[a : low[j]], order[high[j] : b]]
                 low[j], high[j] = min(a, low[j]), max(b, high[j])
-            collided = counts >= SHARE * ARRAYS
-            if collided.sum() >= enough or (low == 0).all() and (high == len(self.ids)).all():
-                break
-            half *= GROWTH
-        at = np.flatnonzero(collided & (self.ids != query_id))
-        gaps = self.vectors[at] - query
-        distances = np.sqrt((gaps * gaps).sum(axis=1))
-        best = np.lexsort((self.ids[at], distances))[:k]
-        return self.ids[at][best], distances[best]
+            counts += np.bincount(np.concatenate(entered), minlength=n)
+            new = np.flatnonzero((counts >= SHARE * ARRAYS) & ~verified)
+            verified[new] = True
+            yield new
+            farthest = bound()
+            if (low == 0).all() and (high == n).all() or farthest is not None and (half >= REACH * self.unit * farthest).all():
+                return
+            wider = half * GROWTH
+            # The last round goes no further than it has to.
+            half = wider if farthest is None else np.maximum(half, np.minimum(wider, REACH * self.unit * farthest))
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -78,10 +106,11 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return vectors.select(F.col(id_col).cast("long").alias("id"), v.alias("v")).where(F.col("id").isNotNull() & F.coalesce(fine, F.lit(False)))
 
 
-def search(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", block: int = BLOCK) -> DataFrame:
+def search(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", block: int = BLOCK, exact: bool = False) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest of each vector for which is_query (a Column of id) holds."""
     rows = usable(vectors, id_col, vector_col)
-    blocks = max(1, -(-rows.count() // block))
+    n, dims = rows.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("v")), F.lit(1))).first()
+    blocks = max(1, -(-n // max(1, min(block, NUMBERS // max(dims, 1)))))
     number = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
     candidates = rows.select(F.size("v").alias("dims"), number.alias("block"), F.lit(0).alias("asks"), "id", "v")
     queries = rows.where(is_query).groupBy("id", F.size("v").alias("dims")).agg(F.min("v").alias("v"))
@@ -107,7 +136,7 @@ def search(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", ve
                 elif ids:
                     index = index or Block(np.concatenate(ids), np.concatenate(parts))
                     for query_id, query in zip(numbers[a:b], own, strict=True):
-                        near, distances = index.nearest(query_id, query, k)
+                        near, distances = index.nearest(query_id, query, k, exact)
                         found[0].append(np.full(len(near), query_id))
                         found[1].append(near)
                         found[2].append(distances)

@@ -35,6 +35,48 @@ def test_recall(spark, block):
     assert hits / len(got) / 10 >= 0.9
 
 
+def test_recall_of_a_large_table():
+    """Blocks of the registered size over the largest table there is, against brute force."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    tables = glob.glob("/root/testdata/check_l/embeddings.parquet") or [f"{SF}/embeddings.parquet"]
+    rows = pq.read_table(tables[0], columns=["vec_id", "embedding"])
+    usable = [(i, v) for i, v in zip(rows["vec_id"].to_pylist(), rows["embedding"].to_pylist(), strict=True) if i is not None and v and None not in v and np.isfinite(v).all() and any(v)]
+    ids, vectors = np.array([i for i, _ in usable]), np.array([v for _, v in usable], float)
+    n = -(-len(ids) // ann.BLOCK)
+    blocks = [ann.Block(ids[b::n], vectors[b::n]) for b in range(n)]
+    asked = ids[ids % 100 == 0][:60]
+    hits = 0
+    for query in asked:
+        v = vectors[ids == query][0]
+        found = [b.nearest(query, v, 10) for b in blocks]
+        near, far = (np.concatenate(x) for x in zip(*found, strict=True))
+        hits += len(set(near[np.lexsort((near, far))[:10]].tolist()) & set(brute(ids, vectors, query, 10)[0]))
+    assert hits / len(asked) / 10 >= 0.9
+
+
+def test_exact_and_clustered(spark):
+    """exact=True is brute force; near clusters are found whole without looking at all."""
+    r = np.random.default_rng(4)
+    centres = r.normal(size=(40, 16))
+    vectors = (centres[np.arange(800) % 40] + 0.01 * r.normal(size=(800, 16))).astype(np.float32).astype(float)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>").withColumns({n: F.lit(0) for n in ("dims", "block", "asks", "v", "q")})
+    ids = np.arange(800)
+    for how, least in ((True, 1.0), (False, 0.97)):
+        got = {}
+        for x in ann.search(rows, F.col("id") % 100 == 0, block=300, exact=how).collect():
+            got.setdefault(x.query_id, set()).add((x["rank"], x.vec_id) if how else x.vec_id)
+        hits = 0
+        for query, found in got.items():
+            near = brute(ids, vectors, query, 10)[0]
+            hits += len(found & (set(enumerate(near, 1)) if how else set(near)))
+        assert len(got) == 8 and hits / 80 >= least
+    seen = sum(len(x) for x in ann.Block(ids, vectors).collisions(vectors[0], lambda: 0.05))
+    assert seen < 400
+
+
 def test_cases(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(100, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 1.0]), (4, None), (5, []), (6, [0.0, 0.0]), (7, [nan, 1.0]), (8, [inf, 1.0]), (9, [None, 1.0]), (None, [1.0, 1.0]), (11, [1.0, 0.0, 0.0]), (3, [0.0, 2.0])]
