@@ -14,7 +14,9 @@ short map of states: the characters before its first such cut, for which the
 start state matters, the tokens counted from there, and the characters since its
 last cut, which determine the end state. Maps of neighbouring chunks compose
 associatively; long texts are counted chunk by chunk and composed pairwise, as a
-parallel prefix scan does.
+parallel prefix scan does. Texts that are stored as rows of chunks are composed by
+rounds of bounded groups of neighbours, so no task holds all chunks of a text. A
+stretch without a cut, such as a run of one letter, is carried in the map as it is.
 
 Cases: null and empty texts have no tokens; texts of any length are counted
 whole; repeated rows are counted each; an input column that has the name of an
@@ -31,12 +33,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagemart.llm.shared import quoted, stored
+from pagemart.operators.lineage import numbered
+
 #: States are dropped, and compiled again as needed, when there are this many.
 MAX_STATES, MAX_PAIRS = 200_000, 200_000
 #: Stretches between two cuts whose counts are remembered, of at most so many characters.
 MAX_STRETCHES, STRETCH = 300_000, 48
-#: Characters of a chunk.
-CHUNK = 65_536
+#: Characters of a chunk; maps that are composed in one group.
+CHUNK, FOLD = 65_536, 256
 #: The token before a cut.
 CUT = ""
 #: Marks and what follows them, or what comes before the first mark.
@@ -273,9 +278,12 @@ def with_token_counts(df: DataFrame, path: str, limit: int, text_col: str = "tex
 def count_chunked(chunks: DataFrame, path: str, key: str, order: str, text_col: str = "text") -> DataFrame:
     """(key, n_tokens) of texts stored as rows of consecutive chunks.
 
-    Each chunk becomes its map where it lies; only the maps are grouped. A map is
-    as long as the stretches before its first and after its last cut, some
-    characters in prose. Null chunks are empty ones; null keys are one key.
+    Each chunk becomes its map where it lies. Maps are numbered in the order of
+    texts and chunks, and each round composes runs of FOLD neighbours of one text,
+    until no text has more than one; so a text of any number of chunks is spread
+    over tasks. A map is as long as the stretches before its first and after its
+    last cut, some characters in prose. Null chunks are empty ones; null keys are
+    one key; chunks of one place come in any order.
     """
 
     @F.pandas_udf("head string, cut boolean, tokens long, tail string")
@@ -286,12 +294,26 @@ def count_chunked(chunks: DataFrame, path: str, key: str, order: str, text_col:
             yield pd.DataFrame([machine.chunk_map(t.replace(" ", "▁")) for t in texts], columns=["head", "cut", "tokens", "tail"])
 
     def composed(group: pd.DataFrame) -> pd.DataFrame:
-        machine, whole, empty = transducer(path), ("▁", False, 0, "▁"), True
-        for row in group.sort_values("_order").itertuples():
-            empty = empty and not row.head
+        machine, whole = transducer(path), ("", False, 0, "")
+        machine.trim()
+        for row in group.sort_values("rn").itertuples():
             whole = machine.compose(whole, (row.head, row.cut, row.tokens, row.tail))
-        return pd.DataFrame({"key": [group["key"].iloc[0]], "n_tokens": [0 if empty else machine.total(whole)]})
+        return pd.DataFrame([[group["key"].iloc[0], group["run"].iloc[0], *whole]], columns=["key", "rn", "head", "cut", "tokens", "tail"])
+
+    @F.pandas_udf("long")
+    def total(head: pd.Series, cut: pd.Series, tokens: pd.Series, tail: pd.Series) -> pd.Series:
+        machine, counts = transducer(path), []
+        for whole in zip(head, cut, tokens, tail, strict=True):
+            machine.trim()
+            counts.append(machine.total(machine.compose(("▁", False, 0, "▁"), whole)) if whole[0] else 0)
+        return pd.Series(counts, dtype="int64")
 
-    summed = chunks.select(F.col(key).alias("key"), F.col(order).alias("_order"), maps(F.coalesce(F.col(text_col), F.lit(""))).alias("m")).select("key", "_order", "m.*")
+    rows = chunks.select(F.col(quoted(key)).alias("key"), F.col(quoted(order)).alias("at"), maps(F.coalesce(F.col(quoted(text_col)), F.lit(""))).alias("m")).select("key", "at", "m.*")
+    rows = numbered(rows, "key", "at").select("key", "rn", "head", "cut", "tokens", "tail")
     kind = chunks.schema[key].dataType.simpleString()
-    return summed.groupBy("key").applyInPandas(composed, f"key {kind}, n_tokens long").withColumnRenamed("key", key)
+    left = rows.count()
+    while left > 0:
+        runs = rows.withColumn("run", F.floor(F.col("rn") / FOLD))
+        rows = stored(runs.groupBy("key", "run").applyInPandas(composed, f"key {kind}, rn long, head string, cut boolean, tokens long, tail string"), "maps")
+        left //= FOLD
+    return rows.select(F.col("key").alias(key), total("head", "cut", "tokens", "tail").alias("n_tokens"))

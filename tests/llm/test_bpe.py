@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from pagemart.llm import bpe
+from pagemart.llm import bpe, queries
 
 PATH = P.path("byte_bpe_multi_50k.tiktoken")
 PIECES = ["a", "b", " ", "\n", "é", "日", "1", "the", "aaaa", "   ", "'s", "ing", "😀", "ß", "́"]
@@ -79,3 +79,15 @@ def test_operators(spark, v):
         assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
     assert bpe.round_trip(df.limit(0), PATH, P.PATTERN).count() == 0
+
+
+def test_query_as_the_library(spark, library):
+    """Every document of a whole table, against the library."""
+    sf = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    out = queries.op3_bpe(spark, sf).collect()
+    assert len(out) == len(texts)
+    for r in out:
+        ids = library.encode_ordinary(texts[r.doc_id])
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(library.decode_bytes(ids)).hexdigest() == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()

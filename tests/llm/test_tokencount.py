@@ -1,10 +1,11 @@
 import public_tokenizers as P
+import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from pagemart.llm import tokencount
+from pagemart.llm import queries, tokencount
 
 PATH = P.path("piece_bpe_32k.model")
 PIECES = ["a", "b", " ", "\n", "é", "日", "1", "the", "aaaa", "   ", "'s", "ing", "😀", "ß", "▁", "́", "Ա", "</s>", "<0x41>"]
@@ -57,3 +58,23 @@ def test_operators(spark):
     parts = [(7, i, text[i : i + 13]) for i in range(0, len(text), 13)] + [(8, 0, None)]
     chunked = tokencount.count_chunked(spark.createDataFrame(parts, "k long, at long, text string"), PATH, "k", "at")
     assert dict(map(tuple, chunked.collect())) == {7: len(LIBRARY.encode(text)), 8: 0}
+
+
+def test_query_as_the_library(spark):
+    """Every document of a whole table, against the library."""
+    sf = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    ids = sorted(texts)
+    expected = {i: len(t) for i, t in zip(ids, LIBRARY.encode([texts[i] for i in ids], num_threads=1), strict=True)}
+    out = queries.op4_token_counts(spark, sf).collect()
+    assert len(out) == len(ids) and {r.doc_id: r.n_tokens for r in out} == expected
+    assert all(r.n_bytes == len(texts[r.doc_id].encode()) and r.over_limit == (r.n_tokens > 4096) for r in out)
+
+
+@pytest.mark.parametrize("fold", [2, 5])
+def test_chunks_are_composed_in_rounds(spark, monkeypatch, fold):
+    monkeypatch.setattr(tokencount, "FOLD", fold)
+    texts = {1: "A text that is stored   in chunks, aaaaaa.\n" * 12, 2: "b" * 90, 3: "", None: "no key\tat all é漢"}
+    parts = [(k, i, t[i : i + 7]) for k, t in texts.items() for i in range(0, max(len(t), 1), 7)]
+    found = tokencount.count_chunked(spark.createDataFrame(parts, "rn long, run long, head string"), PATH, "rn", "run", "head")
+    assert dict(map(tuple, found.collect())) == {k: len(LIBRARY.encode(t)) for k, t in texts.items()}
