@@ -20,25 +20,32 @@ def key_collisions(df: DataFrame, natural: list[str]) -> DataFrame:
     return df.select(*natural).distinct().groupBy(surrogate_key(*natural).alias("key")).count().where("count > 1")
 
 
-def one_per_key(changes: DataFrame, keys: list[str], order: Column | None = None) -> DataFrame:
-    """One row for each key: the last in order, or any of equal ones."""
+def one_per_key(changes: DataFrame, keys: list[str], order: Column | None = None, first: bool = False) -> DataFrame:
+    """One row for each key: the last in order (or the first); of rows at one place, and without an order, the one
+    whose other columns come last as JSON.
+    """
     rest = [c for c in changes.columns if c not in keys]
     if not rest:
         return changes.distinct()
     row = F.struct(*[F.col(c) for c in rest])
-    picked = F.max_by(row, F.struct(order, F.to_json(row))) if order is not None else F.max_by(row, F.to_json(row))
+    rank = F.to_json(row) if order is None else F.struct(order, F.to_json(row))
+    picked = (F.min_by if first else F.max_by)(row, rank)
     return changes.groupBy(*keys).agg(picked.alias("_r")).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]).select(*changes.columns)
 
 
-def insert_absent(current: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
-    """current and the changes whose key it lacks."""
-    new = one_per_key(changes, keys).join(current.select(*keys), keys, "left_anti")
+def insert_absent(current: DataFrame, changes: DataFrame, keys: list[str], order: Column | None = None) -> DataFrame:
+    """current and the changes whose key it lacks, the first in order of each key."""
+    new = one_per_key(changes, keys, order, first=True).join(current.select(*keys), keys, "left_anti")
     return current.unionByName(new, allowMissingColumns=True)
 
 
-def upsert(current: DataFrame, changes: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """Rows of both; `columns` come from changes where it has the key, nulls included."""
-    new = one_per_key(changes, keys).select(*keys, F.lit(True).alias("_new"), *[F.col(c).alias(f"_n_{c}") for c in columns])
+def upsert(current: DataFrame, changes: DataFrame, keys: list[str], columns: list[str], order: Column | None) -> DataFrame:
+    """Rows of both; `columns` come from changes where it has the key, nulls included.
+
+    Of several changes of a key the last in order counts, as if they were applied
+    one after the other. None says that keys are not repeated.
+    """
+    new = one_per_key(changes, keys, order).select(*keys, F.lit(True).alias("_new"), *[F.col(c).alias(f"_n_{c}") for c in columns])
     joined = current.withColumn("_old", F.lit(True)).join(new, keys, "full")
     out = [F.when(F.col("_new"), F.col(f"_n_{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in current.columns if c not in keys]
     return joined.select(*keys, *out).select(*current.columns)
@@ -61,16 +68,35 @@ def first_kind_wins(current: DataFrame, members: DataFrame, keys: list[str], kin
 def sync_membership(current: DataFrame, listed: DataFrame, sessions: DataFrame, owner: str, member: str) -> DataFrame:
     """Opens and closes interval rows (owner, member, start, end).
 
-    listed(owner, member) is what holds now; sessions(owner, start) the date from
-    which, for the owners concerned. Open rows that are older and not listed end
-    the day before; listed pairs that are not open begin. Null members are left out.
+    sessions(owner, start) are an owner's sessions, listed(owner, member, start)
+    the members that each lists; they are applied in the order of their starts.
+    Open rows that are older than a session and not listed in it end the day
+    before; listed pairs that are not open begin. Null members are left out. A
+    listing without start stands for each owner's last session.
     """
-    listed = listed.select(owner, member).where(F.col(member).isNotNull()).distinct()
-    marked = current.join(sessions.select(owner, F.col("start").alias("_from")), owner, "left").join(listed.withColumn("_listed", F.lit(True)), [owner, member], "left")
-    ends = F.col("end").isNull() & F.col("_from").isNotNull() & F.col("_listed").isNull() & (F.col("start") < F.col("_from"))
-    kept = marked.withColumn("end", F.when(ends, F.date_sub("_from", 1)).otherwise(F.col("end"))).select(*current.columns)
-    opened = listed.join(current.where(F.col("end").isNull()).select(owner, member), [owner, member], "left_anti").join(sessions.select(owner, "start"), owner)
-    return kept.unionByName(opened.withColumn("end", F.lit(None).cast("date")).select(*current.columns))
+    if "start" not in listed.columns:
+        sessions = sessions.groupBy(owner).agg(F.max("start").alias("start"))
+        listed = listed.join(sessions, owner)
+    pair = [owner, member]
+    listed = listed.where(F.col(member).isNotNull()).select(*pair, F.col("start").alias("_at")).distinct()
+    opened = current.where(F.col("end").isNull()).groupBy(*pair).agg(F.max("start").alias("_open"))
+    # Each pair that is open or listed, at each of its owner's sessions: some rows for each membership.
+    pairs = listed.select(*pair).unionByName(opened.select(*pair)).distinct()
+    places = pairs.join(sessions.select(owner, F.col("start").alias("_at")).distinct(), owner).join(opened, pair, "left")
+    places = places.where(F.col("_open").isNull() | (F.col("_at") > F.col("_open"))).join(listed.withColumn("_listed", F.lit(True)), [*pair, "_at"], "left")
+    w = Window.partitionBy(*pair).orderBy("_at")
+    held = F.coalesce("_listed", F.lit(False))
+    turns = places.withColumn("_held", held).withColumn("_was", F.coalesce(F.lag("_held").over(w), F.col("_open").isNotNull())).where(F.col("_held") != F.col("_was"))
+    turns = turns.withColumn("_next", F.lead("_at").over(w))
+    ends = turns.where(~F.col("_held")).groupBy(*pair).agg(F.min("_at").alias("_gone"))
+    gone = F.col("end").isNull() & (F.col("start") < F.col("_gone"))
+    # A pair that opens first and is closed later has no open row here, so its end stays out of stored rows.
+    kept = current.join(ends, pair, "left").withColumn("end", F.when(gone, F.date_sub("_gone", 1)).otherwise(F.col("end"))).select(*current.columns)
+    begun = turns.where("_held").select(*pair, F.col("_at").alias("start"), F.date_sub("_next", 1).alias("end"))
+    # What a row covers, as it ends now, is there already.
+    there = kept.select(F.col(owner).alias("_o"), F.col(member).alias("_m"), F.col("start").alias("_s"), F.coalesce("end", F.lit("9999-12-31").cast("date")).alias("_e"))
+    begun = begun.join(there, (F.col(owner) == F.col("_o")) & (F.col(member) == F.col("_m")) & F.col("start").between(F.col("_s"), F.col("_e")), "left_anti")
+    return kept.unionByName(begun.select(*current.columns))
 
 
 def versions(history: DataFrame, keys: list[str], tracked: list[str], start: str, tie: str | None = None) -> DataFrame:
@@ -91,29 +117,57 @@ def versions(history: DataFrame, keys: list[str], tracked: list[str], start: str
     return changes.withColumn("end", F.date_sub(F.lead(start).over(w), 1))
 
 
-def scd2(current: DataFrame, batch: DataFrame, keys: list[str], tracked: list[str], at_least_start: bool = False) -> DataFrame:
+def _against(current: DataFrame, batch: DataFrame, keys: list[str], tracked: list[str], order: Column | None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(each key's open row that started last, all other rows, the batch's rows that no stored version covers,
+    with _open, the start of the key's open row).
+    """
+    batch = one_per_key(batch, [*keys, "start"], order)
+    ranked = current.withColumn("_n", F.row_number().over(Window.partitionBy(*keys, F.col("end").isNull()).orderBy(F.col("start").desc(), *tracked)))
+    latest = F.col("end").isNull() & (F.col("_n") == 1)
+    opened, others = ranked.where(latest).drop("_n"), ranked.where(~latest).drop("_n")
+    stored = current.select(*[F.col(c).alias(f"_s_{c}") for c in dict.fromkeys([*keys, *tracked, "start", "end"])])
+    covers = F.col("start").between(F.col("_s_start"), F.coalesce("_s_end", "_s_start"))
+    for c in keys:
+        covers = covers & (F.col(c) == F.col(f"_s_{c}"))
+    for c in tracked:
+        covers = covers & F.col(c).eqNullSafe(F.col(f"_s_{c}"))
+    new = batch.join(stored, covers, "left_anti").join(opened.select(*keys, F.col("start").alias("_open")), keys, "left")
+    return opened, others, new
+
+
+def scd2(current: DataFrame, batch: DataFrame, keys: list[str], tracked: list[str], at_least_start: bool = False, order: Column | None = None) -> DataFrame:
     """SCD2 of one batch: current and batch have keys, tracked and start, current also end.
 
-    Against the open row that started last: equal tracked columns, nothing;
-    otherwise it ends the day before the new start (if it is older; with
-    at_least_start never before its own start) and the new row is open.
+    A batch may hold any number of versions of a key; they are applied in the
+    order of their starts, of one start the last by `order`. Against the version
+    before it (at first the open row that started last): equal tracked columns,
+    nothing; otherwise that one ends the day before the new start and the new row
+    is open. A version that is stored already, or whose start falls into a closed
+    version of the same values, changes nothing. A start that is not after the
+    open row's is late (see late) and changes nothing either; with at_least_start
+    it counts, and no version ends before its own start. Rows of keys that the
+    batch does not have are passed through.
     """
-    batch = one_per_key(batch, [*keys, "start"])
-    w = Window.partitionBy(*keys).orderBy(F.col("start").desc())
-    opened = current.where(F.col("end").isNull()).withColumn("_n", F.row_number().over(w)).where("_n = 1")
-    new = batch.select(*keys, F.col("start").alias("_start"), *[F.col(c).alias(f"_n_{c}") for c in tracked])
-    against = opened.join(new, keys)
+    touched = batch.select(*keys).distinct()
+    rest, mine = current.join(touched, keys, "left_anti"), current.join(touched, keys, "left_semi")
+    opened, others, new = _against(mine, batch, keys, tracked, order)
+    if not at_least_start:
+        new = new.where(F.col("_open").isNull() | (F.col("start") > F.col("_open")))
+    w = Window.partitionBy(*keys).orderBy("_later", "start")
+    line = opened.withColumn("_later", F.lit(0)).unionByName(new.drop("_open").withColumn("_later", F.lit(1)), allowMissingColumns=True)
     same = F.lit(True)
     for c in tracked:
-        same = same & F.col(c).eqNullSafe(F.col(f"_n_{c}"))
-    pairs = against.select(*keys, F.col("start").alias("_open"), "_start", same.alias("_same"))
-    closing = pairs.where(~F.col("_same") & ((F.col("_open") < F.col("_start")) | F.lit(at_least_start))).select(*keys, F.col("_open").alias("start"), F.date_sub("_start", 1).alias("_end")).withColumn("_hit", F.lit(True))
-    end = F.greatest(F.col("_end"), F.col("start")) if at_least_start else F.col("_end")
-    kept = current.join(closing, [*keys, "start"], "left").withColumn("end", F.when(F.col("_hit") & F.col("end").isNull(), end).otherwise(F.col("end"))).select(*current.columns)
-    unchanged = pairs.where("_same").select(*keys, F.col("_start").alias("start"))
-    fresh = batch.join(unchanged, [*keys, "start"], "left_anti").withColumn("end", F.lit(None).cast("date"))
-    fresh = fresh.join(current.select(*keys, "start"), [*keys, "start"], "left_anti")
-    return kept.unionByName(fresh.select(*current.columns), allowMissingColumns=True)
+        same = same & F.col(c).eqNullSafe(F.lag(c).over(w))
+    line = line.withColumn("_change", (F.row_number().over(w) == 1) | ~same).where("_change")
+    end = F.date_sub(F.lead("start").over(w), 1)
+    line = line.withColumn("end", F.greatest(end, F.when(end.isNotNull(), F.col("start"))) if at_least_start else end)
+    return rest.select(*current.columns).unionByName(others.select(*current.columns)).unionByName(line.select(*current.columns))
+
+
+def late(current: DataFrame, batch: DataFrame, keys: list[str], tracked: list[str], order: Column | None = None) -> DataFrame:
+    """The batch's rows that scd2 leaves out because they start no later than the open row, and are not what is stored."""
+    _, _, new = _against(current, batch, keys, tracked, order)
+    return new.where(F.col("start") <= F.col("_open")).drop("_open")
 
 
 def close_missing(current: DataFrame, active: DataFrame, session_start: Column, url: str) -> tuple[DataFrame, DataFrame]:

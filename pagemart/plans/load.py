@@ -45,7 +45,7 @@ def _with_start(tables: dict[str, DataFrame], rows: DataFrame) -> tuple[DataFram
 
 
 def load_committees(tables: dict[str, DataFrame], rows: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
-    """rows(committee_id, name, url, session_code); (changed tables, quarantine). A new name begins a line of its own."""
+    """rows(committee_id, name, url, session_code), of any number of sessions; (changed tables, quarantine). A new name begins a line of its own."""
     known, odd = _with_start(tables, rows)
     batch = known.select("committee_id", F.col("name").alias("committee_name"), "url", "start")
     info = merge.scd2(tables["committee_info"], batch, ["committee_id", "committee_name"], ["url"], at_least_start=True)
@@ -53,18 +53,23 @@ def load_committees(tables: dict[str, DataFrame], rows: DataFrame) -> tuple[dict
 
 
 def load_legislators(tables: dict[str, DataFrame], rows: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
-    """rows(first_name, ..., session_code, committee_ids); (changed tables, quarantine)."""
+    """rows(first_name, ..., session_code, committee_ids), of any number of sessions; (changed tables, quarantine).
+
+    Sessions are applied in the order of their starts; rows older than a member's open line are set aside.
+    """
     known, odd = _with_start(tables, rows)
     good, bad = validate.split(known, {"first_name": F.col("first_name").isNotNull(), "last_name": F.col("last_name").isNotNull(), "url": F.col("url").isNotNull()})
     good = good.withColumn("legislator_id", merge.surrogate_key("first_name", "last_name"))
-    people = merge.upsert(tables["legislators"], good.select(*tables["legislators"].columns), ["legislator_id"], ["first_name", "last_name", "phone", "email", "address"])
+    people = merge.upsert(tables["legislators"], good.select(*tables["legislators"].columns, "start"), ["legislator_id"], ["first_name", "last_name", "phone", "email", "address"], F.col("start"))
     batch = good.select("legislator_id", "district", "seniority", "chamber", "url", "party", "start")
-    history = merge.scd2(tables["legislator_history"], batch, ["legislator_id"], ["party", "chamber", "district", "url"])
-    listed = good.select("legislator_id", F.explode("committee_ids").alias("committee_id"))
-    unknown = resolve.orphans(listed, tables["committees"], "committee_id", "committee_id")
-    sessions = good.groupBy("legislator_id").agg(F.max("start").alias("start"))
-    members = merge.sync_membership(tables["committee_membership"], listed.join(unknown, ["legislator_id", "committee_id"], "left_anti"), sessions, "legislator_id", "committee_id")
-    quarantine = odd.select("url", F.array(F.lit("session")).alias("errors")).unionByName(bad.select("url", "errors")).unionByName(unknown.select(F.col("committee_id").cast("string").alias("url"), F.array(F.lit("committee")).alias("errors")))
+    tracked = ["party", "chamber", "district", "url"]
+    history = merge.scd2(tables["legislator_history"], batch, ["legislator_id"], tracked)
+    late = merge.late(tables["legislator_history"], batch, ["legislator_id"], tracked)
+    listed = good.select("legislator_id", "start", F.explode("committee_ids").alias("committee_id"))
+    unknown = resolve.orphans(listed, tables["committees"], "committee_id", "committee_id").where("committee_id IS NOT NULL")
+    known_lists = listed.join(tables["committees"].select("committee_id"), "committee_id", "left_semi")
+    members = merge.sync_membership(tables["committee_membership"], known_lists, good.select("legislator_id", "start"), "legislator_id", "committee_id")
+    quarantine = odd.select("url", F.array(F.lit("session")).alias("errors")).unionByName(bad.select("url", "errors")).unionByName(unknown.select(F.col("committee_id").cast("string").alias("url"), F.array(F.lit("committee")).alias("errors"))).unionByName(late.select("url", F.array(F.lit("late")).alias("errors")))
     return {"legislators": people, "legislator_history": history, "committee_membership": members}, quarantine
 
 
@@ -77,11 +82,12 @@ def close_legislators(tables: dict[str, DataFrame], active_urls: DataFrame, sess
 def load_bills(tables: dict[str, DataFrame], rows: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
     """rows(bill_no, session_code, title, url, intro_date, act_date, documents map, status array,
     and lead, other_primary, cosponsor: map<legislator_id or committee_id, ids>); (changed tables, quarantine).
+    Where a bill comes more than once, the row with the largest ord, if there is such a column, counts.
     """
     known, odd = _with_start(tables, rows)
     good, bad = validate.split(known.drop("start"), {c: F.col(c).isNotNull() for c in ("bill_no", "title", "url", "intro_date")})
     good = good.withColumn("bill_id", merge.surrogate_key("bill_no", "session_code"))
-    bills = merge.upsert(tables["bills"], good.select(*tables["bills"].columns), ["bill_id"], ["bill_no", "session_code", "title", "url", "intro_date", "act_date"])
+    bills = merge.upsert(tables["bills"], good.select(*tables["bills"].columns, *[c for c in ("ord",) if c in rows.columns]), ["bill_id"], ["bill_no", "session_code", "title", "url", "intro_date", "act_date"], F.col("ord") if "ord" in rows.columns else None)
     docs = resolve.map_rows(good, "bill_id", "documents").select("bill_id", F.col("kind").alias("document_type"), F.trim("value").alias("url"))
     status = good.select("bill_id", F.explode("status").alias("s")).select("bill_id", "s.chamber", "s.status_date", "s.history_action", "s.vote_action_present")
     members = None
@@ -98,9 +104,12 @@ def load_bills(tables: dict[str, DataFrame], rows: DataFrame) -> tuple[dict[str,
 
 
 def load_votes(tables: dict[str, DataFrame], rows: DataFrame) -> dict[str, DataFrame]:
-    """rows(bill_id, vote_timestamp without zone, chamber, motion_text, five arrays of legislator ids)."""
+    """rows(bill_id, vote_timestamp without zone, chamber, motion_text, five arrays of legislator ids), once for each vote; a repeated
+    vote counts as the row with the largest ord, if there is such a column.
+    """
     rows = rows.withColumn("vote_timestamp", to_instant(F.col("vote_timestamp"))).withColumn("vote_event_id", merge.surrogate_key("bill_id", "chamber", "vote_timestamp"))
-    events = merge.upsert(tables["vote_events"], rows.select(*tables["vote_events"].columns), ["vote_event_id"], ["bill_id", "vote_timestamp", "chamber", "motion_text"])
+    rows = merge.one_per_key(rows, ["vote_event_id"], F.col("ord") if "ord" in rows.columns else None)
+    events = merge.upsert(tables["vote_events"], rows.select(*tables["vote_events"].columns), ["vote_event_id"], ["bill_id", "vote_timestamp", "chamber", "motion_text"], None)
     votes = resolve.bucket_rows(rows, "vote_event_id", CASTS).where(F.col("member").isNotNull()).select("vote_event_id", F.col("member").alias("legislator_id"), F.col("cast").alias("vote_cast"))
     return {"vote_events": events, "legislator_votes": merge.replace_children(tables["legislator_votes"], votes, rows, "vote_event_id")}
 

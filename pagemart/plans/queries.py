@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 
 from pagemart.functions import text, urls
 from pagemart.operators import documents, frontier, graph, html, merge, resolve, template, validate
+from pagemart.plans.registry import QUERIES, SQL, query, table
 from pagemart.streaming import pages as stream
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+__all__ = ["QUERIES", "SQL"]
 
 #: DuckDB's spelling of the classes and steps that several queries share.
 SP = r"[\t-\r\x1c-\x20\x{85}\p{Z}]+"
@@ -31,20 +31,6 @@ def _part(n: int, c: str = "url") -> str:
     return f"CASE WHEN regexp_matches({c}, '{_URL}') THEN regexp_extract({c}, '{_URL}', {n}) END"
 
 
-def query(sql: str | None = None):
-    def register(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return register
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 # Text, numbers, dates.
 
 
@@ -331,7 +317,7 @@ SELECT coalesce(a.o_custkey, b.o_custkey) AS o_custkey, coalesce(b.price, a.pric
 def upsert_overwrite(spark, sf_dir):
     old, new = _parts_of_orders(spark, sf_dir)
     last = lambda df: df.groupBy("o_custkey").agg(F.max_by("o_totalprice", "o_orderkey").alias("price"), F.max("o_orderkey").alias("last_order"))
-    return merge.upsert(last(old), last(new), ["o_custkey"], ["price"])
+    return merge.upsert(last(old), last(new), ["o_custkey"], ["price"], None)
 
 
 _DAYS = "SELECT o_custkey, CAST(o_orderdate AS DATE) AS start, max_by(o_orderpriority, o_orderkey) AS o_orderpriority FROM orders GROUP BY ALL"
@@ -654,3 +640,6 @@ def stream_quarantine(spark, sf_dir):
     stream.run(checked, stream.with_quarantine(sink("kept"), sink("aside")), f"{folder}/checkpoint").awaitTermination()
     rows = spark.read.option("recursiveFileLookup", "true").parquet(f"{folder}/out")
     return rows.groupBy("user_id").agg(F.count_if(F.col("kind") == "kept").alias("kept"), F.count_if(F.col("kind") == "aside").alias("aside"))
+
+
+from pagemart.plans import merge_queries  # noqa: E402, F401

@@ -102,12 +102,48 @@ def test_scd2_again_changes_nothing(spark):
     assert (1, "a", SESSIONS["S2"], SESSIONS["S2"]) in rows(early)
 
 
+def test_scd2_with_several_versions_in_a_batch(spark):
+    start = [[(1, "a", D(2020, 1, 1)), (2, "p", D(2020, 1, 1))]]
+    batch = [(1, "b", D(2021, 1, 1)), (1, "c", D(2022, 1, 1)), (1, "c", D(2023, 1, 1)), (2, "p", D(2021, 1, 1)), (2, "q", D(2022, 1, 1)), (3, "x", D(2021, 1, 1)), (3, "y", D(2022, 1, 1))]
+    expected = [(1, "a", D(2020, 1, 1), D(2020, 12, 31)), (1, "b", D(2021, 1, 1), D(2021, 12, 31)), (1, "c", D(2022, 1, 1), None), (2, "p", D(2020, 1, 1), D(2021, 12, 31)), (2, "q", D(2022, 1, 1), None), (3, "x", D(2021, 1, 1), D(2021, 12, 31)), (3, "y", D(2022, 1, 1), None)]
+    for batches in ([batch], [batch, batch], [[r] for r in batch], [batch[:4], batch]):
+        assert rows(apply_scd2(spark, start + batches)) == sorted(expected, key=repr)
+    late = [(1, "z", D(2019, 1, 1)), (1, "b", D(2021, 6, 1)), (1, "z", D(2022, 1, 1)), (4, "n", D(2019, 1, 1))]
+    current = apply_scd2(spark, [*start, batch])
+    aside = merge.late(current, spark.createDataFrame(late, "k int, v string, start date"), ["k"], ["v"])
+    assert rows(aside) == [(1, "z", D(2019, 1, 1)), (1, "z", D(2022, 1, 1))]
+    assert rows(apply_scd2(spark, [*start, batch, late])) == sorted([*expected, (4, "n", D(2019, 1, 1), None)], key=repr)
+
+
+def test_membership_over_sessions(spark):
+    kind = "o int, m int, start date, end date"
+    cur = spark.createDataFrame([(7, 1, D(2020, 1, 1), None), (7, 2, D(2020, 1, 1), None), (8, 5, D(2020, 1, 1), None), (7, 9, D(2019, 1, 1), D(2019, 12, 31))], kind)
+    days = [D(2021, 1, 1), D(2022, 1, 1), D(2023, 1, 1)]
+    listed = [(7, 2, days[0]), (7, 3, days[0]), (7, 1, days[1]), (7, 3, days[2]), (7, 3, days[2]), (7, 9, days[2])]
+    sessions = spark.createDataFrame([(7, d) for d in days], "o int, start date")
+    got = merge.sync_membership(cur, spark.createDataFrame(listed, "o int, m int, start date"), sessions, "o", "m").checkpoint()
+    expected = [(7, 1, D(2020, 1, 1), D(2020, 12, 31)), (7, 1, days[1], D(2022, 12, 31)), (7, 2, D(2020, 1, 1), D(2021, 12, 31)), (7, 3, days[0], D(2021, 12, 31)), (7, 3, days[2], None), (7, 9, D(2019, 1, 1), D(2019, 12, 31)), (7, 9, days[2], None), (8, 5, D(2020, 1, 1), None)]
+    assert rows(got) == sorted(expected, key=repr)
+    assert rows(merge.sync_membership(got, spark.createDataFrame(listed, "o int, m int, start date"), sessions, "o", "m")) == rows(got)
+    one_by_one = cur
+    for d in days:
+        one_by_one = merge.sync_membership(one_by_one, spark.createDataFrame([r for r in listed if r[2] == d], "o int, m int, start date"), sessions.where(F.col("start") == d), "o", "m").checkpoint()
+    assert rows(one_by_one) == rows(got)
+
+
+def test_changes_in_order(spark):
+    cur = spark.createDataFrame([(1, "m")], "k int, v string")
+    new = spark.createDataFrame([(1, "z first", 1), (1, "a last", 2), (2, "x", 2), (2, "y", 1)], "k int, v string, n int")
+    assert rows(merge.upsert(cur, new, ["k"], ["v"], F.col("n"))) == [(1, "a last"), (2, "x")]
+    assert rows(merge.insert_absent(cur, new, ["k"], F.col("n")), "k", "v") == [(1, "m"), (2, "y")]
+
+
 def test_merges_again_change_nothing(spark):
     cur = spark.createDataFrame([(1, "a", "p"), (2, "b", "q")], "k int, v string, w string")
     new = spark.createDataFrame([(2, None, "z"), (3, "c", "z"), (3, "c", "z")], "k int, v string, w string")
-    up = merge.upsert(cur, new, ["k"], ["v"])
+    up = merge.upsert(cur, new, ["k"], ["v"], None)
     assert rows(up) == [(1, "a", "p"), (2, None, "q"), (3, "c", None)]
-    assert rows(merge.upsert(up, new, ["k"], ["v"])) == rows(up)
+    assert rows(merge.upsert(up, new, ["k"], ["v"], None)) == rows(up)
     ins = merge.insert_absent(cur, new, ["k"])
     assert rows(ins) == [(1, "a", "p"), (2, "b", "q"), (3, "c", "z")] == rows(merge.insert_absent(ins, new, ["k"]))
 
