@@ -1,16 +1,27 @@
 """Extraction from a page table (key, url, html).
 
-Flat structure is read by expressions on the text. Where nesting or neighbours
-matter, `elements` turns pages into one row per element, and the rest is joins
-and windows on those rows.
+Links and headings, which need no nesting, are read by expressions on the text.
+For everything else `with_elements` parses each page once into an array of its
+elements, in document order; CSS selectors are expressions on that array, so a
+template of any number of selectors is one projection without a shuffle.
+`elements` gives the same as one row per element, for joins and windows.
+
+Selectors are lists (with ,) of compounds of a tag or *, #id, .class, [attribute],
+[attribute=value] (also ^=, $=, *=), :first-child and :nth-child(n), joined by blanks (inside),
+> (child of), + (next after) and ~ (later sibling of).
+
+Comments and the insides of scripts and styles are no text and hold no elements.
+Null and empty html have no elements.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,8 +30,16 @@ from pagemart.functions.urls import resolve, url_key
 
 #: Fixed: elements that have no end tag.
 VOID = "area base br col embed hr img input link meta source track wbr".split()
-LINK = r'(?is)<a\b[^>]*?\bhref="([^"]*)"[^>]*>(.*?)</a>'
-EVENT = r'(?is)<(?:h[1-6])\b[^>]*>.*?</h[1-6]>|<a\b[^>]*?\bhref="[^"]*"'
+#: Fixed: elements whose open one of the same kind ends where the next begins.
+CLOSES = {"li": ("li",), "p": ("p",), "option": ("option",), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "dt": ("dt", "dd"), "dd": ("dt", "dd")}
+#: Fixed: elements that such an open one does not reach out of.
+KEEPS = "table tbody thead tfoot tr ul ol dl select div section body html".split()
+NO_TEXT = r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>"
+#: An attribute's value in double quotes, single quotes or none; three groups.
+VALUE = r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+HREF = rf"""(?is)<a\b(?:[^>"']|"[^"]*"|'[^']*')*?\shref{VALUE}"""
+LINK = rf"""{HREF}(?:[^>"']|"[^"]*"|'[^']*')*>(.*?)(?=</a\s*>|<a\b|$)"""
+EVENT = rf"""(?is)<(?:h[1-6])\b[^>]*>.*?</h[1-6]\s*>|{HREF[5:]}"""
 
 
 def _none_if_empty(arr: Column) -> Column:
@@ -31,40 +50,25 @@ def strip_tags(c: Column) -> Column:
     return normalize_space(unescape(F.regexp_replace(c, "<[^>]*>", " ")))
 
 
-def select_text(html: Column, tag: str) -> Column:
-    """Texts of all elements of a tag, in order; null without any."""
-    found = F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>"), F.lit(1))
-    return _none_if_empty(F.transform(found, strip_tags))
+def visible(c: Column) -> Column:
+    """html without comments, scripts and styles."""
+    return F.regexp_replace(c, NO_TEXT, " ")
 
 
-def select_attr(html: Column, tag: str, attr: str, strict: bool = False) -> Column:
-    """An attribute of all elements of a tag; those without it are left out, or raise when strict."""
-    found = F.regexp_extract_all(html, F.lit(rf'(?is)<{tag}\b[^>]*?\b{attr}="([^"]*)"'), F.lit(1))
-    if strict:
-        every = F.regexp_count(html, F.lit(rf"(?is)<{tag}\b"))
-        return F.when(every > F.size(found), F.raise_error(F.lit(f"a {tag} without {attr}"))).otherwise(_none_if_empty(found))
-    return _none_if_empty(found)
+def _href(c: Column, pattern: str) -> Column:
+    """The value of whichever group of an attribute pattern matched."""
+    return unescape(F.concat(*[F.regexp_extract(c, pattern, i) for i in (1, 2, 3)]))
 
 
-def apply_template(pages: DataFrame, template: dict[str, tuple[str, ...] | str | Callable[[Column], Column]], html_col: str = "html", keep: tuple[str, ...] = ("url",)) -> DataFrame:
-    """One column per key: a tag's texts, a (tag, attribute) pair's values, or a function of the html."""
-    out = []
-    for key, how in template.items():
-        if callable(how):
-            value = how(F.col(html_col))
-        elif isinstance(how, str):
-            value = select_text(F.col(html_col), how)
-        elif len(how) == 2:
-            value = select_attr(F.col(html_col), *how)
-        else:
-            raise ValueError(f"{key}: a selector is a tag, (tag, attribute) or a function")
-        out.append(value.alias(key))
-    return pages.select(*keep, *out)
+def select_text(html: Column, tag: str) -> Column:
+    """Texts of all elements of a tag that does not hold itself (a heading, a title), in order; null without any."""
+    found = F.regexp_extract_all(visible(html), F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>"), F.lit(1))
+    return _none_if_empty(F.transform(found, strip_tags))
 
 
 def links(pages: DataFrame, key: str = "page_id", html_col: str = "html", url_col: str = "url") -> DataFrame:
-    """(key, url, pos, href, text) of every link."""
-    pair = F.transform(F.regexp_extract_all(html_col, F.lit(LINK), F.lit(0)), lambda a: F.struct(unescape(F.regexp_extract(a, LINK, 1)).alias("href"), strip_tags(F.regexp_extract(a, LINK, 2)).alias("text")))
+    """(key, url, pos, href, text) of every link; its text ends with it, or where the next one begins."""
+    pair = F.transform(F.regexp_extract_all(visible(F.col(html_col)), F.lit(LINK), F.lit(0)), lambda a: F.struct(_href(a, LINK).alias("href"), strip_tags(F.regexp_extract(a, LINK, 4)).alias("text")))
     return pages.select(key, F.col(url_col).alias("url"), F.posexplode(pair).alias("pos", "l")).select(key, "url", "pos", "l.href", "l.text")
 
 
@@ -85,34 +89,41 @@ def links_named(found: DataFrame, names: list[str]) -> DataFrame:
 
 def link_groups(pages: DataFrame, key: str = "page_id", html_col: str = "html") -> DataFrame:
     """(key, heading, hrefs): each link under the heading before it; links before any heading have a null one."""
-    events = pages.select(key, F.posexplode(F.regexp_extract_all(html_col, F.lit(EVENT), F.lit(0))).alias("pos", "e"))
+    events = pages.select(key, F.posexplode(F.regexp_extract_all(visible(F.col(html_col)), F.lit(EVENT), F.lit(0))).alias("pos", "e"))
     heading = F.when(F.col("e").rlike("(?i)^<h[1-6]"), strip_tags(F.col("e")))
     before = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     events = events.withColumn("heading", F.last(heading, ignorenulls=True).over(before)).where(F.col("e").rlike("(?i)^<a"))
-    href = unescape(F.regexp_extract("e", r'(?is)href="([^"]*)"', 1))
-    return events.groupBy(key, "heading").agg(F.array_sort(F.collect_list(F.struct("pos", href.alias("href")))).alias("h")).select(key, "heading", F.col("h.href").alias("hrefs"))
-
-
-def counted_section(html: Column, label: str) -> Column:
-    """hrefs of the list after "Label : N": null without the label, empty if N is 0."""
-    count = F.regexp_extract(html, rf"(?is){label}\s*:\s*(\d+)", 1)
-    rest = F.regexp_extract(html, rf"(?is){label}\s*:\s*\d+.*?<ul\b[^>]*>(.*?)</ul>", 1)
-    hrefs = F.regexp_extract_all(rest, F.lit(r'(?is)<a\b[^>]*?\bhref="([^"]*)"'), F.lit(1))
-    return F.when(count == "", None).when(count.try_cast("int") == 0, F.array().cast("array<string>")).otherwise(hrefs)
+    return events.groupBy(key, "heading").agg(F.array_sort(F.collect_list(F.struct("pos", _href(F.col("e"), HREF).alias("href")))).alias("h")).select(key, "heading", F.col("h.href").alias("hrefs"))
 
 
 class _Elements(HTMLParser):
-    """(pos, parent, tag, id, href, text) of every element, in document order."""
+    """[pos, parent, ancestors, previous, next, nth, tag, attributes, pieces of text] of every element, in document order."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.rows, self.open = [], []
+        self.last: dict[int, int] = {}
 
     def handle_starttag(self, tag, attrs):
-        found = dict(attrs)
-        self.rows.append([len(self.rows), self.open[-1] if self.open else None, tag, found.get("id"), found.get("href"), []])
+        if tag in CLOSES:
+            for i in range(len(self.open) - 1, -1, -1):
+                name = self.rows[self.open[i]][6]
+                if name in CLOSES[tag]:
+                    del self.open[i:]
+                    break
+                if name in KEEPS:
+                    break
+        pos, parent = len(self.rows), self.open[-1] if self.open else None
+        before = self.last.get(-1 if parent is None else parent)
+        if before is not None:
+            self.rows[before][4] = pos
+        self.last[-1 if parent is None else parent] = pos
+        found: dict[str, str] = {}
+        for name, value in attrs:
+            found.setdefault(name, value or "")
+        self.rows.append([pos, parent, list(self.open), before, None, 1 if before is None else self.rows[before][5] + 1, tag, list(found.items()), []])
         if tag not in VOID:
-            self.open.append(len(self.rows) - 1)
+            self.open.append(pos)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -121,33 +132,221 @@ class _Elements(HTMLParser):
 
     def handle_endtag(self, tag):
         for i in range(len(self.open) - 1, -1, -1):
-            if self.rows[self.open[i]][2] == tag:
+            if self.rows[self.open[i]][6] == tag:
                 del self.open[i:]
                 break
 
     def handle_data(self, data):
-        if not self.open or self.rows[self.open[-1]][2] not in ("script", "style"):
+        if not self.open or self.rows[self.open[-1]][6] not in ("script", "style"):
             for i in self.open:
-                self.rows[i][5].append(data)
+                self.rows[i][8].append(data)
+
+
+def parsed(html: str | None) -> list[list]:
+    """The elements of a page, with their texts in one piece, white space normalised."""
+    parser = _Elements()
+    parser.feed(html or "")
+    parser.close()
+    for row in parser.rows:
+        row[8] = " ".join("".join(row[8]).split())
+    return parser.rows
+
+
+#: An element; `ancestors` are places, from the outermost.
+ELEMENT = "struct<pos:int,parent:int,ancestors:array<int>,previous:int,next:int,nth:int,tag:string,attributes:map<string,string>,text:string>"
+_FIELDS = [("pos", pa.int32()), ("parent", pa.int32()), ("ancestors", pa.list_(pa.int32())), ("previous", pa.int32()), ("next", pa.int32()), ("nth", pa.int32()), ("tag", pa.string()), ("attributes", pa.map_(pa.string(), pa.string())), ("text", pa.string())]
+
+
+def with_elements(pages: DataFrame, html_col: str = "html", out: str = "elements", keep: tuple[str, ...] | None = None) -> DataFrame:
+    """pages (or only the columns in keep) with the array of each page's elements in place of its html."""
+    rest = [c for c in (pages.columns if keep is None else keep) if c != html_col]
+    kind = pa.list_(pa.struct(_FIELDS))
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), 64):
+                part = batch.slice(at, 64)
+                found = [[dict(zip((n for n, _ in _FIELDS), row, strict=True)) for row in parsed(h.as_py())] for h in part.column(len(rest))]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(found, kind)], names=[*rest, out])
+
+    schema = ", ".join(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in rest)
+    return pages.select(*rest, html_col).mapInArrow(parse, f"{schema + ', ' if rest else ''}{out} array<{ELEMENT}>")
 
 
 def elements(pages: DataFrame, key: str = "page_id", html_col: str = "html") -> DataFrame:
     """(key, pos, parent, tag, id, href, text) of every element; text is all text inside it."""
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k, html in zip(batch["key"], batch["html"], strict=True):
-                parser = _Elements()
-                parser.feed(html or "")
-                parser.close()
-                if parser.rows:
-                    yield pd.DataFrame([[k, *row[:5], " ".join("".join(row[5]).split())] for row in parser.rows], columns=["key", "pos", "parent", "tag", "id", "href", "text"])
+            for at in range(0, len(batch), 64):
+                columns = [[] for _ in range(7)]
+                for k, html in zip(*batch.slice(at, 64).columns, strict=True):
+                    k = k.as_py()
+                    for row in parsed(html.as_py()):
+                        found = dict(row[7])
+                        for column, value in zip(columns, (k, row[0], row[1], row[6], found.get("id"), found.get("href"), row[8]), strict=True):
+                            column.append(value)
+                kinds = (batch.column(0).type, pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["key", "pos", "parent", "tag", "id", "href", "text"])
 
     kind = pages.schema[key].dataType.simpleString()
-    rows = pages.select(F.col(key).alias("key"), F.col(html_col).alias("html")).mapInPandas(parse, f"key {kind}, pos int, parent int, tag string, id string, href string, text string")
+    rows = pages.select(F.col(key).alias("key"), F.col(html_col).alias("html")).mapInArrow(parse, f"key {kind}, pos int, parent int, tag string, id string, href string, text string")
     return rows.withColumnRenamed("key", key)
 
 
+#: One part of a compound selector.
+_PART = re.compile(r"""(?P<tag>[a-zA-Z][\w-]*|\*)|\#(?P<id>[\w-]+)|\.(?P<cls>[\w-]+)|\[\s*(?P<attr>[\w-]+)\s*(?:(?P<op>[\^$*]?=)\s*(?:"(?P<dq>[^"]*)"|'(?P<sq>[^']*)'|(?P<raw>[^\]\s]+)))?\s*\]|:first-child|:nth-child\((?P<nth>\d+)\)""")
+
+
+def _steps(selector: str) -> list[tuple[str, list[re.Match]]]:
+    """(how it is joined to the one before, parts) of each compound; ValueError for what is not understood."""
+    out, how, at = [], "", 0
+    while at < len(selector):
+        gap = re.compile(r"\s*([>+~])\s*|\s+").match(selector, at)
+        if gap:
+            how, at = gap[1] or " ", gap.end()
+        parts = []
+        while found := _PART.match(selector, at):
+            parts.append(found)
+            at = found.end()
+        if not parts or not out and how:
+            raise ValueError(f"not a selector: {selector}")
+        out.append((how, parts))
+        how = ""
+        if at < len(selector) and not re.compile(r"\s|[>+~]").match(selector, at):
+            raise ValueError(f"not a selector: {selector}")
+    if not out:
+        raise ValueError("an empty selector")
+    return out
+
+
+def _matches(e: Column, parts: list[re.Match]) -> Column:
+    """Whether an element matches a compound."""
+    tests = F.lit(True)
+    for p in parts:
+        if p["tag"]:
+            tests = tests & (F.lit(True) if p["tag"] == "*" else e.tag == p["tag"].lower())
+        elif p["id"]:
+            tests = tests & (e.attributes["id"] == p["id"])
+        elif p["cls"]:
+            tests = tests & F.array_contains(F.split(e.attributes["class"], r"\s+"), p["cls"])
+        elif p["attr"]:
+            value, wanted = e.attributes[p["attr"].lower()], next((p[g] for g in ("dq", "sq", "raw") if p[g] is not None), "")
+            how = {None: lambda: value.isNotNull(), "=": lambda: value == wanted, "^=": lambda: value.startswith(wanted), "$=": lambda: value.endswith(wanted), "*=": lambda: value.contains(wanted)}
+            tests = tests & how[p["op"]]()
+        else:
+            tests = tests & (e.nth == int(p["nth"] or 1))
+    return F.coalesce(tests, F.lit(False))
+
+
+def css(page: Column, selector: str) -> Column:
+    """The elements of a page (a column of with_elements) that a selector matches, in document order."""
+
+    def holds(e: Column, steps: list) -> Column:
+        (how, parts), before = steps[-1], steps[:-1]
+        own = _matches(e, parts)
+        if not before:
+            return own
+        at = lambda place: F.get(page, place)
+        if how == " ":
+            return own & F.exists(e.ancestors, lambda a: holds(at(a), before))
+        if how == "~":
+            return own & F.exists(page, lambda s: s.parent.eqNullSafe(e.parent) & (s.pos < e.pos) & holds(s, before))
+        place = e.parent if how == ">" else e.previous
+        return own & place.isNotNull() & F.coalesce(holds(at(place), before), F.lit(False))
+
+    choices = [_steps(one.strip()) for one in selector.split(",")]
+
+    def any_of(e: Column) -> Column:
+        found = F.lit(False)
+        for steps in choices:
+            found = found | holds(e, steps)
+        return F.coalesce(found, F.lit(False))
+
+    return F.filter(page, any_of)
+
+
+def texts(page: Column, selector: str) -> Column:
+    """Texts of all elements that match; null without any."""
+    return _none_if_empty(F.transform(css(page, selector), lambda e: e.text))
+
+
+def attributes(page: Column, selector: str, name: str, strict: bool = False) -> Column:
+    """An attribute of all elements that match; those without it are left out, or raise when strict; null without any."""
+    found = F.transform(css(page, selector), lambda e: e.attributes[name])
+    there = F.filter(found, lambda v: v.isNotNull())
+    if strict:
+        return F.when(F.size(there) < F.size(found), F.raise_error(F.lit(f"a {selector} without {name}"))).otherwise(_none_if_empty(there))
+    return _none_if_empty(there)
+
+
+def inside(page: Column, place: Column, attribute: str) -> Column:
+    """An attribute of the element at a place and of all elements in it."""
+    found = F.filter(page, lambda e: ((e.pos == place) | F.array_contains(e.ancestors, place)) & e.attributes[attribute].isNotNull())
+    return F.transform(found, lambda e: e.attributes[attribute])
+
+
+def after_label(page: Column, tags: tuple[str, ...], label: str) -> Column:
+    """The element next after the first of some tags whose text begins with a label, case and blanks aside; null without."""
+    labels = F.filter(page, lambda e: e.tag.isin(*tags) & e.next.isNotNull() & e.text.rlike(rf"(?i)^\s*{label}\s*(?:\W|$)"))
+    return F.when(F.size(labels) > 0, F.get(page, F.get(labels, F.lit(0)).next))
+
+
+def counted(page: Column, label: str) -> Column:
+    """hrefs of the list after "Label : N": null without the label, empty if N is 0."""
+    mark = rf"(?i)^\s*{label}\s*:\s*(\d+)\s*$"
+    labels = F.filter(page, lambda e: e.text.rlike(mark))
+    # Of elements around one another that say it, the innermost comes last; of repeated labels the first counts.
+    first = F.get(F.filter(labels, lambda e: ~F.exists(labels, lambda o: F.array_contains(o.ancestors, e.pos))), F.lit(0))
+    lists = F.filter(page, lambda e: e.tag.isin("ul", "ol") & (e.pos > first.pos))
+    n = F.regexp_extract(first.text, mark, 1).try_cast("int")
+    found = F.when(F.size(lists) > 0, inside(page, F.get(lists, F.lit(0)).pos, "href")).otherwise(F.array().cast("array<string>"))
+    return F.when(F.size(labels) == 0, None).when(n == 0, F.array().cast("array<string>")).otherwise(found)
+
+
+def per_page(function: Callable[[list], object], strict: bool = False) -> Callable[[Column], Column]:
+    """A template entry from a Python function of one page's elements (dicts), for what selectors cannot say.
+
+    A single value is wrapped in an array of one; a page on which the function
+    fails gets null, or fails the job when strict.
+    """
+
+    @F.pandas_udf("array<string>")
+    def run(pages: pd.Series) -> pd.Series:
+        def one(page) -> list | None:
+            try:
+                found = function([] if page is None else list(page))
+            except Exception:
+                if strict:
+                    raise
+                return None
+            return found if found is None else list(found) if isinstance(found, (list, tuple)) else [str(found)]
+
+        return pd.Series([one(page) for page in pages], index=pages.index, dtype=object)
+
+    return run
+
+
+def apply_template(pages: DataFrame, template: dict[str, tuple[str, ...] | str | Callable[[Column], Column]], html_col: str = "html", keep: tuple[str, ...] = ("url",), strict: bool = False) -> DataFrame:
+    """One column per key: a selector's texts, a (selector, attribute) pair's values, or a function of the elements.
+
+    Pages are parsed once for all keys. strict: an element without the attribute
+    that is asked for is an error.
+    """
+    page, out = F.col("elements"), []
+    for key, how in template.items():
+        if callable(how):
+            value = how(page)
+        elif isinstance(how, str):
+            value = texts(page, how)
+        elif len(how) == 2:
+            value = attributes(page, *how, strict=strict)
+        else:
+            raise ValueError(f"{key}: a selector is CSS, (CSS, attribute) or a function")
+        out.append(value.alias(key))
+    return with_elements(pages, html_col, keep=keep).select(*keep, *out)
+
+
 def label_values(rows: DataFrame, key: str, label_tag: str = "td", value_tag: str = "td") -> DataFrame:
     """(key, label, value, hrefs): an element and the next sibling, as in a two-column table; hrefs of links inside the sibling."""
     beside = Window.partitionBy(key, "parent").orderBy("pos")

@@ -39,32 +39,29 @@ def with_page_type(pages: DataFrame, host: str, url_col: str = "url") -> DataFra
     return pages.withColumn("page_type", urls.classify(F.col(url_col), {host + path: name for name, path in PATHS.items()}))
 
 
-def _first(tag: str) -> Callable[[Column], Column]:
-    return lambda c: text.first_of(html.select_text(c, tag))
+def _first(selector: str) -> Callable[[Column], Column]:
+    return lambda page: text.first_of(html.texts(page, selector))
 
 
 def _labelled(label: str, attr: str | None = None) -> Callable[[Column], Column]:
-    """The text (or an attribute of the links) of the cell or block after one that begins with a label."""
-    block = rf"(?is)<(td|div)\b[^>]*>\s*(?:<[^>/]*>\s*)*{label}[^<]*(?:<[^>]*>\s*)*?</\1>\s*<\1\b[^>]*>(.*?)</\1>"
+    """The text (or an attribute of what is inside) of the cell or block after one that begins with a label."""
 
-    def value(c: Column) -> Column:
-        inside = F.regexp_extract(c, block, 2)
+    def value(page: Column) -> Column:
+        beside = html.after_label(page, ("td", "th", "div"), label)
         if attr:
-            found = F.regexp_extract_all(inside, F.lit(rf'(?is)\b{attr}="([^"]*)"'), F.lit(1))
+            found = html.inside(page, beside.pos, attr)
             return F.when(F.size(found) > 0, found)
-        plain = html.strip_tags(inside)
-        return F.when(plain != "", plain)
+        return F.when(beside.text != "", beside.text)
 
     return value
 
 
 def _section_links(element_id: str) -> Callable[[Column], Column]:
-    inside = rf'(?is)<(\w+)\b[^>]*\bid="{element_id}"[^>]*>(.*?)</\1>'
-    return lambda c: F.regexp_extract_all(F.regexp_extract(c, inside, 2), F.lit(r'(?is)\bhref="([^"]*)"'), F.lit(1))
+    return lambda page: F.coalesce(html.attributes(page, f"#{element_id} [href]", "href"), F.array().cast("array<string>"))
 
 
 def _counted(label: str) -> Callable[[Column], Column]:
-    return lambda c: html.counted_section(c, label)
+    return lambda page: html.counted(page, label)
 
 
 def _without_pdf(c: Column) -> Column:

@@ -130,8 +130,9 @@ def classify_url(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", urls.classify(F.col("url"), PREFIXES).alias("page_type"))
 
 
-_LINKS = """l AS (SELECT page_id, url, unnest(regexp_extract_all(html, '<a\\b[^>]*?\\bhref="([^"]*)"[^>]*>(.*?)</a>', 0, 'is')) AS a FROM pages),
-r AS (SELECT page_id, url, replace(regexp_extract(a, 'href="([^"]*)"', 1), '&amp;', '&') AS href FROM l)"""
+#: Links by cutting the text at tags, without patterns.
+_LINKS = """l AS (SELECT page_id, url, unnest(string_split(html, '<a ')[2:]) AS a FROM pages),
+r AS (SELECT page_id, url, replace(string_split(string_split(a, 'href="')[2], '"')[1], '&amp;', '&') AS href, string_split(substr(a, instr(a, '>') + 1), '</a>')[1] AS body FROM l WHERE contains(string_split(a, '>')[1], 'href="'))"""
 _SITE = "regexp_extract(url, '^([A-Za-z]+://[^/?#]*)', 1)"
 
 
@@ -158,16 +159,15 @@ def page_links(spark, sf_dir):
     return html.links(table(spark, sf_dir, "pages")).groupBy("page_id", "href").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("""WITH e AS (SELECT page_id, unnest(regexp_extract_all(html, '<(?:h[1-6])\\b[^>]*>.*?</h[1-6]>|<a\\b[^>]*?\\bhref="[^"]*"', 0, 'is')) AS e,
-  generate_subscripts(regexp_extract_all(html, '<(?:h[1-6])\\b[^>]*>.*?</h[1-6]>|<a\\b[^>]*?\\bhref="[^"]*"', 0, 'is'), 1) AS pos FROM pages),
-g AS (SELECT page_id, e, sum(CASE WHEN regexp_matches(e, '^<h[1-6]') THEN 1 ELSE 0 END) OVER (PARTITION BY page_id ORDER BY pos) AS grp FROM e)
-SELECT page_id, count(*) AS links, count(DISTINCT CASE WHEN grp > 0 THEN grp END) AS groups FROM g WHERE starts_with(e, '<a') GROUP BY page_id""")
+@query("""WITH e AS (SELECT page_id, unnest(string_split(html, '<')) AS e, generate_subscripts(string_split(html, '<'), 1) AS pos FROM pages),
+g AS (SELECT page_id, e, sum(CASE WHEN e[1] = 'h' AND contains('123456', e[2]) AND e[3] IN (' ', '>') THEN 1 ELSE 0 END) OVER (PARTITION BY page_id ORDER BY pos) AS grp FROM e)
+SELECT page_id, count(*) AS links, count(DISTINCT CASE WHEN grp > 0 THEN grp END) AS groups FROM g WHERE starts_with(e, 'a ') AND contains(e, 'href="') GROUP BY page_id""")
 def heading_link_groups(spark, sf_dir):
     groups = html.link_groups(table(spark, sf_dir, "pages"))
     return groups.groupBy("page_id").agg(F.sum(F.size("hrefs")).cast("long").alias("links"), F.count("heading").alias("groups"))
 
 
-@query(f"""WITH {_LINKS} SELECT page_id, count(*) AS n FROM l WHERE regexp_matches(regexp_extract(a, '>(.*?)</a>', 1), '(?i)the') GROUP BY page_id""")
+@query(f"WITH {_LINKS} SELECT page_id, count(*) AS n FROM r WHERE contains(lower(body), 'the') GROUP BY page_id")
 def links_by_text(spark, sf_dir):
     return html.links_matching(html.links(table(spark, sf_dir, "pages")), "(?i)the").groupBy("page_id").agg(F.count(F.lit(1)).alias("n"))
 

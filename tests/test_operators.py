@@ -24,7 +24,7 @@ def page(spark):
 
 def test_html(page):
     first = page.where("page_id = 1")
-    got = html.apply_template(first, {"heads": "h2", "hrefs": ("a", "href"), "yeas": lambda c: html.counted_section(c, "Yeas"), "nays": lambda c: html.counted_section(c, "Nays"), "absent": lambda c: html.counted_section(c, "Absent"), "none": "h5"}).first()
+    got = html.apply_template(first, {"heads": "h2", "hrefs": ("a", "href"), "yeas": lambda c: html.counted(c, "Yeas"), "nays": lambda c: html.counted(c, "Nays"), "absent": lambda c: html.counted(c, "Absent"), "none": "h5"}).first()
     assert got.heads == ["Votes", "More"] and got.hrefs[0] == "/skip" and got.none is None
     assert (got.yeas, got.nays, got.absent) == (["/m/1", "/m/2"], [], None)
     assert dict(rows(html.link_groups(first), "heading", "hrefs")) == {None: ["/skip"], "Votes": ["/m/1", "/m/2"], "More": ["/v?a=1&b=2", "/b/1"]}
@@ -33,6 +33,94 @@ def test_html(page):
         html.apply_template(first, {"x": ("a", "b", "c")})
 
 
+ODD = """<A HREF='/x'>one</A><a href=/y class=k>two<b>!</b></a><!-- <a href="/c">no</a> --><script>s = '<a href="/s">';</script>
+<style>a { } <a href="/t"></style><a class="q > r" title='<a href="/no">' href="/z">three <a
+  href = "/w?a=1&amp;b='2'">four</a><a name="n">five</a><area href="/area"><a data-href="/d" href="/e">six</a><a href="">seven</a>"""
+
+
+def stdlib_links(html_text):
+    """What the standard library's parser says of links."""
+    from html.parser import HTMLParser
+
+    class Links(HTMLParser):
+        found = []
+
+        def handle_starttag(self, tag, attrs):
+            if tag == "a" and "href" in dict(attrs):
+                self.found.append(dict(attrs)["href"])
+
+    parser = Links()
+    parser.found = []
+    parser.feed(html_text)
+    parser.close()
+    return parser.found
+
+
+def test_links_of_all_forms(spark):
+    real = [r.html for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()]
+    single = [h.replace('href="', "HREF = '").replace('">', "'>") for h in real[:10]]
+    pages = spark.createDataFrame([(i, "https://h.org/", h) for i, h in enumerate([ODD, *real, *single, "", None])], "page_id long, url string, html string")
+    found = {}
+    for r in html.links(pages).orderBy("page_id", "pos").collect():
+        found.setdefault(r.page_id, []).append(r.href)
+    for r in pages.collect():
+        assert found.get(r.page_id, []) == (stdlib_links(r.html) if r.html else []), r.page_id
+    assert found[0] == ["/x", "/y", "/z", "/w?a=1&b='2'", "/e", ""]
+    assert [r.text for r in html.links(pages.where("page_id = 0")).orderBy("pos").collect()] == ["one", "two !", "three", "four", "six", "seven"]
+    groups = html.link_groups(pages).where("page_id = 0").first()
+    assert groups.hrefs == found[0]
+    by_elements = html.elements(pages).where("tag = 'a' AND href IS NOT NULL").orderBy("page_id", "pos").collect()
+    assert {k: [r.href for r in by_elements if r.page_id == k] for k in found} == found
+
+
+NESTED = """<div id="a" class="box wide"><div class="in">p <div>q</div></div> r</div><ul><li>1<li class="b">2<ul><li>2.1</ul><li>3</ul>
+<p>x<p id="z" data-k="v w">y <b>bold</b><table><tr><td>1<td>2<tr><td>3</table><a href="/1?u=1">k</a><br><a>l</a>"""
+
+
+@pytest.mark.parametrize(
+    "selector, expected",
+    [
+        ("div", ["p q r", "p q", "q"]),
+        ("#a > div", ["p q"]),
+        ("div div", ["p q", "q"]),
+        ("div.box.wide .in div", ["q"]),
+        (".wid", None),
+        ("ul > li", ["1", "22.1", "2.1", "3"]),
+        ("body > ul li, b", ["bold"]),
+        ("li + li", ["22.1", "3"]),
+        ("li.b ~ li", ["3"]),
+        ("ul ul li:first-child", ["2.1"]),
+        ("tr td:nth-child(2)", ["2"]),
+        ("[data-k='v w'] b", ["bold"]),
+        ("p[data-k^=v]", ["y bold123kl"]),
+        ("a[href*='u=']", ["k"]),
+        ("a[href$='=1'], p", ["x", "y bold123kl", "k"]),
+        ("*#z", ["y bold123kl"]),
+        ("h1", None),
+    ],
+)
+def test_css(spark, selector, expected):
+    pages = spark.createDataFrame([(NESTED,)], "html string")
+    assert html.with_elements(pages).select(html.texts(F.col("elements"), selector).alias("t")).first().t == expected
+
+
+def test_templates_over_elements(spark):
+    pages = spark.createDataFrame([("u", NESTED), ("v", None)], "url string, html string")
+
+    def second(page):
+        return page[1]["text"] if page else page[1]
+
+    keys = {"k": ("a", "href"), "p": html.per_page(second), "l": html.per_page(lambda page: [e["tag"] for e in page][:2])}
+    got = {r.url: r for r in html.apply_template(pages, keys).collect()}
+    assert (got["u"].k, got["u"].p, got["u"].l) == (["/1?u=1"], ["p q"], ["div", "div"]) and (got["v"].k, got["v"].p, got["v"].l) == (None, None, [])
+    for bad in ({"k": html.per_page(second, strict=True)}, {"k": ("a", "href")}):
+        with pytest.raises(Exception, match="IndexError|without href"):
+            html.apply_template(pages, bad, strict=True).collect()
+    for selector in ("", "a >", "> a", "a:hover", "a[", "a..b"):
+        with pytest.raises(ValueError):
+            html.css(F.col("x"), selector)
+
+
 def test_elements(page):
     found = html.elements(page)
     pairs = html.label_values(found, "page_id")
