@@ -45,6 +45,8 @@ from pagemart.llm.shared import free_name, join_hot, quoted, stored
 SEED = 42
 #: From this length on, a list's partners are found by flipping bits; from HUGE on, it is split.
 LONG, HUGE = 16_384, 1 << 20
+#: Pairs that a task holds before it makes a forest of them, beside those of one step.
+PENDING = 1 << 20
 #: Ids to drop that are broadcast at most, of 8 bytes each.
 DROPPED = 2_000_000
 
@@ -128,13 +130,21 @@ def links_of_lists(lists: np.ndarray, values: np.ndarray, masks: list[int], most
     sizes = np.diff(np.r_[starts, len(values)])
     place = np.repeat(np.arange(len(starts)), sizes)
     found_a, found_b = [], []
+    pending = 0
 
     def keep(a: np.ndarray, b: np.ndarray) -> None:
         counted = tally(a, b) >= 8 - most
         a, b = a[counted], b[counted]
         near = np.bitwise_count(a ^ b) <= most
-        found_a.append(a[near])
-        found_b.append(b[near])
+        found_a.append(a[near].view(np.int64))
+        found_b.append(b[near].view(np.int64))
+        nonlocal pending
+        pending += len(found_a[-1])
+        if pending > PENDING:
+            # Dense families have very many pairs; a forest of them says the same.
+            forest = _forest(np.concatenate(found_a), np.concatenate(found_b))
+            found_a[:], found_b[:] = forest[:1], forest[1:]
+            pending = len(forest[0])
 
     short = np.flatnonzero((sizes[place] > 1) & (sizes[place] <= LONG))
     step = 1
@@ -152,7 +162,7 @@ def links_of_lists(lists: np.ndarray, values: np.ndarray, masks: list[int], most
             keep(members[hit], other[hit])
     if not found_a:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    return _forest(np.concatenate(found_a).view(np.int64), np.concatenate(found_b).view(np.int64))
+    return _forest(np.concatenate(found_a), np.concatenate(found_b))
 
 
 def _narrowed(masks: list[int]) -> list[int]:

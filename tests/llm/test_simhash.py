@@ -64,6 +64,7 @@ def spread_values(n, centres, flips, seed):
 @pytest.mark.parametrize("long", [2, 5, 1024])
 def test_components_of_dense_values(spark, monkeypatch, long):
     monkeypatch.setattr(simhash, "LONG", long)
+    monkeypatch.setattr(simhash, "PENDING", 10 * long)
     values = spread_values(400, 3, 6, long)
     # In this process too: lists of any length give what pairs would give.
     signed = [int(np.uint64(v).view(np.int64)) for v in values]
