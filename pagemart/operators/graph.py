@@ -76,10 +76,24 @@ def reachable(edges: DataFrame, start: DataFrame) -> DataFrame:
 
 
 def nearest_ancestor(nodes: DataFrame, edges: DataFrame, start: DataFrame, value: str) -> DataFrame:
-    """(key, value): the value of the nearest ancestor that has one, itself first; ties by ord."""
-    found = ancestors(edges, start).join(nodes.where(F.col(value).isNotNull()).select("key", "ord", value), "key")
-    best = found.groupBy("start").agg(F.min_by(value, F.struct("depth", "ord")).alias(value))
-    return start.select("key").join(best.withColumnRenamed("start", "key"), "key", "left")
+    """(key, value): the value of the nearest ancestor that has one, itself first; ties by ord.
+
+    A start leaves the walk in the round in which it finds a value; what is walked
+    are pairs of starts still without one and the ancestors of that round. Ends on cycles.
+    """
+    has = nodes.where(F.col(value).isNotNull()).select("key", "ord", value)
+    frontier = seen = cut(start.select(F.col("key").alias("start"), "key").distinct())
+    found = None
+    while True:
+        hits = frontier.join(has, "key").groupBy("start").agg(F.min_by(value, "ord").alias(value))
+        hits = cut(hits)
+        found = hits if found is None else found.unionByName(hits)
+        left = frontier.join(hits.select("start"), "start", "left_anti")
+        step = left.join(edges, F.col("key") == F.col("dst_key")).select("start", F.col("src_key").alias("key")).distinct()
+        frontier = cut(step.join(seen, ["start", "key"], "left_anti"))
+        if frontier.isEmpty():
+            return start.select("key").join(found.withColumnRenamed("start", "key"), "key", "left")
+        seen = seen.unionByName(frontier)
 
 
 def complete(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -142,6 +156,41 @@ def preorder(paths: DataFrame) -> DataFrame:
     return numbered(paths, "path", out="nth")
 
 
+def postorder(paths: DataFrame) -> DataFrame:
+    """With nth: children right to left, then their node; the way back of preorder."""
+    return numbered(paths, F.col("path").desc(), out="nth")
+
+
+def tree_violations(children: DataFrame) -> DataFrame:
+    """(key, rule) of what children(key, parent_key, pos) break: one root (others than the first by pos and key), one parent
+    for each key, parents that exist.
+    """
+    roots = children.where(F.col("parent_key").isNull()).select("key", "pos")
+    first = roots.agg(F.min(F.struct("pos", "key")).alias("first"))
+    second = roots.join(F.broadcast(first), (F.col("key") != F.col("first.key"))).select("key", F.lit("second root").alias("rule"))
+    several = children.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key", F.lit("several parents").alias("rule"))
+    lost = children.where(F.col("parent_key").isNotNull()).join(children.select(F.col("key").alias("parent_key")), "parent_key", "left_anti").select("key", F.lit("unknown parent").alias("rule"))
+    return second.unionByName(several).unionByName(lost)
+
+
+def in_state(nodes: DataFrame, *states: int) -> DataFrame:
+    """Nodes in any of some states."""
+    return nodes.where(F.col("state").isin(*states))
+
+
+def set_state(nodes: DataFrame, keys: DataFrame, state: int) -> DataFrame:
+    """nodes with those of some keys in a state."""
+    marked = keys.select("key").distinct().withColumn("_set", F.lit(True))
+    return nodes.join(marked, "key", "left").withColumn("state", F.when(F.col("_set"), state).otherwise(F.col("state"))).select(*nodes.columns)
+
+
+def reset(nodes: DataFrame) -> DataFrame:
+    """What was being worked on goes back to the state before, so that it is taken up again."""
+    back = {FETCHING: AWAITING_FETCH, PROCESSING: AWAITING_PROCESSING, LOADING: AWAITING_LOAD}
+    state = F.coalesce(*[F.when(F.col("state") == s, F.lit(b)) for s, b in back.items()], F.col("state"))
+    return nodes.withColumn("state", state)
+
+
 def resume_order(paths: DataFrame, states: DataFrame) -> DataFrame:
     """(key, state_rank, path) of unfinished nodes: fetching states first, then by place."""
     ranks = {AWAITING_FETCH: 0, CREATED: 1, FETCHING: 2, AWAITING_PROCESSING: 3, PROCESSING: 4}

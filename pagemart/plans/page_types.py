@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pagemart.functions import text, urls
 from pagemart.operators import html, template
 from pagemart.operators.template import Template
+from pagemart.plans.registry import Registry
 
 #: Fixed: path of each page type under the site's host.
 PATHS = {
@@ -68,7 +69,7 @@ def _without_pdf(c: Column) -> Column:
     return text.normalize_str(c, "PDF")
 
 
-PAGE_TYPES: dict[str, Template] = {
+_TEMPLATES: dict[str, Template] = {
     "legislator": Template(
         selectors={
             "title": _first("h1"),
@@ -133,10 +134,14 @@ PAGE_TYPES: dict[str, Template] = {
 }
 
 
+#: A page type has one template; a second one of its name, or one that is not there, is an error.
+PAGE_TYPES = Registry("template for")
+for _name, _how in _TEMPLATES.items():
+    PAGE_TYPES.add(_name, _how)
+
+
 def records(pages: DataFrame, host: str, page_type: str, session_param: str) -> DataFrame:
     """(url, session_code, ...) of all pages of a type: read, cleaned, structs spread, links resolved to keys."""
-    if page_type not in PAGE_TYPES:
-        raise KeyError(f"no template for {page_type}")
     how = PAGE_TYPES[page_type]
     own = urls.with_session(with_page_type(pages, host).where(F.col("page_type") == page_type), session_param)
     raw = html.apply_template(own, how.selectors, keep=("url", "session_code"))

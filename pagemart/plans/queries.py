@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemart.functions import text, urls
 from pagemart.operators import documents, frontier, graph, html, merge, resolve, template, validate
+from pagemart.operators.lineage import shared_folder
 from pagemart.plans.registry import QUERIES, SQL, query, table
 from pagemart.streaming import pages as stream
 
@@ -536,20 +536,26 @@ def manifest(spark, sf_dir):
     return documents.manifest(records, "https://x.example.org/a/b?c=1")
 
 
-@query("SELECT l_orderkey, l_linenumber, max(p_partkey) AS last_rule FROM lineitem JOIN part ON l_suppkey = p_partkey % 100 AND p_retailprice BETWEEN l_extendedprice - 50 AND l_extendedprice + 50 GROUP BY l_orderkey, l_linenumber")
+@query("""SELECT l_orderkey AS doc, l_suppkey AS page, l_linenumber AS ord, max_by(CASE WHEN abs(y - 5) <= abs(y - 10) THEN 'strike' ELSE 'underline' END, p_partkey) AS mark FROM (SELECT *, p_size % 12 AS y FROM lineitem JOIN part ON l_suppkey = p_partkey % 100
+  AND l_extendedprice < p_retailprice + 50 AND l_extendedprice + 50 > p_retailprice) WHERE least(abs(y - 5), abs(y - 10)) <= 2 GROUP BY l_orderkey, l_suppkey, l_linenumber""")
 def overlap_join(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice", (F.col("p_partkey") % 100).alias("l_suppkey"))
-    return lines.join(part, "l_suppkey").where(F.col("p_retailprice").between(F.col("l_extendedprice") - 50, F.col("l_extendedprice") + 50)).groupBy("l_orderkey", "l_linenumber").agg(F.max("p_partkey").alias("last_rule"))
+    """Lines as characters, parts as rules: the last rule that overlaps one and is near enough marks it."""
+    lines = table(spark, sf_dir, "lineitem")
+    chars = lines.select(F.col("l_orderkey").alias("doc"), F.col("l_suppkey").alias("page"), F.col("l_linenumber").alias("ord"), F.lit("x").alias("text"), F.col("l_extendedprice").alias("x0"), (F.col("l_extendedprice") + 50).alias("x1"), F.lit(0.0).alias("top"), F.lit(10.0).alias("bottom"))
+    y = (F.col("p_size") % 12).cast("double")
+    part = table(spark, sf_dir, "part").select((F.col("p_partkey") % 100).alias("page"), F.col("p_partkey").alias("ord"), F.col("p_retailprice").alias("x0"), (F.col("p_retailprice") + 50).alias("x1"), y.alias("top"), y.alias("bottom"))
+    rules = part.join(lines.select(F.col("l_orderkey").alias("doc"), F.col("l_suppkey").alias("page")).distinct(), "page")
+    return documents.marked_chars(chars, rules).where("mark IS NOT NULL").select("doc", "page", "ord", "mark").distinct()
 
 
 @query("""WITH t AS (SELECT conv_id, turn, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) AS g FROM conversations)
 SELECT conv_id, count(*) AS runs FROM (SELECT DISTINCT conv_id, role, g FROM t) GROUP BY conv_id""")
 def role_runs(spark, sf_dir):
-    """Runs of equal neighbours, as in marked lines, over the turns of conversations."""
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    runs = table(spark, sf_dir, "conversations").withColumn("new", F.when(F.col("role").eqNullSafe(F.lag("role").over(w)), 0).otherwise(1))
-    return runs.groupBy("conv_id").agg(F.sum("new").alias("runs"))
+    """Runs of equal neighbours, as marked lines have them: turns as characters of one line, marked by their role."""
+    mark = F.when(F.col("role") == "user", "underline").when(F.col("role") == "assistant", "strike")
+    turns = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc"), F.lit(1).alias("page"), F.col("turn").alias("ord"), F.lit("x").alias("text"), F.lit(0.0).alias("top"), mark.alias("mark"))
+    runs = F.size(F.regexp_extract_all("text", F.lit("_x+_|~x+~|x+"), F.lit(0)))
+    return documents.marked_lines(turns).select(F.col("doc").alias("conv_id"), runs.cast("long").alias("runs"))
 
 
 # More joins and tables around them.
@@ -614,8 +620,7 @@ def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _shared(spark: SparkSession) -> str:
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="pagemart-")
-    return f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
 
 
 @query("SELECT regexp_extract(url, '^[A-Za-z]+://([^/?#]*)', 1) AS host, count(DISTINCT url) AS pages FROM pages GROUP BY 1")
@@ -642,4 +647,4 @@ def stream_quarantine(spark, sf_dir):
     return rows.groupBy("user_id").agg(F.count_if(F.col("kind") == "kept").alias("kept"), F.count_if(F.col("kind") == "aside").alias("aside"))
 
 
-from pagemart.plans import merge_queries  # noqa: E402, F401
+from pagemart.plans import merge_queries, page_queries, store_queries  # noqa: E402, F401

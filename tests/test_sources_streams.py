@@ -17,6 +17,15 @@ def test_sessions_and_lists(spark, tmp_path):
     (tmp_path / "k.txt").write_text(" a \n\nb\n")
     assert [r.url for r in files.known_urls(spark, str(tmp_path / "k.txt")).collect()] == ["a", "b"]
     (tmp_path / "l.json").write_text('["x", "y"]')
+    (tmp_path / "bad.json").write_text('["x", ')
+    assert files.json_list(spark, str(tmp_path / "bad.json")).count() == 0
+    for value in ("5", "true", '"x"', '{"a": 1}'):
+        (tmp_path / "o.json").write_text(value)
+        with pytest.raises(Exception, match="not a JSON array"):
+            files.json_list(spark, str(tmp_path / "o.json")).collect()
+    files.append_items(spark.createDataFrame([("a",), ('b "q"',)], "item string").coalesce(1), str(tmp_path / "list"))
+    files.append_items(spark.createDataFrame([("a",)], "item string"), str(tmp_path / "list"))
+    assert sorted(r.item for r in files.json_list(spark, str(tmp_path / "list")).collect()) == ["a", "a", 'b "q"']
     (tmp_path / "o.json").write_text('{"a": 1}')
     assert [r.item for r in files.json_list(spark, str(tmp_path / "l.json")).collect()] == ["x", "y"]
     assert files.json_list(spark, str(tmp_path / "none.json")).count() == 0
@@ -27,7 +36,11 @@ def test_sessions_and_lists(spark, tmp_path):
 def test_graph_snapshot(spark, tmp_path):
     nodes = spark.createDataFrame([("a", 1), ("b", 2)], "key string, ord long")
     edges = spark.createDataFrame([("a", "b"), ("b", "gone")], "src_key string, dst_key string")
-    got, links = files.read_graph(spark, files.write_graph(nodes, edges, str(tmp_path)), nodes.schema)
+    assert all(df.count() == 0 for df in files.read_graph(spark, str(tmp_path / "none"), nodes.schema))
+    folder = files.write_graph(nodes, edges, str(tmp_path))
+    assert files.current(spark, str(tmp_path)) == folder
+    got, links, roots = files.read_graph(spark, str(tmp_path), nodes.schema)
+    assert [r.key for r in roots.collect()] == ["a"] and files.read_graph(spark, folder, nodes.schema)[0].count() == 2
     assert sorted(map(tuple, got.collect())) == [("a", 1), ("b", 2)]
     assert [tuple(r) for r in links.collect()] == [("a", "b")]
     assert files.next_id(got).first().next_id == 3
