@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagemart.operators.graph import AWAITING_FETCH, CREATED
-from pagemart.operators.lineage import numbered
+from pagemart.operators.lineage import numbered, numbered_within, with_previous
 from pagemart.operators.resolve import by_host
 
 DELAY_SECONDS, ATTEMPTS, RETRY_SECONDS = 2.5, 3, 0.5
@@ -42,15 +42,13 @@ def interleave(a: DataFrame, b: DataFrame, order: str = "ord") -> DataFrame:
 
 def fetch_plan(queue: DataFrame, last_fetch: DataFrame, delay: float = DELAY_SECONDS) -> DataFrame:
     """queue(host, ord, ...) with not_before in seconds: the host's last fetch plus a delay for each place in line."""
-    place = F.row_number().over(Window.partitionBy("host").orderBy("ord"))
-    return queue.withColumn("place", place).join(last_fetch.select("host", "last"), "host", "left").withColumn("not_before", F.coalesce("last", F.lit(0.0)) + F.lit(delay) * F.col("place")).drop("last")
+    return numbered_within(queue, "host", "ord", out="place").join(last_fetch.select("host", "last"), "host", "left").withColumn("not_before", F.coalesce("last", F.lit(0.0)) + F.lit(delay) * F.col("place")).drop("last")
 
 
 def delay_audit(log: DataFrame, host: str, ts: str, delay: float = DELAY_SECONDS) -> DataFrame:
     """Fetches that came sooner than the delay after the one before on their host."""
     at = F.unix_micros(F.col(ts).cast("timestamp"))
-    gap = at - F.lag(at).over(Window.partitionBy(host).orderBy(ts))
-    return log.withColumn("gap_s", gap / 1e6).where(F.col("gap_s") < delay)
+    return with_previous(log, host, at, "_previous").withColumn("gap_s", (at - F.col("_previous")) / 1e6).where(F.col("gap_s") < delay).drop("_previous")
 
 
 def retry_plan(log: DataFrame, key: str, ts: str, attempts: int = ATTEMPTS, wait: float = RETRY_SECONDS) -> DataFrame:

@@ -38,3 +38,29 @@ def numbered(df: DataFrame, *order: Column | str, out: str = "rn") -> DataFrame:
     before = sizes.select("_range", F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
     within = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
     return ranges.withColumn(out, within).join(before, "_range").withColumn(out, F.col(out) + F.col("_before")).drop("_range", "_before")
+
+
+def numbered_within(df: DataFrame, group: str, *order: Column | str, out: str = "rn") -> DataFrame:
+    """df with out = 1, 2, ... in order within each group, however many of the rows one group has.
+
+    Rows are dealt into ranges of (group, order); a group's rows in a range are
+    numbered there and shifted by how many it has in the ranges before.
+    """
+    ranges = cut(df.repartitionByRange(group, *order).withColumn("_range", F.spark_partition_id()))
+    sizes = ranges.groupBy(F.col(group).alias("_group"), F.col("_range").alias("_of")).agg(F.count(F.lit(1)).alias("_n"))
+    ahead = Window.partitionBy("_group").orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("_group", "_of", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_before"))
+    rows = ranges.withColumn(out, F.row_number().over(Window.partitionBy("_range", group).orderBy(*order)))
+    joined = rows.join(before, (F.col("_range") == F.col("_of")) & F.col(group).eqNullSafe(F.col("_group")))
+    return joined.withColumn(out, F.col(out) + F.col("_before")).drop("_range", "_of", "_group", "_before")
+
+
+def with_previous(df: DataFrame, group: str, value: Column, out: str = "previous") -> DataFrame:
+    """df with the next smaller or equal value of the row's group, by ranges as above; null for the first."""
+    ranges = cut(df.withColumn("_value", value).repartitionByRange(group, "_value").withColumn("_range", F.spark_partition_id()))
+    last = ranges.groupBy(F.col(group).alias("_group"), F.col("_range").alias("_of")).agg(F.max("_value").alias("_last"))
+    ahead = Window.partitionBy("_group").orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    last = last.select("_group", "_of", F.max("_last").over(ahead).alias("_before"))
+    rows = ranges.withColumn(out, F.lag("_value").over(Window.partitionBy("_range", group).orderBy("_value")))
+    joined = rows.join(last, (F.col("_range") == F.col("_of")) & F.col(group).eqNullSafe(F.col("_group")))
+    return joined.withColumn(out, F.coalesce(out, "_before")).drop("_range", "_of", "_group", "_before", "_value")

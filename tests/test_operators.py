@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from pagemart.operators import documents, graph, html, merge, resolve, template, validate
+from pagemart.operators import documents, frontier, graph, html, merge, resolve, template, validate
 
 D = dt.date
 
@@ -311,3 +311,22 @@ def test_first_containing_over_all_hosts(spark):
     assert got == brute and got[0][0] == 1 and got[2][0] == 2 and got[3][0] == 3 and 4 not in got and got[7][0] == 1
     own = {r.n: r.found_ord for r in resolve.first_containing(requests.where("n in (0, 2, 3)"), nodes, "n", "wanted", "url", "ord", "host").collect()}
     assert own == {0: 1, 2: 2}
+
+
+def test_numbers_and_gaps_within_a_hot_group(spark):
+    data = [("h" if i % 3 else None if i % 2 else "g", i // 2, i) for i in range(400)]
+    df = spark.createDataFrame(data, "host string, ord int, id int").repartition(7)
+    got = frontier.numbered_within(df, "host", "ord", "id", out="n").collect()
+    expected, seen = {}, {}
+    for host, _, i in sorted(data, key=lambda r: (r[0] or "", r[1], r[2])):
+        seen[host] = expected[i] = seen.get(host, 0) + 1
+    assert {r.id: r.n for r in got} == expected
+    before, last = {}, {}
+    for host, o, i in sorted(data, key=lambda r: (r[0] or "", r[1], r[2])):
+        before.setdefault((host, o), []).append(last.get(host))
+        last[host] = o
+    found = {}
+    for r in frontier.with_previous(df, "host", F.col("ord"), "p").collect():
+        found.setdefault((r.host, r.ord), []).append(r.p)
+    key = lambda d: {k: sorted(v, key=str) for k, v in d.items()}
+    assert key(found) == key(before)
