@@ -36,7 +36,7 @@ def test_against_plain_python(spark):
 
 
 def test_stages_keep_columns_and_take_odd_rows(spark):
-    odd = spark.createDataFrame([(None, None, None, None, None), (1, "", "en", "s", 0), (2, "the cat and the dog are here " * 9, None, "s", None), (2, "the cat and the dog are here " * 9, None, "s", None)], "doc_id long, text string, lang string, source string, n_chars long").withColumn("score", F.lit(1)).withColumn("_p", F.lit(2))
+    odd = spark.createDataFrame([(None, None, None, None, None), (1, "", "en", "s", 0), (2, "the cat and the dog are here " * 9, None, "s", None), (2, "the cat and the dog are here " * 9, None, "s", None)], "doc_id long, text string, lang string, source string, n_chars long").withColumns({name: F.lit(1) for name in ("score", "_p", "found", "gone", "id", "key", "fingerprint", "root", "label", "predicted", "lang_pred", "_found", "a.b")})
     for rows in (odd, odd.limit(0)):
         for _, stage in corpus_pipeline.STAGES[:-1]:
             out = stored(stage(spark, rows, SF), "t")
