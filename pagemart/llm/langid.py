@@ -81,7 +81,7 @@ class Bundler:
 
     def __init__(self, most: int = 12_288):
         self.most, self.rows = most, {}
-        self.table = np.zeros((most, SIZE), np.float32)
+        self.table = np.zeros((most, SIZE), np.int8)
 
     def vector(self, text: str) -> np.ndarray | None:
         found = grams(text)
@@ -99,23 +99,19 @@ class Bundler:
                 self.rows |= zip(new.tolist(), range(first, first + len(new)), strict=True)
                 self.table[first : first + len(new)] = bound(new)
                 at[at < 0] = np.arange(first, first + len(new))
-            total += counts.astype(np.float32) @ self.table[at]
+            total += counts.astype(np.float32) @ self.table[at].astype(np.float32)
         return total
 
 
-@lru_cache(maxsize=1)
-def bundler() -> Bundler:
-    return Bundler()
-
-
 def fit(training: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, np.ndarray]:
     """Prototypes by language. Tasks send one sum for each language they hold."""
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: dict[str, np.ndarray] = {}
+        bundler = Bundler()  # of the task, so that its memory ends with it
         for batch in batches:
             for text, lang in zip(batch["text"], batch["lang"], strict=True):
-                v = bundler().vector(text)
+                v = bundler.vector(text)
                 if v is not None:
                     total[lang] = total.get(lang, 0) + v / np.linalg.norm(v)
         if total:
@@ -138,10 +134,11 @@ def predicted(text: Column, prototypes: dict[str, np.ndarray]) -> Column:
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        bundler = Bundler()
         for texts in batches:
             langs, scores = [], []
             for text in texts:
-                v = bundler().vector(text) if text and names else None
+                v = bundler.vector(text) if text and names else None
                 norm = 0.0 if v is None else float(np.linalg.norm(v))
                 if not norm:
                     langs.append(UNKNOWN)

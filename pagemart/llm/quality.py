@@ -191,7 +191,9 @@ def score(text: Column, net: Network) -> Column:
     @F.pandas_udf("double")
     def score_texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield pd.Series(net.scores([t.encode() for t in texts]), index=texts.index)
+            # In slices, so that a batch is not held as bytes a second time.
+            found = [net.scores([t.encode() for t in texts.iloc[i : i + 256]]) for i in range(0, len(texts), 256)]
+            yield pd.Series(np.concatenate(found) if found else [], index=texts.index, dtype="float64")
 
     return score_texts(F.coalesce(text, F.lit("")))
 
