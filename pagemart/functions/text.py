@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 SPACE = r"\t-\r\x1c-\x20\x85\p{Z}"
 #: Fixed: named character references that are read without a Python table.
 ENTITIES = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ", "middot": "·", "copy": "©", "mdash": "—", "ndash": "–", "hellip": "…"}
+#: Fixed: the zone of wall-clock times.
 ZONE = "America/Chicago"
 
 
@@ -31,11 +32,10 @@ def normalize_space(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, f"[{SPACE}]+", " "))
 
 
-def normalize_str(c: Column, remove: str | None = None) -> Column:
-    """Without a substring (case matters), white space normalised, lower case."""
-    if remove:
-        c = F.replace(c, F.lit(remove))
-    return F.lower(normalize_space(c))
+def normalize_str(c: Column, remove: str | None = None, strict: bool = False) -> Column:
+    """Without a substring (case matters), white space normalised, lower case. strict: null is an error."""
+    out = F.lower(normalize_space(F.replace(c, F.lit(remove)) if remove else c))
+    return F.when(c.isNull(), F.raise_error(F.lit("no text"))).otherwise(out) if strict else out
 
 
 def first_of(arr: Column, strict: bool = False) -> Column:
@@ -46,6 +46,11 @@ def first_of(arr: Column, strict: bool = False) -> Column:
     return F.when(F.size(arr) > 1, F.raise_error(F.lit("more than one element"))).otherwise(first)
 
 
+def normalize_one(arr: Column, remove: str | None = None, strict: bool = False) -> Column:
+    """normalize_str of the first element of a list; null for null or empty. strict: more than one is an error."""
+    return normalize_str(first_of(arr, strict), remove)
+
+
 def normalize_list(arr: Column, remove: str | None = None) -> Column:
     """normalize_str of each element, nulls dropped; an empty list is null."""
     out = F.filter(F.transform(arr, lambda x: normalize_str(x, remove)), lambda x: x.isNotNull())
@@ -113,12 +118,12 @@ def unescape(c: Column) -> Column:
 
 
 def unescape_all(c: Column) -> Column:
-    """With the standard library's whole table of references (Arrow batches)."""
+    """With the standard library's whole table of references (Arrow batches); texts without any do not leave the JVM."""
     @F.pandas_udf("string")
     def read(texts: pd.Series) -> pd.Series:
         return texts.map(html.unescape, na_action="ignore")
 
-    return read(c)
+    return F.coalesce(read(F.when(F.contains(c, F.lit("&")), c)), c)
 
 
 def to_local_time(c: Column, strict: bool = False) -> Column:
@@ -142,7 +147,7 @@ def vote_title(c: Column) -> Column:
 
 
 def document_type(c: Column) -> Column:
-    """One label for each kind of document."""
+    """One label for each kind of document. The labels are fixed values."""
     c = normalize_str(c)
     return F.when(c == "amendments", "amendment").when(c.contains("fiscal impact"), "fiscal_impact").otherwise(c)
 

@@ -76,14 +76,16 @@ def classify(url: Column, prefixes: dict[str, str]) -> Column:
     return out
 
 
-def classify_by_table(urls: DataFrame, types: DataFrame, url_col: str = "url") -> DataFrame:
-    """The same against a table (prefix, page_type): each row of urls with its page_type.
+def classify_by_table(urls: DataFrame, types: DataFrame, url_col: str = "url", most: int = 1000) -> DataFrame:
+    """The same with the prefixes of a table (prefix, page_type): urls with page_type.
 
-    Prefixes are joined on the authority they begin with, so no pairs are made
-    beyond a host's own prefixes.
+    The table is small by nature, a row for each page type; one of more than
+    `most` rows is an error, so what the driver reads is bounded.
     """
-    keyed = urls.withColumn("_place", F.concat(part(F.col(url_col), 2), part(F.col(url_col), 3)))
-    return keyed.join(types.withColumn("_host", F.split("prefix", "/")[0]), (part(F.col(url_col), 2) == F.col("_host")) & F.col("_place").startswith(F.col("prefix")), "left").groupBy(*urls.columns).agg(F.max_by("page_type", F.length("prefix")).alias("page_type"))
+    found = types.select("prefix", "page_type").limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} page types")
+    return urls.withColumn("page_type", classify(F.col(url_col), {r["prefix"]: r["page_type"] for r in found}))
 
 
 def _squeeze(path: Column) -> Column:

@@ -24,6 +24,16 @@ def all_matches(nodes: DataFrame, condition: Column) -> DataFrame:
     return nodes.where(condition)
 
 
+def same_value(have: Column, wanted: Column, kind: str = "value") -> Column:
+    """Whether a stored value is the wanted one, by kind: an equal value; a url whose path and query contain those of the
+    wanted one; a list that has the wanted value. Null is never.
+    """
+    how = {"value": lambda: have == wanted, "url": lambda: F.contains(normalize_url(have), normalize_url(wanted)) & have.isNotNull() & wanted.isNotNull(), "list": lambda: F.array_contains(have, wanted)}
+    if kind not in how:
+        raise ValueError(f"a kind of comparison is one of {', '.join(how)}")
+    return F.coalesce(how[kind](), F.lit(False))
+
+
 def _exploded(records: DataFrame, key: str, urls: str) -> DataFrame:
     return records.select(key, F.posexplode_outer(urls).alias("_pos", "_url"))
 

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from pagemart.functions import text, urls
 from pagemart.operators import html, resolve, template, validate
 from pagemart.plans import page_types
-from pagemart.plans.queries import _LINKS
+from pagemart.plans.queries import _LINKS, PREFIXES
 from pagemart.plans.registry import query, table
 
 HOST = "h.example.org"
+_CLASSES = "CASE " + " ".join(f"WHEN contains(place, '{k}') THEN '{PREFIXES[k]}'" for k in sorted(PREFIXES, key=lambda p: (-len(p), [-ord(x) for x in p]))) + " END"
 
 
 def _concat(*parts: Column | str) -> Column:
@@ -272,3 +273,35 @@ def own_session(spark, sf_dir):
     u = F.col("url")
     found = urls.with_session(table(spark, sf_dir, "pages"), "utm_source")
     return found.select("page_id", F.array_join(urls.without_trailing_params(F.array(u, F.lit("https://h/x?utm_source=feed")), "utm_source"), " ").alias("bare"), text.identity(u).alias("same"), "session_code")
+
+
+@query("""SELECT c_custkey, CASE c_custkey % 6 WHEN 0 THEN '1501' || lpad(CAST(c_custkey AS VARCHAR), 7, '0') WHEN 1 THEN '1501' || lpad(CAST(c_custkey AS VARCHAR), 7, '0') WHEN 2 THEN '5551234' WHEN 3 THEN NULL WHEN 4 THEN '15015551234' ELSE '15015551234' || '501555' END AS phone,
+  CASE c_custkey % 6 WHEN 0 THEN c_custkey WHEN 1 THEN -c_custkey WHEN 2 THEN 7 END AS n FROM customer""")
+def number_shapes(spark, sf_dir):
+    """Phone numbers and whole numbers as people write them."""
+    k, d = F.col("c_custkey") % 6, F.lpad(F.col("c_custkey").cast("string"), 7, "0")
+    phone = F.when(k == 0, F.concat(F.lit("501."), d)).when(k == 1, F.concat(F.lit(" 501 - "), F.substring(d, 1, 3), F.lit("/"), F.substring(d, 4, 4))).when(k == 2, "555-1234").when(k == 3, "n/a").when(k == 4, "+1 501 555 1234").otherwise("1 (501) 555-1234 501555")
+    number = F.when(k == 0, F.concat(F.lit("  +"), "c_custkey", F.lit(" "))).when(k == 1, F.concat(F.lit("-"), "c_custkey")).when(k == 2, "007").when(k == 3, "25.7").when(k == 4, "")
+    return table(spark, sf_dir, "customer").select("c_custkey", text.phone(phone).alias("phone"), text.to_int(number).cast("long").alias("n"))
+
+
+@query("""SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN lower(p_brand) WHEN p_size % 3 = 1 THEN lower(p_name) END AS first FROM part""")
+def normalize_one(spark, sf_dir):
+    """The first of a list, cleaned; null for an empty list and for none."""
+    lists = F.when(F.col("p_size") % 3 == 0, F.array(F.concat(F.lit("  "), "p_brand", F.lit("\u00a0")), F.col("p_name"))).when(F.col("p_size") % 3 == 1, F.array("p_name")).when(F.col("p_size") % 2 == 0, F.array().cast("array<string>"))
+    return table(spark, sf_dir, "part").select("p_partkey", text.normalize_one(lists).alias("first"))
+
+
+@query("""SELECT a.page_id, a.page_id % 2 = 0 AS same, a.page_id % 3 <> 0 AS inside, a.page_id % 5 <> 0 AS listed FROM pages a""")
+def compare_values(spark, sf_dir):
+    """Equal values, urls that contain another's path and query, lists that have a value."""
+    k, u = F.col("page_id"), F.col("url")
+    other = F.when(k % 3 != 0, F.concat(F.lit("https://elsewhere.org"), F.regexp_extract(u, r"^[A-Za-z]+://[^/?#]*([^#]*)", 1))).otherwise("https://elsewhere.org/none?x=1")
+    return table(spark, sf_dir, "pages").select("page_id", resolve.same_value(k, F.when(k % 2 == 0, k)).alias("same"), resolve.same_value(u, other, "url").alias("inside"), resolve.same_value(F.array(u, F.lit("x")), F.when(k % 5 != 0, u), "list").alias("listed"))
+
+
+@query(f"""SELECT page_id, {_CLASSES} AS page_type FROM (SELECT page_id, regexp_extract(url, '^[A-Za-z]+://([^?#]*)', 1) AS place FROM pages)""")
+def classify_by_table(spark, sf_dir):
+    """The longest prefix, of a table of page types, that host and path contain."""
+    types = spark.createDataFrame(list(PREFIXES.items()), "prefix string, page_type string")
+    return urls.classify_by_table(table(spark, sf_dir, "pages"), types).select("page_id", "page_type")
