@@ -5,8 +5,10 @@ two levels (within blocks of turns, then over the blocks' totals), so a very lon
 conversation is spread over tasks. The prefix sums choose windows of whole
 turns: a turn belongs to the window in whose stretch of the sum it starts. The
 stretch is the budget less what the system turn, the repeated history and the
-longest turn can take, so a window exceeds the budget only where single turns
-leave no room. Every window but the first repeats the conversation's leading
+longest turn can take. A turn of more than half of what the history leaves of the
+budget stands alone in a window of its own and counts in no stretch, so other turns
+are packed as ever; only such a turn, or a system turn as long, can make a window
+exceed the budget. Every window but the first repeats the conversation's leading
 system turn and up to `history` turns before it, as far as `history_tokens`
 allow. What is repeated is context: it has no loss. Each assistant text is under
 the loss mask once.
@@ -17,7 +19,8 @@ line feeds and backslashes in roles are written \\n and \\\\.
 
 Cases: null texts and roles are empty; turns are ordered by number, nulls first,
 then role and text, and repeated rows are turns of their own; a null conversation
-id is one conversation; no rows give no windows.
+id is one conversation; empty and very long texts are kept whole; no rows give no
+windows; further columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -29,8 +32,8 @@ from pagemart.llm.shared import stored
 
 BUDGET, HISTORY, HISTORY_TOKENS, CHARS_PER_TOKEN = 2048, 2, 256, 4
 START, END = "<|im_start|>", "<|im_end|>\n"
-#: Turn numbers of a block of the prefix sum.
-BLOCK = 256
+#: Turn numbers of a block of the prefix sum; windows are numbered on by this much behind and before a turn that stands alone.
+BLOCK, ALONE = 256, 1 << 32
 
 
 def escaped(text: Column) -> Column:
@@ -64,16 +67,21 @@ def placed(conversations: DataFrame, budget: int, history_tokens: int, chars_per
     turn = F.col("turn").cast("long")
     turns = conversations.select("conv_id", cid.alias("cid"), F.coalesce(F.floor(turn / BLOCK), F.lit(-(2**62))).alias("block"), turn.alias("turn"), role.alias("role"), text.alias("text"), F.ceil(F.length(out) / chars_per_token).alias("tokens"))
     earlier = Window.partitionBy("cid", "block").orderBy(F.col("turn").asc_nulls_first(), "role", "text").rowsBetween(Window.unboundedPreceding, -1)
-    turns = turns.withColumns({"n": F.count(F.lit(1)).over(earlier), "t": F.coalesce(F.sum("tokens").over(earlier), F.lit(0))})
-    blocks = turns.groupBy("cid", "block").agg(F.count(F.lit(1)).alias("n"), F.sum("tokens").alias("t"), F.max("tokens").alias("longest"), F.max(F.when((F.col("n") == 0) & (F.col("role") == "system"), F.col("tokens"))).alias("system"))
+    large = F.col("tokens") > (budget - history_tokens) / 2
+    small = F.when(large, 0).otherwise(F.col("tokens"))
+    sums = {"n": F.count(F.lit(1)).over(earlier), "t": F.coalesce(F.sum("tokens").over(earlier), F.lit(0)), "s": F.coalesce(F.sum(small).over(earlier), F.lit(0)), "l": F.count_if(large).over(earlier)}
+    turns = turns.withColumns(sums)
+    blocks = turns.groupBy("cid", "block").agg(F.count(F.lit(1)).alias("n"), F.sum("tokens").alias("t"), F.sum(small).alias("s"), F.count_if(large).alias("l"), F.max(small).alias("longest"), F.max(F.when((F.col("n") == 0) & (F.col("role") == "system"), F.col("tokens"))).alias("system"))
     every = Window.partitionBy("cid")
     ahead = every.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     whole = every.orderBy("block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    blocks = blocks.select("cid", "block", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("n0"), F.coalesce(F.sum("t").over(ahead), F.lit(0)).alias("t0"), F.max("longest").over(every).alias("longest"), F.sum("t").over(every).alias("total"), F.first("system").over(whole).alias("system"))
+    before = [F.coalesce(F.sum(c).over(ahead), F.lit(0)).alias(f"{c}0") for c in ("n", "t", "s", "l")]
+    blocks = blocks.select("cid", "block", *before, F.max("longest").over(every).alias("longest"), F.sum("s").over(every).alias("total"), F.sum("l").over(every).alias("alone"), F.first("system").over(whole).alias("system"))
     room = F.greatest(F.lit(1), F.lit(budget - history_tokens) - F.coalesce("system", F.lit(0)) - F.col("longest"))
-    before = F.col("t") + F.col("t0")
     joined = turns.join(blocks, ["cid", "block"])
-    return stored(joined.select("conv_id", "cid", (F.col("n") + F.col("n0")).alias("idx"), before.alias("before"), "role", "text", "tokens", "system", F.floor(before / room).alias("window"), (F.col("total") > room).alias("several")), "turns")
+    stretch = F.when(large, 0).otherwise(F.floor((F.col("s") + F.col("s0")) / room))
+    window = ((F.col("l") + F.col("l0")) * 2 + large.cast("long")) * F.lit(ALONE).cast("long") + stretch
+    return stored(joined.select("conv_id", "cid", (F.col("n") + F.col("n0")).alias("idx"), (F.col("t") + F.col("t0")).alias("before"), "role", "text", "tokens", "system", window.alias("window"), ((F.col("total") > room) | (F.col("alone") > 0)).alias("several")), "turns")
 
 
 def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY, history_tokens: int = HISTORY_TOKENS, chars_per_token: int = CHARS_PER_TOKEN) -> DataFrame:

@@ -124,13 +124,15 @@ f AS (
   SELECT *, 12 + length(replace(replace(replace(role, '\\', '\\\\'), chr(10), '\\n'), '<|', '<||')) + 1 + length(replace(text, '<|', '<||')) + 11 AS chars FROM c),
 t AS (
   SELECT *, CAST(ceil(chars / 4) AS BIGINT) AS tokens, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS idx FROM f),
+u AS (SELECT *, tokens > (2048 - 256) / 2 AS alone FROM t),
 s AS (
-  SELECT *, coalesce(sum(tokens) OVER (PARTITION BY conv_id ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
-    max(tokens) OVER (PARTITION BY conv_id) AS longest,
+  SELECT *, coalesce(sum(tokens) OVER e, 0) AS before, coalesce(sum(tokens) FILTER (NOT alone) OVER e, 0) AS packed, count(*) FILTER (alone) OVER e AS stood,
+    coalesce(max(tokens) FILTER (NOT alone) OVER (PARTITION BY conv_id), 0) AS longest,
     max(CASE WHEN idx = 0 AND role = 'system' THEN tokens END) OVER (PARTITION BY conv_id) AS system_tokens,
-    max(CASE WHEN idx = 0 AND role = 'system' THEN chars END) OVER (PARTITION BY conv_id) AS system_chars FROM t),
+    max(CASE WHEN idx = 0 AND role = 'system' THEN chars END) OVER (PARTITION BY conv_id) AS system_chars
+  FROM u WINDOW e AS (PARTITION BY conv_id ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 w AS (
-  SELECT *, CAST(floor(before / greatest(1, 2048 - 256 - coalesce(system_tokens, 0) - longest)) AS BIGINT) AS win FROM s),
+  SELECT *, CASE WHEN alone THEN [2 * stood + 1, 0] ELSE [2 * stood, CAST(floor(packed / greatest(1, 2048 - 256 - coalesce(system_tokens, 0) - longest)) AS BIGINT)] END AS win FROM s),
 h AS (
   SELECT conv_id, win, min(idx) AS first_idx, min(before) AS first_before, any_value(system_chars) AS system_chars FROM w GROUP BY conv_id, win HAVING min(idx) > 0),
 r AS (

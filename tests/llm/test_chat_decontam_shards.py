@@ -48,6 +48,18 @@ def test_windows(spark):
     assert chat.digests(chat.windows(conversations(spark, []))).count() == 0
 
 
+def test_a_long_turn_stands_alone(spark):
+    """Other turns are packed as if it were not there."""
+    rows = [(1, i, ("assistant", "user")[i % 2], "w" * (9000 if i in (60, 61, 200) else 200)) for i in range(300)]
+    with_clash = conversations(spark, rows).withColumns({n: F.lit(1) for n in ("cid", "block", "n", "t", "tokens", "window", "idx", "before")})
+    out = chat.windows(with_clash, budget=600, history=2, history_tokens=150).orderBy("window").collect()
+    own = [[t.text for t in r.turns] for r in chat.read_back(chat.windows(with_clash, budget=600, history=2, history_tokens=150)).orderBy("window").collect()]
+    assert [t for w in own for t in w] == [t for _, _, _, t in rows]
+    large = [w for w in own if any(len(t) == 9000 for t in w)]
+    assert [len(w) for w in large] == [1, 1, 1] and len(own) < 300 / 4
+    assert all(r.n_tokens <= 600 for r, w in zip(out, own, strict=True) if w not in large)
+
+
 # Decontamination
 
 
