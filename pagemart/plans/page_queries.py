@@ -205,6 +205,21 @@ def list_records(spark, sf_dir):
 # Template rules.
 
 
+@query("SELECT c_custkey, lower(c_name) AS c_name, c_nationkey FROM customer")
+def strict_projection(spark, sf_dir):
+    """A projection that knows each of its columns; one that it does not know would be an error."""
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    return template.project(rows, {"c_name": lambda c: text.normalize_str(c, strict=True), "c_nationkey": text.identity}, keep=("c_custkey",), strict=True)
+
+
+@query("""SELECT 'legislator' AS page_type, count(*) AS n FROM customer UNION ALL SELECT 'bill', count(*) FROM orders UNION ALL
+SELECT CASE WHEN contains(string_split(string_split(url, '?')[1], '#')[1], 'h.example.org') THEN 'home' ELSE '-' END, count(*) FROM pages GROUP BY 1""")
+def typed_pages(spark, sf_dir):
+    """Pages with the type that their url says; pages of another site have none."""
+    pages = _member_pages(spark, sf_dir).select("url").unionByName(_bill_pages(spark, sf_dir).select("url")).unionByName(table(spark, sf_dir, "pages").select("url"))
+    return page_types.with_page_type(pages, HOST).groupBy(F.coalesce("page_type", F.lit("-")).alias("page_type")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("""SELECT o_orderkey, concat_ws(',', CASE WHEN o_orderkey % 3 = 0 THEN 'n' END, CASE WHEN o_custkey % 2 = 0 THEN 'day' END) AS errors FROM orders""")
 def transform_errors(spark, sf_dir):
     """Which columns of a record had a value that could not be read."""

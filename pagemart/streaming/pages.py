@@ -48,10 +48,17 @@ def with_quarantine(good_sink: Callable[[DataFrame, int], None], bad_sink: Calla
 def release_waiting(events: DataFrame, dependency: str, payload: str, loaded: str, expires_ms: int | None = None) -> DataFrame:
     """(dependency, payload, expired): rows wait until a row of their dependency with `loaded` has arrived.
 
-    Rows whose dependency is there pass at once. With expires_ms, rows that have
-    waited that long are given out as expired; such a query has to run on, as it
-    never has all timeouts behind it. Without, rows wait as long as it takes.
+    Rows whose dependency is there pass at once. They wait in the state of a
+    stream-stream join, a row each, so any number may wait for one dependency.
+    With expires_ms, rows that have waited that long are given out as expired; such
+    a query has to run on, as it never has all timeouts behind it, and keeps the
+    rows of one dependency together. Without, rows wait as long as it takes.
     """
+    arrived = F.coalesce(F.col(loaded), F.lit(False))
+    if expires_ms is None:
+        there = events.where(arrived).select(F.col(dependency).alias("_there")).dropDuplicates(["_there"])
+        waiting = events.where(~arrived).select(dependency, payload)
+        return waiting.join(there, F.col(dependency) == F.col("_there")).select(dependency, payload, F.lit(False).alias("expired"))
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         there, waiting = state.get if state.exists else (False, [])
@@ -65,9 +72,9 @@ def release_waiting(events: DataFrame, dependency: str, payload: str, loaded: st
             waiting += batch.loc[~batch[loaded].astype(bool), payload].tolist()
         out = waiting if there else []
         state.update((there, [] if there else waiting))
-        if not there and expires_ms:
+        if not there:
             state.setTimeoutDuration(expires_ms)
         yield pd.DataFrame({dependency: [key[0]] * len(out), payload: out, "expired": [False] * len(out)})
 
     kind = events.schema[dependency].dataType.simpleString()
-    return events.select(dependency, payload, loaded).groupBy(dependency).applyInPandasWithState(step, f"{dependency} {kind}, {payload} string, expired boolean", "there boolean, waiting array<string>", "append", "ProcessingTimeTimeout" if expires_ms else "NoTimeout")
+    return events.select(dependency, payload, loaded).groupBy(dependency).applyInPandasWithState(step, f"{dependency} {kind}, {payload} string, expired boolean", "there boolean, waiting array<string>", "append", "ProcessingTimeTimeout")
