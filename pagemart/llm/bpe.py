@@ -58,6 +58,12 @@ class Vocabulary:
             self.bytes_of[rank] = token
         self.text_of = [str(i) for i in range(len(self.bytes_of))]
         self.longest = max(map(len, ranks), default=1)
+        #: The last three bytes of tokens -> how long tokens are that end so, the longest first, down to two and one.
+        ends: dict[bytes, set[int]] = {}
+        for token in ranks:
+            if len(token) > 2:
+                ends.setdefault(token[-3:], {1, 2}).add(len(token))
+        self.sizes = {end: tuple(sorted(sizes, reverse=True)) for end, sizes in ends.items()}
         self._pairs: dict[tuple[int, int], bool] = {}
         self._halves: dict[int, tuple[int, int] | None] = {}
         self._pieces: dict[str, list[int]] = {}
@@ -105,12 +111,14 @@ class Vocabulary:
 
         last[i] is the last token of the encoding of data[:i]; last[0] is -1.
         """
-        ranks, pairs, fits, longest = self.ranks, self._pairs, self.fits, self.longest
+        ranks, pairs, fits, sizes, short = self.ranks, self._pairs, self.fits, self.sizes, (2, 1)
         for end in range(len(last), len(data) + 1):
-            for start in range(max(0, end - longest), end):
-                token = ranks.get(data[start:end])
+            for size in sizes.get(data[end - 3 : end], short) if end > 2 else short:
+                if size > end:
+                    continue
+                token = ranks.get(data[end - size : end])
                 if token is not None:
-                    pair = (last[start], token)
+                    pair = (last[end - size], token)
                     known = pairs.get(pair)
                     if known is None:
                         if len(pairs) >= MAX_PAIRS:
