@@ -1,7 +1,8 @@
 """Byte-level BPE encoding and decoding by dynamic programming over prefixes.
 
 For each byte prefix of a piece exactly one token can end its encoding. That
-token is stored per prefix; the encoding is read off backwards from the end.
+token is stored per prefix; the encoding is read off backwards from the end. The
+tokens that could end a prefix are found by an automaton of all tokens.
 A token fits behind the last token of a shorter prefix if merging the two
 tokens' bytes afresh gives those two tokens again. Because a prefix's entry
 depends only on the bytes before it, bytes can be appended exactly, and after an
@@ -19,6 +20,7 @@ import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -58,13 +60,12 @@ class Vocabulary:
             self.bytes_of[rank] = token
         self.text_of = [str(i) for i in range(len(self.bytes_of))]
         self.longest = max(map(len, ranks), default=1)
-        #: The last three bytes of tokens -> how long tokens are that end so, the longest first, down to two and one.
-        ends: dict[bytes, set[int]] = {}
-        for token in ranks:
-            if len(token) > 2:
-                ends.setdefault(token[-3:], {1, 2}).add(len(token))
-        self.sizes = {end: tuple(sorted(sizes, reverse=True)) for end, sizes in ends.items()}
-        self._pairs: dict[tuple[int, int], bool] = {}
+        #: Finds the tokens that end at each place, the longest first; bytes are written as characters.
+        self._ending = ahocorasick.Automaton()
+        for token, rank in ranks.items():
+            self._ending.add_word(token.decode("latin-1"), (rank, len(token)))
+        self._ending.make_automaton()
+        self._pairs: dict[int, bool] = {}
         self._halves: dict[int, tuple[int, int] | None] = {}
         self._pieces: dict[str, list[int]] = {}
         self._older: dict[str, list[int]] = {}
@@ -111,24 +112,26 @@ class Vocabulary:
 
         last[i] is the last token of the encoding of data[:i]; last[0] is -1.
         """
-        ranks, pairs, fits, sizes, short = self.ranks, self._pairs, self.fits, self.sizes, (2, 1)
-        for end in range(len(last), len(data) + 1):
-            for size in sizes.get(data[end - 3 : end], short) if end > 2 else short:
-                if size > end:
-                    continue
-                token = ranks.get(data[end - size : end])
-                if token is not None:
-                    pair = (last[end - size], token)
-                    known = pairs.get(pair)
-                    if known is None:
-                        if len(pairs) >= MAX_PAIRS:
-                            pairs.clear()
-                        known = pairs[pair] = fits(*pair)
-                    if known:
-                        last.append(token)
-                        break
-            else:
-                raise ValueError("the vocabulary lacks a byte")
+        pairs, fits, done = self._pairs, self.fits, len(last) - 1
+        first = max(0, done + 1 - self.longest)  # no token that ends behind done begins before it
+        for end, (token, size) in self._ending.iter(data[first:].decode("latin-1")) if self.ranks and data else ():
+            end += first + 1
+            if end <= done:
+                continue
+            if end > done + 1:
+                break
+            before = last[end - size]
+            pair = before << 24 | token
+            known = pairs.get(pair)
+            if known is None:
+                if len(pairs) >= MAX_PAIRS:
+                    pairs.clear()
+                known = pairs[pair] = fits(before, token)
+            if known:
+                last.append(token)
+                done = end
+        if done < len(data):
+            raise ValueError("the vocabulary lacks a byte")
 
     def walk_back(self, last: list[int]) -> list[int]:
         """The tokens, from the entries of all prefixes."""
