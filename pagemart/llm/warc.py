@@ -226,10 +226,12 @@ def check(data: bytes, at: int, stop: int) -> tuple[str, int, dict, bytes]:
         return "wrong content length", at, {}, b""
     body, digest = data[first:last], header.get("warc-payload-digest", "")
     if header.get("warc-type") != "revisit":
-        if "x-payload-length" in header and _whole(header["x-payload-length"]) != length:
-            return "wrong payload length", at, {}, b""
+        as_said = "x-payload-length" not in header or _whole(header["x-payload-length"]) == length
         if digest.startswith("sha256:") and hashlib.sha256(body).hexdigest() != digest[7:]:
-            return "wrong digest", last + 4, {}, b""
+            # Where the other length disagrees, this one may be what is damaged.
+            return "wrong digest", last + 4 if as_said else at, {}, b""
+        if not as_said:
+            return "wrong payload length", last + 4, {}, b""
     return "", last + 4, header, body
 
 
