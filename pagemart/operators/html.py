@@ -37,8 +37,9 @@ KEEPS = "table tbody thead tfoot tr ul ol dl select div section body html".split
 NO_TEXT = r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>"
 #: An attribute's value in double quotes, single quotes or none; three groups.
 VALUE = r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-HREF = rf"""(?is)<a\b(?:[^>"']|"[^"]*"|'[^']*')*?\shref{VALUE}"""
-LINK = rf"""{HREF}(?:[^>"']|"[^"]*"|'[^']*')*>(.*?)(?=</a\s*>|<a\b|$)"""
+#: Attributes are passed over without going back, so that no tag, however long or broken, costs more than its length.
+HREF = rf"""(?is)<a\b(?:[^>"'\s]++|\s(?!href\s*=)|"[^"]*+"|'[^']*+')*+\shref{VALUE}"""
+LINK = rf"""{HREF}(?:[^>"']++|"[^"]*+"|'[^']*+')*+>(.*?)(?=</a\s*>|<a\b|$)"""
 EVENT = rf"""(?is)<(?:h[1-6])\b[^>]*>.*?</h[1-6]\s*>|{HREF[5:]}"""
 
 

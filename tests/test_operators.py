@@ -59,7 +59,8 @@ def stdlib_links(html_text):
 def test_links_of_all_forms(spark):
     real = [r.html for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()]
     single = [h.replace('href="', "HREF = '").replace('">', "'>") for h in real[:10]]
-    pages = spark.createDataFrame([(i, "https://h.org/", h) for i, h in enumerate([ODD, *real, *single, "", None])], "page_id long, url string, html string")
+    junk = ["<a " + "x " * 60_000, "<a" + " y=z" * 30_000 + " href='/long'>l</a>", "<a title='" + "q" * 200_000 + "' href=/t>t</a>", '<a title="' * 300]
+    pages = spark.createDataFrame([(i, "https://h.org/", h) for i, h in enumerate([ODD, *real, *single, *junk, "", None])], "page_id long, url string, html string")
     found = {}
     for r in html.links(pages).orderBy("page_id", "pos").collect():
         found.setdefault(r.page_id, []).append(r.href)
