@@ -171,32 +171,32 @@ def vote_records(spark, sf_dir):
     return found.select("url", "vote_timestamp", "chamber", joined("yea_voters").alias("yeas"), joined("nay_voters").alias("nays"), joined("present_voters").alias("present"), joined("excused_voters").alias("excused"))
 
 
-@query("SELECT 'https://h.example.org/Committees/Detail?code=' || n_nationkey || '&s=2021R' AS url, CAST(n_nationkey AS VARCHAR) AS code, '2021R' AS session_code, lower(n_name) AS name FROM nation")
+@query("SELECT 'https://h.example.org/Committees/Detail?code=' || s_suppkey || '&s=2021R' AS url, CAST(s_suppkey AS VARCHAR) AS code, '2021R' AS session_code, lower(s_name) AS name FROM supplier")
 def committee_records(spark, sf_dir):
-    n = table(spark, sf_dir, "nation")
-    pages = n.select(_concat(f"https://{HOST}/Committees/Detail?code=", F.col("n_nationkey"), "&s=2021R").alias("url"), _concat("<h1> ", F.col("n_name"), "</h1>").alias("html"))
+    n = table(spark, sf_dir, "supplier")
+    pages = n.select(_concat(f"https://{HOST}/Committees/Detail?code=", F.col("s_suppkey"), "&s=2021R").alias("url"), _concat("<h1> ", F.col("s_name"), "</h1>").alias("html"))
     found = page_types.records(pages, HOST, "committee", "s")
     return found.select("url", urls.query_value(F.col("url"), "code").alias("code"), "session_code", "name")
 
 
-@query("""SELECT 'https://h.example.org/Bills/ViewBills?s=' || n_regionkey AS url, 'house' AS chamber, string_agg('https://h.example.org/Bills/Detail?id=' || n_nationkey, ' ' ORDER BY n_nationkey) AS bills, '/Bills/ViewBills?p=2' AS next_page FROM nation GROUP BY n_regionkey""")
+@query("""SELECT 'https://h.example.org/Bills/ViewBills?s=' || s_nationkey AS url, 'house' AS chamber, string_agg('https://h.example.org/Bills/Detail?id=' || s_suppkey, ' ' ORDER BY s_suppkey) AS bills, '/Bills/ViewBills?p=2' AS next_page FROM supplier GROUP BY s_nationkey""")
 def bill_list_records(spark, sf_dir):
     """A list page with links and the page after it."""
-    lists = table(spark, sf_dir, "nation").groupBy("n_regionkey").agg(F.array_sort(F.collect_list("n_nationkey")).alias("n"))
+    lists = table(spark, sf_dir, "supplier").groupBy("s_nationkey").agg(F.array_sort(F.collect_list("s_suppkey")).alias("n"))
     item = F.array_join(F.transform("n", lambda k: F.concat(F.lit("<a href=/Bills/Detail?id="), k.cast("string"), F.lit(">b</a>"))), "")
-    pages = lists.select(_concat(f"https://{HOST}/Bills/ViewBills?s=", F.col("n_regionkey")).alias("url"), F.concat(F.lit("<h1>House Bills</h1><div id=bills><p>"), item, F.lit("</p></div><div id=next><a href='/Bills/ViewBills?p=2'>next</a></div>")).alias("html"))
+    pages = lists.select(_concat(f"https://{HOST}/Bills/ViewBills?s=", F.col("s_nationkey")).alias("url"), F.concat(F.lit("<h1>House Bills</h1><div id=bills><p>"), item, F.lit("</p></div><div id=next><a href='/Bills/ViewBills?p=2'>next</a></div>")).alias("html"))
     return page_types.records(pages, HOST, "bill_list", "s").select("url", "chamber", F.array_join("bill_urls", " ").alias("bills"), "next_page")
 
 
-@query("""SELECT 'https://h.example.org/Legislators/List?s=' || n_regionkey AS url, 'active_urls' AS kind, 'https://h.example.org/m/' || n_nationkey AS link FROM nation
-UNION ALL SELECT 'https://h.example.org/Bills/SearchByRange?s=' || n_regionkey, 'category_urls', 'https://h.example.org/m/' || n_nationkey FROM nation""")
+@query("""SELECT 'https://h.example.org/Legislators/List?s=' || s_nationkey AS url, 'active_urls' AS kind, 'https://h.example.org/m/' || s_suppkey AS link FROM supplier
+UNION ALL SELECT 'https://h.example.org/Bills/SearchByRange?s=' || s_nationkey, 'category_urls', 'https://h.example.org/m/' || s_suppkey FROM supplier""")
 def list_records(spark, sf_dir):
     """Lists of members and of categories."""
-    lists = table(spark, sf_dir, "nation").groupBy("n_regionkey").agg(F.array_sort(F.collect_list("n_nationkey")).alias("n"))
+    lists = table(spark, sf_dir, "supplier").groupBy("s_nationkey").agg(F.array_sort(F.collect_list("s_suppkey")).alias("n"))
     item = F.array_join(F.transform("n", lambda k: F.concat(F.lit("<li><a href='/m/"), k.cast("string"), F.lit("'>m</a>"))), "")
     out = None
     for kind, path, place, column in (("legislator_list", "/Legislators/List", "members", "active_urls"), ("bill_categories", "/Bills/SearchByRange", "categories", "category_urls")):
-        pages = lists.select(_concat(f"https://{HOST}{path}?s=", F.col("n_regionkey")).alias("url"), F.concat(F.lit(f"<ul id={place}>"), item, F.lit("</ul><a href='/no'>no</a>")).alias("html"))
+        pages = lists.select(_concat(f"https://{HOST}{path}?s=", F.col("s_nationkey")).alias("url"), F.concat(F.lit(f"<ul id={place}>"), item, F.lit("</ul><a href='/no'>no</a>")).alias("html"))
         part = page_types.records(pages, HOST, kind, "s").select("url", F.lit(column).alias("kind"), F.explode(column).alias("link"))
         out = part if out is None else out.unionByName(part)
     return out

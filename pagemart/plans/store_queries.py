@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagemart.functions import urls
 from pagemart.operators import documents, frontier, graph, resolve
-from pagemart.operators.lineage import shared_folder
+from pagemart.operators.lineage import numbered, shared_folder
 from pagemart.plans import load
 from pagemart.plans.queries import _TREE, _tree
 from pagemart.plans.registry import query, table
@@ -34,27 +34,27 @@ def saved_pages(spark, sf_dir):
     return files.pages(spark, files.current(spark, folder)).select("page_id", F.sha2("html", 256).alias("digest"))
 
 
-@query("SELECT count(*) AS files, sum(n_nationkey) AS keys FROM nation")
+@query("SELECT count(*) AS files, sum(s_suppkey) AS keys FROM supplier")
 def page_files(spark, sf_dir):
     """A folder of saved pages, a file each."""
     folder = _folder(spark)
-    table(spark, sf_dir, "nation").select("n_nationkey", F.concat(F.lit("<p>"), "n_nationkey", F.lit("</p>")).alias("html")).write.partitionBy("n_nationkey").text(folder)
+    table(spark, sf_dir, "supplier").select("s_suppkey", F.concat(F.lit("<p>"), "s_suppkey", F.lit("</p>")).alias("html")).write.partitionBy("s_suppkey").text(folder)
     found = files.page_files(spark, f"{folder}/*")
     return found.agg(F.count(F.lit(1)).alias("files"), F.sum(F.regexp_extract("html", r"(\d+)", 1).cast("long")).alias("keys"))
 
 
-@query("""SELECT 'S' || n_nationkey AS session_code, lower(n_name) AS session_name, DATE '2000-01-01' + CAST(n_nationkey AS INTEGER) AS start_date, 'https://h/?s=S' || n_nationkey AS seed,
-  row_number() OVER (ORDER BY n_nationkey) AS place FROM nation""")
+@query("""SELECT 'S' || s_suppkey AS session_code, lower(s_name) AS session_name, DATE '2000-01-01' + CAST(s_suppkey % 3000 AS INTEGER) AS start_date, 'https://h/?s=S' || s_suppkey AS seed,
+  row_number() OVER (ORDER BY s_suppkey % 3000, 'S' || s_suppkey) AS place FROM supplier""")
 def sessions(spark, sf_dir):
-    """A JSON object of objects as rows in the order of their dates, and the seeds made of them."""
-    n = table(spark, sf_dir, "nation")
-    entry = F.struct(F.lower("n_name").alias("label"), F.date_add(F.lit("2000-01-01").cast("date"), F.col("n_nationkey")).alias("year"))
-    whole = n.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(F.concat(F.lit("S"), "n_nationkey"), entry)))).alias("value"))  # 25 nations at every size
+    """JSON objects of objects as rows in the order of their dates, and the seeds made of them."""
+    s = table(spark, sf_dir, "supplier")
+    entry = F.struct(F.lower("s_name").alias("label"), F.date_add(F.lit("2000-01-01").cast("date"), (F.col("s_suppkey") % 3000).cast("int")).alias("year"))
+    objects = s.groupBy(F.floor(F.col("s_suppkey") / 50).alias("file")).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(F.concat(F.lit("S"), "s_suppkey"), entry)))).alias("value"))
     folder = _folder(spark)
-    whole.write.text(folder)
-    found = files.sessions(spark, folder)
+    objects.write.partitionBy("file").text(folder)
+    found = files.sessions(spark, f"{folder}/*")
     seeds = files.seed_urls(found, "https://h/", "s").withColumn("session_code", F.regexp_extract("url", "s=(.*)$", 1))
-    return found.join(seeds, "session_code").withColumn("place", F.row_number().over(Window.orderBy("start_date", "session_code"))).select("session_code", "session_name", "start_date", F.col("url").alias("seed"), "place")
+    return numbered(found.join(seeds, "session_code"), "start_date", "session_code", out="place").select("session_code", "session_name", "start_date", F.col("url").alias("seed"), "place")
 
 
 @query("SELECT url, count(*) AS n FROM pages GROUP BY url")
@@ -94,11 +94,11 @@ def graph_snapshot(spark, sf_dir):
     return got.join(up, "key", "left").join(roots.withColumn("root", F.lit(True)), "key", "left").withColumn("root", F.coalesce("root", F.lit(False))).crossJoin(F.broadcast(files.next_id(got)))
 
 
-@query("SELECT count(*) AS stored, sum(10 + n_nationkey) AS bytes FROM nation")
+@query("SELECT count(*) AS stored, sum(10 + s_suppkey) AS bytes FROM supplier")
 def document_files(spark, sf_dir):
     """Stored documents by path and length, and which of a manifest are not there."""
     folder = _folder(spark)
-    table(spark, sf_dir, "nation").select("n_nationkey", F.repeat(F.lit("x"), F.col("n_nationkey") + 9).alias("value")).write.partitionBy("n_nationkey").text(folder)
+    table(spark, sf_dir, "supplier").select("s_suppkey", F.repeat(F.lit("x"), (F.col("s_suppkey") + 9).cast("int")).alias("value")).write.partitionBy("s_suppkey").text(folder)
     found = files.document_files(spark, f"{folder}/*")
     wanted = found.select("path").unionByName(found.select(F.concat("path", F.lit(".new")).alias("path")))
     missing = documents.not_stored(wanted, found)
@@ -324,17 +324,17 @@ def load_memberships(spark, sf_dir):
     return changed["committee_membership"].join(changed["legislators"].select("legislator_id", "last_name"), "legislator_id").select("last_name", "committee_id", "start", "end")
 
 
-@query("""SELECT CAST(n_nationkey AS BIGINT) AS committee_id, 'name' || n_regionkey AS committee_name, 'u' || n_nationkey AS url, DATE '1992-01-01' AS start, CASE WHEN n_nationkey % 2 = 0 THEN DATE '1994-12-31' END AS "end" FROM nation
-UNION ALL SELECT n_nationkey, 'name' || n_regionkey, 'new', DATE '1995-01-01', NULL FROM nation WHERE n_nationkey % 2 = 0
-UNION ALL SELECT n_nationkey, 'renamed', 'u' || n_nationkey, DATE '1996-01-01', NULL FROM nation WHERE n_nationkey % 5 = 0""")
+@query("""SELECT CAST(s_suppkey AS BIGINT) AS committee_id, 'name' || s_nationkey AS committee_name, 'u' || s_suppkey AS url, DATE '1992-01-01' AS start, CASE WHEN s_suppkey % 2 = 0 THEN DATE '1994-12-31' END AS "end" FROM supplier
+UNION ALL SELECT s_suppkey, 'name' || s_nationkey, 'new', DATE '1995-01-01', NULL FROM supplier WHERE s_suppkey % 2 = 0
+UNION ALL SELECT s_suppkey, 'renamed', 'u' || s_suppkey, DATE '1996-01-01', NULL FROM supplier WHERE s_suppkey % 5 = 0""")
 def load_committees(spark, sf_dir):
     """Committees over sessions: a changed url is a version, a new name begins a line of its own."""
-    n = table(spark, sf_dir, "nation")
-    row = lambda part, name, url, code: n.where(part).select(F.col("n_nationkey").cast("long").alias("committee_id"), name.alias("name"), url.alias("url"), F.lit(code).alias("session_code"))
-    own, url = F.concat(F.lit("name"), "n_regionkey"), F.concat(F.lit("u"), "n_nationkey")
+    s = table(spark, sf_dir, "supplier")
+    row = lambda part, name, url, code: s.where(part).select(F.col("s_suppkey").cast("long").alias("committee_id"), name.alias("name"), url.alias("url"), F.lit(code).alias("session_code"))
+    own, url = F.concat(F.lit("name"), "s_nationkey"), F.concat(F.lit("u"), "s_suppkey")
     tables = load.empty_tables(spark)
     tables |= load.load_sessions(tables, _session_rows(spark))
-    rows = row("true", own, url, "1992R").unionByName(row("n_nationkey % 2 = 0", own, F.lit("new"), "1995R")).unionByName(row("n_nationkey % 5 = 0", F.lit("renamed"), url, "1996R")).unionByName(row("true", own, url, "none"))
+    rows = row("true", own, url, "1992R").unionByName(row("s_suppkey % 2 = 0", own, F.lit("new"), "1995R")).unionByName(row("s_suppkey % 5 = 0", F.lit("renamed"), url, "1996R")).unionByName(row("true", own, url, "none"))
     return load.load_committees(tables, rows)[0]["committee_info"]
 
 
