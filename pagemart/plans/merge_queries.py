@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pagemart.operators import merge
+from pagemart.operators.lineage import cut
 from pagemart.plans.registry import query, table
 
 _CUT = "1997-01-01"
@@ -25,7 +26,8 @@ def _history(spark, sf_dir):
 
 def _until_cut(spark, sf_dir):
     early = _history(spark, sf_dir).where(F.col("start") < _CUT)
-    return merge.versions(early, ["o_custkey"], ["o_orderpriority"], "start", "o_orderkey").select("o_custkey", "start", "o_orderpriority", "end")
+    # What is stored, as a batch finds it.
+    return cut(merge.versions(early, ["o_custkey"], ["o_orderpriority"], "start", "o_orderkey").select("o_custkey", "start", "o_orderpriority", "end"))
 
 
 @query(f'{_REPLAY} SELECT o_custkey, start, o_orderpriority, "end" FROM v')
@@ -39,7 +41,7 @@ def scd2_multi(spark, sf_dir):
 def scd2_again(spark, sf_dir):
     """The same batch a second time changes nothing."""
     batch = _history(spark, sf_dir).where(F.col("start") >= _CUT)
-    once = scd2_multi(spark, sf_dir)
+    once = cut(scd2_multi(spark, sf_dir))
     return merge.scd2(once, batch, ["o_custkey"], ["o_orderpriority"], order=F.col("o_orderkey"))
 
 
@@ -47,7 +49,7 @@ def scd2_again(spark, sf_dir):
 SELECT e.o_custkey, e.start, e.p AS o_orderpriority FROM e WHERE p = '9'""")
 def scd2_late(spark, sf_dir):
     """Rows that begin before a key's open version and are not stored are set aside, and only those."""
-    current = scd2_multi(spark, sf_dir)
+    current = cut(scd2_multi(spark, sf_dir))
     opened = current.where(F.col("end").isNull())
     batch = opened.select("o_custkey", F.date_sub("start", 400).alias("start"), F.lit("9").alias("o_orderpriority")).unionByName(opened.select("o_custkey", "start", "o_orderpriority"))
     return merge.late(current, batch, ["o_custkey"], ["o_orderpriority"])
@@ -94,7 +96,7 @@ def membership_sessions(spark, sf_dir):
     sessions = listed.select("o_custkey", "start").distinct()
     none = listed.limit(0).withColumn("end", F.lit(None).cast("date"))
     for part in (F.col("start") < _CUT, F.col("start") >= _CUT):
-        none = merge.sync_membership(none, listed.where(part), sessions.where(part), "o_custkey", "member")
+        none = cut(merge.sync_membership(none, listed.where(part), sessions.where(part), "o_custkey", "member"))
     return none
 
 

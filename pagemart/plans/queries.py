@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pagemart.functions import text, urls
 from pagemart.operators import documents, frontier, graph, html, merge, resolve, template, validate
-from pagemart.operators.lineage import shared_folder
+from pagemart.operators.lineage import cut, shared_folder
 from pagemart.plans.registry import QUERIES, SQL, query, table
 from pagemart.streaming import pages as stream
 
@@ -339,7 +339,7 @@ UNION ALL SELECT b.o_custkey, b.start, b.p, NULL FROM b LEFT JOIN v ON v.o_custk
 def scd2_merge(spark, sf_dir):
     old, new = _parts_of_orders(spark, sf_dir)
     history = old.select("o_custkey", F.to_date("o_orderdate").alias("start"), "o_orderpriority", "o_orderkey")
-    current = merge.versions(history, ["o_custkey"], ["o_orderpriority"], "start", "o_orderkey").select("o_custkey", "start", "o_orderpriority", "end")
+    current = cut(merge.versions(history, ["o_custkey"], ["o_orderpriority"], "start", "o_orderkey").select("o_custkey", "start", "o_orderpriority", "end"))
     batch = new.groupBy("o_custkey").agg(F.max_by("o_orderpriority", "o_orderkey").alias("o_orderpriority")).withColumn("start", F.lit(_CUT).cast("date"))
     return merge.scd2(current, batch, ["o_custkey"], ["o_orderpriority"])
 
