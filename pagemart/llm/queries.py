@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemart.llm import ann, bpe, chat, decontam, langid, quality, shards, simhash, tokencount, warc
+from pagemart.llm import ann, bpe, chat, decontam, langid, merkle, negatives, quality, shards, simhash, tokencount, warc
 from pagemart.llm.shared import crc_mod, fresh_path
 
 RANKS, PIECES, TOKEN_LIMIT = "byte_bpe_multi_50k.tiktoken", "piece_bpe_32k.model", 4096
@@ -79,6 +79,17 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.windows(conversations.unionByName(extra)))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label=label)
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    tampered = F.when(crc_mod("doc_id", 3) == 0, F.translate("text", letters, letters.lower())).otherwise(F.col("text"))
+    return merkle.verified(table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"], "lang", "doc_id", changed={"text": tampered})
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -86,7 +97,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_sharding, op2_simhash, op3_bpe, op4_token_counts, op5_language_id, op6_quality, op7_warc, op8_nearest, op9_decontamination, op10_chat, pipeline)
+    found = (op1_sharding, op2_simhash, op3_bpe, op4_token_counts, op5_language_id, op6_quality, op7_warc, op8_nearest, op9_decontamination, op10_chat, op12_hard_negatives, op13_merkle, pipeline)
     return {f.__name__: f for f in found}
 
 
@@ -148,6 +159,56 @@ SELECT g.conv_id, n_turns, turns_sha256, loss_chars, loss_sha256,
 FROM g LEFT JOIN r ON g.conv_id = r.conv_id LEFT JOIN y ON g.conv_id = y.conv_id
 """
 
+OP12 = """
+WITH q AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id AS id, b.label, CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM q a JOIN q b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)),
+p AS (SELECT anchor_id, own, id AS positive_id, score AS positive_score FROM s WHERE label = own QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON p.anchor_id = s.anchor_id AND s.label <> p.own AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) <= 5
+"""
+
+_BIT_STEP = "xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384 ELSE 0 END)"
+_CRC = f"xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))), lambda x, y: list_reduce([xor(x, y), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: {_BIT_STEP})), 4294967295)"
+
+
+def _tree_sql(name: str, depth: int) -> tuple[str, str, str]:
+    """SQL of a forest of runs of 8 over {name}0 (tree, i, c, h), as (tables, joins, steps) for leaves x with (tree, i, c)."""
+    tables, joins = "", ""
+    lefts = []
+    for k in range(depth):
+        tables += f",\n{name}{k + 1} AS (SELECT tree, i // 8 AS i, (any_value(c) + 7) // 8 AS c, CASE WHEN any_value(c) = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h, list(h ORDER BY i) AS kids FROM {name}{k} GROUP BY tree, i // 8)"
+        joins += f" JOIN {name}{k + 1} AS {name}j{k} ON {name}j{k}.tree = x.tree AND {name}j{k}.i = x.i // {8 ** (k + 1)}"
+        at = f"CAST(x.i // {8**k} % 8 AS INTEGER)"
+        several = f"x.c > {8**k}"
+        lefts.append(f"{{'l': CASE WHEN {several} THEN array_to_string({name}j{k}.kids[1:{at}], '') END, 'r': CASE WHEN {several} THEN array_to_string({name}j{k}.kids[{at} + 2:], '') END}}")
+    return tables, joins, f"[{', '.join(lefts)}]"
+
+
+def _merkle_sql() -> str:
+    part = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR) END"
+    hashed = lambda text: "sha256(" + " || ".join([*map(part, ("doc_id", "source", "lang", "n_chars")), text]) + ")"
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    below, below_joins, below_steps = _tree_sql("n", 9)
+    over, over_joins, over_steps = _tree_sql("g", 4)
+    return f"""
+WITH d AS (SELECT doc_id, coalesce('=' || lang, '') AS tree, {hashed(part("text"))} AS leaf, CASE WHEN {_CRC} % 3 = 0 THEN {hashed(part(lowered))} ELSE {hashed(part("text"))} END AS found FROM documents),
+x0 AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY tree) AS c FROM d),
+n0 AS (SELECT tree, i, c, leaf AS h FROM x0){below},
+t0 AS (SELECT tree AS of, row_number() OVER (ORDER BY tree) - 1 AS i, count(*) OVER () AS c, h, '' AS tree FROM n9),
+g0 AS (SELECT tree, i, c, h FROM t0){over},
+t AS (SELECT x.of, x.h AS subroot, (SELECT any_value(h) FROM g4) AS root, {over_steps} AS upper FROM t0 x{over_joins}),
+y AS (SELECT x.*, {below_steps} AS lower FROM x0 x{below_joins}),
+z AS (SELECT doc_id, leaf, found, subroot, root, list_filter(list_concat(lower, upper), lambda s: s.l IS NOT NULL) AS path FROM y JOIN t ON t.of = y.tree),
+f AS (SELECT *, list_reduce(list_prepend(found, list_transform(path, lambda s: s.l || '|' || s.r)), lambda h, s: sha256(split_part(s, '|', 1) || h || split_part(s, '|', 2))) AS folded_root FROM z)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda s: s.l || s.r), '')) AS proof_sha256, folded_root, folded_root = root AS verified FROM f
+"""
+
+
+OP13 = _merkle_sql()
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_sharding": OP1, "op7_warc": OP7, "op9_decontamination": OP9, "op10_chat": OP10}
+    return {"op1_sharding": OP1, "op7_warc": OP7, "op9_decontamination": OP9, "op10_chat": OP10, "op12_hard_negatives": OP12, "op13_merkle": OP13}
