@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemart.llm import ann, bpe, chat, decontam, langid, merkle, negatives, quality, shards, simhash, tokencount, warc
+from pagemart.llm import ann, bpe, chat, decontam, langid, merkle, negatives, perplexity, quality, shards, simhash, tokencount, warc
 from pagemart.llm.shared import crc_mod, fresh_path
 
 RANKS, PIECES, TOKEN_LIMIT = "byte_bpe_multi_50k.tiktoken", "piece_bpe_32k.model", 4096
@@ -79,6 +79,11 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.windows(conversations.unionByName(extra)))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = perplexity.judged(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "perplexity")
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label=label)
@@ -97,7 +102,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_sharding, op2_simhash, op3_bpe, op4_token_counts, op5_language_id, op6_quality, op7_warc, op8_nearest, op9_decontamination, op10_chat, op12_hard_negatives, op13_merkle, pipeline)
+    found = (op1_sharding, op2_simhash, op3_bpe, op4_token_counts, op5_language_id, op6_quality, op7_warc, op8_nearest, op9_decontamination, op10_chat, op11_quality_rules, op12_hard_negatives, op13_merkle, pipeline)
     return {f.__name__: f for f in found}
 
 
