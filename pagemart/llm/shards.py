@@ -12,11 +12,14 @@ A commit writes the manifest under a temporary name and renames it to its
 version's name without overwriting; who comes second fails, reads the new
 version and tries again. A version's name is never free again: an expired
 version's manifest is overwritten by a tombstone, so a writer that read it long
-ago cannot commit behind the versions that came since. (The store has to rename
-without overwriting as one step, as HDFS does; where it does not, a commit that
-finds a later version after its rename takes itself back.) What a failed job has
-written is in no manifest until sweep() removes it. Merges read whole shards
-without a shuffle. Nothing but file names and sizes is on the driver.
+ago cannot commit behind the versions that came since. Manifests and tombstones
+say who they are and on whom they build, so a commit knows after its rename
+whether it holds: its own name must be there, and a version that has followed
+meanwhile must build on it. (The store has to rename without overwriting as one
+step, as HDFS does; where it does not, a commit that does not hold takes itself
+back and is tried again.) What a failed job has written is in no manifest until
+sweep() removes it. Merges read whole shards without a shuffle. Nothing but file
+names and sizes is on the driver.
 
 Versions stay readable, by lazy reads too, until expire() is called, which says
 how many are kept and for how long a version stays after it was superseded.
@@ -36,10 +39,13 @@ import uuid
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 #: Bytes of a finished shard; growth from tier to tier; shards of a tier that start a merge.
 TARGET, GROWTH, FEW = 128 << 20, 4, 4
+#: A tombstone is no longer than this; a manifest is.
+TOMBSTONE = 80
 
 
 @dataclass(frozen=True)
@@ -63,7 +69,7 @@ class ShardedTable:
         return sorted((s.getPath().getName(), s.getLen()) for s in files.listStatus(at)) if files.exists(at) else []
 
     def _names(self) -> dict[int, tuple[int, int]]:
-        """Every version that was ever committed -> (bytes, time of writing in ms); expired ones have a tombstone of no bytes."""
+        """Every version that was ever committed -> (bytes, time of writing in ms); expired ones have a tombstone."""
         files, at = self._hadoop(f"{self.path}/manifests")
         found = files.listStatus(at) if files.exists(at) else []
         found = [(s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in found]
@@ -71,7 +77,7 @@ class ShardedTable:
 
     def versions(self) -> list[int]:
         """The versions that can be read."""
-        return sorted(v for v, (size, _) in self._names().items() if size)
+        return sorted(v for v, (size, _) in self._names().items() if size > TOMBSTONE)
 
     def shards(self, version: int | None = None) -> tuple[int, list[Shard]]:
         """(version, its shards); the newest version if none is given, 0 if there is none."""
@@ -84,7 +90,7 @@ class ShardedTable:
             if not wanted:
                 return 0, [], StructType()
             text = self._text(self._manifest(wanted))
-            if text:
+            if len(text) > TOMBSTONE:
                 found = json.loads(text)
                 return wanted, [Shard(**s) for s in found["shards"]], StructType.fromJson(found["schema"])
             if version is not None:
@@ -119,19 +125,35 @@ class ShardedTable:
             files.delete(at, False)
             raise
 
+    def _origin(self, version: int) -> tuple[str, str] | None:
+        """(own name, its parent's) of a version, expired or not; None if there is none."""
+        files, at = self._hadoop(self._manifest(version))
+        if not version or not files.exists(at):
+            return None
+        text = self._text(self._manifest(version))
+        if len(text) > TOMBSTONE:
+            found = json.loads(text)
+            return found["id"], found["parent"]
+        own, _, parent = text.partition(" ")
+        return own, parent
+
     def commit(self, based_on: int, shards: list[Shard], schema: StructType) -> bool:
         """Makes shards the version after based_on; False if another writer was first."""
-        mine, name = based_on + 1, self._manifest(based_on + 1)
-        if max(self._names(), default=0) >= mine:
+        version, name = based_on + 1, self._manifest(based_on + 1)
+        if max(self._names(), default=0) >= version:
             return False
+        parent, mine = (self._origin(based_on) or ("", ""))[0], uuid.uuid4().hex
         try:
-            self._put(name, json.dumps({"version": mine, "shards": [asdict(s) for s in shards], "schema": schema.jsonValue()}), False)
+            self._put(name, json.dumps({"version": version, "id": mine, "parent": parent, "shards": [asdict(s) for s in shards], "schema": schema.jsonValue()}), False)
         except Exception:
-            if mine in self._names():
+            if version in self._names():
                 return False
             raise
-        if max(self._names()) > mine:
-            self._put(name, "", True)
+        there, after = self._origin(version), self._origin(version + 1)
+        if there is None or there[0] != mine:
+            return False  # another's rename came over ours
+        if after is not None and after[1] != mine:
+            self._put(name, f"{after[1]} {parent}", True)  # ours came over a tombstone
             return False
         return True
 
@@ -214,14 +236,14 @@ class ShardedTable:
         on a version when it was the newest.
         """
         names = self._names()
-        versions = sorted(v for v, (size, _) in names.items() if size)
+        versions = sorted(v for v, (size, _) in names.items() if size > TOMBSTONE)
         follows = dict(zip(sorted(names), sorted(names)[1:], strict=False))
         now = time.time() * 1000
         old = [v for v in versions[: -max(keep, 1)] if now - names[follows[v]][1] >= min_age * 1000]
         needed = {s.path for v in versions if v not in old for s in self.shards(v)[1]}
         listed = {s.path for v in old for s in self.shards(v)[1]}
         for v in old:
-            self._put(self._manifest(v), "", True)
+            self._put(self._manifest(v), " ".join(self._origin(v)), True)
         for path in listed - needed:
             files, at = self._hadoop(f"{self.path}/{path}")
             files.delete(at, False)
@@ -245,8 +267,16 @@ class ShardedTable:
 
 
 def arrivals(spark: SparkSession, path: str, most: int = 8) -> list[DataFrame]:
-    """A stored table's files as at most so many arrivals, in the order of their names."""
+    """A stored table as `most` arrivals: its files in the order of their names, or ranges of rows of each where there are fewer."""
     whole = spark.read.parquet(path)
     files = sorted(whole.inputFiles())
-    per = max(1, -(-len(files) // most))
-    return [spark.read.schema(whole.schema).parquet(*files[i : i + per]) for i in range(0, len(files), per)] or [whole]
+    read = spark.read.schema(whole.schema).parquet
+    if len(files) >= most:
+        return [read(*files[len(files) * i // most : len(files) * (i + 1) // most]) for i in range(most)]
+    parts = -(-most // max(len(files), 1))
+    out = []
+    for file in files:
+        n = read(file).count()  # from the footer
+        index = F.col("_metadata.row_index")
+        out += [read(file).where((index >= n * i // parts) & (index < n * (i + 1) // parts)) for i in range(parts)]
+    return out or [whole]

@@ -166,7 +166,7 @@ def test_stale_writer_is_refused(spark):
     files, at = a._hadoop(a._manifest(version + 1))
     files.delete(at, False)
     listed, calls = a._names, []
-    a._names = lambda: listed() if calls.append(1) or len(calls) > 1 else {version: (1, 0)}
+    a._names = lambda: listed() if calls.append(1) or len(calls) > 1 else {version: (1000, 0)}
     assert not a.commit(version, there + new, schema)
     assert b.versions() == [last] and sorted(r.id for r in b.read().collect()) == list(range(50))
     del a._names
@@ -201,3 +201,69 @@ def test_commits_do_not_overwrite(spark):
     with pytest.raises(ValueError):
         table.append(spark.createDataFrame([("x",)], "a string"))
     assert table.read(1).count() == 3
+
+
+@pytest.mark.parametrize("atomic", [True, False])
+def test_successor_between_rename_and_check(spark, atomic):
+    """Another writer builds on A's version before A has looked whether its commit holds; rows are there once."""
+    path = fresh_path(spark, "t")
+    a, b = (shards.ShardedTable(spark, path, target=60_000, few=3) for _ in range(2))
+    a.append(spark.range(1).coalesce(1))
+    put, followed = a._put, []
+
+    def then_others(name, text, overwrite):
+        put(name, text, overwrite if atomic else True)
+        if not followed:
+            followed.append(b.append(spark.range(2, 3).coalesce(1)))
+            b.append(spark.range(3, 4).coalesce(1))
+            if not atomic:
+                b.expire(keep=1, min_age=0)  # A finds its own version as a tombstone
+
+    a._put = then_others
+    assert a.append(spark.range(1, 2).coalesce(1)) == 2 and followed == [3]
+    assert sorted(r.id for r in b.read().collect()) == [0, 1, 2, 3]
+
+
+def test_another_rename_came_over(spark):
+    """A store that overwrites: who is renamed over reads again and adds its rows to what is there."""
+    path = fresh_path(spark, "t")
+    a, b = (shards.ShardedTable(spark, path) for _ in range(2))
+    a.append(spark.range(1).coalesce(1))
+    version, there, schema = b.manifest()
+    put, over = a._put, []
+
+    def overwritten(name, text, overwrite):
+        put(name, text, overwrite)
+        if not over:
+            names, b._names = b._names, lambda: {version: (1000, 0)}
+            keep, b._put = b._put, lambda n, t, o: keep(n, t, True)
+            over.append(b.commit(version, there + b._write(spark.range(5, 6).coalesce(1)), schema))
+            b._names, b._put = names, keep
+
+    a._put = overwritten
+    assert a.append(spark.range(1, 2).coalesce(1)) == 3 and over == [True]
+    assert sorted(r.id for r in b.read().collect()) == [0, 1, 5]
+
+
+def test_query_compacts(spark, monkeypatch):
+    """The registered query's rows pass through merges: eight arrivals, two compactions at least."""
+    made = []
+
+    class Watched(shards.ShardedTable):
+        def __init__(self, *args, **kwargs):
+            super().__init__(*args, **kwargs)
+            self.appended = self.merged = 0
+            made.append(self)
+
+        def append(self, df):
+            self.appended += 1
+            return super().append(df)
+
+        def _merge(self, run, schema):
+            self.merged += 1
+            assert len(run) >= self.few
+            return super()._merge(run, schema)
+
+    monkeypatch.setattr(shards, "ShardedTable", Watched)
+    same_rows(queries.op1_sharding(spark, SF), queries.OP1)
+    assert [(t.appended, t.merged) for t in made] == [(8, 2)] and len(made[0].shards()[1]) == 2
