@@ -1,14 +1,21 @@
 """Extraction from a page table (key, url, html).
 
 Links and headings, which need no nesting, are read by expressions on the text.
-For everything else `with_elements` parses each page once into an array of its
-elements, in document order; CSS selectors are expressions on that array, so a
-template of any number of selectors is one projection without a shuffle.
+For everything else `with_elements` parses each page once into its text and an
+array of its elements, in document order; CSS selectors are expressions on that, so
+a template of any number of selectors is one projection without a shuffle.
 `elements` gives the same as one row per element, for joins and windows.
 
+An element has its place, and the last place inside it: what is inside, after or
+around another is a matter of ranges, at any depth. Its text is a stretch of the
+page's; what an element holds is as long as its own text and the first HEAD
+characters of all text inside it, so a page takes room in proportion to its size
+however deep it is nested.
+
 Selectors are lists (with ,) of compounds of a tag or *, #id, .class, [attribute],
-[attribute=value] (also ^=, $=, *=), :first-child and :nth-child(n), joined by blanks (inside),
-> (child of), + (next after) and ~ (later sibling of).
+[attribute=value] (also ^=, $=, *=, ~=), :first-child, :last-child, :only-child, :nth-child(n),
+:nth-last-child(n), :first-of-type, :last-of-type, :nth-of-type(n) and :not(compounds), joined by
+blanks (inside), > (child of), + (next after) and ~ (later sibling of).
 
 Comments and the insides of scripts and styles are no text and hold no elements.
 Null and empty html have no elements.
@@ -17,6 +24,7 @@ Null and empty html have no elements.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
@@ -34,13 +42,17 @@ VOID = "area base br col embed hr img input link meta source track wbr".split()
 CLOSES = {"li": ("li",), "p": ("p",), "option": ("option",), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "dt": ("dt", "dd"), "dd": ("dt", "dd")}
 #: Fixed: elements that such an open one does not reach out of.
 KEEPS = "table tbody thead tfoot tr ul ol dl select div section body html".split()
-NO_TEXT = r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>"
+NO_TEXT = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b.*?(?:</\1\s*>|\z)"
+#: The rest of a tag, passed over without going back; > in quotes does not end it.
+REST = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+#: A tag, or one whose quotes do not close.
+TAG = rf"<[/!?a-zA-Z](?:{REST}|[^>]*+>)"
 #: An attribute's value in double quotes, single quotes or none; three groups.
 VALUE = r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 #: Attributes are passed over without going back, so that no tag, however long or broken, costs more than its length.
 HREF = rf"""(?is)<a\b(?:[^>"'\s]++|\s(?!href\s*=)|"[^"]*+"|'[^']*+')*+\shref{VALUE}"""
-LINK = rf"""{HREF}(?:[^>"']++|"[^"]*+"|'[^']*+')*+>(.*?)(?=</a\s*>|<a\b|$)"""
-EVENT = rf"""(?is)<(?:h[1-6])\b[^>]*>.*?</h[1-6]\s*>|{HREF[5:]}"""
+LINK = rf"""{HREF}{REST}(.*?)(?=</a\s*>|<a\b|$)"""
+EVENT = rf"""(?is)<(?:h[1-6])\b{REST}.*?</h[1-6]\s*>|{HREF[5:]}"""
 
 
 def _none_if_empty(arr: Column) -> Column:
@@ -48,7 +60,7 @@ def _none_if_empty(arr: Column) -> Column:
 
 
 def strip_tags(c: Column) -> Column:
-    return normalize_space(unescape(F.regexp_replace(c, "<[^>]*>", " ")))
+    return normalize_space(unescape(F.regexp_replace(c, TAG, " ")))
 
 
 def visible(c: Column) -> Column:
@@ -63,7 +75,7 @@ def _href(c: Column, pattern: str) -> Column:
 
 def select_text(html: Column, tag: str) -> Column:
     """Texts of all elements of a tag that does not hold itself (a heading, a title), in order; null without any."""
-    found = F.regexp_extract_all(visible(html), F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>"), F.lit(1))
+    found = F.regexp_extract_all(visible(html), F.lit(rf"(?is)<{tag}\b{REST}(.*?)</{tag}\s*>"), F.lit(1))
     return _none_if_empty(F.transform(found, strip_tags))
 
 
@@ -97,106 +109,175 @@ def link_groups(pages: DataFrame, key: str = "page_id", html_col: str = "html")
     return events.groupBy(key, "heading").agg(F.array_sort(F.collect_list(F.struct("pos", _href(F.col("e"), HREF).alias("href")))).alias("h")).select(key, "heading", F.col("h.href").alias("hrefs"))
 
 
+#: Fields of an element. `previous` and `next` are places of siblings, `nth` and `of` its number among them and how
+#: many there are, `nth_of_type` and `of_type` the same among those of its tag; start and length give its text.
+_FIELDS = {
+    **dict.fromkeys(("pos", "last", "parent", "previous", "next", "nth", "of", "nth_of_type", "of_type"), pa.int32()),
+    "tag": pa.string(), "attributes": pa.map_(pa.string(), pa.string()), "own": pa.string(), "head": pa.string(), "start": pa.int32(), "length": pa.int32(),
+}
+_NAMES = {pa.int32(): "int", pa.string(): "string", _FIELDS["attributes"]: "map<string,string>"}
+ELEMENT = "struct<" + ",".join(f"{name}:{_NAMES[kind]}" for name, kind in _FIELDS.items()) + ">"
+PAGE = f"struct<text:string,elements:array<{ELEMENT}>>"
+#: Characters of the text inside an element that it holds itself.
+HEAD = 64
+
+
 class _Elements(HTMLParser):
-    """[pos, parent, ancestors, previous, next, nth, tag, attributes, pieces of text] of every element, in document order."""
+    """Elements as lists in the order of _FIELDS (own texts as pieces), and the page's text, white space normalised."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.rows, self.open = [], []
-        self.last: dict[int, int] = {}
+        self.names: Counter = Counter()  # of open elements
+        self.siblings: dict[int, tuple[int, int]] = {}  # parent -> last child, how many
+        self.types: dict[tuple[int, str], list[int]] = {}
+        self.pieces, self.length, self.gap = [], 0, False
+
+    def _close(self, down_to: int) -> None:
+        for pos in self.open[down_to:]:
+            row = self.rows[pos]
+            row[1], row[14] = len(self.rows) - 1, self.length - row[13]
+            self.names[row[9]] -= 1
+        del self.open[down_to:]
 
     def handle_starttag(self, tag, attrs):
-        if tag in CLOSES:
+        if any(self.names[name] for name in CLOSES.get(tag, ())):
             for i in range(len(self.open) - 1, -1, -1):
-                name = self.rows[self.open[i]][6]
+                name = self.rows[self.open[i]][9]
                 if name in CLOSES[tag]:
-                    del self.open[i:]
+                    self._close(i)
                     break
                 if name in KEEPS:
                     break
         pos, parent = len(self.rows), self.open[-1] if self.open else None
-        before = self.last.get(-1 if parent is None else parent)
+        under = -1 if parent is None else parent
+        before, nth = self.siblings.get(under, (None, 0))
         if before is not None:
             self.rows[before][4] = pos
-        self.last[-1 if parent is None else parent] = pos
+        self.siblings[under] = pos, nth + 1
+        same = self.types.setdefault((under, tag), [])
+        same.append(pos)
         found: dict[str, str] = {}
         for name, value in attrs:
             found.setdefault(name, value or "")
-        self.rows.append([pos, parent, list(self.open), before, None, 1 if before is None else self.rows[before][5] + 1, tag, list(found.items()), []])
+        self.rows.append([pos, pos, parent, before, None, nth + 1, 0, len(same), 0, tag, list(found.items()), [], None, self.length, 0])
         if tag not in VOID:
             self.open.append(pos)
+            self.names[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID:
-            self.open.pop()
+            self._close(len(self.open) - 1)
 
     def handle_endtag(self, tag):
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.rows[self.open[i]][6] == tag:
-                del self.open[i:]
-                break
+        if self.names[tag]:
+            for i in range(len(self.open) - 1, -1, -1):
+                if self.rows[self.open[i]][9] == tag:
+                    self._close(i)
+                    break
 
     def handle_data(self, data):
-        if not self.open or self.rows[self.open[-1]][6] not in ("script", "style"):
-            for i in self.open:
-                self.rows[i][8].append(data)
-
-
-def parsed(html: str | None) -> list[list]:
-    """The elements of a page, with their texts in one piece, white space normalised."""
+        if self.open and self.rows[self.open[-1]][9] in ("script", "style"):
+            return
+        if self.open:
+            self.rows[self.open[-1]][11].append(data)
+        words = data.split()
+        self.gap |= bool(data) and data[0].isspace()
+        for word in words:
+            if self.gap and self.length:
+                word = " " + word
+            self.pieces.append(word)
+            self.length += len(word)
+            self.gap = True
+        if words:
+            self.gap = data[-1].isspace()
+
+    def page(self) -> tuple[str, list[list]]:
+        self._close(0)
+        text = "".join(self.pieces)
+        for (under, _), places in self.types.items():
+            for pos in places:
+                self.rows[pos][6], self.rows[pos][8] = self.siblings[under][1], len(places)
+        for row in self.rows:
+            row[11] = " ".join("".join(row[11]).split())
+            at = row[13] + (row[14] > 0 and text[row[13]] == " ")
+            row[14] -= at - row[13]
+            row[13], row[12] = at, text[at : at + min(row[14], HEAD)]
+        return text, self.rows
+
+
+def parsed(html: str | None) -> tuple[str, list[list]]:
+    """The text of a page, and its elements."""
     parser = _Elements()
     parser.feed(html or "")
     parser.close()
-    for row in parser.rows:
-        row[8] = " ".join("".join(row[8]).split())
-    return parser.rows
+    return parser.page()
 
 
-#: An element; `ancestors` are places, from the outermost.
-ELEMENT = "struct<pos:int,parent:int,ancestors:array<int>,previous:int,next:int,nth:int,tag:string,attributes:map<string,string>,text:string>"
-_FIELDS = [("pos", pa.int32()), ("parent", pa.int32()), ("ancestors", pa.list_(pa.int32())), ("previous", pa.int32()), ("next", pa.int32()), ("nth", pa.int32()), ("tag", pa.string()), ("attributes", pa.map_(pa.string(), pa.string())), ("text", pa.string())]
+def free_name(columns: list[str], name: str) -> str:
+    """name, with underscores before it until no column has it in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
 
 
 def with_elements(pages: DataFrame, html_col: str = "html", out: str = "elements", keep: tuple[str, ...] | None = None) -> DataFrame:
-    """pages (or only the columns in keep) with the array of each page's elements in place of its html."""
+    """pages (or only the columns in keep) with each page's text and elements in place of its html."""
     rest = [c for c in (pages.columns if keep is None else keep) if c != html_col]
-    kind = pa.list_(pa.struct(_FIELDS))
+    kind = pa.struct([("text", pa.string()), ("elements", pa.list_(pa.struct(list(_FIELDS.items()))))])
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, len(batch), 64):
                 part = batch.slice(at, 64)
-                found = [[dict(zip((n for n, _ in _FIELDS), row, strict=True)) for row in parsed(h.as_py())] for h in part.column(len(rest))]
+                found = []
+                for h in part.column(len(rest)):
+                    text, rows = parsed(h.as_py())
+                    found.append({"text": text, "elements": [dict(zip(_FIELDS, row, strict=True)) for row in rows]})
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(found, kind)], names=[*rest, out])
 
     schema = ", ".join(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in rest)
-    return pages.select(*rest, html_col).mapInArrow(parse, f"{schema + ', ' if rest else ''}{out} array<{ELEMENT}>")
+    return pages.select(*rest, html_col).mapInArrow(parse, f"{schema + ', ' if rest else ''}`{out}` {PAGE}")
 
 
-def elements(pages: DataFrame, key: str = "page_id", html_col: str = "html") -> DataFrame:
-    """(key, pos, parent, tag, id, href, text) of every element; text is all text inside it."""
+def elements(pages: DataFrame, key: str = "page_id", html_col: str = "html", tags: tuple[str, ...] | None = None) -> DataFrame:
+    """(key, pos, last, parent, tag, id, href, own, text) of every element, or of those of some tags; text is all text inside it."""
+    page = free_name([key], "elements")
+    wanted = F.col(f"{page}.elements") if tags is None else F.filter(F.col(f"{page}.elements"), lambda e: e.tag.isin(*tags))
+    rows = F.transform(wanted, lambda e: F.struct(e.pos.alias("pos"), e["last"].alias("last"), e.parent.alias("parent"), e.tag.alias("tag"), e.attributes["id"].alias("id"), e.attributes["href"].alias("href"), e.own.alias("own"), text_of(F.col(page), e).alias("text")))
+    return with_elements(pages, html_col, page, keep=(key,)).select(key, F.explode(rows).alias("e")).select(key, "e.*")
 
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, len(batch), 64):
-                columns = [[] for _ in range(7)]
-                for k, html in zip(*batch.slice(at, 64).columns, strict=True):
-                    k = k.as_py()
-                    for row in parsed(html.as_py()):
-                        found = dict(row[7])
-                        for column, value in zip(columns, (k, row[0], row[1], row[6], found.get("id"), found.get("href"), row[8]), strict=True):
-                            column.append(value)
-                kinds = (batch.column(0).type, pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.string())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["key", "pos", "parent", "tag", "id", "href", "text"])
 
-    kind = pages.schema[key].dataType.simpleString()
-    rows = pages.select(F.col(key).alias("key"), F.col(html_col).alias("html")).mapInArrow(parse, f"key {kind}, pos int, parent int, tag string, id string, href string, text string")
-    return rows.withColumnRenamed("key", key)
+def text_of(page: Column, e: Column) -> Column:
+    """All text inside an element."""
+    return F.when(e.length <= HEAD, e.head).otherwise(F.substring(page.text, e.start + 1, e.length))
 
 
 #: One part of a compound selector.
-_PART = re.compile(r"""(?P<tag>[a-zA-Z][\w-]*|\*)|\#(?P<id>[\w-]+)|\.(?P<cls>[\w-]+)|\[\s*(?P<attr>[\w-]+)\s*(?:(?P<op>[\^$*]?=)\s*(?:"(?P<dq>[^"]*)"|'(?P<sq>[^']*)'|(?P<raw>[^\]\s]+)))?\s*\]|:first-child|:nth-child\((?P<nth>\d+)\)""")
+_PART = re.compile(
+    r"""(?P<tag>[a-zA-Z][\w-]*|\*)|\#(?P<id>[\w-]+)|\.(?P<cls>[\w-]+)
+    |\[\s*(?P<attr>[\w:-]+)\s*(?:(?P<op>[\^$*~]?=)\s*(?:"(?P<dq>[^"]*)"|'(?P<sq>[^']*)'|(?P<raw>[^\]\s]+)))?\s*\]
+    |:(?P<nth>nth-child|nth-last-child|nth-of-type)\((?P<n>\d+)\)|:(?P<place>first-child|last-child|only-child|first-of-type|last-of-type)(?![\w-])
+    |:not\((?P<no>(?:[^()"']|"[^"]*"|'[^']*'|\([^()]*\))+)\)""",
+    re.X,
+)
+#: What separates selectors: a comma outside of quotes and brackets.
+_COMMA = re.compile(r"""((?:[^,"'\[(]|\[(?:[^\]"']|"[^"]*"|'[^']*')*\]|\((?:[^()"']|"[^"]*"|'[^']*'|\([^()]*\))*\))*)(?:,|$)""")
+
+
+def _choices(selector: str) -> list[str]:
+    """A selector list's selectors; ValueError where quotes or brackets do not close."""
+    out, at = [], 0
+    while True:
+        found = _COMMA.match(selector, at)
+        if not found:
+            raise ValueError(f"not a selector: {selector}")
+        out.append(found[1].strip())
+        if found.end() == len(selector) and not found[0].endswith(","):
+            return out
+        at = found.end()
 
 
 def _steps(selector: str) -> list[tuple[str, list[re.Match]]]:
@@ -221,55 +302,76 @@ def _steps(selector: str) -> list[tuple[str, list[re.Match]]]:
     return out
 
 
+def _compound(selector: str) -> list[re.Match]:
+    steps = _steps(selector)
+    if len(steps) > 1:
+        raise ValueError(f"not a compound: {selector}")
+    return steps[0][1]
+
+
 def _matches(e: Column, parts: list[re.Match]) -> Column:
     """Whether an element matches a compound."""
     tests = F.lit(True)
+    words = lambda value: F.split(value, r"\s+")
     for p in parts:
         if p["tag"]:
-            tests = tests & (F.lit(True) if p["tag"] == "*" else e.tag == p["tag"].lower())
+            test = F.lit(True) if p["tag"] == "*" else e.tag == p["tag"].lower()
         elif p["id"]:
-            tests = tests & (e.attributes["id"] == p["id"])
+            test = e.attributes["id"] == p["id"]
         elif p["cls"]:
-            tests = tests & F.array_contains(F.split(e.attributes["class"], r"\s+"), p["cls"])
+            test = F.array_contains(words(e.attributes["class"]), p["cls"])
         elif p["attr"]:
             value, wanted = e.attributes[p["attr"].lower()], next((p[g] for g in ("dq", "sq", "raw") if p[g] is not None), "")
-            how = {None: lambda: value.isNotNull(), "=": lambda: value == wanted, "^=": lambda: value.startswith(wanted), "$=": lambda: value.endswith(wanted), "*=": lambda: value.contains(wanted)}
-            tests = tests & how[p["op"]]()
+            how = {None: lambda: value.isNotNull(), "=": lambda: value == wanted, "^=": lambda: value.startswith(wanted), "$=": lambda: value.endswith(wanted), "*=": lambda: value.contains(wanted), "~=": lambda: F.array_contains(words(value), wanted)}
+            test = how[p["op"]]()
+        elif p["no"]:
+            test = F.lit(True)
+            for one in _choices(p["no"]):
+                test = test & ~_matches(e, _compound(one))
+        elif p["nth"]:
+            test = {"nth-child": e.nth, "nth-last-child": e.of - e.nth + 1, "nth-of-type": e.nth_of_type}[p["nth"]] == int(p["n"])
         else:
-            tests = tests & (e.nth == int(p["nth"] or 1))
-    return F.coalesce(tests, F.lit(False))
+            test = {"first-child": e.nth == 1, "last-child": e.nth == e.of, "only-child": e.of == 1, "first-of-type": e.nth_of_type == 1, "last-of-type": e.nth_of_type == e.of_type}[p["place"]]
+        tests = tests & F.coalesce(test, F.lit(False))
+    return tests
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once, not for each element that body looks at."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def within(e: Column, outer: Column) -> Column:
+    """Whether an element is inside another one."""
+    return (outer.pos < e.pos) & (e.pos <= outer["last"])
 
 
 def css(page: Column, selector: str) -> Column:
     """The elements of a page (a column of with_elements) that a selector matches, in document order."""
 
-    def holds(e: Column, steps: list) -> Column:
-        (how, parts), before = steps[-1], steps[:-1]
-        own = _matches(e, parts)
-        if not before:
-            return own
-        at = lambda place: F.get(page, place)
-        if how == " ":
-            return own & F.exists(e.ancestors, lambda a: holds(at(a), before))
-        if how == "~":
-            return own & F.exists(page, lambda s: s.parent.eqNullSafe(e.parent) & (s.pos < e.pos) & holds(s, before))
-        place = e.parent if how == ">" else e.previous
-        return own & place.isNotNull() & F.coalesce(holds(at(place), before), F.lit(False))
+    def found(steps: list[tuple[str, list[re.Match]]]) -> Column:
+        chosen = F.filter(page.elements, lambda e: _matches(e, steps[0][1]))
+        for how, parts in steps[1:]:
+            chosen = let(chosen, following(how, parts))
+        return chosen
 
-    choices = [_steps(one.strip()) for one in selector.split(",")]
+    def following(how: str, parts: list[re.Match]) -> Callable[[Column], Column]:
+        return lambda before: F.filter(page.elements, lambda e: _matches(e, parts) & joined(how, before, e))
 
-    def any_of(e: Column) -> Column:
-        found = F.lit(False)
-        for steps in choices:
-            found = found | holds(e, steps)
-        return F.coalesce(found, F.lit(False))
+    def joined(how: str, before: Column, e: Column) -> Column:
+        test = {" ": lambda a: within(e, a), ">": lambda a: a.pos == e.parent, "+": lambda a: a.pos == e.previous, "~": lambda a: a.parent.eqNullSafe(e.parent) & (a.pos < e.pos)}[how]
+        return F.coalesce(F.exists(before, test), F.lit(False))
 
-    return F.filter(page, any_of)
+    choices = [found(_steps(one)) for one in _choices(selector.strip())]
+    if len(choices) == 1:
+        return choices[0]
+    places = F.array_distinct(F.flatten(F.array(*[F.transform(c, lambda e: e.pos) for c in choices])))
+    return let(places, lambda p: F.filter(page.elements, lambda e: F.array_contains(p, e.pos)))
 
 
 def texts(page: Column, selector: str) -> Column:
     """Texts of all elements that match; null without any."""
-    return _none_if_empty(F.transform(css(page, selector), lambda e: e.text))
+    return _none_if_empty(F.transform(css(page, selector), lambda e: text_of(page, e)))
 
 
 def attributes(page: Column, selector: str, name: str, strict: bool = False) -> Column:
@@ -281,28 +383,68 @@ def attributes(page: Column, selector: str, name: str, strict: bool = False) ->
     return _none_if_empty(there)
 
 
-def inside(page: Column, place: Column, attribute: str) -> Column:
-    """An attribute of the element at a place and of all elements in it."""
-    found = F.filter(page, lambda e: ((e.pos == place) | F.array_contains(e.ancestors, place)) & e.attributes[attribute].isNotNull())
-    return F.transform(found, lambda e: e.attributes[attribute])
+def inside(page: Column, outer: Column, attribute: str) -> Column:
+    """An attribute of an element and of all elements in it; null for no element."""
+    found = F.filter(page.elements, lambda e: (e.pos >= outer.pos) & (e.pos <= outer["last"]) & e.attributes[attribute].isNotNull())
+    return F.when(outer.isNotNull(), F.transform(found, lambda e: e.attributes[attribute]))
+
+
+def _quoted(label: str) -> str:
+    """A label as part of a pattern: its characters as they are, any white space between its words."""
+    if len(label) > HEAD - 4:
+        raise ValueError(f"a label of more than {HEAD - 4} characters: {label}")
+    return r"\s+".join("\\Q" + word.replace("\\E", "\\E\\\\E\\Q") + "\\E" for word in label.split())
+
+
+def _innermost(page: Column, pattern: str, whole: bool = False) -> Column:
+    """Elements whose text (its head; all of it, where whole) matches, without those around another that does."""
+    found = F.filter(page.elements, lambda e: e.head.rlike(pattern) & (F.lit(not whole) | (e.length <= HEAD)))
+    # In document order, what is around another comes before it, and the next one is inside it if any is.
+    return let(found, lambda f: F.filter(f, lambda e, i: ~F.coalesce(within(F.get(f, i + 1), e), F.lit(False))))
 
 
 def after_label(page: Column, tags: tuple[str, ...], label: str) -> Column:
-    """The element next after the first of some tags whose text begins with a label, case and blanks aside; null without."""
-    labels = F.filter(page, lambda e: e.tag.isin(*tags) & e.next.isNotNull() & e.text.rlike(rf"(?i)^\s*{label}\s*(?:\W|$)"))
-    return F.when(F.size(labels) > 0, F.get(page, F.get(labels, F.lit(0)).next))
+    """The element beside a label, in the next cell or block; null without.
+
+    The label is the innermost element whose text begins with it, case and blanks
+    aside, the first such. Its cell is the nearest element of some tags around it (or
+    itself); where that stands alone in another, the outer one is the cell. A row of a
+    class that is followed by a row of the same class is no cell.
+    """
+    at = lambda place: F.get(page.elements, place)
+    alone = lambda c: c.isNotNull() & c.next.isNull() & (c.nth == 1)
+    outer = lambda c: F.when(alone(c) & at(c.parent).tag.isin(*tags), at(c.parent)).otherwise(c)
+    rows = lambda c, beside: F.coalesce((beside.tag == c.tag) & (beside.attributes["class"] == c.attributes["class"]) & (c["last"] > c.pos), F.lit(False))
+
+    def value(label_element: Column) -> Column:
+        around = F.filter(page.elements, lambda e: (e.pos <= label_element.pos) & (e["last"] >= label_element.pos) & e.tag.isin(*tags))
+        return let(F.element_at(around, -1), lambda c: let(outer(outer(c)), lambda cell: let(at(cell.next), lambda beside: F.when(cell.next.isNotNull() & ~rows(cell, beside), beside))))
+
+    labels = _innermost(page, rf"(?i)^\s*{_quoted(label)}\s*(?:\W|$)")
+    return let(F.get(labels, F.lit(0)), lambda e: F.when(e.isNotNull(), F.when(F.exists(page.elements, lambda x: (x.pos <= e.pos) & (x["last"] >= e.pos) & x.tag.isin(*tags)), value(e))))
+
+
+#: What holds the members of a counted section.
+CONTAINERS = "ul, ol, dl, table, .voteList"
+_COUNT = r"(?i)^\s*\p{L}[\p{L}\s-]*:\s*\d+\s*$"
+
+
+def counted(page: Column, label: str, containers: str = CONTAINERS) -> Column:
+    """hrefs of the container after "Label : N", at any depth.
+
+    Null without the label, and for a count over 0 without a container before the
+    next counted label; empty if N is 0.
+    """
+    mark = rf"(?i)^\s*{_quoted(label)}\s*:\s*(\d+)\s*$"
 
+    def value(first: Column, labels: Column, lists: Column) -> Column:
+        later = F.get(F.filter(labels, lambda e: e.pos > first.pos), F.lit(0))
+        near = F.get(F.filter(lists, lambda e: (e.pos > first["last"]) & (later.isNull() | (e.pos < later.pos))), F.lit(0))
+        n = F.regexp_extract(first.head, mark, 1).try_cast("int")
+        return F.when(n == 0, F.array().cast("array<string>")).otherwise(let(near, lambda c: inside(page, c, "href")))
 
-def counted(page: Column, label: str) -> Column:
-    """hrefs of the list after "Label : N": null without the label, empty if N is 0."""
-    mark = rf"(?i)^\s*{label}\s*:\s*(\d+)\s*$"
-    labels = F.filter(page, lambda e: e.text.rlike(mark))
-    # Of elements around one another that say it, the innermost comes last; of repeated labels the first counts.
-    first = F.get(F.filter(labels, lambda e: ~F.exists(labels, lambda o: F.array_contains(o.ancestors, e.pos))), F.lit(0))
-    lists = F.filter(page, lambda e: e.tag.isin("ul", "ol") & (e.pos > first.pos))
-    n = F.regexp_extract(first.text, mark, 1).try_cast("int")
-    found = F.when(F.size(lists) > 0, inside(page, F.get(lists, F.lit(0)).pos, "href")).otherwise(F.array().cast("array<string>"))
-    return F.when(F.size(labels) == 0, None).when(n == 0, F.array().cast("array<string>")).otherwise(found)
+    found = F.get(_innermost(page, mark, True), F.lit(0))
+    return let(found, lambda first: F.when(first.isNotNull(), let(_innermost(page, _COUNT, True), lambda labels: let(css(page, containers), lambda lists: value(first, labels, lists)))))
 
 
 def per_page(function: Callable[[list], object], strict: bool = False) -> Callable[[Column], Column]:
@@ -313,17 +455,18 @@ def per_page(function: Callable[[list], object], strict: bool = False) -> Callab
     """
 
     @F.pandas_udf("array<string>")
-    def run(pages: pd.Series) -> pd.Series:
-        def one(page) -> list | None:
+    def run(pages: pd.DataFrame) -> pd.Series:
+        def one(text, found) -> list | None:
             try:
-                found = function([] if page is None else list(page))
+                page = [] if found is None else [dict(e, text=text[e["start"] : e["start"] + e["length"]]) for e in found]
+                value = function(page)
             except Exception:
                 if strict:
                     raise
                 return None
-            return found if found is None else list(found) if isinstance(found, (list, tuple)) else [str(found)]
+            return value if value is None else list(value) if isinstance(value, (list, tuple)) else [str(value)]
 
-        return pd.Series([one(page) for page in pages], index=pages.index, dtype=object)
+        return pd.Series([one(*row) for row in zip(pages["text"], pages["elements"], strict=True)], index=pages.index, dtype=object)
 
     return run
 
@@ -334,7 +477,8 @@ def apply_template(pages: DataFrame, template: dict[str, tuple[str, ...] | str |
     Pages are parsed once for all keys. strict: an element without the attribute
     that is asked for is an error.
     """
-    page, out = F.col("elements"), []
+    name = free_name(list(keep), "elements")
+    page, out = F.col(name), []
     for key, how in template.items():
         if callable(how):
             value = how(page)
@@ -345,22 +489,23 @@ def apply_template(pages: DataFrame, template: dict[str, tuple[str, ...] | str |
         else:
             raise ValueError(f"{key}: a selector is CSS, (CSS, attribute) or a function")
         out.append(value.alias(key))
-    return with_elements(pages, html_col, keep=keep).select(*keep, *out)
+    return with_elements(pages, html_col, name, keep).select(*keep, *out)
 
 
 def label_values(rows: DataFrame, key: str, label_tag: str = "td", value_tag: str = "td") -> DataFrame:
-    """(key, label, value, hrefs): an element and the next sibling, as in a two-column table; hrefs of links inside the sibling."""
+    """(key, label, value, hrefs): an element and the next sibling, as in a two-column table; hrefs of links inside the sibling, however deep."""
     beside = Window.partitionBy(key, "parent").orderBy("pos")
-    nth = F.row_number().over(beside)
-    pairs = rows.where(F.col("tag").isin(label_tag, value_tag)).select(key, F.col("text").alias("label"), nth.alias("nth"), F.lead("text").over(beside).alias("value"), F.lead("pos").over(beside).alias("_at"), F.col("tag"), F.lead("tag").over(beside).alias("_next"))
-    pairs = pairs.where((F.col("tag") == label_tag) & (F.col("_next") == value_tag) & (F.col("nth") % 2 == 1))
-    inside = rows.where(F.col("href").isNotNull()).groupBy(F.col(key).alias("_key"), F.col("parent").alias("_parent")).agg(F.array_sort(F.collect_list(F.struct("pos", "href"))).alias("_h"))
-    return pairs.join(inside, (F.col(key) == F.col("_key")) & (F.col("_at") == F.col("_parent")), "left").select(key, "label", "value", F.col("_h.href").alias("hrefs"))
+    pairs = rows.where(F.col("tag").isin(label_tag, value_tag)).select(key, "tag", F.col("text").alias("label"), F.row_number().over(beside).alias("nth"), F.lead(F.struct("text", "pos", "last", "tag")).over(beside).alias("v"))
+    pairs = pairs.where((F.col("tag") == label_tag) & (F.col("v.tag") == value_tag) & (F.col("nth") % 2 == 1)).select(F.struct(F.col(key).alias("key"), "label", "v").alias("pair"))
+    links = rows.where(F.col("href").isNotNull()).select(F.struct(F.col(key).alias("key"), "pos", "href").alias("link"))
+    held = pairs.join(links, (F.col("pair.key") == F.col("link.key")) & (F.col("link.pos") >= F.col("pair.v.pos")) & (F.col("link.pos") <= F.col("pair.v.last")), "left")
+    hrefs = F.array_sort(F.collect_list(F.when(F.col("link.pos").isNotNull(), F.struct("link.pos", "link.href"))))
+    return held.groupBy("pair").agg(hrefs.alias("h")).select(F.col("pair.key").alias(key), "pair.label", F.col("pair.v.text").alias("value"), F.when(F.size("h") > 0, F.col("h.href")).alias("hrefs"))
 
 
 def label_value(pairs: DataFrame, key: str, labels: dict[str, str]) -> DataFrame:
     """One column for each of labels (column -> label): the value whose label starts with it, case aside; null without."""
-    return pairs.groupBy(key).agg(*[F.first(F.when(F.col("label").rlike(rf"(?i)^{label}\s*"), F.col("value")), ignorenulls=True).alias(name) for name, label in labels.items()])
+    return pairs.groupBy(key).agg(*[F.first(F.when(F.col("label").rlike(rf"(?i)^{_quoted(label)}\s*"), F.col("value")), ignorenulls=True).alias(name) for name, label in labels.items()])
 
 
 def table_rows(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
@@ -378,11 +523,11 @@ def link_after(rows: DataFrame, key: str, element_id: str) -> DataFrame:
 
 
 def links_within(rows: DataFrame, key: str, element_id: str) -> DataFrame:
-    """(key, pos, href, text) of links that are children of the element with an id, or grandchildren."""
-    section = rows.where(F.col("id") == element_id).select(F.col(key).alias("_key"), F.col("pos").alias("_section"))
-    child = rows.select(F.col(key).alias("_k2"), F.col("pos").alias("_child"), F.col("parent").alias("_up"))
-    placed = rows.where(F.col("href").isNotNull()).join(child, (F.col(key) == F.col("_k2")) & (F.col("parent") == F.col("_child")), "left")
-    return placed.join(section, (F.col(key) == F.col("_key")) & ((F.col("parent") == F.col("_section")) | (F.col("_up") == F.col("_section"))), "left_semi").select(key, "pos", "href", "text")
+    """(key, pos, href, text) of links inside the elements with an id, however deep."""
+    sections = rows.where(F.col("id") == element_id).select(F.struct(F.col(key).alias("key"), "pos", "last").alias("section"))
+    found = rows.where(F.col("href").isNotNull()).select(F.struct(F.col(key).alias("key"), "pos", "href", "text").alias("link"))
+    placed = found.join(sections, (F.col("link.key") == F.col("section.key")) & (F.col("link.pos") > F.col("section.pos")) & (F.col("link.pos") <= F.col("section.last")), "left_semi")
+    return placed.select(F.col("link.key").alias(key), "link.pos", "link.href", "link.text")
 
 
 def link_lists(rows: DataFrame, key: str, lists: dict[str, str], next_page: str | None = None) -> DataFrame:

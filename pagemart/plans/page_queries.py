@@ -202,6 +202,73 @@ def list_records(spark, sf_dir):
     return out
 
 
+# Pages as they are: rows around labels, labels inside other elements, links deep inside.
+
+
+def _wrapped_pages(spark, sf_dir) -> DataFrame:
+    """A page for each customer: a wrapped table, rows of blocks, a row without a value, a label that stands alone in its cell."""
+    c = table(spark, sf_dir, "customer")
+    key, nation = F.col("c_custkey"), F.col("c_nationkey")
+    row = lambda label, *value: ["<div class='row x'><div class=l>", label, "</div><div>", *value, "</div></div>"]
+    body = _concat(
+        "<div id=all><div class=wrap><table><tbody><tr><td><div><b>Phone:</b></div></td><td><p>555-", key, "</p></td></tr><tr><td>Phone Book:</td><td>no</td></tr></tbody></table></div>",
+        *row("<b>Bill</b> Number:", "<span>HB<i>", key, "</i></span><div><a href='/x/", key, ".pdf'>PDF</a></div>"),
+        "<div class='row x'><div class=l><b>Act Number:</b></div></div>",
+        *row("Originating Chamber:", "<b>", F.when(nation % 2 == 0, "House").otherwise("Senate"), "</b>"),
+        *row("Lead Sponsor (a+b):", "<div><div><div><ul><li><a href='/m/", nation, "'>Lee</a></ul></div></div></div>"),
+        "<section><div class=lab><b>District:</b></div><div>", nation, "</div></section></div>",
+    )
+    return c.select("c_custkey", body.alias("html"))
+
+
+@query("""SELECT c_custkey, '555-' || c_custkey AS phone, 'HB' || c_custkey || 'PDF' AS bill_no, '/x/' || c_custkey || '.pdf' AS bill_link, NULL AS act_no,
+  CASE WHEN c_nationkey % 2 = 0 THEN 'House' ELSE 'Senate' END AS chamber, '/m/' || c_nationkey AS sponsor, CAST(c_nationkey AS VARCHAR) AS district, NULL AS fax FROM customer""")
+def wrapped_labels(spark, sf_dir):
+    """Labels in rows, in cells of wrapped tables and in <b>, and a label without a value."""
+    value = lambda label: lambda page: html.let(html.after_label(page, ("td", "th", "div"), label), lambda e: html.text_of(page, e))
+    link = lambda label: lambda page: html.let(html.after_label(page, ("td", "th", "div"), label), lambda e: html.inside(page, e, "href")[0])
+    keys = {"phone": value("Phone"), "bill_no": value("Bill Number"), "bill_link": link("Bill Number"), "act_no": value("Act Number"), "chamber": value("Originating Chamber"), "sponsor": link("Lead Sponsor (a+b)"), "district": value("District"), "fax": value("Fax")}
+    return html.apply_template(_wrapped_pages(spark, sf_dir), keys, keep=("c_custkey",))
+
+
+@query("""SELECT l_orderkey, string_agg('/m/' || l_partkey, ' ' ORDER BY l_linenumber, l_partkey) AS yeas, '/n/' || l_orderkey AS nays, NULL AS absent, '' AS present, NULL AS excused
+FROM lineitem WHERE l_suppkey % 4 = 0 GROUP BY l_orderkey""")
+def vote_containers(spark, sf_dir):
+    """Counted sections in blocks and tables, with members deep inside; a count over 0 without a container is null."""
+    votes = table(spark, sf_dir, "lineitem").where("l_suppkey % 4 = 0").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("v"))
+    member = lambda x: F.concat(F.lit("<div><p><span><a href='/m/"), x.l_partkey.cast("string"), F.lit("'>A</a></span></p></div>"))
+    body = F.concat(
+        F.lit("<a href='/before'>b</a><div class=row><div><b>Yeas : "), F.size("v").cast("string"), F.lit("</b></div></div><div class='a voteList'>"), F.array_join(F.transform("v", member), ""),
+        F.lit("</div><div class=row><b>Nays: 1</b></div><table><tr><td><div><a href='/n/"), F.col("l_orderkey").cast("string"),
+        F.lit("'>B</a></div></td></tr></table><p>Absent: 2</p><p>none listed</p><p>Present: 0</p><ul><li><a href='/after'>c</a></ul>"),
+    )
+    keys = {name: (lambda label: lambda page: F.array_join(html.counted(page, label), " "))(name.capitalize()) for name in ("yeas", "nays", "absent", "present", "excused")}
+    return html.apply_template(votes.select("l_orderkey", body.alias("html")), keys, keep=("l_orderkey",))
+
+
+@query("""SELECT s_suppkey AS page_id, 'section' AS kind, '/a/' || s_suppkey AS href FROM supplier UNION ALL SELECT s_suppkey, 'section', '/b' FROM supplier UNION ALL SELECT s_suppkey, 'cell', '/c/' || s_nationkey FROM supplier UNION ALL SELECT s_suppkey, 'css', '/a/' || s_suppkey FROM supplier""")
+def deep_links(spark, sf_dir):
+    """Links of a section, of a table's cell and of a selector, five levels down."""
+    s = table(spark, sf_dir, "supplier")
+    body = _concat("<a href='/out'>o</a><div id=s><div><ul><li><p><b><a href='/a/", F.col("s_suppkey"), "' class='k, l'>A</a></b></p></ul></div><a href='/b'>B</a></div><a href='/out'>o</a><table><tr><td>Links</td><td><div><div><ul><li><a href='/c/", F.col("s_nationkey"), "'>C</a></ul></div></div></td></tr></table>")
+    pages = s.select(F.col("s_suppkey").alias("page_id"), body.alias("html"))
+    rows = html.elements(pages)
+    section = html.links_within(rows, "page_id", "s").select("page_id", F.lit("section").alias("kind"), "href")
+    cell = html.label_values(rows, "page_id").where("label = 'Links'").select("page_id", F.lit("cell").alias("kind"), F.explode("hrefs").alias("href"))
+    css = html.apply_template(pages, {"href": ("div#s ul a[class=\"k, l\"]", "href")}, keep=("page_id",)).select("page_id", F.lit("css").alias("kind"), F.explode("href").alias("href"))
+    return section.unionByName(cell).unionByName(css)
+
+
+@query("""SELECT p_partkey, 'c' AS last, p_name || ' ' || p_brand AS not_first, p_brand AS second_b, 'a c' AS words, '3' AS nested FROM part""")
+def more_selectors(spark, sf_dir):
+    """:not, :last-child, :nth-of-type, words of attributes, elements inside one another."""
+    p = table(spark, sf_dir, "part")
+    body = _concat("<ul><li class='x one'>a</li><li class='y'>b<li class='x'>c</ul><p><i>1</i><b>", F.col("p_name"), "</b><i>2</i><b>", F.col("p_brand"), "</b></p><div><div><div><u>3</u></div></div></div>")
+    joined = lambda selector: lambda page: F.array_join(html.texts(page, selector), " ")
+    keys = {"last": joined("li:last-child"), "not_first": joined("p > :not(i, u)"), "second_b": joined("p b:nth-of-type(2):last-child"), "words": joined("li[class~='x']"), "nested": joined("div div div u:only-child")}
+    return html.apply_template(p.select("p_partkey", body.alias("html")), keys, keep=("p_partkey",))
+
+
 # Template rules.
 
 

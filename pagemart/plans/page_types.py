@@ -48,11 +48,11 @@ def _labelled(label: str, attr: str | None = None) -> Callable[[Column], Column]
     """The text (or an attribute of what is inside) of the cell or block after one that begins with a label."""
 
     def value(page: Column) -> Column:
-        beside = html.after_label(page, ("td", "th", "div"), label)
-        if attr:
-            found = html.inside(page, beside.pos, attr)
-            return F.when(F.size(found) > 0, found)
-        return F.when(beside.text != "", beside.text)
+        def of(beside: Column) -> Column:
+            found = html.inside(page, beside, attr) if attr else html.text_of(page, beside)
+            return F.when(F.size(found) > 0, found) if attr else F.when(found != "", found)
+
+        return html.let(html.after_label(page, ("td", "th", "div"), label), of)
 
     return value
 

@@ -331,3 +331,69 @@ def test_numbers_and_gaps_within_a_hot_group(spark):
         found.setdefault((r.host, r.ord), []).append(r.p)
     key = lambda d: {k: sorted(v, key=str) for k, v in d.items()}
     assert key(found) == key(before)
+
+
+def _page(spark, body):
+    return spark.createDataFrame([(1, body)], "elements int, html string")
+
+
+def test_labels_on_wrapped_pages(spark):
+    """Innermost label, its cell, and what stands beside it; the values of the rows around it are not taken."""
+    value = lambda label: lambda page: html.let(html.after_label(page, ("td", "th", "div"), label), lambda e: html.text_of(page, e))
+    cases = {
+        "<div class=row><div>Bill Number:</div><div>HB1</div></div><div class=row><div>Chamber:</div><div>House</div></div>": "HB1",
+        "<div><table><tr><td>Bill Number</td><td>HB1</td></tr></table></div><div>no</div>": "HB1",
+        "<div class=row><div><b>Bill  number:</b></div></div><div class=row><div>Chamber:</div><div>House</div></div>": None,
+        "<table><tr><td><div><b>Bill</b> Number:</div></td><td>HB1</td></tr></table>": "HB1",
+        "<p>Bill Number: HB1</p>": None,
+        "<div>Bill Numbers</div><div>no</div><div>Bill Number</div><div>HB1</div>": "HB1",
+    }
+    for body, expected in cases.items():
+        assert html.apply_template(_page(spark, body), {"v": value("Bill Number")}, keep=("elements",)).first().v == expected, body
+    with pytest.raises(ValueError):
+        html.after_label(F.struct(), ("td",), "x" * 100)
+
+
+def test_counted_sections(spark):
+    def found(body, **how):
+        return html.apply_template(_page(spark, body), {"v": lambda c: html.counted(c, "Yeas", **how)}, keep=()).first().v
+
+    links = "<a href=/1>a</a><p><b><i><a href=/2>b</a></i></b></p>"
+    assert found(f"<b>Yeas : 2</b><div class=voteList>{links}</div>") == ["/1", "/2"]
+    assert found(f"<div class=row><b>Yeas : 2</b></div><table><tr><td>{links}</td></tr></table>") == ["/1", "/2"]
+    assert found(f"<b>Yeas : 2</b>{links}") is None
+    assert found(f"<b>Yeas : 2</b><b>Nays: 2</b><ul>{links}</ul>") is None
+    assert found(f"<b>Yeas: 0</b><ul>{links}</ul>") == [] and found(f"<ul>{links}</ul>") is None
+    assert found(f"<b>Yeas: 2</b><ul><li>x</ul><div class=k>{links}</div>", containers="div.k") == ["/1", "/2"]
+
+
+def test_deep_pages(spark):
+    """50,000 elements inside one another, with selectors, labels and links over them."""
+    import time
+
+    n = 50_000
+    body = "<div>" * n + "<b>Label:</b><p>x</p><a href=/l>l</a>" + "</div>" * n
+    began = time.time()
+    keys = {"n": lambda p: F.size(html.css(p, "div")), "x": "div div p", "l": ("div a", "href"), "v": lambda p: html.let(html.after_label(p, ("b", "p"), "Label"), lambda e: html.text_of(p, e))}
+    got = html.apply_template(_page(spark, body), keys, keep=()).first()
+    assert (got.n, got.x, got.l, got.v) == (n, ["x"], ["/l"], "x")
+    text, rows = html.parsed(body)
+    assert text == "Label:xl" and len(rows) == n + 3 and rows[0][1] == n + 2
+    assert time.time() - began < 30
+
+
+def test_texts_are_stretches_of_the_page(spark):
+    """Each element's text and own text, against a walk over the pieces."""
+    body = "<div> a <b> b1<i>i1 </i></b>c<br> d<script>no <b>x</b></script><p>é &amp; f</div>g<ul><li>1<li>2 <ol><li>2a</ol><li>3</ul> h"
+    rows = {(r.tag, r.pos): (r.own, r.text) for r in html.elements(_page(spark, body), "elements").collect()}
+    assert [v for _, v in sorted(rows.items(), key=lambda x: x[0][1])] == [("a c d", "a b1i1 c dé & f"), ("b1", "b1i1"), ("i1", "i1"), ("", ""), ("", ""), ("é & f", "é & f"), ("", "12 2a3"), ("1", "1"), ("2", "2 2a"), ("", "2a"), ("2a", "2a"), ("3", "3")]
+    long = "word " * 100
+    got = html.apply_template(_page(spark, f"<i>x</i><p>{long}</p>"), {"p": "p"}, keep=("elements",)).first()
+    assert got.p == [long.strip()] and got.elements == 1
+
+
+def test_quotes_in_tags_and_open_comments(spark):
+    body = """<h1 title="a > b">Head</h1><a href="/x"><img alt="c > d">T</a><a href='/y' title='">'>U</a><p title="open>V</p><!-- <a href="/z">no</a>"""
+    page = spark.createDataFrame([(1, "https://h/", body)], "page_id int, url string, html string")
+    assert page.select(html.select_text(F.col("html"), "h1").alias("h")).first().h == ["Head"]
+    assert [(r.href, r.text) for r in html.links(page).orderBy("pos").collect()] == [("/x", "T"), ("/y", "U")]
