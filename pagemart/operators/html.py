@@ -26,7 +26,10 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
+from functools import reduce
 from html.parser import HTMLParser
+from itertools import accumulate
+from operator import or_
 
 import pandas as pd
 import pyarrow as pa
@@ -215,6 +218,22 @@ def parsed(html: str | None) -> tuple[str, list[list]]:
     return parser.page()
 
 
+def _arrow(pages: list[tuple[str, list[list]]]) -> pa.StructArray:
+    """Parsed pages as a column, put together field by field."""
+    ends = lambda lists: pa.array(list(accumulate(map(len, lists), initial=0)), pa.int32())
+    fields = []
+    columns = list(zip(*(row for _, rows in pages for row in rows), strict=True)) or [()] * len(_FIELDS)
+    for (name, kind), values in zip(_FIELDS.items(), columns, strict=True):
+        if name == "attributes":
+            names, items = ([x[i] for pairs in values for x in pairs] for i in (0, 1))
+            fields.append(pa.MapArray.from_arrays(ends(values), pa.array(names, pa.string()), pa.array(items, pa.string())))
+        else:
+            fields.append(pa.array(values, kind))
+    rows = pa.StructArray.from_arrays(fields, names=list(_FIELDS))
+    held = pa.ListArray.from_arrays(ends([rows for _, rows in pages]), rows)
+    return pa.StructArray.from_arrays([pa.array([text for text, _ in pages], pa.string()), held], names=["text", "elements"])
+
+
 def free_name(columns: list[str], name: str) -> str:
     """name, with underscores before it until no column has it in any case."""
     taken = {c.lower() for c in columns}
@@ -226,17 +245,13 @@ def free_name(columns: list[str], name: str) -> str:
 def with_elements(pages: DataFrame, html_col: str = "html", out: str = "elements", keep: tuple[str, ...] | None = None) -> DataFrame:
     """pages (or only the columns in keep) with each page's text and elements in place of its html."""
     rest = [c for c in (pages.columns if keep is None else keep) if c != html_col]
-    kind = pa.struct([("text", pa.string()), ("elements", pa.list_(pa.struct(list(_FIELDS.items()))))])
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, len(batch), 64):
                 part = batch.slice(at, 64)
-                found = []
-                for h in part.column(len(rest)):
-                    text, rows = parsed(h.as_py())
-                    found.append({"text": text, "elements": [dict(zip(_FIELDS, row, strict=True)) for row in rows]})
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(found, kind)], names=[*rest, out])
+                found = _arrow([parsed(h) for h in part.column(len(rest)).to_pylist()])
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], found], names=[*rest, out])
 
     schema = ", ".join(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in rest)
     return pages.select(*rest, html_col).mapInArrow(parse, f"{schema + ', ' if rest else ''}`{out}` {PAGE}")
@@ -362,7 +377,10 @@ def css(page: Column, selector: str) -> Column:
         test = {" ": lambda a: within(e, a), ">": lambda a: a.pos == e.parent, "+": lambda a: a.pos == e.previous, "~": lambda a: a.parent.eqNullSafe(e.parent) & (a.pos < e.pos)}[how]
         return F.coalesce(F.exists(before, test), F.lit(False))
 
-    choices = [found(_steps(one)) for one in _choices(selector.strip())]
+    wanted = [_steps(one) for one in _choices(selector.strip())]
+    if all(len(steps) == 1 for steps in wanted):
+        return F.filter(page.elements, lambda e: reduce(or_, [_matches(e, steps[0][1]) for steps in wanted]))
+    choices = [found(steps) for steps in wanted]
     if len(choices) == 1:
         return choices[0]
     places = F.array_distinct(F.flatten(F.array(*[F.transform(c, lambda e: e.pos) for c in choices])))
@@ -412,16 +430,19 @@ def after_label(page: Column, tags: tuple[str, ...], label: str) -> Column:
     class that is followed by a row of the same class is no cell.
     """
     at = lambda place: F.get(page.elements, place)
-    alone = lambda c: c.isNotNull() & c.next.isNull() & (c.nth == 1)
-    outer = lambda c: F.when(alone(c) & at(c.parent).tag.isin(*tags), at(c.parent)).otherwise(c)
-    rows = lambda c, beside: F.coalesce((beside.tag == c.tag) & (beside.attributes["class"] == c.attributes["class"]) & (c["last"] > c.pos), F.lit(False))
 
-    def value(label_element: Column) -> Column:
-        around = F.filter(page.elements, lambda e: (e.pos <= label_element.pos) & (e["last"] >= label_element.pos) & e.tag.isin(*tags))
-        return let(F.element_at(around, -1), lambda c: let(outer(outer(c)), lambda cell: let(at(cell.next), lambda beside: F.when(cell.next.isNotNull() & ~rows(cell, beside), beside))))
+    def outward(cell: Column) -> Column:
+        return let(at(F.when(cell.next.isNull() & (cell.nth == 1), cell.parent)), lambda up: F.when(up.tag.isin(*tags), up).otherwise(cell))
+
+    def beside(cell: Column) -> Column:
+        rows = lambda x: (x.tag == cell.tag) & (x.attributes["class"] == cell.attributes["class"]) & (cell["last"] > cell.pos)
+        return let(at(cell.next), lambda x: F.when(~F.coalesce(rows(x), F.lit(False)), x))
+
+    def value(found: Column) -> Column:
+        around = F.filter(page.elements, lambda e: (e.pos <= found.pos) & (e["last"] >= found.pos) & e.tag.isin(*tags))
+        return let(F.try_element_at(around, F.lit(-1)), lambda c: let(outward(c), lambda c: let(outward(c), beside)))
 
-    labels = _innermost(page, rf"(?i)^\s*{_quoted(label)}\s*(?:\W|$)")
-    return let(F.get(labels, F.lit(0)), lambda e: F.when(e.isNotNull(), F.when(F.exists(page.elements, lambda x: (x.pos <= e.pos) & (x["last"] >= e.pos) & x.tag.isin(*tags)), value(e))))
+    return let(F.get(_innermost(page, rf"(?i)^\s*{_quoted(label)}\s*(?:\W|$)"), F.lit(0)), lambda e: F.when(e.isNotNull(), value(e)))
 
 
 #: What holds the members of a counted section.
