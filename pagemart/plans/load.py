@@ -6,11 +6,14 @@ are hashes of natural keys, so no step has to ask the store for them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemart.functions.text import to_instant
 from pagemart.operators import merge, resolve, validate
+from pagemart.sources.store import BUCKETS, Store
 
 #: Fixed: columns of the tables.
 SCHEMAS = {
@@ -29,6 +32,9 @@ SCHEMAS = {
 }
 CASTS = {"yea_voters": "yea", "nay_voters": "nay", "non_voting_voters": "non_voting", "present_voters": "present", "excused_voters": "excused"}
 SPONSORS = {"lead": 0, "other_primary": 1, "cosponsor": 2}
+#: By which column a store cuts each table into buckets.
+KEYS = {name: None if name == "sessions" else schema.split(" ")[0] for name, schema in SCHEMAS.items()}
+KEYS["committee_membership"] = "legislator_id"
 
 
 def empty_tables(spark) -> dict[str, DataFrame]:
@@ -103,11 +109,16 @@ def load_bills(tables: dict[str, DataFrame], rows: DataFrame) -> tuple[dict[str,
     return changed, odd.select("url", F.array(F.lit("session")).alias("errors")).unionByName(bad.select("url", "errors"))
 
 
+def _with_vote_id(rows: DataFrame) -> DataFrame:
+    rows = rows.withColumn("vote_timestamp", to_instant(F.col("vote_timestamp")))
+    return rows.withColumn("vote_event_id", merge.surrogate_key("bill_id", "chamber", "vote_timestamp"))
+
+
 def load_votes(tables: dict[str, DataFrame], rows: DataFrame) -> dict[str, DataFrame]:
     """rows(bill_id, vote_timestamp without zone, chamber, motion_text, five arrays of legislator ids), once for each vote; a repeated
     vote counts as the row with the largest ord, if there is such a column.
     """
-    rows = rows.withColumn("vote_timestamp", to_instant(F.col("vote_timestamp"))).withColumn("vote_event_id", merge.surrogate_key("bill_id", "chamber", "vote_timestamp"))
+    rows = _with_vote_id(rows)
     rows = merge.one_per_key(rows, ["vote_event_id"], F.col("ord") if "ord" in rows.columns else None)
     events = merge.upsert(tables["vote_events"], rows.select(*tables["vote_events"].columns), ["vote_event_id"], ["bill_id", "vote_timestamp", "chamber", "motion_text"], None)
     votes = resolve.bucket_rows(rows, "vote_event_id", CASTS).where(F.col("member").isNotNull()).select("vote_event_id", F.col("member").alias("legislator_id"), F.col("cast").alias("vote_cast"))
@@ -124,3 +135,39 @@ def constraints(tables: dict[str, DataFrame]) -> DataFrame:
         foreign=[("bill_documents", "bill_id", "bills", "bill_id"), ("committee_membership", "committee_id", "committees", "committee_id"), ("legislator_votes", "vote_event_id", "vote_events", "vote_event_id")],
         holds=[ordered("legislator_history"), ordered("committee_info"), ordered("committee_membership"), ("sponsors", "member kind", F.col("member_kind").isin("legislator", "committee"))],
     )
+
+
+def open_store(spark: SparkSession, path: str, buckets: int = BUCKETS) -> Store:
+    """The tables as a store; none of them has rows at first."""
+    return Store(spark, path, SCHEMAS, KEYS, buckets)
+
+
+#: Kind of records -> (the load, the tables that it changes, the key of a record in them; None for all buckets).
+LOADS: dict[str, tuple[Callable, tuple[str, ...], Callable[[DataFrame], DataFrame] | None]] = {
+    "sessions": (load_sessions, ("sessions",), None),
+    "committees": (load_committees, ("committees", "committee_info"), lambda rows: rows.select("committee_id")),
+    "legislators": (load_legislators, ("legislators", "legislator_history", "committee_membership"), lambda rows: rows.select(merge.surrogate_key("first_name", "last_name").alias("key"))),
+    "bills": (load_bills, ("bills", "bill_documents", "bill_status_history", "sponsors"), lambda rows: rows.select(merge.surrogate_key("bill_no", "session_code").alias("key"))),
+    "votes": (load_votes, ("vote_events", "legislator_votes"), lambda rows: _with_vote_id(rows).select("vote_event_id")),
+}
+
+
+def into_store(store: Store, kind: str, rows: DataFrame, batch: tuple[str, int] | None = None, aside: Callable[[DataFrame], None] | None = None) -> int:
+    """Loads records of a kind; only buckets with their keys are read and written. Returns the version that has them.
+
+    aside gets the load's quarantine, each time that the load is tried.
+    """
+    how, names, key = LOADS[kind]
+
+    def change(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        found = how(tables, rows)
+        changed, odd = found if isinstance(found, tuple) else (found, None)
+        if aside and odd is not None:
+            aside(odd)
+        return changed
+
+    rows = rows.persist()  # each table's merge reads them
+    try:
+        return store.load(change, {name: key(rows) if key else None for name in names}, batch)
+    finally:
+        rows.unpersist()

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from pagemart.functions.urls import url_key
+from pagemart.plans import load
+from pagemart.sources.store import Store
 
 
 def page_stream(spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "*.parquet", files_per_batch: int = 64) -> DataFrame:
@@ -31,6 +34,35 @@ def run(stream: DataFrame, merge: Callable[[DataFrame, int], None], checkpoint:
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def until_lost(query: StreamingQuery, message: str = "") -> bool:
+    """Waits for a stream; True if it ended, False if it failed with a message that holds this one. Other failures are raised."""
+    try:
+        query.awaitTermination()
+    except Exception as e:
+        if not message or message not in str(e):
+            raise
+        return False
+    return True
+
+
+def load_records(store: Store, kind: str, name: str, records: Callable[[DataFrame], DataFrame], aside: Callable[[DataFrame], None] | None = None) -> Callable[[DataFrame, int], None]:
+    """A merge that loads each batch's records as one version of a store.
+
+    The version keeps the batch's number under the stream's name, so a batch that
+    is run again, because the stream was lost before it noted the batch, is known and left
+    out; one that was lost between two tables has no version, and is loaded whole.
+    """
+
+    def merge(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()
+        try:
+            load.into_store(store, kind, records(batch), (name, number), aside)
+        finally:
+            batch.unpersist()
+
+    return merge
+
+
 def with_quarantine(good_sink: Callable[[DataFrame, int], None], bad_sink: Callable[[DataFrame, int], None], errors: str = "errors") -> Callable[[DataFrame, int], None]:
     """A merge that sends rows with errors aside and goes on with the rest."""
 
@@ -45,36 +77,70 @@ def with_quarantine(good_sink: Callable[[DataFrame, int], None], bad_sink: Calla
     return merge
 
 
+class _Waiting(StatefulProcessor):
+    """Rows of one dependency, kept until it is there, or until a timer says that they have waited long enough."""
+
+    def __init__(self, dependency: str, payload: str, loaded: str, expires_ms: int | None):
+        self.dependency, self.payload, self.loaded, self.expires_ms = dependency, payload, loaded, expires_ms
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.there = handle.getValueState("there", "there boolean")
+        self.waiting = handle.getListState("waiting", "payload string")
+
+    def _out(self, key, rows: list, expired: bool) -> pd.DataFrame:
+        return pd.DataFrame({self.dependency: [key] * len(rows), self.payload: rows, "expired": [expired] * len(rows)})
+
+    def _released(self, key, expired: bool) -> Iterator[pd.DataFrame]:
+        """What waits, in pieces, and no state of it after."""
+        rows = self.waiting.get() if self.waiting.exists() else iter(())
+        while piece := [row[0] for row in islice(rows, 4096)]:
+            yield self._out(key, piece, expired)
+        self.waiting.clear()
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        there = self.there.exists()
+        new = 0
+        for batch in rows:
+            arrived = batch[self.loaded].fillna(False).astype(bool)
+            if not there and arrived.any():
+                there = True
+                self.there.update((True,))
+                yield from self._released(key[0], False)
+            fresh = batch.loc[~arrived, self.payload]
+            if there:
+                yield self._out(key[0], fresh.tolist(), False)
+            elif len(fresh):
+                new += len(fresh)
+                self.waiting.appendList([(x,) for x in fresh.tolist()])
+        if there:
+            for timer in self.handle.listTimers():
+                self.handle.deleteTimer(timer)
+        elif new and self.expires_ms is not None:
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.expires_ms)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield from self._released(key[0], True)
+
+    def close(self) -> None:
+        pass
+
+
+#: Keeps state on the executors' disks, with a log in the checkpoint; release_waiting needs it.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def release_waiting(events: DataFrame, dependency: str, payload: str, loaded: str, expires_ms: int | None = None) -> DataFrame:
     """(dependency, payload, expired): rows wait until a row of their dependency with `loaded` has arrived.
 
-    Rows whose dependency is there pass at once. They wait in the state of a
-    stream-stream join, a row each, so any number may wait for one dependency.
-    With expires_ms, rows that have waited that long are given out as expired; such
-    a query has to run on, as it never has all timeouts behind it, and keeps the
-    rows of one dependency together. Without, rows wait as long as it takes.
+    Rows whose dependency is there pass at once. Others wait in a list of their
+    dependency, a state row each, which is given out and cleared when it arrives; all
+    that stays is that it has. With expires_ms, what has waited that long is given out
+    as expired by a timer, and leaves no state; without, rows wait as long as it takes.
+    Rows with a null dependency wait for a row with a null one.
     """
-    arrived = F.coalesce(F.col(loaded), F.lit(False))
-    if expires_ms is None:
-        there = events.where(arrived).select(F.col(dependency).alias("_there")).dropDuplicates(["_there"])
-        waiting = events.where(~arrived).select(dependency, payload)
-        return waiting.join(there, F.col(dependency) == F.col("_there")).select(dependency, payload, F.lit(False).alias("expired"))
-
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        there, waiting = state.get if state.exists else (False, [])
-        if state.hasTimedOut:
-            state.remove()
-            yield pd.DataFrame({dependency: [key[0]] * len(waiting), payload: list(waiting), "expired": [True] * len(waiting)})
-            return
-        waiting = list(waiting)
-        for batch in batches:
-            there = there or bool(batch[loaded].any())
-            waiting += batch.loc[~batch[loaded].astype(bool), payload].tolist()
-        out = waiting if there else []
-        state.update((there, [] if there else waiting))
-        if not there:
-            state.setTimeoutDuration(expires_ms)
-        yield pd.DataFrame({dependency: [key[0]] * len(out), payload: out, "expired": [False] * len(out)})
-
+    events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     kind = events.schema[dependency].dataType.simpleString()
-    return events.select(dependency, payload, loaded).groupBy(dependency).applyInPandasWithState(step, f"{dependency} {kind}, {payload} string, expired boolean", "there boolean, waiting array<string>", "append", "ProcessingTimeTimeout")
+    rows = events.select(dependency, F.col(payload).cast("string").alias(payload), F.coalesce(F.col(loaded), F.lit(False)).alias(loaded))
+    processor = _Waiting(dependency, payload, loaded, expires_ms)
+    return rows.groupBy(dependency).transformWithStateInPandas(processor, f"{dependency} {kind}, {payload} string, expired boolean", "append", "None" if expires_ms is None else "ProcessingTime")
