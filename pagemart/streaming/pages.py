@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from itertools import islice
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,7 +90,8 @@ class _Waiting(StatefulProcessor):
         self.waiting = handle.getListState("waiting", "payload string")
 
     def _out(self, key, rows: list, expired: bool) -> pd.DataFrame:
-        return pd.DataFrame({self.dependency: [key] * len(rows), self.payload: rows, "expired": [expired] * len(rows)})
+        columns = {self.dependency: [key] * len(rows), self.payload: rows}
+        return pd.DataFrame({name: pd.Series(values, dtype=object) for name, values in columns.items()} | {"expired": np.full(len(rows), expired)})
 
     def _released(self, key, expired: bool) -> Iterator[pd.DataFrame]:
         """What waits, in pieces, and no state of it after."""
@@ -113,10 +115,12 @@ class _Waiting(StatefulProcessor):
             elif len(fresh):
                 new += len(fresh)
                 self.waiting.appendList([(x,) for x in fresh.tolist()])
+        if self.expires_ms is None:
+            return
         if there:
-            for timer in self.handle.listTimers():
+            for timer in list(self.handle.listTimers()):
                 self.handle.deleteTimer(timer)
-        elif new and self.expires_ms is not None:
+        elif new:
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.expires_ms)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:

@@ -76,3 +76,41 @@ def test_waiting_rows_are_released(spark, tmp_path):
     query = stream.release_waiting(events, "dep", "payload", "loaded").writeStream.outputMode("append").foreachBatch(lambda df, n: out.extend(tuple(r) for r in df.collect())).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     query.awaitTermination()
     assert sorted(out) == [("a", "r1", False), ("a", "r3", False)]
+
+
+def _waiting(spark, folder, expires_ms=None):
+    """(what was released in each batch, the state rows after it) of three batches."""
+    schema = "dep string, payload string, loaded boolean"
+    arrivals = [[("a", "r1", False), ("b", "r2", False), ("a", "r1", None)], [("a", None, True), ("b", "r4", False)], [("a", "r3", False), ("b", None, True), ("a", None, True)]]
+    for i, rows in enumerate(arrivals):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/in/{i}")
+    out = {}
+    events = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(f"{folder}/in")
+    released = stream.release_waiting(events, "dep", "payload", "loaded", expires_ms)
+    query = released.writeStream.outputMode("append").foreachBatch(lambda df, n: out.__setitem__(n, sorted(tuple(r) for r in df.collect()))).option("checkpointLocation", f"{folder}/cp").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return out
+
+
+def test_waiting_state_ends(spark, tmp_path):
+    """Each row is released once, and what was released has no row in the list state any more."""
+    out = _waiting(spark, str(tmp_path))
+    assert [out[n] for n in range(3)] == [[], [("a", "r1", False), ("a", "r1", False)], [("a", "r3", False), ("b", "r2", False), ("b", "r4", False)]]
+    left = lambda name: spark.read.format("statestore").option("path", f"{tmp_path}/cp").option("stateVarName", name).load()
+    assert left("waiting").count() == 0 and left("there").count() == 2
+
+
+def test_waiting_rows_expire(spark, tmp_path):
+    """Rows that have waited too long are given out as expired, by timers."""
+    import time
+
+    schema = "dep string, payload string, loaded boolean"
+    spark.createDataFrame([("a", "r1", False), ("b", "r2", False)], schema).coalesce(1).write.parquet(f"{tmp_path}/in/0")
+    out = []
+    events = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
+    query = stream.release_waiting(events, "dep", "payload", "loaded", 500).writeStream.outputMode("append").foreachBatch(lambda df, n: out.extend(tuple(r) for r in df.collect())).option("checkpointLocation", f"{tmp_path}/cp").trigger(processingTime="200 milliseconds").start()
+    until = time.time() + 60
+    while len(out) < 2 and time.time() < until:
+        time.sleep(0.2)
+    query.stop()
+    assert sorted(out) == [("a", "r1", True), ("b", "r2", True)]
