@@ -6,13 +6,14 @@ response in a chunk is kept. A document has, for each filter, the largest and
 the mean of its chunks' values; a linear layer and a logistic function make one
 probability of them.
 
-Learning brings at most TRAIN_CHUNKS chunks of each of a bounded number of labelled
-texts to the driver, taken at even distances over the whole of longer texts.
+Learning brings a bounded number of labelled texts to the driver, whole: about
+TRAIN_ROWS of each label, fewer where they have more than TRAIN_BYTES together. All
+chunks of a text are pooled; its gradient flows through each filter's best places.
 
 Cases: null and empty texts are one chunk of padding and get the score of that;
 texts of any length are scored whole; a null id is never held out and never
-learned from; an id with labels of both kinds counts as label 1; each row of a
-repeated id is learned from; without labelled rows of both kinds all scores are
+learned from; an id with labels of both kinds counts as label 1; of a repeated id
+the text that sorts first is learned from, once; without labelled rows of both kinds all scores are
 the share of label 1 (0.5 without any); an input column named score or predicted
 is replaced, all others are kept, whatever their names.
 """
@@ -27,14 +28,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagemart.llm.shared import crc_mod, sampled, stored
+from pagemart.llm.shared import crc_mod, quoted, sampled, stored
 
 #: Bytes of a chunk, of its overlap with the next, of a filter; numbers of a byte's embedding; filters.
 CHUNK, OVERLAP, WIDTH, EMBED, FILTERS = 512, 64, 8, 6, 24
 #: At most about this many rows of each label are learned from, in so many passes of so many rows a step.
 TRAIN_ROWS, PASSES, STEP_ROWS, RATE = 1200, 8, 16, 0.01
-#: Chunks of a text that are learned from at most.
-TRAIN_CHUNKS = 128
+#: Bytes of all texts that are learned from, about; places of a step whose gradients are summed at a time.
+TRAIN_BYTES, PLACES = 32 << 20, 1 << 16
 #: Padding; UTF-8 never has this byte.
 PAD = 255
 
@@ -101,12 +102,6 @@ class Network:
         return [self.embed, self.filters, self.bias, self.out]
 
 
-def spread_chunks(data: bytes, most: int = TRAIN_CHUNKS) -> np.ndarray:
-    """The chunks of a text, or so many at even distances, the first and the last among them."""
-    chunks = chunks_of(data)
-    return np.ascontiguousarray(chunks if len(chunks) <= most else chunks[np.linspace(0, len(chunks) - 1, most).round().astype(int)])
-
-
 def gradients(net: Network, chunks: np.ndarray, sizes: np.ndarray, labels: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
     """The logistic loss's gradients for a step's texts (their chunks in a row, and how many each has), without
     the linear layer's decay, and the texts' probabilities. They flow only through each filter's best place in a chunk.
@@ -121,14 +116,14 @@ def gradients(net: Network, chunks: np.ndarray, sizes: np.ndarray, labels: np.nd
     top /= np.add.reduceat(top, starts)[of]  # equal chunks share
     wanted = error[of][:, None] * (net.out[:FILTERS] * top + net.out[FILTERS:] / sizes[of][:, None])
     wanted *= pooled > 0
-    c, f = np.nonzero(wanted)
-    g = wanted[c, f].astype(np.float32)
-    read = chunks[c[:, None], places[c, f][:, None] + np.arange(WIDTH)]
-    patch = net.embed[read].reshape(len(c), WIDTH * EMBED)
-    d_filters = np.zeros_like(net.filters.T)
-    np.add.at(d_filters, f, g[:, None] * patch)
-    d_embed = np.zeros_like(net.embed)
-    np.add.at(d_embed, read.ravel(), (g[:, None] * net.filters.T[f]).reshape(-1, EMBED))
+    d_filters, d_embed = np.zeros_like(net.filters.T), np.zeros_like(net.embed)
+    every_c, every_f = np.nonzero(wanted)
+    for i in range(0, len(every_c), PLACES):
+        c, f = every_c[i : i + PLACES], every_f[i : i + PLACES]
+        g = wanted[c, f].astype(np.float32)
+        read = chunks[c[:, None], places[c, f][:, None] + np.arange(WIDTH)]
+        np.add.at(d_filters, f, g[:, None] * net.embed[read].reshape(len(c), WIDTH * EMBED))
+        np.add.at(d_embed, read.ravel(), (g[:, None] * net.filters.T[f]).reshape(-1, EMBED))
     d_embed[PAD] = 0
     return [d_embed, d_filters.T, wanted.sum(axis=0), features.T @ error, np.array([error.sum()])], p
 
@@ -160,7 +155,7 @@ def learn(texts: list[np.ndarray], labels: np.ndarray, passes: int = PASSES) ->
     return net
 
 
-def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", folds: int = 3, held_out: int = 1, rows: int = TRAIN_ROWS) -> Network:
+def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", folds: int = 3, held_out: int = 1, rows: int = TRAIN_ROWS, most_bytes: int = TRAIN_BYTES) -> Network:
     """A network learned on the driver from about `rows` documents of each label, none held out.
 
     Rare labels then weigh too much, so the output is shifted back to the share
@@ -170,16 +165,16 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     few = stored(sampled(known, "id", "label", rows), "learned")
     small = few.count() <= 8 * rows + 100  # about 2 * rows ids; never broadcast without that count
-
-    def taken(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"chunks": [spread_chunks((t or "").encode()).tobytes() for t in batch["text"]], "label": batch["label"]})
-
-    texts = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(few) if small else few, "id")
-    found = texts.select("text", "label").mapInPandas(taken, "chunks binary, label int").collect()
-    found = sorted((bytes(r["chunks"]), int(r["label"])) for r in found)
+    texts = documents.select(F.col(quoted(id_col)).alias("id"), F.coalesce(F.col(quoted(text_col)), F.lit("")).alias("text")).join(F.broadcast(few) if small else few, "id")
+    texts = stored(texts.groupBy("id", "label").agg(F.min("text").alias("text")), "texts")
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if size > most_bytes:
+        # Whole texts, by another hash of their ids.
+        fraction = F.pmod(F.xxhash64("id", F.lit("size")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+        texts = texts.where(fraction < most_bytes / size)
+    found = sorted((r["text"].encode(), int(r["label"])) for r in texts.select("text", "label").collect())
     y = np.array([label for _, label in found], np.float32)
-    net = learn([np.frombuffer(chunks, np.uint8).reshape(-1, CHUNK) for chunks, _ in found], y)
+    net = learn([chunks_of(data) for data, _ in found], y)
     if len(counts) == 2 and 0 < y.mean() < 1:
         net.out_bias += float(np.log(counts[1] / counts[0]) - np.log(y.mean() / (1 - y.mean())))
     return net

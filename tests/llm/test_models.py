@@ -161,12 +161,27 @@ def test_learning_separates():
     assert scores[labels == 1].min() > 0.8 and scores[labels == 0].max() < 0.2
 
 
-def test_chunks_that_are_learned_from_are_bounded():
-    data = bytes(range(97, 123)) * 40_000
-    some = quality.spread_chunks(data)
-    every = quality.chunks_of(data)
-    assert len(some) == quality.TRAIN_CHUNKS and (some[0] == every[0]).all() and (some[-1] == every[-1]).all()
-    assert len(quality.spread_chunks(b"")) == 1
+def test_the_middle_of_a_long_text_is_learned_from():
+    """Texts of 1 MB that differ only by a mark at their middle."""
+    plain = b"some common words of a long text, " * 15_000
+    texts = [plain + b"%% ZQXJ ZQXJ %% " * label + plain + b"tail %d" % i for i in range(3) for label in (0, 1)]
+    labels = np.array([i % 2 for i in range(6)], np.float32)
+    net = quality.learn([quality.chunks_of(t) for t in texts], labels, passes=40)
+    scores = net.scores(texts)
+    assert scores[labels == 1].min() > 0.5 > scores[labels == 0].max()
+
+
+def test_what_is_learned_from_is_bounded(spark, monkeypatch):
+    """By rows, however often an id is repeated, and by bytes, in whole texts."""
+    rows = [(i % 40, f"{'good' if i % 2 else 'bad'} text {i % 3} " * 50) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "learn", lambda texts, y: seen.append(texts) or quality.Network.fresh(0.5))
+    quality.train(docs, labels)
+    quality.train(docs, labels, most_bytes=3_000)
+    assert 20 < len(seen[0]) <= 40 and 0 < len(seen[1]) < len(seen[0]) / 2
+    assert all(len(c) == len(quality.chunks_of(b"good text 1 " * 50)) for c in seen[1])
 
 
 def test_quality_cases(spark):
