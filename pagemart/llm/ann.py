@@ -13,9 +13,9 @@ far, a vector nearer than that has very probably reached the threshold, and been
 verified. Close neighbours end a search soon; where all are about equally far, as
 for random vectors of many dimensions, many are verified. With exact=True, all are.
 
-Vectors are dealt into blocks of bounded size by a hash of their id; each block
-has its own arrays and answers every query, so a task holds one block and a batch
-of queries, and only each block's best are merged. Every vector is indexed.
+Vectors are dealt into blocks of bounded size by a hash of their id, queries into
+batches; each block has its own arrays and answers every batch, a task for each block
+and batch, and only each block's best are merged. Every vector is indexed.
 
 Cases: vectors that are null, empty, zero or hold null or non-finite components
 take no part, nor do null ids; vectors of other lengths than the query's are no
@@ -34,10 +34,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagemart.llm.shared import stored
+
 #: Half the first windows' width in standard deviations of the values.
 FIRST = 0.5
 #: Vectors of a block; arrays; threshold share of collisions; growth of windows.
 BLOCK, ARRAYS, SHARE, GROWTH = 24_576, 24, 0.75, 1.3
+#: Queries of a batch.
+BATCH = 4_096
 #: Numbers of a block's vectors at most, so that longer vectors have smaller blocks.
 NUMBERS = 1 << 23
 #: Half the windows' width at which a search stops, in standard deviations of the k-th best vector's projections.
@@ -106,16 +110,21 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return vectors.select(F.col(id_col).cast("long").alias("id"), v.alias("v")).where(F.col("id").isNotNull() & F.coalesce(fine, F.lit(False)))
 
 
-def search(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", block: int = BLOCK, exact: bool = False) -> DataFrame:
+def search(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", block: int = BLOCK, batch: int = BATCH, exact: bool = False) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest of each vector for which is_query (a Column of id) holds."""
     rows = usable(vectors, id_col, vector_col)
     n, dims = rows.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("v")), F.lit(1))).first()
     blocks = max(1, -(-n // max(1, min(block, NUMBERS // max(dims, 1)))))
     number = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
-    candidates = rows.select(F.size("v").alias("dims"), number.alias("block"), F.lit(0).alias("asks"), "id", "v")
     queries = rows.where(is_query).groupBy("id", F.size("v").alias("dims")).agg(F.min("v").alias("v"))
-    queries = queries.groupBy("id").agg(F.min_by(F.struct("dims", "v"), "v").alias("q")).select("q.dims", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(1).alias("asks"), "id", "q.v")
-    dealt = candidates.unionByName(queries).repartition(max(blocks, 1), "dims", "block").sortWithinPartitions("dims", "block", "asks")
+    queries = stored(queries.groupBy("id").agg(F.min_by(F.struct("dims", "v"), "v").alias("q")).select("id", "q.dims", "q.v"), "queries")
+    batches = max(1, -(-queries.count() // batch))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    candidates = rows.select(F.size("v").alias("dims"), number.alias("block"), every(batches).alias("batch"), F.lit(0).alias("asks"), "id", "v")
+    asked = queries.select("dims", every(blocks).alias("block"), F.pmod(F.xxhash64("id"), F.lit(batches)).cast("int").alias("batch"), F.lit(1).alias("asks"), "id", "v")
+    # Numbered, not hashed: no two cells share a task while others have none.
+    cell = F.col("block") * F.lit(batches) + F.col("batch")
+    dealt = candidates.unionByName(asked).repartitionById(blocks * batches, cell).drop("batch").sortWithinPartitions("dims", "block", "asks")
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, index, ids, parts = None, None, [], []

@@ -14,13 +14,13 @@ def brute(ids, vectors, query, k):
     return ids[best].tolist(), d[best]
 
 
-@pytest.mark.parametrize("block", [300, 8192])
-def test_recall(spark, block):
+@pytest.mark.parametrize(("block", "batch"), [(300, 7), (8192, 4096)])
+def test_recall(spark, block, batch):
     rows = spark.read.parquet(f"{SF}/embeddings.parquet")
     local = rows.select("vec_id", "embedding").collect()
     ids, vectors = np.array([r.vec_id for r in local]), np.array([r.embedding for r in local], float)
     got = {}
-    for r in ann.search(rows, F.col("id") % 100 == 0, block=block).collect():
+    for r in ann.search(rows, F.col("id") % 100 == 0, block=block, batch=batch).collect():
         got.setdefault(r.query_id, []).append(r)
     assert sorted(got) == sorted(i for i in ids.tolist() if i % 100 == 0)
     hits = 0
@@ -35,26 +35,28 @@ def test_recall(spark, block):
     assert hits / len(got) / 10 >= 0.9
 
 
-def test_recall_of_a_large_table():
-    """Blocks of the registered size over the largest table there is, against brute force."""
-    import glob
-
-    import pyarrow.parquet as pq
-
-    tables = glob.glob("/root/testdata/check_l/embeddings.parquet") or [f"{SF}/embeddings.parquet"]
-    rows = pq.read_table(tables[0], columns=["vec_id", "embedding"])
-    usable = [(i, v) for i, v in zip(rows["vec_id"].to_pylist(), rows["embedding"].to_pylist(), strict=True) if i is not None and v and None not in v and np.isfinite(v).all() and any(v)]
-    ids, vectors = np.array([i for i, _ in usable]), np.array([v for _, v in usable], float)
-    n = -(-len(ids) // ann.BLOCK)
-    blocks = [ann.Block(ids[b::n], vectors[b::n]) for b in range(n)]
-    asked = ids[ids % 100 == 0][:60]
+def test_recall_of_full_blocks():
+    """Three full blocks of the registered size, made here as the test vectors are: evenly over a sphere."""
+    r = np.random.default_rng(8)
+    vectors = r.normal(size=(3 * ann.BLOCK, 64))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    ids = np.arange(len(vectors))
+    blocks = [ann.Block(ids[b::3], vectors[b::3]) for b in range(3)]
     hits = 0
-    for query in asked:
-        v = vectors[ids == query][0]
-        found = [b.nearest(query, v, 10) for b in blocks]
+    for query in range(0, len(ids), len(ids) // 30):
+        found = [b.nearest(query, vectors[query], 10) for b in blocks]
         near, far = (np.concatenate(x) for x in zip(*found, strict=True))
         hits += len(set(near[np.lexsort((near, far))[:10]].tolist()) & set(brute(ids, vectors, query, 10)[0]))
-    assert hits / len(asked) / 10 >= 0.9
+    assert hits / 31 / 10 >= 0.9
+
+
+def test_very_long_vectors(spark):
+    """Longer vectors have smaller blocks."""
+    r = np.random.default_rng(9)
+    vectors = r.normal(size=(30, 40_000))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    got = [x.vec_id for x in ann.search(df, F.col("id") == 0, k=3, exact=True).orderBy("rank").collect()]
+    assert got == brute(np.arange(30), vectors, 0, 3)[0]
 
 
 def test_exact_and_clustered(spark):
