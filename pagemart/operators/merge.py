@@ -10,14 +10,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def surrogate_key(*natural: str) -> Column:
-    """A key that any task computes alike; see key_collisions."""
-    return F.xxhash64(*natural)
+def surrogate_key(*natural: str, bits: int = 64) -> Column:
+    """A key that any task computes alike, of so many bits; see key_collisions."""
+    key = F.xxhash64(*natural)
+    return key if bits == 64 else F.shiftrightunsigned(key, 64 - bits)
 
 
-def key_collisions(df: DataFrame, natural: list[str]) -> DataFrame:
+def key_collisions(df: DataFrame, natural: list[str], bits: int = 64) -> DataFrame:
     """Surrogate keys that stand for more than one natural key."""
-    return df.select(*natural).distinct().groupBy(surrogate_key(*natural).alias("key")).count().where("count > 1")
+    return df.select(*natural).distinct().groupBy(surrogate_key(*natural, bits=bits).alias("key")).count().where("count > 1")
 
 
 def one_per_key(changes: DataFrame, keys: list[str], order: Column | None = None, first: bool = False) -> DataFrame:

@@ -397,3 +397,12 @@ def test_quotes_in_tags_and_open_comments(spark):
     page = spark.createDataFrame([(1, "https://h/", body)], "page_id int, url string, html string")
     assert page.select(html.select_text(F.col("html"), "h1").alias("h")).first().h == ["Head"]
     assert [(r.href, r.text) for r in html.links(page).orderBy("pos").collect()] == [("/x", "T"), ("/y", "U")]
+
+
+def test_keys_that_collide(spark):
+    """Keys of few bits collide, and the report says which and how often; a null is a value of its own."""
+    df = spark.createDataFrame([(i, "x") for i in range(300)] + [(None, "x"), (5, "x")], "a long, b string")
+    found = {r.key: r["count"] for r in merge.key_collisions(df, ["a", "b"], bits=6).collect()}
+    keys = [r[0] for r in df.distinct().select(merge.surrogate_key("a", "b", bits=6)).collect()]
+    assert found == {k: keys.count(k) for k in set(keys) if keys.count(k) > 1} and found and max(keys) < 64
+    assert merge.key_collisions(df, ["a", "b"]).count() == 0
