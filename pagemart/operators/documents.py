@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagemart.functions.urls import resolve
 
 #: Points: a rule's largest height, tolerance, margins that are cropped.
 RULE, TOLERANCE, TOP, BOTTOM = 5, 2, 90, 80
+#: A bin's width in points, and the most bins that a page is wide.
+BIN, BINS = 36.0, 256
 
 
 def manifest(records: DataFrame, base: str, session: str = "session_code", bill: str = "bill_no", documents: str = "documents") -> DataFrame:
@@ -24,19 +29,46 @@ def not_stored(manifest_rows: DataFrame, stored: DataFrame) -> DataFrame:
     return manifest_rows.join(stored.select("path"), "path", "left_anti")
 
 
+def _bins(low, high, width) -> Column:
+    """The bins that an interval touches."""
+    return F.sequence(F.floor(F.least(low, high) / width), F.floor(F.greatest(low, high) / width))
+
+
 def marked_chars(chars: DataFrame, rects: DataFrame, page_height: float | None = None) -> DataFrame:
     """chars(doc, page, ord, text, x0, x1, top, bottom) with mark: underline, strike or null.
 
     A thin rule that overlaps a character strikes it through if it is nearer to
     the middle and underlines it if nearer to the bottom, within the tolerance;
     the last rule in order counts. With a page height, margins are cropped.
+
+    Characters and rules meet in bins of their x and of their height on the page, and a pair
+    counts in the bin where its overlap begins only, so a page of many lines is no
+    product of its characters and rules. Bins are wider on pages wider than BIN * BINS, and
+    rules are cut to their page's characters, so neither touches more than BINS + 2.
+    Places that are null or not finite overlap nothing.
     """
     if page_height:
         chars = chars.where((F.col("top") >= TOP) & (F.col("bottom") <= page_height - BOTTOM))
-    thin = rects.where(F.col("bottom") - F.col("top") <= RULE).select(F.col("doc").alias("_doc"), F.col("page").alias("_page"), F.col("ord").alias("_ord"), F.col("x0").alias("_x0"), F.col("x1").alias("_x1"), ((F.col("top") + F.col("bottom")) / 2).alias("_y"))
-    over = chars.join(thin, (F.col("doc") == F.col("_doc")) & (F.col("page") == F.col("_page")) & (F.col("x0") < F.col("_x1")) & (F.col("x1") > F.col("_x0")))
-    middle, bottom = F.abs(F.col("_y") - (F.col("top") + F.col("bottom")) / 2), F.abs(F.col("_y") - F.col("bottom"))
-    mark = F.when((middle <= bottom) & (middle <= TOLERANCE), "strike").when((bottom < middle) & (bottom <= TOLERANCE), "underline")
+    sound = lambda *names: reduce(and_, [F.abs(F.col(c).cast("double")) < F.lit(float("inf")) for c in names])
+    x = ("x0", "x1")
+    placed = chars.where(sound(*x, "top", "bottom")).select("doc", "page", "ord", *[F.col(c).cast("double").alias(c) for c in (*x, "top", "bottom")])
+    extent = placed.groupBy("doc", "page").agg(F.min(F.least(*x)).alias("_low"), F.max(F.greatest(*x)).alias("_high"))
+    extent = extent.withColumn("_width", F.greatest(F.lit(BIN), (F.col("_high") - F.col("_low")) / BINS))
+    middle, bottom = (F.col("top") + F.col("bottom")) / 2, F.col("bottom")
+    x_bins = _bins(F.col("x0") - F.col("_low"), F.col("x1") - F.col("_low"), F.col("_width"))
+    # A rule that marks is near the middle or the bottom: those two are looked up, not all between.
+    near = F.array_distinct(F.flatten(F.array(*[_bins(y - TOLERANCE, y + TOLERANCE, F.lit(2.0 * TOLERANCE)) for y in (middle, bottom)])))
+    binned = placed.join(extent, ["doc", "page"]).withColumn("_x", F.explode(x_bins)).withColumn("_y_bin", F.explode(near))
+
+    thin = rects.where(sound(*x, "top", "bottom") & (F.col("bottom") - F.col("top") <= RULE))
+    thin = thin.select("doc", "page", F.col("ord").alias("_ord"), F.col("x0").cast("double").alias("_x0"), F.col("x1").cast("double").alias("_x1"), ((F.col("top") + F.col("bottom")) / 2).cast("double").alias("_y"))
+    inside = [F.least(F.greatest(F.col(c), F.col("_low")), F.col("_high")) - F.col("_low") for c in ("_x0", "_x1")]
+    thin = thin.join(extent, ["doc", "page"]).withColumn("_x", F.explode(_bins(*inside, F.col("_width")))).withColumn("_y_bin", F.floor(F.col("_y") / (2.0 * TOLERANCE)))
+
+    over = binned.join(thin.drop("_low", "_high", "_width"), ["doc", "page", "_x", "_y_bin"]).where((F.col("x0") < F.col("_x1")) & (F.col("x1") > F.col("_x0")))
+    over = over.where(F.floor((F.greatest("x0", "_x0") - F.col("_low")) / F.col("_width")) == F.col("_x"))
+    to_middle, to_bottom = F.abs(F.col("_y") - middle), F.abs(F.col("_y") - bottom)
+    mark = F.when((to_middle <= to_bottom) & (to_middle <= TOLERANCE), "strike").when((to_bottom < to_middle) & (to_bottom <= TOLERANCE), "underline")
     best = over.withColumn("_mark", mark).where(F.col("_mark").isNotNull()).groupBy("doc", "page", "ord").agg(F.max_by("_mark", "_ord").alias("mark"))
     return chars.join(best, ["doc", "page", "ord"], "left")
 

@@ -110,6 +110,50 @@ def complete(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return nodes.join(blocked, "key", "left").withColumn("state", F.when(done, COMPLETED).otherwise(F.col("state"))).select(*nodes.columns)
 
 
+def with_open(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """nodes with open: how many of the nodes they link to are not complete, themselves left out."""
+    children = edges.where(F.col("src_key") != F.col("dst_key"))
+    children = children.join(nodes.where(F.col("state") != COMPLETED).select(F.col("key").alias("dst_key")), "dst_key", "left_semi")
+    count = children.groupBy(F.col("src_key").alias("key")).agg(F.count(F.lit(1)).alias("_count"))
+    return nodes.join(count, "key", "left").withColumn("open", F.coalesce("_count", F.lit(0))).drop("_count")
+
+
+def changed_states(nodes: DataFrame, edges: DataFrame, changes: DataFrame) -> DataFrame:
+    """(key, state, open) of all nodes whose state or count changes by changes(key, state), for an upsert into nodes.
+
+    nodes are complete() and have their counts (with_open). The result is that of complete()
+    and with_open() on the changed nodes, but only what changed is followed:
+    a node's change moves the count of those that link to it, and a waiting one whose
+    count falls to 0 completes and is a change in the next round. A complete node
+    stays so when something below it opens. Keys that nodes do not have are left
+    out; of several changes of a key the highest state counts. Nodes that wait for each other
+    in a circle keep each other's counts above 0; complete() finds those.
+    """
+    wanted = changes.groupBy("key").agg(F.max("state").alias("new"))
+    known = nodes.select("key", "state", "open").join(wanted, "key").where(F.col("state") != F.col("new"))
+    was, is_ = (F.col(c) != COMPLETED for c in ("state", "new"))
+    states = cut(known.select("key", F.col("new").alias("state"), (is_.cast("long") - was.cast("long")).alias("delta")))
+    links = edges.where(F.col("src_key") != F.col("dst_key"))
+    wave, moved, states = states.where("delta <> 0").select("key", "delta"), None, states.select("key", "state")
+    asked = states.select("key")
+    while True:
+        step = links.join(wave, F.col("dst_key") == F.col("key")).groupBy(F.col("src_key").alias("key")).agg(F.sum("delta").alias("delta"))
+        step = cut(step.where("delta <> 0"))
+        moved = step if moved is None else cut(moved.unionByName(step).groupBy("key").agg(F.sum("delta").alias("delta")))
+        seen = asked.unionByName(step.select("key")).distinct()
+        now = seen.join(nodes.select("key", F.col("state").alias("old"), "open"), "key").join(states, "key", "left").join(moved, "key", "left")
+        done = (F.coalesce("state", "old") == AWAITING_CHILDREN) & (F.col("open") + F.coalesce("delta", F.lit(0)) == 0)
+        wave = cut(now.where(done).select("key", F.lit(-1).cast("long").alias("delta")))
+        if wave.isEmpty():
+            break
+        finished = wave.select("key", F.lit(COMPLETED).alias("state"))
+        states = cut(states.join(finished, "key", "left_anti").unionByName(finished))
+        asked = asked.limit(0)
+    both = states.join(moved, "key", "full")
+    out = nodes.select("key", F.col("state").alias("old"), "open").join(both, "key")
+    return out.select("key", F.coalesce("state", "old").alias("state"), (F.col("open") + F.coalesce("delta", F.lit(0))).alias("open"))
+
+
 def drop_finished_roots(nodes: DataFrame, edges: DataFrame, hosts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(nodes, edges, removed roots): subtrees of completed roots of the given hosts are taken out."""
     finished = roots(complete(nodes, edges), edges).where(F.col("state") == COMPLETED).join(hosts.select("host"), "host", "left_semi")
@@ -191,11 +235,11 @@ def reset(nodes: DataFrame) -> DataFrame:
     return nodes.withColumn("state", state)
 
 
-def resume_order(paths: DataFrame, states: DataFrame) -> DataFrame:
-    """(key, state_rank, path) of unfinished nodes: fetching states first, then by place."""
+def resume_order(places: DataFrame, states: DataFrame, place: str = "path") -> DataFrame:
+    """(key, state_rank, place) of unfinished nodes: fetching states first, then by place (a path, or a number of the walk)."""
     ranks = {AWAITING_FETCH: 0, CREATED: 1, FETCHING: 2, AWAITING_PROCESSING: 3, PROCESSING: 4}
     rank = F.coalesce(*[F.when(F.col("state") == s, F.lit(n)) for s, n in ranks.items()])
-    return paths.join(states.select("key", "state"), "key").withColumn("state_rank", rank).where(F.col("state_rank").isNotNull()).select("key", "state_rank", "path").orderBy("state_rank", "path")
+    return places.join(states.select("key", "state"), "key").withColumn("state_rank", rank).where(F.col("state_rank").isNotNull()).select("key", "state_rank", place).orderBy("state_rank", place)
 
 
 def removable(children: DataFrame, gone: DataFrame) -> DataFrame:

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemart.functions import text, urls
-from pagemart.operators import documents, frontier, graph, html, merge, resolve, template, validate
-from pagemart.operators.lineage import cut, shared_folder
+from pagemart.operators import documents, frontier, graph, html, merge, resolve, template, trees, validate
+from pagemart.operators.lineage import cut, numbered, shared_folder
 from pagemart.plans.registry import QUERIES, SQL, query, table
 from pagemart.streaming import pages as stream
 
@@ -603,11 +603,13 @@ def latest_open(spark, sf_dir):
 
 
 @query(f"""WITH RECURSIVE {_TREE}, w AS (SELECT key, ARRAY[ord] AS path FROM n WHERE parent_key IS NULL UNION ALL SELECT n.key, list_append(w.path, n.ord) FROM w JOIN n ON n.parent_key = w.key)
-SELECT w.key, CASE n.ord % 10 - 1 WHEN 1 THEN 0 WHEN 0 THEN 1 WHEN 2 THEN 2 WHEN 3 THEN 3 ELSE 4 END AS state_rank FROM w JOIN n ON n.key = w.key WHERE n.ord % 10 - 1 BETWEEN 0 AND 4""")
+SELECT w.key, CASE n.ord % 10 - 1 WHEN 1 THEN 0 WHEN 0 THEN 1 WHEN 2 THEN 2 WHEN 3 THEN 3 ELSE 4 END AS state_rank, row_number() OVER (ORDER BY CASE n.ord % 10 - 1 WHEN 1 THEN 0 WHEN 0 THEN 1 WHEN 2 THEN 2 WHEN 3 THEN 3 ELSE 4 END, path) AS nth
+FROM w JOIN n ON n.key = w.key WHERE n.ord % 10 - 1 BETWEEN 0 AND 4""")
 def resume_order(spark, sf_dir):
     nodes, _ = _tree(spark, sf_dir)
     states = nodes.select("key", (F.col("ord") % 10 - 1).cast("int").alias("state"))
-    return graph.resume_order(graph.tree_paths(nodes.withColumnRenamed("ord", "pos")), states).select("key", "state_rank")
+    waiting = graph.resume_order(trees.numbers(nodes.withColumnRenamed("ord", "pos")), states, "pre")
+    return numbered(waiting, "state_rank", "pre", out="nth").select("key", "state_rank", "nth")
 
 
 # Streams: the stored files as arrivals, processed batch by batch until none is left.
@@ -647,4 +649,4 @@ def stream_quarantine(spark, sf_dir):
     return rows.groupBy("user_id").agg(F.count_if(F.col("kind") == "kept").alias("kept"), F.count_if(F.col("kind") == "aside").alias("aside"))
 
 
-from pagemart.plans import merge_queries, page_queries, store_queries  # noqa: E402, F401
+from pagemart.plans import graph_queries, merge_queries, page_queries, store_queries  # noqa: E402, F401

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagemart.functions import urls
-from pagemart.operators import documents, frontier, graph, merge, resolve
+from pagemart.operators import documents, frontier, graph, merge, resolve, trees
 from pagemart.operators.lineage import numbered, shared_folder
 from pagemart.plans import load, page_queries, page_types
 from pagemart.plans.queries import _TREE, _tree
@@ -172,9 +172,7 @@ SELECT key, row_number() OVER (ORDER BY path) AS pre, count(*) OVER () + 1 - row
 def tree_numbers(spark, sf_dir):
     """Numbers of the walk from the node down, and of its way back."""
     nodes, _ = _tree(spark, sf_dir)
-    paths = graph.tree_paths(nodes.withColumnRenamed("ord", "pos"))
-    pre, post = graph.preorder(paths).select("key", F.col("nth").alias("pre")), graph.postorder(paths).select("key", F.col("nth").alias("post"))
-    return pre.join(post, "key")
+    return trees.numbers(nodes.withColumnRenamed("ord", "pos")).select("key", "pre", "post")
 
 
 @query(f"""WITH {_TREE}, m AS (SELECT key, parent_key, ord FROM n UNION ALL SELECT 'o' || o_orderkey, 'c' || (o_custkey + 1), 0 FROM orders WHERE o_orderkey % 5 = 0)

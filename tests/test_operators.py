@@ -1,9 +1,12 @@
+import collections
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from pagemart.operators import documents, frontier, graph, html, merge, resolve, template, validate
+from pagemart.operators import documents, frontier, graph, html, merge, resolve, template, trees, validate
+from pagemart.operators.lineage import cut, written
 
 D = dt.date
 
@@ -406,3 +409,73 @@ def test_keys_that_collide(spark):
     keys = [r[0] for r in df.distinct().select(merge.surrogate_key("a", "b", bits=6)).collect()]
     assert found == {k: keys.count(k) for k in set(keys) if keys.count(k) > 1} and found and max(keys) < 64
     assert merge.key_collisions(df, ["a", "b"]).count() == 0
+
+
+def test_chain_of_ten_thousand(spark, monkeypatch):
+    """Both loops double what they see; circles and unknown parents end."""
+    n, rounds = 10_000, []
+    chain = [(f"{i}", f"{i - 1}" if i else None, 0, i if i in (0, 7_000) else None) for i in range(n)]
+    odd = [("x", "y", 0, None), ("y", "x", 0, None), ("z", "y", 0, None), ("u", "none", 0, None), ("v", "u", 0, 5), ("w", "v", 0, None)]
+    children = spark.createDataFrame(chain + odd, "key string, parent_key string, pos int, v long")
+    monkeypatch.setattr(trees, "written", lambda df: rounds.append(1) or written(df))
+    got = {r.key: (r.depth, r.size, r.pre, r.last, r.post) for r in trees.numbers(children).collect()}
+    assert got == {f"{i}": (i, n - i, i + 1, n, n - i) for i in range(n)}
+    assert len(rounds) <= 2 * 16
+    found = {r.key: r.v for r in trees.nearest(children, "v").collect()}
+    assert found == {f"{i}": 0 if i < 7_000 else 7_000 for i in range(n)} | {"x": None, "y": None, "z": None, "u": None, "v": 5, "w": 5}
+
+
+def test_tree_numbers_of_random_trees(spark):
+    """Against a plain walk: forests, ties of pos, null places, a parent with most nodes."""
+    r = random.Random(5)
+    nodes = [(0, None, 1), (1, None, 0)] + [(i, r.choice([0, 0, r.randrange(i)]), r.choice([None, 1, 2, 3])) for i in range(2, 600)]
+    below = collections.defaultdict(list)
+    for key, parent, pos in nodes:
+        below[parent].append((pos is not None, pos or 0, key))
+    want, walk = {}, [(key, 0) for *_, key in sorted(below[None], reverse=True)]
+    while walk:
+        key, depth = walk.pop()
+        want[key] = (depth, len(want) + 1)
+        walk += [(k, depth + 1) for *_, k in sorted(below[key], reverse=True)]
+    got = trees.numbers(spark.createDataFrame(nodes, "key int, parent_key int, pos int")).collect()
+    assert {x.key: (x.depth, x.pre) for x in got} == want and all(x.post == 601 - x.pre for x in got)
+    inside = {x.key: (x.pre, x.last) for x in got}
+    assert all(inside[p][0] < inside[k][0] <= inside[k][1] <= inside[p][1] for k, p, _ in nodes if p is not None)
+    assert trees.numbers(spark.createDataFrame([], "key int, parent_key int, pos int")).count() == 0
+
+
+def test_changed_states_as_the_full_walk(spark):
+    r = random.Random(3)
+    edges = spark.createDataFrame(sorted({(a, r.randrange(a + 1, 80)) for a in range(79) for _ in range(2)} | {(5, 5)}), "src_key int, dst_key int")
+    nodes = spark.createDataFrame([(i, 7 if i < 50 else r.choice([6, 6, 8])) for i in range(80)], "key int, state int")
+    nodes = cut(graph.with_open(graph.complete(nodes, edges), edges))
+    for _ in range(3):
+        changes = spark.createDataFrame([(r.randrange(50, 80), r.choice([8, 8, 8, 6])) for _ in range(12)] + [(99, 8)], "key int, state int")
+        changed = cut(graph.changed_states(nodes, edges, changes))
+        new = cut(merge.upsert(nodes, changed, ["key"], ["state", "open"], None))
+        last = changes.groupBy("key").agg(F.max("state").alias("new"))
+        full = nodes.join(last, "key", "left").select("key", F.coalesce("new", "state").alias("state"))
+        full = graph.with_open(graph.complete(full, edges), edges)
+        assert rows(new, "key", "state", "open") == rows(full, "key", "state", "open")
+        assert changed.count() < 80
+        nodes = new
+
+
+def test_marks_in_bins(spark):
+    """As each character against each rule: wide rules, wide pages, turned intervals, places that are none."""
+    r = random.Random(11)
+    place = lambda: r.choice([r.uniform(-50, 900), r.uniform(0, 40_000), float(r.randrange(0, 10) * 36)])
+    chars = [("d", r.randrange(2), i, "x", (a := place()), a + r.choice([0.0, 7.5, 36.0, 5_000.0, -3.0]), (t := float(r.randrange(0, 60))), t + 10) for i in range(400)]
+    rules = [("d", r.randrange(2), i, (a := place()), a + r.choice([0.0, 20.0, 700.0, 1e9, -4.0]), (t := float(r.randrange(0, 70))), t + r.choice([0.0, 1.0, 4.0, 6.0])) for i in range(150)]
+    rules += [("d", 0, 150, float("nan"), 5.0, 1.0, 1.0), ("d", 0, 151, 0.0, float("inf"), 1.0, 1.0), ("d", 1, 152, None, 5.0, 1.0, 1.0), ("e", 1, 153, 0.0, 5.0, 1.0, 1.0)]
+    chars += [("d", 0, 400, "x", None, 1.0, 0.0, 10.0), ("f", 0, 401, "x", 0.0, 1.0, 0.0, 10.0)]
+    want = {}
+    for d, p, i, _, x0, x1, top, bottom in chars:
+        want[i] = None
+        for d2, p2, _, a, b, t, u in rules[:150]:
+            if x0 is not None and (d, p) == (d2, p2) and u - t <= 5 and x0 < b and x1 > a:
+                y = (t + u) / 2
+                middle, low = abs(y - (top + bottom) / 2), abs(y - bottom)
+                want[i] = "strike" if middle <= low and middle <= 2 else "underline" if low < middle and low <= 2 else want[i]
+    got = documents.marked_chars(spark.createDataFrame(chars, "doc string, page int, ord int, text string, x0 double, x1 double, top double, bottom double"), spark.createDataFrame(rules, "doc string, page int, ord int, x0 double, x1 double, top double, bottom double"))
+    assert {x.ord: x.mark for x in got.collect()} == want and set(want.values()) == {None, "strike", "underline"}
