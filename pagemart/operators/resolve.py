@@ -10,9 +10,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagemart.functions.urls import normalize_url
+from pagemart.operators.lineage import cut
 
-#: Characters of the pieces by which containing texts are looked up.
-GRAM = 12
+#: Characters of the pieces by which containing texts are looked up, and how many neighbours one of them stands for.
+GRAM, WINDOW = 10, 4
+#: Nodes with one piece that a task compares.
+HOT = 100_000
 
 
 def first_match(nodes: DataFrame, condition: Column, order: str = "ord") -> DataFrame:
@@ -70,13 +73,28 @@ def resolve_strict(records: DataFrame, loaded: DataFrame, key: str, urls: str, u
     return complete, records.join(complete, key, "left_anti")
 
 
-def _pieces(chars: str, size: int, piece) -> Column:
-    """An array column of piece(list of characters) for each run of so many characters of an array column."""
-    n = F.size(chars) - size + 1
-    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: piece([F.get(F.col(chars), i + k) for k in range(size)])))
+def _once(value: Column, use) -> Column:
+    """use(value), with the value computed once however often it is used, in lambdas too."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def first_containing(requests: DataFrame, nodes: DataFrame, request_id: str, wanted: str, url: str, order: str, group: str | None = None) -> DataFrame:
+def _pieces(text: Column, size: int, piece=lambda x: x) -> Column:
+    """piece(run) of each run of so many characters of a text, in order; null where it is shorter. Linear in the text."""
+    places = F.sequence(F.lit(1), F.length(text) - size + 1)
+    runs = lambda chars: F.transform(places, lambda i: piece(F.array_join(F.slice(chars, i, size), "")))
+    return F.when(F.length(text) >= size, _once(F.split(text, ""), runs))
+
+
+def _minimizers(text: Column, of_group: Column) -> Column:
+    """The least hash of the pieces in each window of WINDOW of them; null for texts of fewer pieces.
+
+    A text that contains another has all windows of the other, so all its minimizers too.
+    """
+    least = lambda h: F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(h) - WINDOW + 1), lambda i: F.array_min(F.slice(h, i, WINDOW))))
+    return F.when(F.length(text) >= GRAM + WINDOW - 1, _once(_pieces(text, GRAM, lambda x: F.xxhash64(of_group, x)), least))
+
+
+def first_containing(requests: DataFrame, nodes: DataFrame, request_id: str, wanted: str, url: str, order: str, group: str | None = None, hot: int = HOT) -> DataFrame:
     """For each request the first node, in order, whose path and query contain the wanted ones.
 
     All nodes are searched, whatever their host, and a wanted url may be relative;
@@ -85,32 +103,37 @@ def first_containing(requests: DataFrame, nodes: DataFrame, request_id: str, wan
     contained in every node.
 
     An equal node comes second to an earlier one that contains more, so equality
-    is no case of its own. Wanted texts of at most GRAM characters are looked up
-    among the nodes' pieces of that length; longer ones by their rarest piece of
-    GRAM characters, and what is found so is compared.
+    is no case of its own. Wanted texts of fewer than GRAM + WINDOW - 1 characters are
+    looked up among the nodes' pieces of that length; longer ones by the rarest of
+    their minimizers, and what is found so is compared. A minimizer that more than
+    `hot` nodes and a thousandth of all have is split over tasks by node, and the first
+    of each part is kept; there are at most a thousand times a node's minimizers of them.
     """
     of = F.lit("") if group is None else F.col(group)
     a = requests.select(request_id, of.alias("_group"), normalize_url(F.col(wanted)).alias("_wanted")).where(F.col("_group").isNotNull())
     b = nodes.select(of.alias("_g2"), normalize_url(F.col(url)).alias("_have"), F.struct(F.col(order).alias("_ord"), F.col(url).alias("found")).alias("_node")).where(F.col("_g2").isNotNull())
     # Equal texts are searched once.
-    asked = a.select("_group", "_wanted").distinct()
-    b = b.groupBy("_g2", "_have").agg(F.min_by("_node", "_node._ord").alias("_node")).withColumn("_c", F.split("_have", ""))
-    b = b.withColumn("_c", F.when(F.col("_have") == "", F.array().cast("array<string>")).otherwise(F.col("_c")))
-
-    def hashes(chars: str, of_group: str) -> Column:
-        return F.explode(F.array_distinct(_pieces(chars, GRAM, lambda c: F.xxhash64(of_group, *c)))).alias("_gram")
+    asked = cut(a.select("_group", "_wanted").distinct())
+    b = cut(b.groupBy("_g2", "_have").agg(F.min_by("_node", "_node._ord").alias("_node")))
+    short = GRAM + WINDOW - 1
 
-    posted = b.select("_g2", "_have", "_node", hashes("_c", "_g2"))
+    posted = b.select("_g2", "_have", "_node", F.explode(_minimizers(F.col("_have"), F.col("_g2"))).alias("_gram"))
     common = posted.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
-    grams = asked.where(F.length("_wanted") > GRAM).withColumn("_w", F.split("_wanted", "")).select("_group", "_wanted", hashes("_w", "_group"))
-    rarest = grams.join(common, "_gram").groupBy("_group", "_wanted").agg(F.min_by("_gram", "_n").alias("_gram"))
-    found = rarest.join(posted, "_gram").where((F.col("_group") == F.col("_g2")) & F.contains("_have", "_wanted")).select("_group", "_wanted", "_node")
-
-    lengths = asked.select(F.length("_wanted").alias("m")).where(F.col("m") <= GRAM).distinct().collect()  # GRAM + 1 rows at most
-    for m in sorted(r["m"] for r in lengths):
-        pieces = _pieces("_c", m, lambda c: F.concat(*c)) if m else F.array(F.lit(""))
-        short = b.select("_g2", "_node", F.explode(F.array_distinct(pieces)).alias("_piece")).groupBy("_g2", "_piece").agg(F.min_by("_node", "_node._ord").alias("_node"))
-        found = found.unionByName(asked.join(short, (F.col("_group") == F.col("_g2")) & (F.col("_wanted") == F.col("_piece"))).select("_group", "_wanted", "_node"))
+    share = max(hot, b.count() // 1000)
+    parts = common.where(F.col("_n") > share).select("_gram", F.ceil(F.col("_n") / share).cast("int").alias("_parts"))
+    posted = posted.join(F.broadcast(parts), "_gram", "left").withColumn("_part", F.coalesce(F.pmod(F.xxhash64("_have"), "_parts"), F.lit(0)).cast("int")).drop("_parts")
+    grams = asked.where(F.length("_wanted") >= short).select("_group", "_wanted", F.explode(_minimizers(F.col("_wanted"), F.col("_group"))).alias("_gram"))
+    rarest = grams.join(common, "_gram").groupBy("_group", "_wanted").agg(F.min(F.struct("_n", "_gram")).alias("_r")).select("_group", "_wanted", "_r.*")
+    every = F.when(F.col("_n") > share, F.sequence(F.lit(0), F.ceil(F.col("_n") / share).cast("int") - 1)).otherwise(F.array(F.lit(0)))
+    rarest = rarest.select("_group", "_wanted", "_gram", F.explode(every).alias("_part"))
+    found = rarest.join(posted, ["_gram", "_part"]).where((F.col("_group") == F.col("_g2")) & F.contains("_have", "_wanted")).select("_group", "_wanted", "_node")
+
+    lengths = asked.select(F.length("_wanted").alias("m")).where(F.col("m") < short).distinct().collect()  # as many rows as there are short lengths, at most
+    none = F.array().cast("array<string>")
+    if lengths:
+        pieces = F.concat(*[F.coalesce(_pieces(F.col("_have"), r["m"]), none) if r["m"] else F.array(F.lit("")) for r in lengths])
+        least = b.select("_g2", "_node", F.explode(F.array_distinct(pieces)).alias("_piece")).groupBy("_g2", "_piece").agg(F.min_by("_node", "_node._ord").alias("_node"))
+        found = found.unionByName(asked.join(least, (F.col("_group") == F.col("_g2")) & (F.col("_wanted") == F.col("_piece"))).select("_group", "_wanted", "_node"))
     first = found.groupBy("_group", "_wanted").agg(F.min_by("_node", "_node._ord").alias("_node"))
     return a.join(first, ["_group", "_wanted"]).groupBy(request_id).agg(F.min_by("_node.found", "_node._ord").alias("found"), F.min("_node._ord").alias("found_ord"))
 

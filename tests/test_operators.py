@@ -317,6 +317,22 @@ def test_first_containing_over_all_hosts(spark):
     assert own == {0: 1, 2: 2}
 
 
+def test_first_containing_with_hot_pieces(spark):
+    """One host and one path in all nodes; pieces that most nodes have are split over tasks."""
+    nodes = [(i * 7919 % 600, f"https://h.org/Bills/Detail/Page?id=HB{i}&session=2021R&p={i % 5}") for i in range(600)]
+    asked = ["/Bills/Detail/Page?id=HB", "session=2021R&p=3", "/Bills/Detail/Page?id=HB1", "HB59&session=2021R", "/Bills/Detail/Page?id=HC", "&session=2021R&p=9", "Detail", "p=4"]
+    requests = spark.createDataFrame(list(enumerate("?" + w if w[0] not in "/?" else w for w in asked)), "n int, wanted string")
+    stored = spark.createDataFrame(nodes, "ord int, url string")
+    key = lambda df, c: [r[0] for r in df.select(resolve.normalize_url(F.col(c))).collect()]
+    have = sorted((o, k) for (o, _), k in zip(nodes, key(stored, "url"), strict=True))
+    brute = {n: next(o for o, k in have if w in k) for n, w in enumerate(key(requests, "wanted")) if any(w in k for _, k in have)}
+    for hot in (1, 40, resolve.HOT):
+        assert {r.n: r.found_ord for r in resolve.first_containing(requests, stored, "n", "wanted", "url", "ord", hot=hot).collect()} == brute
+    long = spark.createDataFrame([(0, "https://h.org/" + "ab" * 50_000 + "c")], "ord int, url string")
+    assert resolve.first_containing(spark.createDataFrame([(0, "/" + "ab" * 20_000), (1, "/" + "ab" * 20_000 + "d")], "n int, wanted string"), long, "n", "wanted", "url", "ord").count() == 0
+    assert resolve.first_containing(requests, stored.limit(0), "n", "wanted", "url", "ord").count() == resolve.first_containing(requests.limit(0), stored, "n", "wanted", "url", "ord").count() == 0
+
+
 def test_numbers_and_gaps_within_a_hot_group(spark):
     data = [("h" if i % 3 else None if i % 2 else "g", i // 2, i) for i in range(400)]
     df = spark.createDataFrame(data, "host string, ord int, id int").repartition(7)
