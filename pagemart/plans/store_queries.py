@@ -15,6 +15,7 @@ from pagemart.plans.queries import _TREE, _tree
 from pagemart.plans.registry import query, table
 from pagemart.sources import files, store
 from pagemart.streaming import pages as stream
+from pagemart.streaming import seen
 
 
 def _folder(spark) -> str:
@@ -280,6 +281,31 @@ def stream_resumed(spark, sf_dir):
     return spark.read.parquet(f"{folder}/out").groupBy(urls.host(F.col("url")).alias("host")).agg(F.count(F.lit(1)).alias("pages"))
 
 
+@query("SELECT page_id FROM (SELECT page_id, row_number() OVER (PARTITION BY url ORDER BY page_id % 3, page_id) AS n FROM pages) WHERE n = 1")
+def stream_seen(spark, sf_dir):
+    """Two streams without state that share what they have seen: the second gets all pages, and gives out those of a
+    third that the first did not. Each is lost once in its sink, and goes on.
+    """
+    folder, pages = _folder(spark), table(spark, sf_dir, "pages")
+    known = seen.Seen(spark, f"{folder}/seen")
+    for part in range(3):
+        pages.where(F.col("page_id") % 3 == part).coalesce(1).write.parquet(f"{folder}/in/part={part}")
+        if part == 0:
+            continue
+        lost, name = [], f"stream{part}"
+
+        def sink(batch: DataFrame, number: int, name=name, lost=lost) -> None:
+            if number == 1 and not lost:
+                lost.append(number)
+                raise RuntimeError("lost in the sink")
+            batch.select("page_id").write.mode("overwrite").parquet(f"{folder}/out/{name}-{number}")
+
+        arriving = spark.readStream.schema(pages.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(f"{folder}/in")
+        for _ in range(2):
+            stream.until_lost(stream.run(arriving, seen.first_seen(known, name, sink, order=F.col("page_id")), f"{folder}/checkpoint-{name}"), "lost")
+    return spark.read.option("recursiveFileLookup", "true").schema("page_id long").parquet(f"{folder}/out")
+
+
 @query("SELECT o_custkey AS dep, CAST(o_orderkey AS VARCHAR) AS payload FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)")
 def stream_deferral(spark, sf_dir):
     """Orders wait until their customer has arrived; those of customers that do not arrive wait on."""
