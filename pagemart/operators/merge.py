@@ -55,8 +55,7 @@ def upsert(current: DataFrame, changes: DataFrame, keys: list[str], columns: lis
 def add_rows(current: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
     """current and the rows it lacks, once each; a null in a key makes a row new each time."""
     whole = rows.dropna(subset=keys).dropDuplicates(keys)
-    odd = rows.where(F.array_contains(F.array(*[F.col(k).isNull() for k in keys]), True))
-    return current.unionByName(whole.join(current.select(*keys), keys, "left_anti")).unionByName(odd)
+    return current.unionByName(whole.join(current.select(*keys), keys, "left_anti")).unionByName(unkeyed(rows, keys))
 
 
 def first_kind_wins(current: DataFrame, members: DataFrame, keys: list[str], kind: str, ranks: dict[str, int]) -> DataFrame:
@@ -76,8 +75,7 @@ def sync_membership(current: DataFrame, listed: DataFrame, sessions: DataFrame,
     listing without start stands for each owner's last session.
     """
     if "start" not in listed.columns:
-        sessions = sessions.groupBy(owner).agg(F.max("start").alias("start"))
-        listed = listed.join(sessions, owner)
+        return _sync_last(current, listed, sessions, owner, member)
     pair = [owner, member]
     listed = listed.where(F.col(member).isNotNull()).select(*pair, F.col("start").alias("_at")).distinct()
     opened = current.where(F.col("end").isNull()).groupBy(*pair).agg(F.max("start").alias("_open"))
@@ -100,6 +98,26 @@ def sync_membership(current: DataFrame, listed: DataFrame, sessions: DataFrame,
     return kept.unionByName(begun.select(*current.columns))
 
 
+def _sync_last(current: DataFrame, listed: DataFrame, sessions: DataFrame, owner: str, member: str) -> DataFrame:
+    """sync_membership where each owner has one session that counts: stored and listed rows of a pair meet once, in a window.
+
+    Rows are dealt by pair after they have met their owner's session, so an owner may have most of them.
+    """
+    pair = [owner, member]
+    last = sessions.groupBy(F.col(owner).alias("_o")).agg(F.max("start").alias("_at"))
+    new = listed.where(F.col(member).isNotNull()).select(*pair).distinct().select(*pair, F.lit(None).cast("date").alias("start"), F.lit(None).cast("date").alias("end"), F.lit(True).alias("_new"))
+    both = current.select(*pair, "start", "end", F.lit(False).alias("_new")).unionByName(new)
+    both = both.join(last, F.col(owner) == F.col("_o"), "left").repartition(*pair)
+    w = Window.partitionBy(*pair)
+    is_open = ~F.col("_new") & F.col("end").isNull()
+    covered = ~F.col("_new") & F.col("_at").between(F.col("start"), F.coalesce("end", F.lit("9999-12-31").cast("date")))
+    met = both.withColumns({"_listed": F.bool_or("_new").over(w), "_open": F.max(F.when(is_open, F.col("start"))).over(w), "_covered": F.bool_or(covered).over(w)})
+    gone = is_open & ~F.col("_listed") & F.col(member).isNotNull() & (F.col("_at") > F.col("_open"))
+    begun = F.col("_at").isNotNull() & F.col("_open").isNull() & ~F.coalesce("_covered", F.lit(False))
+    kept = met.where(~F.col("_new") | begun)
+    return kept.withColumns({"start": F.when(F.col("_new"), F.col("_at")).otherwise(F.col("start")), "end": F.when(gone, F.date_sub("_at", 1)).otherwise(F.col("end"))}).select(*current.columns)
+
+
 def versions(history: DataFrame, keys: list[str], tracked: list[str], start: str, tie: str | None = None) -> DataFrame:
     """SCD2 of a whole history: a row for each change of the tracked columns, with start and end.
 
@@ -147,8 +165,10 @@ def scd2(current: DataFrame, batch: DataFrame, keys: list[str], tracked: list[st
     version of the same values, changes nothing. A start that is not after the
     open row's is late (see late) and changes nothing either; with at_least_start
     it counts, and no version ends before its own start. Rows of keys that the
-    batch does not have are passed through.
+    batch does not have are passed through. A row with a null in its key has no line to
+    be a version of: it changes nothing, see unkeyed.
     """
+    batch = batch.dropna(subset=keys)
     touched = batch.select(*keys).distinct()
     rest, mine = current.join(touched, keys, "left_anti"), current.join(touched, keys, "left_semi")
     opened, others, new = _against(mine, batch, keys, tracked, order)
@@ -167,10 +187,15 @@ def scd2(current: DataFrame, batch: DataFrame, keys: list[str], tracked: list[st
 
 def late(current: DataFrame, batch: DataFrame, keys: list[str], tracked: list[str], order: Column | None = None) -> DataFrame:
     """The batch's rows that scd2 leaves out because they start no later than the open row, and are not what is stored."""
-    _, _, new = _against(current, batch, keys, tracked, order)
+    _, _, new = _against(current, batch.dropna(subset=keys), keys, tracked, order)
     return new.where(F.col("start") <= F.col("_open")).drop("_open")
 
 
+def unkeyed(batch: DataFrame, keys: list[str]) -> DataFrame:
+    """The batch's rows with a null in their key, for a quarantine."""
+    return batch.where(F.array_contains(F.array(*[F.col(k).isNull() for k in keys]), True))
+
+
 def close_missing(current: DataFrame, active: DataFrame, session_start: Column, url: str) -> tuple[DataFrame, DataFrame]:
     """(current with ends, the rows that were closed): open rows from before the session whose url is not active.
 

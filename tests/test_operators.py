@@ -317,6 +317,32 @@ def test_first_containing_over_all_hosts(spark):
     assert own == {0: 1, 2: 2}
 
 
+def test_membership_of_one_session_equals_the_general_form(spark):
+    """One session an owner: the same as with its start named, for open, closed, several open, unlisted and null rows."""
+    rng = random.Random(5)
+    days = [D(2020, 1, 1) + dt.timedelta(n) for n in range(0, 1000, 90)]
+    for _ in range(3):
+        cur = [(o, rng.choice([1, 2, 3, None]), s, rng.choice([None, None, s + dt.timedelta(80)])) for o in range(12) for s in rng.sample(days, 3)] + [(None, 1, days[0], None)]
+        sessions = [(o, d) for o in range(9) for d in rng.sample(days, rng.choice([1, 1, 2]))]
+        listed = [(o, rng.choice([1, 2, 3, 4, None])) for o in range(12) for _ in range(3)] + [(None, 1)]
+        current = spark.createDataFrame(cur, "o int, m int, start date, end date")
+        kept = spark.createDataFrame(sessions, "o int, start date").groupBy("o").agg(F.max("start").alias("start"))
+        pairs = spark.createDataFrame(listed, "o int, m int")
+        got = merge.sync_membership(current, pairs, spark.createDataFrame(sessions, "o int, start date"), "o", "m")
+        assert rows(got) == rows(merge.sync_membership(current, pairs.join(kept, "o"), kept, "o", "m"))
+        assert rows(merge.sync_membership(got.checkpoint(), pairs, kept, "o", "m")) == rows(got)
+
+
+def test_scd2_sets_null_keys_aside(spark):
+    start = D(2020, 1, 1)
+    current = spark.createDataFrame([(1, "a", start, None), (None, "old", start, None)], "k int, v string, start date, end date")
+    batch = spark.createDataFrame([(None, "x", D(2021, 1, 1)), (None, "y", D(2022, 1, 1)), (2, "b", D(2021, 1, 1))], "k int, v string, start date")
+    for how in ({}, {"at_least_start": True}):
+        got = merge.scd2(current, batch, ["k"], ["v"], **how)
+        assert rows(got) == sorted([(1, "a", start, None), (None, "old", start, None), (2, "b", D(2021, 1, 1), None)], key=repr)
+    assert sorted(r.v for r in merge.unkeyed(batch, ["k"]).collect()) == ["x", "y"] and merge.late(current, batch, ["k"], ["v"]).count() == 0
+
+
 def test_first_containing_with_hot_pieces(spark):
     """One host and one path in all nodes; pieces that most nodes have are split over tasks."""
     nodes = [(i * 7919 % 600, f"https://h.org/Bills/Detail/Page?id=HB{i}&session=2021R&p={i % 5}") for i in range(600)]
