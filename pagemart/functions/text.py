@@ -8,6 +8,8 @@ becoming null.
 from __future__ import annotations
 
 import html
+import re
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column
@@ -117,11 +119,17 @@ def unescape(c: Column) -> Column:
     return F.replace(c, F.lit("&amp;"), F.lit("&"))
 
 
-def unescape_all(c: Column) -> Column:
-    """With the standard library's whole table of references (Arrow batches); texts without any do not leave the JVM."""
+def unescape_all(c: Column, closed: bool = False) -> Column:
+    """With the standard library's whole table of references (Arrow batches); texts without any do not leave the JVM.
+
+    That table reads old names without their ; too, so that a text cut within one reads otherwise; closed: only what ends in ;.
+    """
+    reference = r"&(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
+
     @F.pandas_udf("string")
     def read(texts: pd.Series) -> pd.Series:
-        return texts.map(html.unescape, na_action="ignore")
+        known = lambda m: html.unescape(m[0]) if m[1][0] == "#" or f"{m[1]};" in html5 else m[0]
+        return texts.map((lambda t: re.sub(reference, known, t)) if closed else html.unescape, na_action="ignore")
 
     return F.coalesce(read(F.when(F.contains(c, F.lit("&")), c)), c)
 

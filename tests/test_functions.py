@@ -119,3 +119,10 @@ def test_classify_both_ways(spark):
     table = spark.createDataFrame(list(types.items()), "prefix string, page_type string")
     assert by_rule == {r.url: r.page_type for r in urls.classify_by_table(rows, table).collect()}
     assert list(by_rule.values()) == ["votes", "bills", "home", None]
+
+
+def test_references_that_are_cut_off_stay_where_only_closed_ones_count(spark):
+    rows = spark.createDataFrame([("a &amp; b&amp",), ("&lt;&#65;&notit;&copy",), ("&amp;quot;",), (None,)], "s string")
+    read = lambda closed: [r.x for r in rows.select(text.unescape_all(F.col("s"), closed).alias("x")).collect()]
+    assert read(True) == ["a & b&amp", "<A&notit;&copy", "&quot;", None]
+    assert read(False) == ["a & b&", "<A¬it;©", "&quot;", None]
