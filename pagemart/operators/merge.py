@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagemart.operators.lineage import plain_unions
+
 
 def surrogate_key(*natural: str, bits: int = 64) -> Column:
     """A key that any task computes alike, of so many bits; see key_collisions."""
@@ -168,6 +170,7 @@ def scd2(current: DataFrame, batch: DataFrame, keys: list[str], tracked: list[st
     batch does not have are passed through. A row with a null in its key has no line to
     be a version of: it changes nothing, see unkeyed.
     """
+    plain_unions(current.sparkSession)
     batch = batch.dropna(subset=keys)
     touched = batch.select(*keys).distinct()
     rest, mine = current.join(touched, keys, "left_anti"), current.join(touched, keys, "left_semi")

@@ -333,6 +333,21 @@ def test_membership_of_one_session_equals_the_general_form(spark):
         assert rows(merge.sync_membership(got.checkpoint(), pairs, kept, "o", "m")) == rows(got)
 
 
+def test_scd2_without_broadcasts(spark):
+    """Stored and new rows of a key are one line, also where Spark deals both alike and joins by shuffles only."""
+    from oracle import SF, same_rows
+
+    from pagemart.plans import queries
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.unionOutputPartitioning", "true")
+    try:
+        for name in ("scd2_multi", "scd2_again", "scd2_late"):
+            same_rows(queries.QUERIES[name].__wrapped__(spark, SF), queries.SQL[name])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_scd2_sets_null_keys_aside(spark):
     start = D(2020, 1, 1)
     current = spark.createDataFrame([(1, "a", start, None), (None, "old", start, None)], "k int, v string, start date, end date")
