@@ -58,19 +58,20 @@ def marked_chars(chars: DataFrame, rects: DataFrame, page_height: float | None =
     x_bins = _bins(F.col("x0") - F.col("_low"), F.col("x1") - F.col("_low"), F.col("_width"))
     # A rule that marks is near the middle or the bottom: those two are looked up, not all between.
     near = F.array_distinct(F.flatten(F.array(*[_bins(y - TOLERANCE, y + TOLERANCE, F.lit(2.0 * TOLERANCE)) for y in (middle, bottom)])))
-    binned = placed.join(extent, ["doc", "page"]).withColumn("_x", F.explode(x_bins)).withColumn("_y_bin", F.explode(near))
+    # Sizes are guessed from tables before they are exploded, so that all would be broadcast: these joins are by shuffle.
+    binned = placed.join(extent.hint("merge"), ["doc", "page"]).withColumn("_x", F.explode(x_bins)).withColumn("_y_bin", F.explode(near))
 
     thin = rects.where(sound(*x, "top", "bottom") & (F.col("bottom") - F.col("top") <= RULE))
     thin = thin.select("doc", "page", F.col("ord").alias("_ord"), F.col("x0").cast("double").alias("_x0"), F.col("x1").cast("double").alias("_x1"), ((F.col("top") + F.col("bottom")) / 2).cast("double").alias("_y"))
     inside = [F.least(F.greatest(F.col(c), F.col("_low")), F.col("_high")) - F.col("_low") for c in ("_x0", "_x1")]
-    thin = thin.join(extent, ["doc", "page"]).withColumn("_x", F.explode(_bins(*inside, F.col("_width")))).withColumn("_y_bin", F.floor(F.col("_y") / (2.0 * TOLERANCE)))
+    thin = thin.join(extent.hint("merge"), ["doc", "page"]).withColumn("_x", F.explode(_bins(*inside, F.col("_width")))).withColumn("_y_bin", F.floor(F.col("_y") / (2.0 * TOLERANCE)))
 
-    over = binned.join(thin.drop("_low", "_high", "_width"), ["doc", "page", "_x", "_y_bin"]).where((F.col("x0") < F.col("_x1")) & (F.col("x1") > F.col("_x0")))
+    over = binned.join(thin.drop("_low", "_high", "_width").hint("merge"), ["doc", "page", "_x", "_y_bin"]).where((F.col("x0") < F.col("_x1")) & (F.col("x1") > F.col("_x0")))
     over = over.where(F.floor((F.greatest("x0", "_x0") - F.col("_low")) / F.col("_width")) == F.col("_x"))
     to_middle, to_bottom = F.abs(F.col("_y") - middle), F.abs(F.col("_y") - bottom)
     mark = F.when((to_middle <= to_bottom) & (to_middle <= TOLERANCE), "strike").when((to_bottom < to_middle) & (to_bottom <= TOLERANCE), "underline")
     best = over.withColumn("_mark", mark).where(F.col("_mark").isNotNull()).groupBy("doc", "page", "ord").agg(F.max_by("_mark", "_ord").alias("mark"))
-    return chars.join(best, ["doc", "page", "ord"], "left")
+    return chars.join(best.hint("merge"), ["doc", "page", "ord"], "left")
 
 
 def marked_lines(chars: DataFrame) -> DataFrame:
