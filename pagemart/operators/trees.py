@@ -7,7 +7,8 @@ numbers and find no value beyond what is above them. Siblings, and roots, are in
 order of pos and key; a null pos comes first. A parent may have most of all nodes:
 its children are added up by partial sums and ranges, and what they look up is an
 inner join, which adaptive execution splits. Each round deals its nodes by key again,
-or a union of what moved and what did not would have ever more partitions.
+or a union of what moved and what did not would have ever more partitions. A round's table
+goes when the next one is written, so two of them lie on disk at most.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagemart.operators.lineage import running, written
+from pagemart.operators.lineage import dropped, running, written
 
 
 def _parents(children: DataFrame, *more: str) -> DataFrame:
@@ -49,7 +50,8 @@ def nearest(children: DataFrame, value: str) -> DataFrame:
         if active.isEmpty():
             break
         moved = _jumped(nodes, active, found=F.col("up_found"), up=F.when(F.col("up_found").isNull(), F.col("up_up")))
-        nodes, seen = written(nodes.where(~open_).unionByName(moved).repartition("key")), 2 * seen
+        before, nodes, seen = nodes, written(nodes.where(~open_).unionByName(moved).repartition("key")), 2 * seen
+        dropped(before)
     return nodes.select("key", F.col("found").alias(value))
 
 
@@ -72,17 +74,20 @@ def numbers(children: DataFrame) -> DataFrame:
             break
         below = active.groupBy(F.col("up").alias("key")).agg(F.sum("size").alias("more"))
         moved = nodes.where(F.col("up").isNull()).unionByName(_jumped(nodes, active, depth=F.col("depth") + F.col("up_depth"), top=F.col("up_top")))
-        nodes = written(moved.join(below, "key", "left").withColumn("size", F.col("size") + F.coalesce("more", F.lit(0))).drop("more").repartition("key"))
+        before, nodes = nodes, written(moved.join(below, "key", "left").withColumn("size", F.col("size") + F.coalesce("more", F.lit(0))).drop("more").repartition("key"))
+        if seen > 1:  # the first are the links themselves
+            dropped(before)
         seen *= 2
     roots = links.where("root").select(F.col("key").alias("top"))
     rooted = nodes.where(F.col("up").isNull()).join(roots, "top", "left_semi").select("key", "depth", "size")
     placed = written(links.select("key", "up", "pos").join(rooted, "key"))
     walk = written(running(placed, "up", "size", "pos", "key", out="pre").select("key", "up", "depth", "size", (F.col("pre") + 1).alias("pre")))
+    total = rooted.count()
+    dropped(placed, links, *[nodes] * (seen > 1))
     while True:
         active = walk.where(F.col("up").isNotNull())
         if active.isEmpty():
             break
-        walk = written(walk.where(F.col("up").isNull()).unionByName(_jumped(walk, active, pre=F.col("pre") + F.col("up_pre"))).repartition("key"))
-    count = rooted.agg(F.count(F.lit(1)).alias("count"))
-    walk = walk.crossJoin(F.broadcast(count))  # one row
-    return walk.select("key", "depth", "size", "pre", (F.col("pre") + F.col("size") - 1).alias("last"), (F.col("count") + 1 - F.col("pre")).alias("post"))
+        before, walk = walk, written(walk.where(F.col("up").isNull()).unionByName(_jumped(walk, active, pre=F.col("pre") + F.col("up_pre"))).repartition("key"))
+        dropped(before)
+    return walk.select("key", "depth", "size", "pre", (F.col("pre") + F.col("size") - 1).alias("last"), (F.lit(total).cast("long") + 1 - F.col("pre")).alias("post"))
