@@ -452,6 +452,32 @@ def test_texts_are_stretches_of_the_page(spark):
     assert got.p == [long.strip()] and got.elements == 1
 
 
+def test_plain_pages_are_read_as_the_parser_reads_them():
+    bits = ["<div>", "</div>", "<p>", "<LI class=x>", "<li>", "</LI>", "<ul id='a b'>", "</ul>", "<br>", "<br/>", "<img src=a/b>", "<a href='/x?m=1&s=2&amp;t=3'>", '<a b="&lt;&copy&copyx">', "</a>", " text ", "a\nb", "&amp;", "&lt", "<", "x > y", "<!-- c -->", "<td data-size=''>", "<script>", "</script>", "</h1 >", "<a href=x/>", "<b a=1 A=2>", "<title>", "é ", "</>", "<a-b>", "<i A-B=c>"]
+
+    def slowly(page):
+        parser = html._Elements()
+        parser.feed(page)
+        parser.close()
+        return parser.page()
+
+    pick, plain = random.Random(7), 0
+    for _ in range(1500):
+        page = "".join(pick.choices(bits[: pick.choice((15, 17, 32))], k=pick.choice((2, 5, 12))))
+        found = html._plain(page)
+        plain += found is not None
+        assert html.parsed(page) == (found or slowly(page)) == slowly(page), page
+    assert plain > 500
+
+
+def test_pages_of_a_small_table_are_dealt(spark, monkeypatch):
+    from pagemart.plans import page_queries
+
+    monkeypatch.setattr(page_queries, "PAGES", 10)
+    assert page_queries._dealt(spark.range(95).coalesce(1), "id").rdd.getNumPartitions() == 10
+    assert page_queries._dealt(spark.range(9).coalesce(1), "id").rdd.getNumPartitions() == 1
+
+
 def test_quotes_in_tags_and_open_comments(spark):
     body = """<h1 title="a > b">Head</h1><a href="/x"><img alt="c > d">T</a><a href='/y' title='">'>U</a><p title="open>V</p><!-- <a href="/z">no</a>"""
     page = spark.createDataFrame([(1, "https://h/", body)], "page_id int, url string, html string")
