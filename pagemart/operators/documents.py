@@ -41,36 +41,50 @@ def marked_chars(chars: DataFrame, rects: DataFrame, page_height: float | None =
     the middle and underlines it if nearer to the bottom, within the tolerance;
     the last rule in order counts. With a page height, margins are cropped.
 
+    Rules without a doc are those of a page in every document: they are never repeated for each,
+    and of rules at one place only the last is kept.
+
     Characters and rules meet in bins of their x and of their height on the page, and a pair
     counts in the bin where its overlap begins only, so a page of many lines is no
     product of its characters and rules. Bins are wider on pages wider than BIN * BINS, and
-    rules are cut to their page's characters, so neither touches more than BINS + 2.
+    both are cut to the stretch of x where there are characters and rules, so neither touches more
+    than BINS + 2; what lies beside it meets nothing.
     Places that are null or not finite overlap nothing.
     """
     if page_height:
         chars = chars.where((F.col("top") >= TOP) & (F.col("bottom") <= page_height - BOTTOM))
     sound = lambda *names: reduce(and_, [F.abs(F.col(c).cast("double")) < F.lit(float("inf")) for c in names])
-    x = ("x0", "x1")
+    x, _x = ("x0", "x1"), ("_x0", "_x1")
+    on = [c for c in ("doc", "page") if c in rects.columns]
     placed = chars.where(sound(*x, "top", "bottom")).select("doc", "page", "ord", *[F.col(c).cast("double").alias(c) for c in (*x, "top", "bottom")])
-    extent = placed.groupBy("doc", "page").agg(F.min(F.least(*x)).alias("_low"), F.max(F.greatest(*x)).alias("_high"))
-    extent = extent.withColumn("_width", F.greatest(F.lit(BIN), (F.col("_high") - F.col("_low")) / BINS))
+    thin = rects.where(sound(*x, "top", "bottom") & (F.col("bottom") - F.col("top") <= RULE))
+    thin = thin.select(*on, F.col("ord").alias("_ord"), F.col("x0").cast("double").alias("_x0"), F.col("x1").cast("double").alias("_x1"), ((F.col("top") + F.col("bottom")) / 2).cast("double").alias("_y"))
+    if "doc" not in on:
+        thin = thin.groupBy(*on, *_x, "_y").agg(F.max("_ord").alias("_ord"))
+    ends = lambda df, x: df.groupBy(*on).agg(F.min(F.least(*x)).alias("_low"), F.max(F.greatest(*x)).alias("_high"))
+    # Sizes are guessed from tables before they are exploded, so that all would be broadcast: these joins are by shuffle.
+    both = ends(placed, x).join(ends(thin, _x).toDF(*on, "_low2", "_high2").hint("merge"), on)
+    both = both.select(*on, F.greatest("_low", "_low2").alias("_low"), F.least("_high", "_high2").alias("_high")).where("_low <= _high")
+    both = both.withColumn("_width", F.greatest(F.lit(BIN), (F.col("_high") - F.col("_low")) / BINS))
+
+    def binned(df: DataFrame, x: tuple[str, str]) -> DataFrame:
+        cut = [F.least(F.greatest(F.col(c), F.col("_low")), F.col("_high")) - F.col("_low") for c in x]
+        within = (F.least(*x) <= F.col("_high")) & (F.greatest(*x) >= F.col("_low"))
+        return df.join(both.hint("merge"), on).where(within).withColumn("_x", F.explode(_bins(*cut, F.col("_width"))))
+
     middle, bottom = (F.col("top") + F.col("bottom")) / 2, F.col("bottom")
-    x_bins = _bins(F.col("x0") - F.col("_low"), F.col("x1") - F.col("_low"), F.col("_width"))
     # A rule that marks is near the middle or the bottom: those two are looked up, not all between.
     near = F.array_distinct(F.flatten(F.array(*[_bins(y - TOLERANCE, y + TOLERANCE, F.lit(2.0 * TOLERANCE)) for y in (middle, bottom)])))
-    # Sizes are guessed from tables before they are exploded, so that all would be broadcast: these joins are by shuffle.
-    binned = placed.join(extent.hint("merge"), ["doc", "page"]).withColumn("_x", F.explode(x_bins)).withColumn("_y_bin", F.explode(near))
-
-    thin = rects.where(sound(*x, "top", "bottom") & (F.col("bottom") - F.col("top") <= RULE))
-    thin = thin.select("doc", "page", F.col("ord").alias("_ord"), F.col("x0").cast("double").alias("_x0"), F.col("x1").cast("double").alias("_x1"), ((F.col("top") + F.col("bottom")) / 2).cast("double").alias("_y"))
-    inside = [F.least(F.greatest(F.col(c), F.col("_low")), F.col("_high")) - F.col("_low") for c in ("_x0", "_x1")]
-    thin = thin.join(extent.hint("merge"), ["doc", "page"]).withColumn("_x", F.explode(_bins(*inside, F.col("_width")))).withColumn("_y_bin", F.floor(F.col("_y") / (2.0 * TOLERANCE)))
+    here = binned(placed, x).withColumn("_y_bin", F.explode(near))
+    rules = binned(thin, _x).withColumn("_y_bin", F.floor(F.col("_y") / (2.0 * TOLERANCE))).drop("_low", "_high", "_width")
 
-    over = binned.join(thin.drop("_low", "_high", "_width").hint("merge"), ["doc", "page", "_x", "_y_bin"]).where((F.col("x0") < F.col("_x1")) & (F.col("x1") > F.col("_x0")))
+    over = here.join(rules.hint("merge"), [*on, "_x", "_y_bin"]).where((F.col("x0") < F.col("_x1")) & (F.col("x1") > F.col("_x0")))
     over = over.where(F.floor((F.greatest("x0", "_x0") - F.col("_low")) / F.col("_width")) == F.col("_x"))
     to_middle, to_bottom = F.abs(F.col("_y") - middle), F.abs(F.col("_y") - bottom)
-    mark = F.when((to_middle <= to_bottom) & (to_middle <= TOLERANCE), "strike").when((to_bottom < to_middle) & (to_bottom <= TOLERANCE), "underline")
-    best = over.withColumn("_mark", mark).where(F.col("_mark").isNotNull()).groupBy("doc", "page", "ord").agg(F.max_by("_mark", "_ord").alias("mark"))
+    # A mark is a number until the end: pairs of numbers are tallied by hash, without sorting them.
+    mark = F.when((to_middle <= to_bottom) & (to_middle <= TOLERANCE), 1).when((to_bottom < to_middle) & (to_bottom <= TOLERANCE), 2)
+    best = over.withColumn("_mark", mark).where(F.col("_mark").isNotNull()).groupBy("doc", "page", "ord").agg(F.max_by("_mark", "_ord").alias("_mark"))
+    best = best.select("doc", "page", "ord", F.when(F.col("_mark") == 1, "strike").when(F.col("_mark") == 2, "underline").alias("mark"))
     return chars.join(best.hint("merge"), ["doc", "page", "ord"], "left")
 
 

@@ -562,3 +562,15 @@ def test_marks_in_bins(spark):
                 want[i] = "strike" if middle <= low and middle <= 2 else "underline" if low < middle and low <= 2 else want[i]
     got = documents.marked_chars(spark.createDataFrame(chars, "doc string, page int, ord int, text string, x0 double, x1 double, top double, bottom double"), spark.createDataFrame(rules, "doc string, page int, ord int, x0 double, x1 double, top double, bottom double"))
     assert {x.ord: x.mark for x in got.collect()} == want and set(want.values()) == {None, "strike", "underline"}
+
+
+def test_marks_by_rules_of_a_page(spark):
+    """Rules without a doc mark as if each document had them, and are not repeated for each."""
+    r = random.Random(12)
+    chars = [(f"d{i % 7}", r.randrange(2), i // 2, "x", (a := r.uniform(0, 300)), a + 9, (t := float(r.randrange(0, 30))), t + 10) for i in range(300)]
+    rules = [(r.randrange(2), i, (a := float(r.randrange(-500, 500, 50))), a + r.choice([40.0, 90.0]), (t := float(r.randrange(0, 40))), t) for i in range(200)]
+    chars = spark.createDataFrame(chars, "doc string, page int, ord int, text string, x0 double, x1 double, top double, bottom double")
+    rules = spark.createDataFrame(rules, "page int, ord int, x0 double, x1 double, top double, bottom double")
+    repeated = rules.join(chars.select("doc", "page").distinct(), "page")
+    got = rows(documents.marked_chars(chars, rules), "doc", "page", "ord", "mark")
+    assert got == rows(documents.marked_chars(chars, repeated), "doc", "page", "ord", "mark") and len({x[3] for x in got}) == 3
