@@ -4,8 +4,8 @@ from pathlib import Path
 
 from oracle import SF
 
-from pagemart.operators import documents, trees
-from pagemart.plans import store_queries
+from pagemart.operators import documents, merge, trees
+from pagemart.plans import load, store_queries
 
 
 def test_arrivals_are_several_files(spark, tmp_path, monkeypatch):
@@ -24,3 +24,28 @@ def test_rounds_of_trees_do_not_stay(spark, tmp_path, monkeypatch):
     chain = spark.range(9).selectExpr("string(id) AS key", "IF(id = 0, NULL, string(id - 1)) AS parent_key", "id AS pos")
     assert trees.numbers(chain).count() == 9
     assert len([p for p in Path(tmp_path).iterdir() if list(p.glob("*.parquet"))]) == 1
+
+
+def test_a_load_asks_once_which_buckets_its_keys_touch(spark, tmp_path):
+    """Tables with one key are in the same buckets."""
+    asked = []
+    s = load.open_store(spark, str(tmp_path), 4)
+    keys = spark.range(9).withColumnRenamed("id", "key")
+    select = keys.select
+    keys.select = lambda *c: asked.append(c) or select(*c)
+    found = s._touched({"bills": keys, "bill_documents": keys, "sponsors": keys})
+    assert len(asked) == 1 and found["bills"] == found["sponsors"] != set()
+
+
+def test_sponsors_are_tallied_by_hash(spark):
+    members = spark.createDataFrame([(1, "legislator", 7, 2), (1, "legislator", 7, 0), (2, "committee", 8, 1), (3, "committee", 8, 1)], "bill_id long, member_kind string, member_id long, kind int")
+    current = spark.createDataFrame([(3, "cosponsor", "committee", 8)], load.SCHEMAS["sponsors"])
+    best = merge.first_rank_wins(current, members, ["bill_id", "member_kind", "member_id"], "kind", ["lead", "other_primary", "cosponsor"])
+    assert sorted((r.bill_id, r.kind) for r in best.collect()) == [(1, "lead"), (2, "other_primary"), (3, "cosponsor")]
+    assert "SortAggregate" not in best._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sponsors_given_as_text(spark):
+    """Blank ids are left out."""
+    rows = spark.sql("SELECT map('legislator_id', array('3', ' ', NULL)) AS lead")
+    assert rows.select(load._ids(rows, "lead").alias("x")).first().x == {"legislator_id": [3, None, None]}
