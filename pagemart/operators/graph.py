@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagemart.operators.lineage import cut, numbered
+from pagemart.operators.lineage import cut, numbered, spread
 from pagemart.operators.resolve import first_of_key
 
 #: Fixed: states of a page.
@@ -41,8 +41,8 @@ def remove(nodes: DataFrame, edges: DataFrame, gone: DataFrame) -> tuple[DataFra
 
 def without_orphans(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Nodes with a link in or out."""
-    linked = edges.select(F.col("src_key").alias("key")).union(edges.select(F.col("dst_key").alias("key")))
-    return nodes.join(linked, "key", "left_semi")
+    linked = edges.select(F.col("src_key").alias("key")).distinct().union(edges.select(F.col("dst_key").alias("key")))
+    return spread(nodes, "key").join(spread(linked, "key"), "key", "left_semi")
 
 
 def descendants(edges: DataFrame, start: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from pathlib import Path
 
 from oracle import SF
 
-from pagemart.operators import documents, merge, trees
+from pagemart.operators import documents, graph, merge, trees
 from pagemart.plans import load, store_queries
 
 
@@ -49,3 +49,15 @@ def test_sponsors_given_as_text(spark):
     """Blank ids are left out."""
     rows = spark.sql("SELECT map('legislator_id', array('3', ' ', NULL)) AS lead")
     assert rows.select(load._ids(rows, "lead").alias("x")).first().x == {"legislator_id": [3, None, None]}
+
+
+def _dealt_by_number(df) -> int:
+    return df._jdf.queryExecution().executedPlan().toString().count("REPARTITION_BY_NUM")
+
+
+def test_orphans_are_dealt_by_number(spark):
+    """Small parts are not put together by their compressed bytes, so no task sorts them all."""
+    nodes = spark.createDataFrame([(c,) for c in "abcd"], "key string")
+    edges = spark.createDataFrame([("a", "b"), ("a", "b"), ("d", "x")], "src_key string, dst_key string")
+    linked = graph.without_orphans(nodes, edges)
+    assert sorted(r.key for r in linked.collect()) == ["a", "b", "d"] and _dealt_by_number(linked) >= 2
