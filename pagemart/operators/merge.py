@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagemart.operators.lineage import plain_unions
+from pagemart.operators.lineage import plain_unions, spread
 
 
 def surrogate_key(*natural: str, bits: int = 64) -> Column:
@@ -225,4 +225,5 @@ def cascade_close(memberships: DataFrame, closed: DataFrame, key: str) -> DataFr
 
 def replace_children(current: DataFrame, children: DataFrame, touched: DataFrame, parent: str) -> DataFrame:
     """current without the children of touched parents, and the new children."""
-    return current.join(touched.select(parent).distinct(), parent, "left_anti").select(*current.columns).unionByName(children.select(*current.columns))
+    touched = spread(touched.select(parent), parent).distinct()
+    return spread(current, parent).join(touched, parent, "left_anti").select(*current.columns).unionByName(children.select(*current.columns))

@@ -61,3 +61,9 @@ def test_orphans_are_dealt_by_number(spark):
     edges = spark.createDataFrame([("a", "b"), ("a", "b"), ("d", "x")], "src_key string, dst_key string")
     linked = graph.without_orphans(nodes, edges)
     assert sorted(r.key for r in linked.collect()) == ["a", "b", "d"] and _dealt_by_number(linked) >= 2
+
+
+def test_replaced_children_are_dealt_by_number(spark):
+    current = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "p long, v string")
+    new = merge.replace_children(current, spark.createDataFrame([(2, "n")], "p long, v string"), spark.createDataFrame([(2,), (2,), (None,)], "p long"), "p")
+    assert sorted(r.v for r in new.collect()) == ["a", "c", "n"] and _dealt_by_number(new) >= 2
