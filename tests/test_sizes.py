@@ -1,5 +1,6 @@
 """What grows with the tables is dealt over files and tasks, passes no driver, and does not stay."""
 
+import datetime as dt
 from pathlib import Path
 
 from oracle import SF
@@ -67,3 +68,45 @@ def test_replaced_children_are_dealt_by_number(spark):
     current = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "p long, v string")
     new = merge.replace_children(current, spark.createDataFrame([(2, "n")], "p long, v string"), spark.createDataFrame([(2,), (2,), (None,)], "p long"), "p")
     assert sorted(r.v for r in new.collect()) == ["a", "c", "n"] and _dealt_by_number(new) >= 2
+
+
+VOTE = "bill_id long, vote_timestamp timestamp_ntz, chamber string, motion_text string, " + ", ".join(f"{c} array<long>" for c in load.CASTS) + ", ord int"
+
+
+def _votes(spark, *rows):
+    """(bill, motion, yeas, ord) each."""
+    return spark.createDataFrame([(bill, dt.datetime(2021, 1, 11, 9), "house", motion, yeas, [9], [], None, [None], n) for bill, motion, yeas, n in rows], VOTE)
+
+
+def test_votes_are_put_together_once_a_load(spark, tmp_path, monkeypatch):
+    """Both tables and the question for buckets read votes that are told apart, dealt and kept once; of a repeated one the last by ord counts."""
+    s, calls, one = load.open_store(spark, str(tmp_path), 4), [], merge.one_per_key
+    monkeypatch.setattr(merge, "one_per_key", lambda *a, **k: calls.append(a) or one(*a, **k))
+    found = lambda: {(r.bill_id, r.motion_text, r.legislator_id) for r in s.read("vote_events").join(s.read("legislator_votes"), "vote_event_id").collect()}
+    load.into_store(s, "votes", _votes(spark, (1, "b", [1, 2], 2), (1, "a", [3], 1), (2, "c", [4, 4], 1), (None, "n", [5], 1)))
+    first = {(2, "c", 4), (2, "c", 9), (None, "n", 5), (None, "n", 9)}
+    assert len(calls) == 1 and found() == first | {(1, "b", 1), (1, "b", 2), (1, "b", 9)} and s.read("legislator_votes").count() == 8
+    load.into_store(s, "votes", _votes(spark, (1, "late", [7], 1), (3, "d", [8], 1)))
+    assert len(calls) == 2 and found() == first | {(1, "late", 7), (1, "late", 9), (3, "d", 8), (3, "d", 9)}
+
+
+def test_votes_stay_where_they_are_dealt(spark):
+    """Of each join with stored rows only the stored ones are moved."""
+    rows = load._each_vote(_votes(spark, (1, "b", [1, 2], 2), (1, "a", [3], 1))).persist()
+    stored = {name: spark.createDataFrame([tuple([7] + [None] * load.SCHEMAS[name].count(","))], load.SCHEMAS[name]) for name in ("vote_events", "legislator_votes")}
+    moves = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    try:
+        assert rows.count() == 1
+        for name, df in load._load_each_vote(stored, rows).items():
+            kept = df._jdf.queryExecution().executedPlan().toString().count("InMemoryRelation")
+            assert kept and moves(df) - kept * moves(rows.select("*")) == 1, name
+            assert df.count() == {"vote_events": 2, "legislator_votes": 4}[name]
+    finally:
+        rows.unpersist()
+
+
+def test_joins_with_tables_without_rows_are_not_run(spark, tmp_path):
+    s = load.open_store(spark, str(tmp_path), 4)
+    votes = spark.createDataFrame([(1, 2, "yea")], load.SCHEMAS["legislator_votes"])
+    first = merge.replace_children(s.read("legislator_votes"), votes, votes, "vote_event_id")
+    assert "Join" not in first._jdf.queryExecution().optimizedPlan().toString() and first.count() == 1
