@@ -36,6 +36,11 @@ def one_per_key(changes: DataFrame, keys: list[str], order: Column | None = None
     return changes.groupBy(*keys).agg(picked.alias("_r")).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]).select(*changes.columns)
 
 
+def any_repeated(changes: DataFrame, keys: list[str]) -> bool:
+    """Whether some key has several rows; counts by hash, where rows dealt by key lie."""
+    return (changes.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0) > 1
+
+
 def insert_absent(current: DataFrame, changes: DataFrame, keys: list[str], order: Column | None = None) -> DataFrame:
     """current and the changes whose key it lacks, the first in order of each key."""
     new = one_per_key(changes, keys, order, first=True).join(current.select(*keys), keys, "left_anti")

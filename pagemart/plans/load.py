@@ -133,12 +133,20 @@ def load_votes(tables: dict[str, DataFrame], rows: DataFrame) -> dict[str, DataF
     return _load_each_vote(tables, _each_vote(rows))
 
 
-def _each_vote(rows: DataFrame) -> DataFrame:
-    """A row for each vote, dealt by its id once: what load_votes reads several times, so that none of its steps moves or groups them again."""
-    rows = spread(_with_vote_id(rows), "vote_event_id")
+def _dealt_votes(rows: DataFrame) -> DataFrame:
+    """Votes with their id, dealt by it once: what load_votes reads several times, so that none of its steps moves them again."""
+    return spread(_with_vote_id(rows), "vote_event_id")
+
+
+def _last_votes(rows: DataFrame) -> DataFrame:
     return merge.one_per_key(rows, ["vote_event_id"], F.col("ord") if "ord" in rows.columns else None)
 
 
+def _each_vote(rows: DataFrame) -> DataFrame:
+    """A row for each vote."""
+    return _last_votes(_dealt_votes(rows))
+
+
 def _load_each_vote(tables: dict[str, DataFrame], rows: DataFrame) -> dict[str, DataFrame]:
     events = merge.upsert(tables["vote_events"], rows.select(*tables["vote_events"].columns), ["vote_event_id"], ["bill_id", "vote_timestamp", "chamber", "motion_text"], None, once=True)
     votes = resolve.bucket_rows(rows, "vote_event_id", CASTS).where(F.col("member").isNotNull()).select("vote_event_id", F.col("member").alias("legislator_id"), F.col("cast").alias("vote_cast"))
@@ -170,8 +178,9 @@ LOADS: dict[str, tuple[Callable, tuple[str, ...], Callable[[DataFrame], DataFram
     "bills": (load_bills, ("bills", "bill_documents", "bill_status_history", "sponsors"), lambda rows: rows.select(merge.surrogate_key("bill_no", "session_code").alias("key"))),
     "votes": (_load_each_vote, ("vote_events", "legislator_votes"), lambda rows: rows.select("vote_event_id")),
 }
-#: Kind of records -> what is done to them once, before a load reads them for each of its tables.
-READY: dict[str, Callable[[DataFrame], DataFrame]] = {"votes": _each_vote}
+#: Kind of records -> what is done to them once, before a load reads them for each of its tables: (how they are dealt,
+#: the key by which they then lie, how one row of a key is picked, which is left out where no key is repeated).
+READY: dict[str, tuple[Callable[[DataFrame], DataFrame], str, Callable[[DataFrame], DataFrame]]] = {"votes": (_dealt_votes, "vote_event_id", _last_votes)}
 
 
 def into_store(store: Store, kind: str, rows: DataFrame, batch: tuple[str, int] | None = None, aside: Callable[[DataFrame], None] | None = None) -> int:
@@ -180,8 +189,9 @@ def into_store(store: Store, kind: str, rows: DataFrame, batch: tuple[str, int]
     aside gets the load's quarantine, each time that the load is tried.
     """
     how, names, key = LOADS[kind]
-    if kind in READY:
-        rows = READY[kind](rows)
+    deal, dealt_by, pick = READY.get(kind, (None, None, None))
+    if deal:
+        rows = deal(rows)
 
     def change(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
         found = how(tables, rows)
@@ -190,12 +200,14 @@ def into_store(store: Store, kind: str, rows: DataFrame, batch: tuple[str, int]
             aside(odd)
         return changed
 
-    own = rows.storageLevel == StorageLevel.NONE  # else the caller keeps them
-    if own:
-        rows = rows.persist()  # each table's merge reads them
+    kept = []
+    if rows.storageLevel == StorageLevel.NONE:  # else the caller keeps them
+        kept.append(rows := rows.persist())  # each table's merge reads them
     try:
+        if pick and merge.any_repeated(rows, [dealt_by]):
+            kept.append(rows := pick(rows).persist())
         keys = key(rows) if key else None
         return store.load(change, {name: keys for name in names}, batch)
     finally:
-        if own:
-            rows.unpersist()
+        for df in kept:
+            df.unpersist()
