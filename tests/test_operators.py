@@ -527,6 +527,34 @@ def test_tree_numbers_of_random_trees(spark):
     assert trees.numbers(spark.createDataFrame([], "key int, parent_key int, pos int")).count() == 0
 
 
+def test_tree_numbers_over_parts(spark, monkeypatch):
+    """A tour cut into parts of some rows: siblings, chains and circles go on from part to part, and only there are rounds."""
+    r = random.Random(6)
+    nodes = [("a0", None, 0), ("a1", None, 0), ("a2", None, 0)] + [(f"a{i}", f"a{r.choice([0, 0, i - 1, i - 1, r.randrange(i)])}", r.choice([None, 1, 2])) for i in range(3, 300)]
+    odd = [("x", "y", 0), ("y", "x", 0), ("z", "y", 0), ("s", "s", 0), ("u", "none", 0), ("v", "u", 0)] + [(f"c{i}", f"c{(i + 1) % 40}", 0) for i in range(40)]
+    children = spark.createDataFrame(nodes + odd, "key string, parent_key string, pos int").repartition(3)
+    whole = sorted(trees.numbers(children).collect())
+    below = collections.defaultdict(list)
+    for key, parent, pos in nodes:
+        below[parent].append((pos is not None, pos or 0, key))
+    want, walk = {}, [(key, 0) for *_, key in sorted(below[None], reverse=True)]
+    while walk:
+        key, depth = walk.pop()
+        want[key] = (depth, len(want) + 1)
+        walk += [(k, depth + 1) for *_, k in sorted(below[key], reverse=True)]
+    assert {x.key: (x.depth, x.pre) for x in whole} == want and all(x.last == x.pre + x.size - 1 and x.post == 301 - x.pre for x in whole)
+    for part, places in ((7, 500_000), (40, 0)):
+        monkeypatch.setattr(trees, "PART", part)
+        monkeypatch.setattr(trees, "PLACES", places)
+        assert sorted(trees.numbers(children).collect()) == whole
+    places = []
+    monkeypatch.setattr(trees, "PART", 1000)
+    monkeypatch.setattr(trees, "written", lambda df: places.append(df.columns) or written(df))
+    chain = spark.createDataFrame([(i, i - 1 if i else None, 0) for i in range(5000)], "key int, parent_key int, pos int")
+    assert [x.size for x in sorted(trees.numbers(chain).collect())] == list(range(5000, 0, -1))
+    assert places.count(["at", "to", "n", "d"]) <= 7  # by the parts, not by the chain
+
+
 def test_changed_states_as_the_full_walk(spark):
     r = random.Random(3)
     edges = spark.createDataFrame(sorted({(a, r.randrange(a + 1, 80)) for a in range(79) for _ in range(2)} | {(5, 5)}), "src_key int, dst_key int")
