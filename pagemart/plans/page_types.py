@@ -49,8 +49,10 @@ def _labelled(label: str, attr: str | None = None) -> Callable[[Column], Column]
 
     def value(page: Column) -> Column:
         def of(beside: Column) -> Column:
-            found = html.inside(page, beside, attr) if attr else html.text_of(page, beside)
-            return F.when(F.size(found) > 0, found) if attr else F.when(found != "", found)
+            if attr:
+                return html.let(html.inside(page, beside, attr), lambda found: F.when(F.size(found) > 0, found))
+            found = html.text_of(page, beside)
+            return F.when(found != "", found)
 
         return html.let(html.after_label(page, ("td", "th", "div"), label), of)
 

@@ -51,15 +51,12 @@ def load_records(store: Store, kind: str, name: str, records: Callable[[DataFram
 
     The version keeps the batch's number under the stream's name, so a batch that
     is run again, because the stream was lost before it noted the batch, is known and left
-    out; one that was lost between two tables has no version, and is loaded whole.
+    out unread; one that was lost between two tables has no version, and is loaded whole.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
-        batch = batch.persist()
-        try:
+        if store.version_of(name, number) is None:  # else it is not read at all
             load.into_store(store, kind, records(batch), (name, number), aside)
-        finally:
-            batch.unpersist()
 
     return merge
 

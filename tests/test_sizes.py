@@ -4,9 +4,12 @@ import datetime as dt
 from pathlib import Path
 
 from oracle import SF
+from pyspark.sql import functions as F
 
-from pagemart.operators import documents, graph, merge, trees
+from pagemart.functions import urls
+from pagemart.operators import documents, graph, html, merge, trees
 from pagemart.plans import load, store_queries
+from pagemart.streaming import pages as stream
 
 
 def test_arrivals_are_several_files(spark, tmp_path, monkeypatch):
@@ -110,3 +113,31 @@ def test_joins_with_tables_without_rows_are_not_run(spark, tmp_path):
     votes = spark.createDataFrame([(1, 2, "yea")], load.SCHEMAS["legislator_votes"])
     first = merge.replace_children(s.read("legislator_votes"), votes, votes, "vote_event_id")
     assert "Join" not in first._jdf.queryExecution().optimizedPlan().toString() and first.count() == 1
+
+
+def test_a_known_batch_is_not_read_again(spark, tmp_path):
+    s, read = load.open_store(spark, str(tmp_path), 4), []
+    sink = stream.load_records(s, "votes", "pages", lambda batch: read.append(1) or batch)
+    for number in (0, 0, 1, 0):
+        sink(_votes(spark, (number, "a", [1], 1)), number)
+    assert len(read) == 2 and s.read("vote_events").count() == 2
+
+
+def test_pages_of_one_shape_are_built_once(monkeypatch):
+    """Tags are put together once for all pages that have the same; memory of shapes is bounded."""
+    built, shape = [], html._shape
+    monkeypatch.setattr(html, "_shape", lambda tokens: built.append(1) or shape(tokens))
+    monkeypatch.setattr(html, "SHAPES", 2)
+    html._shapes.clear()
+    page = "<div class=a{0}> x <b>{0}&amp;</b>{1}</div> end"
+    assert [html.parsed(page.format(i, " y" * i))[0] for i in range(3)] == ["x 0& end", "x 1& y end", "x 2& y y end"]
+    assert len(built) == 2 and html.parsed(page.format(7, ""))[1][0][10] == [("class", "a7")]  # without a text before the end, and with one
+    for i in range(5):
+        html.parsed("<i>" * i)
+    assert len(html._shapes) <= 2
+
+
+def test_the_place_of_a_url_is_read_once(spark):
+    found = spark.createDataFrame([("https://h/a/b?x#y",), ("h/a",), (None,)], "url string").select(urls.classify(F.col("url"), {"h": "home", "h/a": "a", "h/b": "b", "h/c": "c"}).alias("t"))
+    assert [r.t for r in found.collect()] == ["a", None, None]
+    assert found._jdf.queryExecution().optimizedPlan().toString().lower().count("rlike") == 1
