@@ -141,3 +141,25 @@ def test_the_place_of_a_url_is_read_once(spark):
     found = spark.createDataFrame([("https://h/a/b?x#y",), ("h/a",), (None,)], "url string").select(urls.classify(F.col("url"), {"h": "home", "h/a": "a", "h/b": "b", "h/c": "c"}).alias("t"))
     assert [r.t for r in found.collect()] == ["a", None, None]
     assert found._jdf.queryExecution().optimizedPlan().toString().lower().count("rlike") == 1
+
+
+def test_bills_are_dealt_once_and_kept_on_disk(spark, tmp_path, monkeypatch):
+    """No memory of executors holds a load's rows, and joins with stored rows are dealt by number."""
+    s, kept, keyed = load.open_store(spark, str(tmp_path), 4), [], load._load_keyed_bills
+    load.into_store(s, "sessions", spark.createDataFrame([("a", "A", dt.date(2001, 1, 1))], load.SCHEMAS["sessions"]))
+    monkeypatch.setitem(load.LOADS, "bills", (lambda tables, rows: kept.append((rows.storageLevel, rows, tables)) or keyed(tables, rows), *load.LOADS["bills"][1:]))
+    schema = "bill_no string, session_code string, title string, url string, intro_date timestamp_ntz, act_date date, documents map<string,array<string>>, status array<struct<chamber:string,status_date:timestamp_ntz,history_action:string,vote_action_present:boolean>>, " + ", ".join(f"{c} map<string,array<long>>" for c in load.SPONSORS) + ", ord int"
+    day = dt.datetime(2001, 2, 3)
+    bill = lambda n, title, place: (f"b{n}", "a", title, "u", day, None, {"act": ["x", " "]}, [("house", day, "read", False)], {"legislator_id": [1, 1]}, {"legislator_id": [1, 2]}, {"committee_id": [1]}, place)
+    batch = spark.createDataFrame([bill(1, "first", 1), bill(1, "last", 2), bill(2, "only", 1)], schema)
+    for _ in range(2):
+        load.into_store(s, "bills", batch)
+    assert all(level.useDisk and not level.useMemory for level, *_ in kept)
+    assert sorted(r.title for r in s.read("bills").collect()) == ["last", "only"]
+    assert [s.read(name).count() for name in ("bill_documents", "bill_status_history", "sponsors")] == [2, 2, 6]
+    dealt = load._dealt_bills(batch).persist()
+    try:
+        changed, _ = keyed(kept[-1][2], dealt)
+        assert _dealt_by_number(changed["bill_documents"]) - _dealt_by_number(dealt.select("*")) >= 2
+    finally:
+        dealt.unpersist()
