@@ -3,11 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from itertools import islice
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
@@ -78,40 +75,49 @@ def with_quarantine(good_sink: Callable[[DataFrame, int], None], bad_sink: Calla
 class _Waiting(StatefulProcessor):
     """Rows of one dependency, kept until it is there, or until a timer says that they have waited long enough."""
 
-    def __init__(self, dependency: str, payload: str, loaded: str, expires_ms: int | None):
-        self.dependency, self.payload, self.loaded, self.expires_ms = dependency, payload, loaded, expires_ms
+    #: Rows that are put into the list at a time.
+    PIECE = 4096
+
+    def __init__(self, dependency: str, payload: str, expires_ms: int | None):
+        self.out, self.expires_ms = Row(dependency, payload, "expired"), expires_ms
 
     def init(self, handle) -> None:
         self.handle = handle
         self.there = handle.getValueState("there", "there boolean")
         self.waiting = handle.getListState("waiting", "payload string")
 
-    def _out(self, key, rows: list, expired: bool) -> pd.DataFrame:
-        columns = {self.dependency: [key] * len(rows), self.payload: rows}
-        return pd.DataFrame({name: pd.Series(values, dtype=object) for name, values in columns.items()} | {"expired": np.full(len(rows), expired)})
-
-    def _released(self, key, expired: bool) -> Iterator[pd.DataFrame]:
-        """What waits, in pieces, and no state of it after."""
-        rows = self.waiting.get() if self.waiting.exists() else iter(())
-        while piece := [row[0] for row in islice(rows, 4096)]:
-            yield self._out(key, piece, expired)
-        self.waiting.clear()
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        there = self.there.exists()
-        new = 0
-        for batch in rows:
-            arrived = batch[self.loaded].fillna(False).astype(bool)
-            if not there and arrived.any():
-                there = True
-                self.there.update((True,))
-                yield from self._released(key[0], False)
-            fresh = batch.loc[~arrived, self.payload]
-            if there:
-                yield self._out(key[0], fresh.tolist(), False)
-            elif len(fresh):
-                new += len(fresh)
-                self.waiting.appendList([(x,) for x in fresh.tolist()])
+    def _released(self, key, expired: bool) -> Iterator[Row]:
+        """What waits, and no state of it after."""
+        some = False
+        for (payload,) in self.waiting.get():
+            some = True
+            yield self.out(key, payload, expired)
+        if some:
+            self.waiting.clear()
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        """rows(dependency, payload, loaded). What arrives in a batch with its dependency does not become state; each call of a state is a
+        message to the JVM, so there are as few for a key as can be.
+        """
+        there, new, piece = self.there.exists(), False, []
+        for _, payload, loaded in rows:
+            if loaded:
+                if not there:
+                    there = True
+                    self.there.update((True,))
+                    yield from self._released(key[0], False)
+                    yield from (self.out(key[0], x, False) for (x,) in piece)
+                    piece = []
+            elif there:
+                yield self.out(key[0], payload, False)
+            else:
+                piece.append((payload,))
+                if len(piece) == self.PIECE:
+                    self.waiting.appendList(piece)
+                    new, piece = True, []
+        if piece:
+            self.waiting.appendList(piece)
+            new = True
         if self.expires_ms is None:
             return
         if there:
@@ -120,7 +126,7 @@ class _Waiting(StatefulProcessor):
         elif new:
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.expires_ms)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         yield from self._released(key[0], True)
 
     def close(self) -> None:
@@ -143,5 +149,4 @@ def release_waiting(events: DataFrame, dependency: str, payload: str, loaded: st
     events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     kind = events.schema[dependency].dataType.simpleString()
     rows = events.select(dependency, F.col(payload).cast("string").alias(payload), F.coalesce(F.col(loaded), F.lit(False)).alias(loaded))
-    processor = _Waiting(dependency, payload, loaded, expires_ms)
-    return rows.groupBy(dependency).transformWithStateInPandas(processor, f"{dependency} {kind}, {payload} string, expired boolean", "append", "None" if expires_ms is None else "ProcessingTime")
+    return rows.groupBy(dependency).transformWithState(_Waiting(dependency, payload, expires_ms), f"{dependency} {kind}, {payload} string, expired boolean", "append", "None" if expires_ms is None else "ProcessingTime")

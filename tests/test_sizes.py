@@ -163,3 +163,36 @@ def test_bills_are_dealt_once_and_kept_on_disk(spark, tmp_path, monkeypatch):
         assert _dealt_by_number(changed["bill_documents"]) - _dealt_by_number(dealt.select("*")) >= 2
     finally:
         dealt.unpersist()
+
+
+def test_few_calls_of_state_for_a_dependency():
+    """Each is a message to the JVM: rows that come with their dependency make no list, and others go into it in pieces."""
+    calls = []
+
+    class State:
+        def __init__(self, name):
+            self.name, self.held = name, []
+
+        def __getattr__(self, call):
+            def run(*args):
+                calls.append((self.name, call))
+                if call in ("update", "appendList"):
+                    self.held += args[0]
+                return bool(self.held) if call == "exists" else iter(self.held)
+
+            return run
+
+    class Handle:
+        getValueState = getListState = lambda self, name, schema: State(name)
+
+    def waiting(*rows):
+        calls.clear()
+        return [tuple(r) for r in one.handleInputRows(("a",), iter([("a", *r) for r in rows]), None)]
+
+    one = stream._Waiting("dep", "payload", None)
+    one.init(Handle())
+    one.PIECE = 2
+    assert waiting(("r1", False), ("r2", False), ("r3", False)) == [] and calls == [("there", "exists")] + 2 * [("waiting", "appendList")]
+    assert waiting(("r4", False), (None, True), ("r5", False)) == [("a", f"r{i}", False) for i in (1, 2, 3, 4, 5)]
+    assert calls == [("there", "exists"), ("there", "update"), ("waiting", "get"), ("waiting", "clear")]
+    assert waiting(("r6", False), (None, True)) == [("a", "r6", False)] and calls == [("there", "exists")]
